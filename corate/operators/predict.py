@@ -19,6 +19,37 @@ def _clamp(c: Column, clamp: tuple[float, float] | None) -> Column:
     return F.least(F.greatest(c, F.lit(lo)), F.lit(hi))
 
 
+def _rank_ordered_sums(top: DataFrame, weighted: Column) -> DataFrame:
+    """Per test pair: num = sum(weighted), den = sum(|sim|), n_neighbors.
+
+    Both sums are folded left to right in neighbour-rank order, so the result
+    does not depend on how rows reach the aggregate (a plain ``sum`` of
+    irrational similarities can differ in the last bit between plans, which
+    can move an error that is an exact integer across a band edge). The list
+    per pair holds at most k rows because ``top`` is already cut to k.
+    """
+    nb = F.sort_array(
+        F.collect_list(
+            F.struct(
+                F.col("nbr_rank"),
+                weighted.alias("w"),
+                F.abs(F.col("sim")).alias("a"),
+            )
+        )
+    )
+    return (
+        top.groupBy("user", "item")
+        .agg(nb.alias("_nb"))
+        .select(
+            "user",
+            "item",
+            F.aggregate("_nb", F.lit(0.0), lambda acc, x: acc + x["w"]).alias("num"),
+            F.aggregate("_nb", F.lit(0.0), lambda acc, x: acc + x["a"]).alias("den"),
+            F.size("_nb").cast("bigint").alias("n_neighbors"),
+        )
+    )
+
+
 def _fallback_chain(first_ok: Column, first: Column, fallbacks, global_mean: Column):
     """(prediction, source) from the first rule that applies."""
     pred = F.when(first_ok, first)
@@ -45,11 +76,7 @@ def item_based_prediction(
     Returns (user, item, rating, prediction, source, n_neighbors).
     """
     fallbacks = list(fallbacks or [])
-    agg = top.groupBy("user", "item").agg(
-        F.sum(F.col("nbr_rating") * F.col("sim")).alias("num"),
-        F.sum(F.abs(F.col("sim"))).alias("den"),
-        F.count("*").alias("n_neighbors"),
-    )
+    agg = _rank_ordered_sums(top, F.col("nbr_rating") * F.col("sim"))
     extra = [c for c, _ in fallbacks]
     j = (
         truth.select("user", "item", "rating", *extra)
@@ -69,7 +96,7 @@ def item_based_prediction(
         "rating",
         _clamp(pred, clamp).alias("prediction"),
         src.alias("source"),
-        F.coalesce(F.col("n_neighbors"), F.lit(0)).alias("n_neighbors"),
+        F.coalesce(F.col("n_neighbors"), F.lit(0).cast("bigint")).alias("n_neighbors"),
     )
 
 
@@ -104,11 +131,7 @@ def user_based_prediction(
 
     Returns (user, item, rating, prediction, source, n_neighbors).
     """
-    agg = top.groupBy("user", "item").agg(
-        F.sum(leave_one_out_deviation(loo) * F.col("sim")).alias("num"),
-        F.sum(F.abs(F.col("sim"))).alias("den"),
-        F.count("*").alias("n_neighbors"),
-    )
+    agg = _rank_ordered_sums(top, leave_one_out_deviation(loo) * F.col("sim"))
     j = (
         truth.select("user", "item", "rating")
         .join(agg, ["user", "item"], "left")
@@ -129,5 +152,5 @@ def user_based_prediction(
         "rating",
         _clamp(pred, clamp).alias("prediction"),
         src.alias("source"),
-        F.coalesce(F.col("n_neighbors"), F.lit(0)).alias("n_neighbors"),
+        F.coalesce(F.col("n_neighbors"), F.lit(0).cast("bigint")).alias("n_neighbors"),
     )
