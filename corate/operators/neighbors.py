@@ -41,11 +41,16 @@ def attach_similarity(
 
     ``sims`` holds one row per pair with key1 < key2; absent pairs get 0.0,
     so zero-similarity neighbours stay candidates (they rank above negatives).
+    Pairs whose similarity is exactly 0 are dropped from the lookup side
+    first: the default supplies the same value, and on sparse data most
+    co-rated pairs have one co-rater and similarity 0.
     """
     lo = F.least(F.col(self_col), F.col("nbr"))
     hi = F.greatest(F.col(self_col), F.col("nbr"))
     c = cand.withColumn("_k1", lo).withColumn("_k2", hi)
-    s = sims.select(F.col(key1).alias("_k1"), F.col(key2).alias("_k2"), F.col("sim"))
+    s = sims.filter(F.col("sim") != 0).select(
+        F.col(key1).alias("_k1"), F.col(key2).alias("_k2"), F.col("sim")
+    )
     return (
         c.join(s, ["_k1", "_k2"], "left")
         .withColumn("sim", F.coalesce(F.col("sim"), F.lit(0.0)))

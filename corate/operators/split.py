@@ -24,6 +24,18 @@ def dedup_last(events: DataFrame, order_col: str = "seq", keys=("user", "item"))
     return events.groupBy(*keys).agg(F.max_by("rating", order_col).alias("rating"))
 
 
+def flag_holdout(ratings: DataFrame, test: DataFrame) -> DataFrame:
+    """ratings + ``held_out`` (true when the key is a test pair), one join.
+
+    Writing this frame once (partitioned by ``held_out``) yields both the
+    training and the truth set from a single pass over the ratings.
+    """
+    keys = test.select("user", "item").withColumn("held_out", F.lit(True))
+    return ratings.join(keys, ["user", "item"], "left").withColumn(
+        "held_out", F.coalesce(F.col("held_out"), F.lit(False))
+    )
+
+
 def holdout_split(ratings: DataFrame, test: DataFrame) -> Split:
     """train = ratings without any test pair; truth = ratings of test pairs.
 

@@ -30,9 +30,9 @@ from corate.operators.neighbors import (
 from corate.operators.predict import item_based_prediction, user_based_prediction
 from corate.operators.similarity import centred_ratings, item_similarity, user_similarity
 from corate.operators.skew import DEFAULT_HOT_ROWS
-from corate.operators.split import dedup_last, holdout_split
+from corate.operators.split import dedup_last, flag_holdout, holdout_split
 from corate.operators.stats import global_mean, user_genre_stats, user_stats
-from corate.session import materialize
+from corate.session import checkpoint_dir, materialize, write_table
 
 
 class Prepared(NamedTuple):
@@ -57,11 +57,22 @@ def prepare(
         ratings = dedup_last(ratings, order_col)
     else:
         ratings = ratings.select("user", "item", "rating")
-    sp = holdout_split(ratings, test)
-    train = materialize(sp.train, materialize_how)
-    truth = materialize(sp.truth, materialize_how)
+    how = materialize_how
+    if how == "auto":
+        how = "table" if checkpoint_dir(ratings.sparkSession) else "persist"
+    if how == "table":
+        # one pass: dedup + flag join, written once, split by partition pruning
+        t = write_table(flag_holdout(ratings, test), "split", partition_by=["held_out"])
+        train = t.filter(~F.col("held_out")).drop("held_out")
+        truth = t.filter(F.col("held_out")).drop("held_out")
+        keys = test.select("user", "item")
+    else:
+        sp = holdout_split(ratings, test)
+        train = materialize(sp.train, how)
+        truth = materialize(sp.truth, how)
+        keys = sp.test
     ustats = user_stats(train)
-    return Prepared(train, truth, sp.test, ustats, global_mean(train), genres)
+    return Prepared(train, truth, keys, ustats, global_mean(train), genres)
 
 
 class Result(NamedTuple):
@@ -151,7 +162,7 @@ def model_based(
     then the user mean). ``impute_unanswered`` also fills unscorable test
     pairs that have no held-out rating."""
     fm = als_ops.fit_als(prep.train, rank, max_iter, reg_param, seed, num_blocks)
-    fp = materialize(als_ops.als_predict(fm, prep.test), "auto")
+    fp = materialize(als_ops.als_predict(fm, prep.test), "auto", "als")
     if impute_unanswered:
         cases = prep.test.join(fp, ["user", "item"], "left_anti")
         cases = cases.join(prep.truth, ["user", "item"], "left")
@@ -164,7 +175,7 @@ def model_based(
     # Read twice (output file and metrics). Materializing it also keeps the
     # union out of the metrics plan, where Spark 4.1's constraint inference
     # fails on union -> join -> aggregate.
-    out = materialize(out, "auto")
+    out = materialize(out, "auto", "model-pred")
     return ModelResult(fp, imp, out, evaluate(score(prep.truth, out)))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -73,23 +74,53 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def materialize(df: DataFrame, how: str | None = "auto") -> DataFrame:
+def table_path(spark: SparkSession, hint: str = "t") -> str:
+    """A fresh folder under the session's shared checkpoint dir."""
+    d = checkpoint_dir(spark)
+    if not d:
+        raise RuntimeError("spark.checkpoint.dir is unset; no shared folder for tables")
+    return f"{d.rstrip('/')}/corate-{hint}-{uuid.uuid4().hex[:12]}"
+
+
+def write_table(df: DataFrame, hint: str = "t", partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as parquet into the shared checkpoint folder and read it back.
+
+    One job computes the frame once; readers get column pruning, filter
+    pushdown and (with ``partition_by``) partition pruning, and lost executors
+    re-read files instead of recomputing upstream shuffles.
+    """
+    path = table_path(df.sparkSession, hint)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    # read back with the writer's schema (partition values are otherwise
+    # re-inferred from folder names, e.g. a boolean comes back as a string)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize(df: DataFrame, how: str | None = "auto", hint: str = "t") -> DataFrame:
     """Cut or cache the lineage of a frame that is read more than once.
 
-    ``checkpoint``: reliable checkpoint into the session's shared checkpoint
-    dir (survives executor loss without recomputing upstream shuffles).
+    ``table``: parquet written to the session's shared checkpoint folder and
+    read back (see ``write_table``).
+    ``checkpoint``: Spark's reliable RDD checkpoint into the same folder (it
+    computes the frame twice unless the frame is also cached, so ``table`` is
+    preferred).
     ``persist``: MEMORY_AND_DISK cache (lost blocks are recomputed).
-    ``auto``: checkpoint when a checkpoint dir is configured, else persist.
+    ``auto``: ``table`` when a checkpoint dir is configured, else ``persist``.
     ``None``/``"none"``: leave as is.
     """
     if how in (None, "none"):
         return df
     if how == "auto":
-        how = "checkpoint" if checkpoint_dir(df.sparkSession) else "persist"
+        how = "table" if checkpoint_dir(df.sparkSession) else "persist"
+    if how == "table":
+        return write_table(df, hint)
     if how == "checkpoint":
         if not checkpoint_dir(df.sparkSession):
             raise RuntimeError("checkpoint requested but spark.checkpoint.dir is unset")
-        return df.checkpoint(eager=True)
+        return df.persist(StorageLevel.MEMORY_AND_DISK).checkpoint(eager=True)
     if how == "persist":
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     raise ValueError(f"unknown materialize mode {how!r}")
