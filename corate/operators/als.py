@@ -65,7 +65,11 @@ def fit_als(
 ) -> FactorModel:
     """Explicit-feedback ALS. Defaults follow the reference call: rank 5,
     4 iterations, lambda 0.01 (the default of the RDD-based ``ALS.train``;
-    Spark ML's own default is 0.1, so it is set explicitly), fixed seed."""
+    Spark ML's own default is 0.1, so it is set explicitly), fixed seed.
+
+    ``num_blocks`` (user and item blocks) defaults to the cluster's default
+    parallelism: Spark ML's fixed default of 10 would run every half-iteration
+    of a cluster-sized fit in 10 tasks."""
     u_ok, i_ok = _fits_int(train)
     uix = None if u_ok else dense_index(train, "user")
     iix = None if i_ok else dense_index(train, "item")
@@ -84,8 +88,8 @@ def fit_als(
         seed=seed,
         checkpointInterval=checkpoint_interval,
     )
-    if num_blocks:
-        als = als.setNumUserBlocks(num_blocks).setNumItemBlocks(num_blocks)
+    blocks = num_blocks or max(10, train.sparkSession.sparkContext.defaultParallelism)
+    als = als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
     model = als.fit(t.select("_u", "_i", "rating"))
     return FactorModel(model, uix, iix)
 

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 def item_candidates(truth: DataFrame, train: DataFrame) -> DataFrame:
     """For test pair (user, item): every item ``nbr`` the user rated in training.
 
-    Returns (user, item, rating, nbr, nbr_rating); ``rating`` is the held-out
-    answer. A cold user has no rows here.
+    Returns (user, item, nbr, nbr_rating). The held-out answer is not carried
+    through the shuffles; it is joined back at the end. A cold user has no
+    rows here.
     """
-    t = truth.select("user", "item", "rating")
+    t = truth.select("user", "item")
     r = train.select("user", F.col("item").alias("nbr"), F.col("rating").alias("nbr_rating"))
     return t.join(r, "user")
 
@@ -21,9 +22,9 @@ def user_candidates(truth: DataFrame, centred_train: DataFrame) -> DataFrame:
     """For test pair (user, item): every user ``nbr`` who rated the item in
     training, with that user's rating count and sum (for the leave-one-out mean).
 
-    Returns (user, item, rating, nbr, nbr_rating, nbr_n, nbr_sum).
+    Returns (user, item, nbr, nbr_rating, nbr_n, nbr_sum).
     """
-    t = truth.select("user", "item", "rating")
+    t = truth.select("user", "item")
     r = centred_train.select(
         F.col("user").alias("nbr"),
         "item",

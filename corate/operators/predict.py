@@ -12,6 +12,13 @@ from pyspark.sql import functions as F
 LOO_MODES = ("literal", "corrected")
 
 
+def with_rating(pairs: DataFrame) -> DataFrame:
+    """Pairs to score; a NULL ``rating`` is added when there is no answer."""
+    if "rating" in pairs.columns:
+        return pairs
+    return pairs.withColumn("rating", F.lit(None).cast("double"))
+
+
 def _clamp(c: Column, clamp: tuple[float, float] | None) -> Column:
     if clamp is None:
         return c
@@ -79,7 +86,7 @@ def item_based_prediction(
     agg = _rank_ordered_sums(top, F.col("nbr_rating") * F.col("sim"))
     extra = [c for c, _ in fallbacks]
     j = (
-        truth.select("user", "item", "rating", *extra)
+        with_rating(truth).select("user", "item", "rating", *extra)
         .join(agg, ["user", "item"], "left")
         .join(ustats.select("user", "mean_rating"), "user", "left")
     )
@@ -133,7 +140,7 @@ def user_based_prediction(
     """
     agg = _rank_ordered_sums(top, leave_one_out_deviation(loo) * F.col("sim"))
     j = (
-        truth.select("user", "item", "rating")
+        with_rating(truth).select("user", "item", "rating")
         .join(agg, ["user", "item"], "left")
         .join(ustats.select("user", "mean_rating"), "user", "left")
     )

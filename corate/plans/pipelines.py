@@ -88,20 +88,22 @@ def item_based(
     hot_rows: int | None = DEFAULT_HOT_ROWS,
     clamp: tuple[float, float] | None = None,
     sims: DataFrame | None = None,
+    pairs: DataFrame | None = None,
 ) -> Result:
     """Item-item CF: for each answered test pair, rank the items the user
     rated by similarity to the test item (signed, descending, ties by item
     id), keep k, and predict sum(r*sim)/sum(|sim|).
 
     fallback ``user_mean`` (the reference) or ``genre`` (the user's mean on
-    the same genre first, then the user mean).
+    the same genre first, then the user mean). ``sims`` reuses a similarity
+    table; ``pairs`` scores other (user, item[, rating]) pairs than the truth.
     """
     if sims is None:
         sims = item_similarity(prep.train, metric, hot_rows)
-    cand = item_candidates(prep.truth, prep.train)
+    truth = prep.truth if pairs is None else pairs
+    cand = item_candidates(truth, prep.train)
     scored = attach_similarity(cand, sims, "item", "item1", "item2")
     top = top_k(scored, k)
-    truth = prep.truth
     fallbacks: list[tuple[str, str]] = []
     if fallback == "genre":
         if prep.genres is None:
@@ -125,17 +127,22 @@ def user_based(
     loo: str = "literal",
     hot_rows: int | None = DEFAULT_HOT_ROWS,
     clamp: tuple[float, float] | None = None,
+    sims: DataFrame | None = None,
+    pairs: DataFrame | None = None,
 ) -> Result:
     """User-user CF: for each answered test pair, rank the users who rated the
     item by their Pearson similarity to the user, keep k, and predict
     mean(u) + sum(dev*sim)/sum(|sim|), dev = rating minus the neighbour's
-    leave-one-out mean. The reference runs it with k = 1."""
-    sims = user_similarity(prep.train, prep.ustats, hot_rows)
+    leave-one-out mean. The reference runs it with k = 1. ``sims`` reuses a
+    similarity table; ``pairs`` scores other pairs than the truth."""
+    if sims is None:
+        sims = user_similarity(prep.train, prep.ustats, hot_rows)
+    truth = prep.truth if pairs is None else pairs
     ct = centred_ratings(prep.train, prep.ustats)
-    cand = user_candidates(prep.truth, ct)
+    cand = user_candidates(truth, ct)
     scored = attach_similarity(cand, sims, "user", "user1", "user2")
     top = top_k(scored, k)
-    pred = user_based_prediction(prep.truth, top, prep.ustats, prep.gmean, loo, clamp)
+    pred = user_based_prediction(truth, top, prep.ustats, prep.gmean, loo, clamp)
     return Result(pred, evaluate(pred))
 
 
