@@ -18,11 +18,15 @@ ITEM_METRICS = ("pearson", "sum_normalized")
 
 
 def item_pair_moments(
-    train: DataFrame, hot_rows: int | None = DEFAULT_HOT_ROWS, max_buckets: int = DEFAULT_MAX_BUCKETS
+    train: DataFrame,
+    hot_rows: int | None = DEFAULT_HOT_ROWS,
+    max_buckets: int = DEFAULT_MAX_BUCKETS,
+    anchors: DataFrame | None = None,
 ) -> DataFrame:
     """(item1, item2, n_corated, sx, sy, sxy, sxx, syy) over users who rated
-    both items; item1 < item2; x is the rating of item1, y of item2."""
-    p = member_pairs(train, "user", "item", ["rating"], hot_rows, max_buckets)
+    both items; item1 < item2; x is the rating of item1, y of item2.
+    ``anchors`` (column ``item``) limits it to pairs touching those items."""
+    p = member_pairs(train, "user", "item", ["rating"], hot_rows, max_buckets, anchors)
     x, y = F.col("rating_1"), F.col("rating_2")
     return p.groupBy(F.col("m1").alias("item1"), F.col("m2").alias("item2")).agg(
         F.count("*").alias("n_corated"),
@@ -39,8 +43,10 @@ def item_similarity(
     metric: str = "pearson",
     hot_rows: int | None = DEFAULT_HOT_ROWS,
     max_buckets: int = DEFAULT_MAX_BUCKETS,
+    anchors: DataFrame | None = None,
 ) -> DataFrame:
-    """(item1, item2, n_corated, sim) for every co-rated item pair.
+    """(item1, item2, n_corated, sim) for every co-rated item pair (touching
+    ``anchors``, when given).
 
     ``pearson``: correlation with means taken over the co-raters only.
     ``sum_normalized``: Sxy / (Sx * Sy) over the co-raters.
@@ -48,7 +54,7 @@ def item_similarity(
     """
     if metric not in ITEM_METRICS:
         raise ValueError(f"metric must be one of {ITEM_METRICS}")
-    m = item_pair_moments(train, hot_rows, max_buckets)
+    m = item_pair_moments(train, hot_rows, max_buckets, anchors)
     if metric == "pearson":
         sim = pearson_from_moments("n_corated", "sx", "sy", "sxy", "sxx", "syy")
     else:
@@ -69,11 +75,13 @@ def user_similarity(
     ustats: DataFrame,
     hot_rows: int | None = DEFAULT_HOT_ROWS,
     max_buckets: int = DEFAULT_MAX_BUCKETS,
+    anchors: DataFrame | None = None,
 ) -> DataFrame:
     """(user1, user2, n_common, sim): Pearson over the items both rated, with
-    each user's deviation taken from that user's overall training mean."""
+    each user's deviation taken from that user's overall training mean.
+    ``anchors`` (column ``user``) limits it to pairs touching those users."""
     c = centred_ratings(train, ustats).select("item", "user", "dev")
-    p = member_pairs(c, "item", "user", ["dev"], hot_rows, max_buckets)
+    p = member_pairs(c, "item", "user", ["dev"], hot_rows, max_buckets, anchors)
     a, b = F.col("dev_1"), F.col("dev_2")
     m = p.groupBy(F.col("m1").alias("user1"), F.col("m2").alias("user2")).agg(
         F.count("*").alias("n_common"),

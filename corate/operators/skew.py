@@ -18,14 +18,12 @@ from pyspark.sql import functions as F
 
 DEFAULT_HOT_ROWS = 100_000
 DEFAULT_MAX_BUCKETS = 64
+MAX_BROADCAST_GROUPS = 100_000
 
 
 def hot_groups(df: DataFrame, group: str, hot_rows: int, max_buckets: int) -> DataFrame:
-    """(group, _nb) for groups with more than ``hot_rows`` rows.
-
-    At most count(df)/hot_rows groups qualify, which bounds the size of this
-    frame and is what makes broadcasting it safe.
-    """
+    """(group, _nb) for groups with more than ``hot_rows`` rows, with
+    ``_nb = min(ceil(rows / hot_rows), max_buckets)`` buckets each."""
     nb = F.least(F.ceil(F.col("_n") / F.lit(hot_rows)), F.lit(max_buckets)).cast("int")
     return (
         df.groupBy(group)
@@ -35,6 +33,22 @@ def hot_groups(df: DataFrame, group: str, hot_rows: int, max_buckets: int) -> Da
     )
 
 
+def attach_buckets(
+    df: DataFrame, group: str, hot_rows: int, max_buckets: int,
+    max_broadcast: int = MAX_BROADCAST_GROUPS,
+) -> DataFrame:
+    """df + ``_nb`` (bucket count of the row's group, 1 if not hot).
+
+    The hot list is counted first and broadcast only when it has at most
+    ``max_broadcast`` groups (about 16 bytes each); beyond that it is a shuffle
+    join, where AQE's skew handling splits the hot groups' partitions (the
+    other side has one row per group).
+    """
+    hot = hot_groups(df, group, hot_rows, max_buckets).persist()
+    side = F.broadcast(hot) if hot.count() <= max_broadcast else hot
+    return df.join(side, group, "left").withColumn("_nb", F.coalesce("_nb", F.lit(1)))
+
+
 def member_pairs(
     df: DataFrame,
     group: str,
@@ -42,39 +56,61 @@ def member_pairs(
     values: list[str],
     hot_rows: int | None = DEFAULT_HOT_ROWS,
     max_buckets: int = DEFAULT_MAX_BUCKETS,
+    anchors: DataFrame | None = None,
 ) -> DataFrame:
     """Rows (group, m1, m2, <v>_1..., <v>_2...) for members m1 < m2 of a group.
 
     ``df`` must be unique on (group, member). ``hot_rows=None`` disables the
-    salting (plain self-join on ``group``).
+    salting (plain self-join on ``group``). ``anchors`` (a frame with a
+    ``member`` column) restricts the output to pairs with at least one member
+    among the anchors; the left side of the join then holds anchor rows only,
+    so the work shrinks with the anchor set.
     """
-    cols = [group, member, *values]
-    d = df.select(*cols)
+    d = df.select(group, member, *values)
+    if anchors is not None:
+        a = anchors.select(member).distinct().withColumn("_anc", F.lit(True))
+        d = d.join(a, member, "left").withColumn("_anc", F.coalesce("_anc", F.lit(False)))
+    else:
+        d = d.withColumn("_anc", F.lit(True))
     if hot_rows is None:
-        left = d.select(group, F.col(member).alias("m1"), *[F.col(v).alias(f"{v}_1") for v in values])
-        right = d.select(group, F.col(member).alias("m2"), *[F.col(v).alias(f"{v}_2") for v in values])
-        return left.join(right, group).filter(F.col("m1") < F.col("m2"))
-
-    hot = hot_groups(d, group, hot_rows, max_buckets)
-    d = d.join(F.broadcast(hot), group, "left").withColumn("_nb", F.coalesce("_nb", F.lit(1)))
-    d = d.withColumn("_b", F.pmod(F.xxhash64(member), F.col("_nb")).cast("int"))
+        d = d.withColumn("_nb", F.lit(1)).withColumn("_b", F.lit(0))
+    else:
+        d = attach_buckets(d, group, hot_rows, max_buckets)
+        d = d.withColumn("_b", F.pmod(F.xxhash64(member), F.col("_nb")).cast("int"))
     fan = F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))
-    left = d.select(
+    lsrc = d.filter(F.col("_anc")) if anchors is not None else d
+    left = lsrc.select(
         group,
         F.col("_b").alias("_b1"),
         fan.alias("_b2"),
-        F.col(member).alias("m1"),
-        *[F.col(v).alias(f"{v}_1") for v in values],
+        F.col(member).alias("_l"),
+        *[F.col(v).alias(f"_l_{v}") for v in values],
     )
     right = d.select(
         group,
         fan.alias("_b1"),
         F.col("_b").alias("_b2"),
-        F.col(member).alias("m2"),
-        *[F.col(v).alias(f"{v}_2") for v in values],
+        F.col(member).alias("_r"),
+        F.col("_anc").alias("_r_anc"),
+        *[F.col(v).alias(f"_r_{v}") for v in values],
     )
-    return (
-        left.join(right, [group, "_b1", "_b2"])
-        .filter(F.col("m1") < F.col("m2"))
-        .drop("_b1", "_b2")
+    j = left.join(right, [group, "_b1", "_b2"])
+    if anchors is None:
+        j = j.filter(F.col("_l") < F.col("_r"))
+        return j.select(
+            group,
+            F.col("_l").alias("m1"),
+            F.col("_r").alias("m2"),
+            *[F.col(f"_l_{v}").alias(f"{v}_1") for v in values],
+            *[F.col(f"_r_{v}").alias(f"{v}_2") for v in values],
+        )
+    # anchor on the left; a pair of two anchors is kept once (left < right)
+    j = j.filter((F.col("_l") != F.col("_r")) & (~F.col("_r_anc") | (F.col("_l") < F.col("_r"))))
+    lo_left = F.col("_l") < F.col("_r")
+    return j.select(
+        group,
+        F.least("_l", "_r").alias("m1"),
+        F.greatest("_l", "_r").alias("m2"),
+        *[F.when(lo_left, F.col(f"_l_{v}")).otherwise(F.col(f"_r_{v}")).alias(f"{v}_1") for v in values],
+        *[F.when(lo_left, F.col(f"_r_{v}")).otherwise(F.col(f"_l_{v}")).alias(f"{v}_2") for v in values],
     )

@@ -75,6 +75,31 @@ def prepare(
     return Prepared(train, truth, keys, ustats, global_mean(train), genres)
 
 
+ANCHOR_SHARE = 0.25
+
+
+def selective_anchors(
+    pairs: DataFrame, train: DataFrame, col: str, restrict: bool | None
+) -> DataFrame | None:
+    """The distinct ``col`` values of the pairs to score, when restricting the
+    similarity table to pairs that touch them is worth it.
+
+    ``restrict=None`` decides by two distinct counts: restrict when the pairs
+    touch at most ``ANCHOR_SHARE`` of the training ``col`` values (a small
+    scoring set against a large catalogue); otherwise every co-rated pair is
+    needed anyway and the plain self-join is cheaper.
+    """
+    if restrict is False:
+        return None
+    anchors = pairs.select(col).distinct()
+    if restrict is None:
+        n_anchor = anchors.count()
+        n_all = train.select(col).distinct().count()
+        if n_anchor > ANCHOR_SHARE * n_all:
+            return None
+    return anchors
+
+
 class Result(NamedTuple):
     predictions: DataFrame   # user, item, rating, prediction, source, ...
     metrics: DataFrame       # one row: bands, n_scored, rmse
@@ -89,6 +114,7 @@ def item_based(
     clamp: tuple[float, float] | None = None,
     sims: DataFrame | None = None,
     pairs: DataFrame | None = None,
+    restrict: bool | None = None,
 ) -> Result:
     """Item-item CF: for each answered test pair, rank the items the user
     rated by similarity to the test item (signed, descending, ties by item
@@ -96,11 +122,14 @@ def item_based(
 
     fallback ``user_mean`` (the reference) or ``genre`` (the user's mean on
     the same genre first, then the user mean). ``sims`` reuses a similarity
-    table; ``pairs`` scores other (user, item[, rating]) pairs than the truth.
+    table; ``pairs`` scores other (user, item[, rating]) pairs than the truth;
+    ``restrict`` limits the similarity table to pairs touching the scored
+    items (None: decide from their share, see ``selective_anchors``).
     """
-    if sims is None:
-        sims = item_similarity(prep.train, metric, hot_rows)
     truth = prep.truth if pairs is None else pairs
+    if sims is None:
+        anchors = selective_anchors(truth, prep.train, "item", restrict)
+        sims = item_similarity(prep.train, metric, hot_rows, anchors=anchors)
     cand = item_candidates(truth, prep.train)
     scored = attach_similarity(cand, sims, "item", "item1", "item2")
     top = top_k(scored, k)
@@ -129,15 +158,19 @@ def user_based(
     clamp: tuple[float, float] | None = None,
     sims: DataFrame | None = None,
     pairs: DataFrame | None = None,
+    restrict: bool | None = None,
 ) -> Result:
     """User-user CF: for each answered test pair, rank the users who rated the
     item by their Pearson similarity to the user, keep k, and predict
     mean(u) + sum(dev*sim)/sum(|sim|), dev = rating minus the neighbour's
     leave-one-out mean. The reference runs it with k = 1. ``sims`` reuses a
-    similarity table; ``pairs`` scores other pairs than the truth."""
-    if sims is None:
-        sims = user_similarity(prep.train, prep.ustats, hot_rows)
+    similarity table; ``pairs`` scores other pairs than the truth;
+    ``restrict`` limits the similarity table to pairs touching the scored
+    users (None: decide from their share)."""
     truth = prep.truth if pairs is None else pairs
+    if sims is None:
+        anchors = selective_anchors(truth, prep.train, "user", restrict)
+        sims = user_similarity(prep.train, prep.ustats, hot_rows, anchors=anchors)
     ct = centred_ratings(prep.train, prep.ustats)
     cand = user_candidates(truth, ct)
     scored = attach_similarity(cand, sims, "user", "user1", "user2")

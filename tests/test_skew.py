@@ -41,3 +41,49 @@ def test_hot_group_is_spread_over_buckets(spark):
     salted = member_pairs(t, "user", "item", ["rating"], hot_rows=50, max_buckets=5)
     plan = salted._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_anchored_pairs_equal_filtered_full_pairs(spark):
+    t = _train(spark)
+    anchors = spark.createDataFrame([(5,), (17,), (250,), (299,)], "item BIGINT")
+    full = item_similarity(t, hot_rows=None).filter(
+        F.col("item1").isin(5, 17, 250, 299) | F.col("item2").isin(5, 17, 250, 299))
+    a = sorted(tuple(r) for r in full.collect())
+    for hr in (None, 40):
+        b = sorted(tuple(r) for r in item_similarity(t, hot_rows=hr, max_buckets=6, anchors=anchors).collect())
+        assert a == b
+
+
+def test_anchored_user_sims_and_no_broadcast_path(spark):
+    from corate.operators import skew
+
+    t = _train(spark)
+    us = user_stats(t)
+    anchors = spark.createDataFrame([(0,), (3,), (40,)], "user BIGINT")
+    full = {(r[0], r[1]): r[3] for r in user_similarity(t, us, hot_rows=None).collect()
+            if r[0] in (0, 3, 40) or r[1] in (0, 3, 40)}
+    old = skew.MAX_BROADCAST_GROUPS
+    try:
+        skew.MAX_BROADCAST_GROUPS = 0  # force the shuffle-join path for the hot list
+        got = {(r[0], r[1]): r[3] for r in user_similarity(t, us, hot_rows=3, max_buckets=4, anchors=anchors).collect()}
+    finally:
+        skew.MAX_BROADCAST_GROUPS = old
+    assert got == full
+
+
+def test_restricted_item_based_equals_full(spark):
+    from corate.plans import queries as Q
+    from corate.plans import pipelines as P
+
+    prep = Q.prepared(spark, "/root/testdata/sf0.001")
+    few = prep.truth.filter(F.col("item") % 5 == 0)
+    a = {(r["user"], r["item"]): (r["prediction"], r["source"])
+         for r in P.item_based(prep, pairs=few, restrict=False).predictions.collect()}
+    b = {(r["user"], r["item"]): (r["prediction"], r["source"])
+         for r in P.item_based(prep, pairs=few, restrict=True).predictions.collect()}
+    assert a == b and len(a) > 0
+    c = {(r["user"], r["item"]): (r["prediction"], r["source"])
+         for r in P.user_based(prep, pairs=few, restrict=False).predictions.collect()}
+    d = {(r["user"], r["item"]): (r["prediction"], r["source"])
+         for r in P.user_based(prep, pairs=few, restrict=True).predictions.collect()}
+    assert c == d
