@@ -59,6 +59,23 @@ def attach_similarity(
     )
 
 
+def candidate_pair_similarity(
+    cand: DataFrame, sims: DataFrame, self_col: str, key1: str, key2: str, count_col: str
+) -> DataFrame:
+    """The distinct unordered pairs (cand[self_col], cand.nbr) with their
+    similarity and co-rating count; pairs absent from ``sims`` get 0 and 0."""
+    pairs = cand.select(
+        F.least(F.col(self_col), F.col("nbr")).alias(key1),
+        F.greatest(F.col(self_col), F.col("nbr")).alias(key2),
+    ).distinct()
+    return pairs.join(sims, [key1, key2], "left").select(
+        key1,
+        key2,
+        F.coalesce(F.col(count_col), F.lit(0).cast("bigint")).alias(count_col),
+        F.coalesce(F.col("sim"), F.lit(0.0)).alias("sim"),
+    )
+
+
 def top_k(scored: DataFrame, k: int, by=("user", "item")) -> DataFrame:
     """Keep the k neighbours with the highest signed similarity per test pair.
 

@@ -295,6 +295,11 @@ SELECT item, CAST(floor("user" / 1000) AS BIGINT) AS user_block, count(*) AS n_m
 FROM train GROUP BY item, CAST(floor("user" / 1000) AS BIGINT)""")
     q["corated_pairs"] = with_ctes(["ipearson"], [], "SELECT item1, item2, n_corated, sim FROM ipearson")
     q["corated_pair_count"] = with_ctes(["imom"], [], "SELECT count(*) AS n_pairs FROM imom")
+    q["item_pearson"] = with_ctes(["truth", "train", "ipearson"], [("needed", """
+  SELECT DISTINCT least(t.item, r.item) AS item1, greatest(t.item, r.item) AS item2
+  FROM truth t JOIN train r ON t."user" = r."user\"""")], """
+SELECT n.item1, n.item2, coalesce(s.n_corated, 0) AS n_corated, coalesce(s.sim, 0.0) AS sim
+FROM needed n LEFT JOIN ipearson s ON s.item1 = n.item1 AND s.item2 = n.item2""")
     q["item_sum_normalized"] = with_ctes(["isumnorm"], [], "SELECT item1, item2, n_corated, sim FROM isumnorm")
     q["user_pearson"] = with_ctes(["upearson"], [], "SELECT user1, user2, n_common, sim FROM upearson")
     q["user_genre_mean"] = with_ctes(["ugenre"], [], "SELECT * FROM ugenre")

@@ -18,6 +18,7 @@ from corate.operators import als as als_ops
 from corate.operators.impute import impute, unscorable_by_factors
 from corate.operators.neighbors import (
     attach_similarity,
+    candidate_pair_similarity,
     item_candidates,
     top_k,
     user_candidates,
@@ -106,6 +107,16 @@ def q_corated_pair_count(spark, sf_dir):
     return P.item_pairs(prepared(spark, sf_dir)).agg(F.count("*").alias("n_pairs"))
 
 
+def q_item_pearson(spark, sf_dir):
+    """Pearson similarity of every (test item, item the test user rated) pair
+    the item-based job looks up; 0 for pairs without a co-rater."""
+    p = prepared(spark, sf_dir)
+    cand = item_candidates(p.truth, p.train)
+    return candidate_pair_similarity(
+        cand, item_similarity(p.train, "pearson"), "item", "item1", "item2", "n_corated"
+    )
+
+
 def q_item_sum_normalized(spark, sf_dir):
     return item_similarity(prepared(spark, sf_dir).train, "sum_normalized")
 
@@ -239,6 +250,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "user_genre_mean": q_user_genre_mean,
         "corated_pairs": q_corated_pairs,
         "corated_pair_count": q_corated_pair_count,
+        "item_pearson": q_item_pearson,
         "item_sum_normalized": q_item_sum_normalized,
         "user_pearson": q_user_pearson,
         "topk_items": q_topk_items,
