@@ -84,20 +84,20 @@ def selective_anchors(
     """The distinct ``col`` values of the pairs to score, when restricting the
     similarity table to pairs that touch them is worth it.
 
-    ``restrict=None`` decides by two distinct counts: restrict when the pairs
+    ``restrict=None`` decides by two approximate distinct counts (one-pass
+    HyperLogLog aggregates, no shuffle of the values): restrict when the pairs
     touch at most ``ANCHOR_SHARE`` of the training ``col`` values (a small
     scoring set against a large catalogue); otherwise every co-rated pair is
     needed anyway and the plain self-join is cheaper.
     """
     if restrict is False:
         return None
-    anchors = pairs.select(col).distinct()
     if restrict is None:
-        n_anchor = anchors.count()
-        n_all = train.select(col).distinct().count()
+        n_anchor = pairs.agg(F.approx_count_distinct(col).alias("n")).first()["n"]
+        n_all = train.agg(F.approx_count_distinct(col).alias("n")).first()["n"]
         if n_anchor > ANCHOR_SHARE * n_all:
             return None
-    return anchors
+    return pairs.select(col).distinct()
 
 
 class Result(NamedTuple):
