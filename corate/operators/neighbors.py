@@ -84,4 +84,8 @@ def top_k(scored: DataFrame, k: int, by=("user", "item")) -> DataFrame:
     test pair ships more than k rows per map task.
     """
     w = Window.partitionBy(*by).orderBy(F.col("sim").desc(), F.col("nbr").asc())
-    return scored.withColumn("nbr_rank", F.row_number().over(w)).filter(F.col("nbr_rank") <= k)
+    return (
+        scored.withColumn("nbr_rank", F.row_number().over(w))
+        .filter(F.col("nbr_rank") <= k)
+        .withColumn("nbr_rank", F.col("nbr_rank").cast("bigint"))
+    )

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from tools.check_oracle import TABLES, digest
+from tools.check_oracle import _SPARK_TO_DUCK, TABLES, digest
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="benchmark tables not present")
@@ -37,6 +37,9 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    stypes = {f.name: _SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in df.schema.fields}
+    assert stypes == {d[0]: str(d[1]) for d in res.description}
     assert len(rows) == len(orows)
     assert digest(df.columns, rows) == digest(ocols, orows)
 
