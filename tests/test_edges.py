@@ -113,3 +113,19 @@ def test_model_based_impute_unanswered(spark):
     assert got[(3, 30)] == "als"
     mr2 = P.model_based(p)
     assert {(r["user"], r["item"]) for r in mr2.predictions.collect()} == {(3, 30)}
+
+
+def test_both_cold_and_reasons(spark):
+    from corate.operators.impute import impute, unscorable_by_factors
+
+    p = _prep(spark, [(1, 1, 4.0), (1, 2, 2.0), (2, 1, 3.0), (8, 8, 5.0), (8, 1, 1.0), (1, 9, 2.0)],
+              [(8, 8), (8, 1), (1, 9)], [(1, "A"), (2, "B"), (8, "A"), (9, "B")])
+    reasons = {(r["user"], r["item"]): r["reason"] for r in unscorable_by_factors(p.truth, p.train).collect()}
+    assert reasons == {(8, 8): "cold_both", (8, 1): "cold_user", (1, 9): "cold_item"}
+    ib = {(r["user"], r["item"]): r["source"] for r in P.item_based(p).predictions.collect()}
+    assert ib[(8, 8)] == "global_mean" and ib[(1, 9)] == "user_mean"
+    cases = unscorable_by_factors(p.truth, p.train).drop("reason")
+    imp = {(r["user"], r["item"]): (r["source"], r["prediction"])
+           for r in impute(cases, p.train, p.genres, p.gmean).collect()}
+    assert imp[(8, 8)][0] == "global_mean" and imp[(8, 8)][1] == pytest.approx(3.0)
+    assert imp[(1, 9)] == ("genre_mean", 2.0)   # user 1's only 'B' item is item 2
