@@ -4,6 +4,10 @@ Reads $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS]
 (default 8) and prints ONE JSON line:
 {"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
+A tiny warm-up job runs first (class loading and code generation of the
+first Spark job, ~5 s here); its time is reported as "startup" and is not in
+the total.
+
 Timed steps (wall clock, each ends in an action):
   prepare      read + last-wins dedup + hold-out split, materialized
   item_based   Pearson item-item CF, k=10: predictions written as CSV + metrics
@@ -37,6 +41,10 @@ def main() -> None:
     times: dict[str, float] = {}
     info: dict[str, object] = {}
 
+    t0 = time.time()
+    spark.range(1000).selectExpr("sum(id)").first()
+    startup = time.time() - t0
+
     t0 = time.time()
     inp = benchmark_inputs(spark, sf_dir)
     prep = P.prepare(inp.events, inp.test, inp.genres)
@@ -76,6 +84,7 @@ def main() -> None:
         "unit": "sec",
         "queries": {k: round(v, 3) for k, v in times.items()},
         "sf": float(m_sf.group(1)) if m_sf else sf_dir,
+        "startup": round(startup, 3),
         "cpus": cpus,
         "info": info,
     }))
