@@ -35,17 +35,23 @@ def hot_groups(df: DataFrame, group: str, hot_rows: int, max_buckets: int) -> Da
 
 def attach_buckets(
     df: DataFrame, group: str, hot_rows: int, max_buckets: int,
-    max_broadcast: int = MAX_BROADCAST_GROUPS,
-) -> DataFrame:
-    """df + ``_nb`` (bucket count of the row's group, 1 if not hot).
+    max_broadcast: int | None = None,
+) -> DataFrame | None:
+    """df + ``_nb`` (bucket count of the row's group, 1 if not hot), or None
+    when no group is hot (then no salting is needed at all).
 
     The hot list is counted first and broadcast only when it has at most
     ``max_broadcast`` groups (about 16 bytes each); beyond that it is a shuffle
     join, where AQE's skew handling splits the hot groups' partitions (the
     other side has one row per group).
     """
+    limit = MAX_BROADCAST_GROUPS if max_broadcast is None else max_broadcast
     hot = hot_groups(df, group, hot_rows, max_buckets).persist()
-    side = F.broadcast(hot) if hot.count() <= max_broadcast else hot
+    n_hot = hot.count()
+    if n_hot == 0:
+        hot.unpersist()
+        return None
+    side = F.broadcast(hot) if n_hot <= limit else hot
     return df.join(side, group, "left").withColumn("_nb", F.coalesce("_nb", F.lit(1)))
 
 
@@ -72,29 +78,35 @@ def member_pairs(
         d = d.join(a, member, "left").withColumn("_anc", F.coalesce("_anc", F.lit(False)))
     else:
         d = d.withColumn("_anc", F.lit(True))
-    if hot_rows is None:
-        d = d.withColumn("_nb", F.lit(1)).withColumn("_b", F.lit(0))
+    salted = None if hot_rows is None else attach_buckets(d, group, hot_rows, max_buckets)
+    if salted is None:
+        # no hot group: a plain self-join on the group key
+        lsrc = d.filter(F.col("_anc")) if anchors is not None else d
+        left = lsrc.select(group, F.col(member).alias("_l"),
+                           *[F.col(v).alias(f"_l_{v}") for v in values])
+        right = d.select(group, F.col(member).alias("_r"), F.col("_anc").alias("_r_anc"),
+                         *[F.col(v).alias(f"_r_{v}") for v in values])
+        j = left.join(right, group)
     else:
-        d = attach_buckets(d, group, hot_rows, max_buckets)
-        d = d.withColumn("_b", F.pmod(F.xxhash64(member), F.col("_nb")).cast("int"))
-    fan = F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))
-    lsrc = d.filter(F.col("_anc")) if anchors is not None else d
-    left = lsrc.select(
-        group,
-        F.col("_b").alias("_b1"),
-        fan.alias("_b2"),
-        F.col(member).alias("_l"),
-        *[F.col(v).alias(f"_l_{v}") for v in values],
-    )
-    right = d.select(
-        group,
-        fan.alias("_b1"),
-        F.col("_b").alias("_b2"),
-        F.col(member).alias("_r"),
-        F.col("_anc").alias("_r_anc"),
-        *[F.col(v).alias(f"_r_{v}") for v in values],
-    )
-    j = left.join(right, [group, "_b1", "_b2"])
+        d = salted.withColumn("_b", F.pmod(F.xxhash64(member), F.col("_nb")).cast("int"))
+        fan = F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))
+        lsrc = d.filter(F.col("_anc")) if anchors is not None else d
+        left = lsrc.select(
+            group,
+            F.col("_b").alias("_b1"),
+            fan.alias("_b2"),
+            F.col(member).alias("_l"),
+            *[F.col(v).alias(f"_l_{v}") for v in values],
+        )
+        right = d.select(
+            group,
+            fan.alias("_b1"),
+            F.col("_b").alias("_b2"),
+            F.col(member).alias("_r"),
+            F.col("_anc").alias("_r_anc"),
+            *[F.col(v).alias(f"_r_{v}") for v in values],
+        )
+        j = left.join(right, [group, "_b1", "_b2"])
     if anchors is None:
         j = j.filter(F.col("_l") < F.col("_r"))
         return j.select(

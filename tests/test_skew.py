@@ -68,6 +68,9 @@ def test_anchored_user_sims_and_no_broadcast_path(spark):
         got = {(r[0], r[1]): r[3] for r in user_similarity(t, us, hot_rows=3, max_buckets=4, anchors=anchors).collect()}
     finally:
         skew.MAX_BROADCAST_GROUPS = old
+    # no group above the threshold: plain self-join path
+    got2 = {(r[0], r[1]): r[3] for r in user_similarity(t, us, hot_rows=10**9, anchors=anchors).collect()}
+    assert got2 == full
     assert got == full
 
 

@@ -36,7 +36,8 @@ def main(argv):
                 dur = (si.get("Completion Time", 0) - si.get("Submission Time", 0)) / 1000
                 stages[si["Stage ID"]] = (dur, si["Number of Tasks"], si["Stage Name"][:70])
             elif ev == "SparkListenerJobStart":
-                jobs[e["Job ID"]] = [e["Submission Time"], None, e.get("Stage IDs")]
+                desc = (e.get("Properties") or {}).get("spark.job.description", "")
+                jobs[e["Job ID"]] = [e["Submission Time"], None, f"{e.get('Stage IDs')} {desc}"]
             elif ev == "SparkListenerJobEnd":
                 jobs[e["Job ID"]][1] = e["Completion Time"]
     for k, (d, n, name) in sorted(stages.items()):
