@@ -14,7 +14,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corate.operators import als as als_ops
 from corate.operators.impute import impute, unscorable_by_factors
 from corate.operators.neighbors import (
     attach_similarity,
