@@ -27,7 +27,12 @@ def _try(c: str, t: str):
 
 
 def read_ratings_csv(spark: SparkSession, path: str) -> Parsed:
-    """Ratings with a file-order sequence column ``seq`` for last-wins dedup."""
+    """Ratings with a file-order sequence column ``seq`` for last-wins dedup.
+
+    ``seq`` = (file path, start of the file split, increasing id within the
+    split): a total order that follows the files' own line order whatever
+    way Spark packs the splits into partitions.
+    """
     raw = (
         spark.read.option("header", True)
         .option("mode", "PERMISSIVE")
@@ -38,7 +43,11 @@ def read_ratings_csv(spark: SparkSession, path: str) -> Parsed:
         _try("c0", "BIGINT").alias("user"),
         _try("c1", "BIGINT").alias("item"),
         _try("c2", "DOUBLE").alias("rating"),
-        F.monotonically_increasing_id().alias("seq"),
+        F.struct(
+            F.col("_metadata.file_path"),
+            F.col("_metadata.file_block_start"),
+            F.monotonically_increasing_id(),
+        ).alias("seq"),
         "c0",
         "c1",
         "c2",

@@ -56,3 +56,14 @@ def test_prediction_sink_refuses_oversized_single_file(spark, scratch):
     df = spark.createDataFrame([(1, 1, 1.0), (1, 2, 2.0)], "user BIGINT, item BIGINT, prediction DOUBLE")
     with pytest.raises(ValueError):
         write_predictions(df, os.path.join(scratch, "p2"), single_file=True, max_single_file_rows=1)
+
+
+def test_ratings_csv_last_line_wins_across_files(spark, scratch):
+    from corate.operators.split import dedup_last
+
+    d = os.path.join(scratch, "multi")
+    os.makedirs(d)
+    _write(os.path.join(d, "a.csv"), "u,i,r,t\n1,1,1.0,0\n1,1,2.0,0\n")
+    _write(os.path.join(d, "b.csv"), "u,i,r,t\n1,1,4.5,0\n2,2,3.0,0\n")
+    got = {(r["user"], r["item"]): r["rating"] for r in dedup_last(read_ratings_csv(spark, d).rows).collect()}
+    assert got == {(1, 1): 4.5, (2, 2): 3.0}
