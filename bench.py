@@ -77,6 +77,12 @@ def main() -> None:
     times["item_pairs"] = time.time() - t0
 
     total = sum(times.values())
+    # training ratings handled per second by each end-to-end job (prepare included)
+    n_ratings = int(info["n_train"]) + int(info["n_truth"])
+    info["ratings_per_sec"] = {
+        k: round(n_ratings / (times["prepare"] + times[k]))
+        for k in ("item_based", "model_based", "user_based", "item_pairs")
+    }
     m_sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "total_sec",

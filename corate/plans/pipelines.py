@@ -44,15 +44,33 @@ class Prepared(NamedTuple):
     genres: DataFrame | None
 
 
+def co_partition(df: DataFrame, key: str = "user", n: int | None = None) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` into n (default: the session's shuffle
+    partitions) and cache it. Frames laid out this way with the same n are
+    co-partitioned: joins and aggregations on ``key`` between them need no
+    exchange. Lost cache blocks are rebuilt from the frame's source (the
+    split table in the checkpoint folder)."""
+    from pyspark import StorageLevel
+
+    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, key).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def prepare(
     ratings: DataFrame,
     test: DataFrame,
     genres: DataFrame | None = None,
     order_col: str | None = "seq",
     materialize_how: str | None = "auto",
+    by_user: bool = True,
 ) -> Prepared:
     """Dedup (last event wins, when ``order_col`` is present), split, and
-    cache/checkpoint the frames that every later stage reads."""
+    cache/checkpoint the frames that every later stage reads.
+
+    ``by_user``: lay train and truth out hash-partitioned by user (one
+    shuffle each, cached), so the item co-rating self-join, the candidate join
+    (truth with train on user) and the per-user statistics read them without
+    a further exchange."""
     if order_col and order_col in ratings.columns:
         ratings = dedup_last(ratings, order_col)
     else:
@@ -68,9 +86,12 @@ def prepare(
         keys = test.select("user", "item")
     else:
         sp = holdout_split(ratings, test)
-        train = materialize(sp.train, how)
-        truth = materialize(sp.truth, how)
+        train = sp.train if by_user else materialize(sp.train, how)
+        truth = sp.truth if by_user else materialize(sp.truth, how)
         keys = sp.test
+    if by_user and how not in (None, "none"):
+        train = co_partition(train)
+        truth = co_partition(truth)
     ustats = user_stats(train)
     return Prepared(train, truth, keys, ustats, global_mean(train), genres)
 
