@@ -56,13 +56,21 @@ def co_partition(df: DataFrame, key: str = "user", n: int | None = None) -> Data
     return df.repartition(n, key).persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _has_hot_user(train: DataFrame, hot_rows: int) -> bool:
+    """Whether some user has more than ``hot_rows`` training ratings (one
+    partial aggregate; only the first offending row reaches the driver)."""
+    n = train.groupBy("user").agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows)
+    return len(n.take(1)) > 0
+
+
 def prepare(
     ratings: DataFrame,
     test: DataFrame,
     genres: DataFrame | None = None,
     order_col: str | None = "seq",
     materialize_how: str | None = "auto",
-    by_user: bool = True,
+    by_user: bool | None = None,
+    hot_rows: int | None = DEFAULT_HOT_ROWS,
 ) -> Prepared:
     """Dedup (last event wins, when ``order_col`` is present), split, and
     cache/checkpoint the frames that every later stage reads.
@@ -70,7 +78,10 @@ def prepare(
     ``by_user``: lay train and truth out hash-partitioned by user (one
     shuffle each, cached), so the item co-rating self-join, the candidate join
     (truth with train on user) and the per-user statistics read them without
-    a further exchange."""
+    a further exchange. A user's rows then sit in one partition, so with
+    ``None`` (default) the layout is used only when no user has more than
+    ``hot_rows`` training ratings; otherwise every join keeps its shuffle,
+    where AQE's skew splitting and the salted self-join spread hot users."""
     if order_col and order_col in ratings.columns:
         ratings = dedup_last(ratings, order_col)
     else:
@@ -89,6 +100,8 @@ def prepare(
         train = sp.train if by_user else materialize(sp.train, how)
         truth = sp.truth if by_user else materialize(sp.truth, how)
         keys = sp.test
+    if by_user is None:
+        by_user = hot_rows is not None and not _has_hot_user(train, hot_rows)
     if by_user and how not in (None, "none"):
         train = co_partition(train)
         truth = co_partition(truth)

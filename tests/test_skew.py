@@ -90,3 +90,20 @@ def test_restricted_item_based_equals_full(spark):
     d = {(r["user"], r["item"]): (r["prediction"], r["source"])
          for r in P.user_based(prep, pairs=few, restrict=True).predictions.collect()}
     assert c == d
+
+
+def test_hot_user_disables_user_layout_and_keeps_results(spark):
+    from corate.plans import pipelines as P
+
+    rows = [(0, i, float(i % 10 + 1) / 2) for i in range(60)]
+    rows += [(u, (u * 7 + j) % 60, float((u + j) % 10 + 1) / 2) for u in range(1, 25) for j in range(4)]
+    r = spark.createDataFrame(rows, "user BIGINT, item BIGINT, rating DOUBLE").dropDuplicates(["user", "item"])
+    t = spark.createDataFrame([(0, 3), (0, 17), (5, (5 * 7) % 60), (9, (9 * 7 + 1) % 60)], "user BIGINT, item BIGINT")
+    hot = P.prepare(r, t, order_col=None, materialize_how="persist", hot_rows=20)
+    plain = P.prepare(r, t, order_col=None, materialize_how="persist", by_user=True, hot_rows=None)
+    # the layout was skipped for the hot run: train is not a repartitioned cache
+    assert "REPARTITION_BY_NUM" not in hot.train._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plain.train._jdf.queryExecution().executedPlan().toString()
+    a = {(x["user"], x["item"]): x["prediction"] for x in P.item_based(hot, hot_rows=20).predictions.collect()}
+    b = {(x["user"], x["item"]): x["prediction"] for x in P.item_based(plain, hot_rows=None).predictions.collect()}
+    assert a == b and len(a) == 4
