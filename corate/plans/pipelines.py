@@ -56,6 +56,21 @@ def co_partition(df: DataFrame, key: str = "user", n: int | None = None) -> Data
     return df.repartition(n, key).persist(StorageLevel.MEMORY_AND_DISK)
 
 
+LAYOUT_ROWS_PER_PARTITION = 500_000
+
+
+def layout_partitions(train: DataFrame, rows_per_partition: int = LAYOUT_ROWS_PER_PARTITION) -> int:
+    """Partition count for the cached user layout: about ``rows_per_partition``
+    training rows each, at least the default parallelism, at most
+    ``spark.sql.shuffle.partitions`` (AQE cannot coalesce a cached layout, so
+    it is sized up front)."""
+    spark = train.sparkSession
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least = spark.sparkContext.defaultParallelism
+    rows = train.count()
+    return max(1, min(most, max(least, -(-rows // rows_per_partition))))
+
+
 def _has_hot_user(train: DataFrame, hot_rows: int) -> bool:
     """Whether some user has more than ``hot_rows`` training ratings (one
     partial aggregate; only the first offending row reaches the driver)."""
@@ -103,8 +118,9 @@ def prepare(
     if by_user is None:
         by_user = hot_rows is not None and not _has_hot_user(train, hot_rows)
     if by_user and how not in (None, "none"):
-        train = co_partition(train)
-        truth = co_partition(truth)
+        n = layout_partitions(train)
+        train = co_partition(train, "user", n)
+        truth = co_partition(truth, "user", n)
     ustats = user_stats(train)
     return Prepared(train, truth, keys, ustats, global_mean(train), genres)
 
