@@ -31,7 +31,7 @@ from corate.operators.predict import item_based_prediction, user_based_predictio
 from corate.operators.similarity import centred_ratings, item_similarity, user_similarity
 from corate.operators.skew import DEFAULT_HOT_ROWS
 from corate.operators.split import dedup_last, flag_holdout, holdout_split
-from corate.operators.stats import global_mean, user_genre_stats, user_stats
+from corate.operators.stats import user_genre_stats, user_stats
 from corate.session import checkpoint_dir, materialize, write_table
 
 
@@ -59,25 +59,36 @@ def co_partition(df: DataFrame, key: str = "user", n: int | None = None) -> Data
 LAYOUT_ROWS_PER_PARTITION = 500_000
 
 
-def layout_partitions(train: DataFrame, rows_per_partition: int = LAYOUT_ROWS_PER_PARTITION) -> int:
+class TrainSummary(NamedTuple):
+    rows: int
+    rating_sum: float | None
+    max_user_rows: int
+
+
+def train_summary(train: DataFrame) -> TrainSummary:
+    """Row count, rating sum and the largest per-user row count, in one job
+    (a per-user partial aggregate, then one row to the driver)."""
+    r = (
+        train.groupBy("user")
+        .agg(F.count("*").alias("n"), F.sum("rating").alias("s"))
+        .agg(F.sum("n").alias("rows"), F.sum("s").alias("total"), F.max("n").alias("top"))
+        .first()
+    )
+    return TrainSummary(int(r["rows"] or 0), r["total"], int(r["top"] or 0))
+
+
+def layout_partitions(
+    spark, rows: int, rows_per_partition: int = LAYOUT_ROWS_PER_PARTITION
+) -> int:
     """Partition count for the cached user layout: about ``rows_per_partition``
     training rows each, at least the default parallelism, at most
     ``spark.sql.shuffle.partitions`` (AQE cannot coalesce a cached layout, so
     it is sized up front)."""
-    spark = train.sparkSession
     most = int(spark.conf.get("spark.sql.shuffle.partitions"))
     least = spark.sparkContext.defaultParallelism
-    rows = train.count()
     return max(1, min(most, max(least, -(-rows // rows_per_partition))))
 
 
-def _has_hot_user(train: DataFrame, hot_rows: int) -> bool:
-    """Whether some user has more than ``hot_rows`` training ratings (one
-    partial aggregate; only the first offending row reaches the driver)."""
-    n = train.groupBy("user").agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows)
-    return len(n.take(1)) > 0
-
-
 def prepare(
     ratings: DataFrame,
     test: DataFrame,
@@ -115,14 +126,17 @@ def prepare(
         train = sp.train if by_user else materialize(sp.train, how)
         truth = sp.truth if by_user else materialize(sp.truth, how)
         keys = sp.test
+    summ = train_summary(train)
+    # mean training rating; sum/count in double, as Spark's avg computes it
+    gmean = F.lit(summ.rating_sum / summ.rows if summ.rows else None).cast("double")
     if by_user is None:
-        by_user = hot_rows is not None and not _has_hot_user(train, hot_rows)
+        by_user = hot_rows is not None and summ.max_user_rows <= hot_rows
     if by_user and how not in (None, "none"):
-        n = layout_partitions(train)
+        n = layout_partitions(train.sparkSession, summ.rows)
         train = co_partition(train, "user", n)
         truth = co_partition(truth, "user", n)
     ustats = user_stats(train)
-    return Prepared(train, truth, keys, ustats, global_mean(train), genres)
+    return Prepared(train, truth, keys, ustats, gmean, genres)
 
 
 ANCHOR_SHARE = 0.25
