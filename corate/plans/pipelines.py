@@ -123,8 +123,8 @@ def prepare(
         keys = test.select("user", "item")
     else:
         sp = holdout_split(ratings, test)
-        train = sp.train if by_user else materialize(sp.train, how)
-        truth = sp.truth if by_user else materialize(sp.truth, how)
+        train = materialize(sp.train, how)
+        truth = materialize(sp.truth, how)
         keys = sp.test
     summ = train_summary(train)
     # mean training rating; sum/count in double, as Spark's avg computes it
@@ -133,8 +133,15 @@ def prepare(
         by_user = hot_rows is not None and summ.max_user_rows <= hot_rows
     if by_user and how not in (None, "none"):
         n = layout_partitions(train.sparkSession, summ.rows)
+        plain = (train, truth)
         train = co_partition(train, "user", n)
         truth = co_partition(truth, "user", n)
+        if how == "persist":
+            # build the partitioned caches, then drop the plain ones under them
+            train.count()
+            truth.count()
+            for df in plain:
+                df.unpersist()
     ustats = user_stats(train)
     return Prepared(train, truth, keys, ustats, gmean, genres)
 
