@@ -39,15 +39,21 @@ def impute(
     genre string as the item; else the user's mean; else the global mean.
     ``item_mean``: the item's training mean; else the user's mean; else the
     global mean. Returns the input columns + prediction, source.
+
+    Only the cases' users (and, for ``item_mean``, items) are looked up, so
+    the training ratings are first cut to those users / items with a
+    semi-join; every mean is still over all of that user's (item's) ratings,
+    and the genre join runs on the cut set instead of the whole training set.
     """
     if how not in IMPUTE_MODES:
         raise ValueError(f"how must be one of {IMPUTE_MODES}")
-    us = user_stats(train).select("user", F.col("mean_rating").alias("_umean"))
+    user_train = train.join(cases.select("user").distinct(), "user", "left_semi")
+    us = user_stats(user_train).select("user", F.col("mean_rating").alias("_umean"))
     j = cases.join(us, "user", "left")
     if how == "genre":
         if genres is None:
             raise ValueError("genre imputation needs a genre table")
-        ug = user_genre_stats(train, genres).select(
+        ug = user_genre_stats(user_train, genres).select(
             "user", "genre", F.col("mean_rating").alias("_first")
         )
         j = j.join(genres.select("item", "genre"), "item", "left").join(
@@ -55,7 +61,8 @@ def impute(
         )
         first_src = "genre_mean"
     else:
-        it = item_stats(train).select("item", F.col("mean_rating").alias("_first"))
+        item_train = train.join(cases.select("item").distinct(), "item", "left_semi")
+        it = item_stats(item_train).select("item", F.col("mean_rating").alias("_first"))
         j = j.join(it, "item", "left")
         first_src = "item_mean"
     pred = F.coalesce(F.col("_first"), F.col("_umean"), global_mean)
