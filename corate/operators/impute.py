@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corate.operators.sizing import broadcast_if_small
 from corate.operators.stats import item_stats, user_genre_stats, user_stats
 
 IMPUTE_MODES = ("genre", "item_mean")
@@ -56,7 +57,7 @@ def impute(
         ug = user_genre_stats(user_train, genres).select(
             "user", "genre", F.col("mean_rating").alias("_first")
         )
-        j = j.join(genres.select("item", "genre"), "item", "left").join(
+        j = j.join(broadcast_if_small(genres.select("item", "genre")), "item", "left").join(
             ug, ["user", "genre"], "left"
         )
         first_src = "genre_mean"

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corate.operators.sizing import broadcast_if_small
+
 
 def user_stats(train: DataFrame) -> DataFrame:
     """(user, n_ratings, sum_rating, mean_rating)."""
@@ -29,11 +31,13 @@ def user_genre_stats(train: DataFrame, genres: DataFrame) -> DataFrame:
     """(user, genre, n_ratings, mean_rating): the user's mean over training
     items whose genre string is exactly ``genre``.
 
-    The genre table is as large as the item catalogue, so the join strategy is
-    left to the planner's size check rather than a forced broadcast.
+    The genre table has one row per item: it is broadcast when its row count
+    is within ``sizing.DEFAULT_BROADCAST_ROWS`` (checked), so the ratings do not
+    move and, on the user layout, the (user, genre) aggregate needs no
+    exchange; a larger catalogue is a shuffle join.
     """
     return (
-        train.join(genres, "item")
+        train.join(broadcast_if_small(genres.select("item", "genre")), "item")
         .groupBy("user", "genre")
         .agg(F.count("*").alias("n_ratings"), F.avg("rating").alias("mean_rating"))
     )

@@ -29,6 +29,7 @@ from corate.operators.neighbors import (
 )
 from corate.operators.predict import item_based_prediction, user_based_prediction
 from corate.operators.similarity import centred_ratings, item_similarity, user_similarity
+from corate.operators.sizing import broadcast_if_small
 from corate.operators.skew import DEFAULT_HOT_ROWS
 from corate.operators.split import dedup_last, flag_holdout, holdout_split
 from corate.operators.stats import user_genre_stats, user_stats
@@ -211,7 +212,7 @@ def item_based(
         ug = user_genre_stats(prep.train, prep.genres).select(
             "user", "genre", F.col("mean_rating").alias("genre_mean")
         )
-        truth = truth.join(prep.genres.select("item", "genre"), "item", "left").join(
+        truth = truth.join(broadcast_if_small(prep.genres.select("item", "genre")), "item", "left").join(
             ug, ["user", "genre"], "left"
         )
         fallbacks = [("genre_mean", "genre_mean")]
