@@ -76,15 +76,18 @@ def member_pairs(
     if anchors is not None:
         a = anchors.select(member).distinct().withColumn("_anc", F.lit(True))
         d = d.join(a, member, "left").withColumn("_anc", F.coalesce("_anc", F.lit(False)))
+        anc = F.col("_anc")
     else:
-        d = d.withColumn("_anc", F.lit(True))
+        # no column for it: both join sides then prune to the same projection
+        # and can share one exchange
+        anc = F.lit(True)
     salted = None if hot_rows is None else attach_buckets(d, group, hot_rows, max_buckets)
     if salted is None:
         # no hot group: a plain self-join on the group key
         lsrc = d.filter(F.col("_anc")) if anchors is not None else d
         left = lsrc.select(group, F.col(member).alias("_l"),
                            *[F.col(v).alias(f"_l_{v}") for v in values])
-        right = d.select(group, F.col(member).alias("_r"), F.col("_anc").alias("_r_anc"),
+        right = d.select(group, F.col(member).alias("_r"), anc.alias("_r_anc"),
                          *[F.col(v).alias(f"_r_{v}") for v in values])
         j = left.join(right, group)
     else:
@@ -103,7 +106,7 @@ def member_pairs(
             fan.alias("_b1"),
             F.col("_b").alias("_b2"),
             F.col(member).alias("_r"),
-            F.col("_anc").alias("_r_anc"),
+            anc.alias("_r_anc"),
             *[F.col(v).alias(f"_r_{v}") for v in values],
         )
         j = left.join(right, [group, "_b1", "_b2"])

@@ -43,6 +43,7 @@ class Prepared(NamedTuple):
     ustats: DataFrame
     gmean: Column
     genres: DataFrame | None
+    by_user: bool = False   # train/truth are the cached user layout
 
 
 def co_partition(df: DataFrame, key: str = "user", n: int | None = None) -> DataFrame:
@@ -144,7 +145,8 @@ def prepare(
             for df in plain:
                 df.unpersist()
     ustats = user_stats(train)
-    return Prepared(train, truth, keys, ustats, gmean, genres)
+    laid_out = bool(by_user) and how not in (None, "none")
+    return Prepared(train, truth, keys, ustats, gmean, genres, laid_out)
 
 
 ANCHOR_SHARE = 0.25
