@@ -44,6 +44,7 @@ class Prepared(NamedTuple):
     gmean: Column
     genres: DataFrame | None
     by_user: bool = False   # train/truth are the cached user layout
+    n_train: int = 0
 
 
 def co_partition(df: DataFrame, key: str = "user", n: int | None = None) -> DataFrame:
@@ -146,12 +147,35 @@ def prepare(
                 df.unpersist()
     ustats = user_stats(train)
     laid_out = bool(by_user) and how not in (None, "none")
-    return Prepared(train, truth, keys, ustats, gmean, genres, laid_out)
+    return Prepared(train, truth, keys, ustats, gmean, genres, laid_out, summ.rows)
 
 
 ANCHOR_SHARE = 0.25
 
 
+_ITEM_LAYOUTS: dict[int, tuple[DataFrame, DataFrame]] = {}
+
+
+def _centred_layout(prep: Prepared, hot_rows: int | None) -> DataFrame:
+    """Centred ratings; laid out by item and cached (once per training frame)
+    when the user layout is in use and no item is hot, so that the user
+    self-join on item and the candidate join on item need no exchange."""
+    hit = _ITEM_LAYOUTS.get(id(prep.train))
+    if hit is not None and hit[0] is prep.train:
+        return hit[1]
+    ct = centred_ratings(prep.train, prep.ustats)
+    if prep.by_user and hot_rows is not None and _max_group_rows(prep.train, "item") <= hot_rows:
+        ct = co_partition(ct, "item", layout_partitions(ct.sparkSession, prep.n_train))
+        _ITEM_LAYOUTS[id(prep.train)] = (prep.train, ct)
+    return ct
+
+
+def _max_group_rows(df: DataFrame, key: str) -> int:
+    """Largest number of rows sharing one ``key`` value (one partial aggregate)."""
+    r = df.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n").alias("m")).first()
+    return int(r["m"] or 0)
+
+
 def selective_anchors(
     pairs: DataFrame, train: DataFrame, col: str, restrict: bool | None
 ) -> DataFrame | None:
@@ -242,10 +266,10 @@ def user_based(
     ``restrict`` limits the similarity table to pairs touching the scored
     users (None: decide from their share)."""
     truth = prep.truth if pairs is None else pairs
+    ct = _centred_layout(prep, hot_rows)
     if sims is None:
         anchors = selective_anchors(truth, prep.train, "user", restrict)
-        sims = user_similarity(prep.train, prep.ustats, hot_rows, anchors=anchors)
-    ct = centred_ratings(prep.train, prep.ustats)
+        sims = user_similarity(prep.train, prep.ustats, hot_rows, anchors=anchors, centred=ct)
     cand = user_candidates(truth, ct)
     scored = attach_similarity(cand, sims, "user", "user1", "user2")
     top = top_k(scored, k)
