@@ -20,7 +20,14 @@ import time
 
 from pyspark.sql import SparkSession
 
-from corate.functions.columns import ERROR_BANDS
+from corate.constants import (
+    ALS_ITERATIONS,
+    ALS_LAMBDA,
+    ALS_RANK,
+    ERROR_BANDS,
+    ITEM_NEIGHBOURS,
+    USER_NEIGHBOURS,
+)
 from corate.plans import pipelines as P
 from corate.session import ensure_checkpoint_dir, materialize
 from corate.sources.readers import read_genres_csv, read_ratings_csv, read_test_csv
@@ -40,17 +47,19 @@ def main(argv: list[str] | None = None) -> int:
     sub = ap.add_subparsers(dest="job", required=True)
     mb = sub.add_parser("model-based")
     mb.add_argument("ratings"); mb.add_argument("genres"); mb.add_argument("test"); mb.add_argument("out")
-    mb.add_argument("--rank", type=int, default=5); mb.add_argument("--iterations", type=int, default=4)
-    mb.add_argument("--reg", type=float, default=0.01); mb.add_argument("--seed", type=int, default=42)
+    mb.add_argument("--rank", type=int, default=ALS_RANK)
+    mb.add_argument("--iterations", type=int, default=ALS_ITERATIONS)
+    mb.add_argument("--reg", type=float, default=ALS_LAMBDA)
+    mb.add_argument("--seed", type=int, default=42)
     mb.add_argument("--impute", choices=["genre", "item_mean"], default="genre")
     ib = sub.add_parser("item-based")
     ib.add_argument("ratings"); ib.add_argument("test"); ib.add_argument("out")
-    ib.add_argument("--k", type=int, default=10)
+    ib.add_argument("--k", type=int, default=ITEM_NEIGHBOURS)
     ib.add_argument("--metric", choices=["pearson", "sum_normalized"], default="pearson")
     ib.add_argument("--genres", default=None, help="genre file: fall back to the same-genre mean first")
     ub = sub.add_parser("user-based")
     ub.add_argument("ratings"); ub.add_argument("test"); ub.add_argument("out")
-    ub.add_argument("--k", type=int, default=1)
+    ub.add_argument("--k", type=int, default=USER_NEIGHBOURS)
     ub.add_argument("--loo", choices=["literal", "corrected"], default="literal")
     ip = sub.add_parser("item-pairs")
     ip.add_argument("ratings"); ip.add_argument("test"); ip.add_argument("out")

@@ -9,18 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Error bands of the evaluation report, half-open [lo, hi);
-# the last band is [4, infinity).
-ERROR_BANDS = [
-    ("band_0_1", 0.0, 1.0),
-    ("band_1_2", 1.0, 2.0),
-    ("band_2_3", 2.0, 3.0),
-    ("band_3_4", 3.0, 4.0),
-    ("band_4_up", 4.0, None),
-]
-
-# Fixed value: header of the prediction file.
-PREDICTION_HEADER = ["UserId", "MovieId", "Pred_rating"]
+from corate.constants import ERROR_BANDS, PREDICTION_HEADER  # noqa: F401  (fixed values)
 
 
 def col(c: str | Column) -> Column:

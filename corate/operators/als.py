@@ -13,6 +13,8 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corate.constants import ALS_ITERATIONS, ALS_LAMBDA, ALS_RANK
+
 INT_MAX = 2**31 - 1
 
 
@@ -56,9 +58,9 @@ def _fits_int(train: DataFrame) -> tuple[bool, bool]:
 
 def fit_als(
     train: DataFrame,
-    rank: int = 5,
-    max_iter: int = 4,
-    reg_param: float = 0.01,
+    rank: int = ALS_RANK,
+    max_iter: int = ALS_ITERATIONS,
+    reg_param: float = ALS_LAMBDA,
     seed: int = 42,
     num_blocks: int | None = None,
     checkpoint_interval: int = 10,

@@ -18,6 +18,13 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corate.constants import (
+    ALS_ITERATIONS,
+    ALS_LAMBDA,
+    ALS_RANK,
+    ITEM_NEIGHBOURS,
+    USER_NEIGHBOURS,
+)
 from corate.operators import als as als_ops
 from corate.operators.evaluate import evaluate, score
 from corate.operators.impute import impute
@@ -205,7 +212,7 @@ class Result(NamedTuple):
 
 def item_based(
     prep: Prepared,
-    k: int = 10,
+    k: int = ITEM_NEIGHBOURS,
     metric: str = "pearson",
     fallback: str = "user_mean",
     hot_rows: int | None = DEFAULT_HOT_ROWS,
@@ -250,7 +257,7 @@ def item_based(
 
 def user_based(
     prep: Prepared,
-    k: int = 1,
+    k: int = USER_NEIGHBOURS,
     loo: str = "literal",
     hot_rows: int | None = DEFAULT_HOT_ROWS,
     clamp: tuple[float, float] | None = None,
@@ -286,9 +293,9 @@ class ModelResult(NamedTuple):
 
 def model_based(
     prep: Prepared,
-    rank: int = 5,
-    max_iter: int = 4,
-    reg_param: float = 0.01,
+    rank: int = ALS_RANK,
+    max_iter: int = ALS_ITERATIONS,
+    reg_param: float = ALS_LAMBDA,
     seed: int = 42,
     impute_how: str = "genre",
     impute_unanswered: bool = False,
