@@ -3,9 +3,9 @@
 The reference is batch only. This module adds no operator: it lets the
 batch item-based / user-based predictor score (user, item) pairs that arrive
 on a stream. The similarity table is computed once from the training set and
-written to the shared checkpoint folder; every micro-batch is a
-stream-static join against it and the training table, run by
-``foreachBatch``. Each epoch writes its own output folder with overwrite, so
+materialized (written to the shared checkpoint folder when the session names
+one, cached otherwise); every micro-batch is a stream-static join against it
+and the training table, run by ``foreachBatch``. Each epoch writes its own output folder with overwrite, so
 a replayed epoch (after a failure) replaces its output instead of
 duplicating it.
 """
