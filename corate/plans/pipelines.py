@@ -58,8 +58,9 @@ def co_partition(df: DataFrame, key: str = "user", n: int | None = None) -> Data
     """Hash-partition ``df`` on ``key`` into n (default: the session's shuffle
     partitions) and cache it. Frames laid out this way with the same n are
     co-partitioned: joins and aggregations on ``key`` between them need no
-    exchange. Lost cache blocks are rebuilt from the frame's source (the
-    split table in the checkpoint folder)."""
+    exchange. Lost cache blocks are rebuilt from the frame's source: the
+    split table in the checkpoint folder, or the split's lineage when the
+    session names no such folder."""
     from pyspark import StorageLevel
 
     n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
