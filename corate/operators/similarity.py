@@ -22,11 +22,13 @@ def item_pair_moments(
     hot_rows: int | None = DEFAULT_HOT_ROWS,
     max_buckets: int = DEFAULT_MAX_BUCKETS,
     anchors: DataFrame | None = None,
+    no_hot: bool = False,
 ) -> DataFrame:
     """(item1, item2, n_corated, sx, sy, sxy, sxx, syy) over users who rated
     both items; item1 < item2; x is the rating of item1, y of item2.
-    ``anchors`` (column ``item``) limits it to pairs touching those items."""
-    p = member_pairs(train, "user", "item", ["rating"], hot_rows, max_buckets, anchors)
+    ``anchors`` (column ``item``) limits it to pairs touching those items;
+    ``no_hot``: no user is known to exceed ``hot_rows``."""
+    p = member_pairs(train, "user", "item", ["rating"], hot_rows, max_buckets, anchors, no_hot)
     x, y = F.col("rating_1"), F.col("rating_2")
     return p.groupBy(F.col("m1").alias("item1"), F.col("m2").alias("item2")).agg(
         F.count("*").alias("n_corated"),
@@ -44,9 +46,10 @@ def item_similarity(
     hot_rows: int | None = DEFAULT_HOT_ROWS,
     max_buckets: int = DEFAULT_MAX_BUCKETS,
     anchors: DataFrame | None = None,
+    no_hot: bool = False,
 ) -> DataFrame:
     """(item1, item2, n_corated, sim) for every co-rated item pair (touching
-    ``anchors``, when given).
+    ``anchors``, when given; ``no_hot`` as in ``item_pair_moments``).
 
     ``pearson``: correlation with means taken over the co-raters only.
     ``sum_normalized``: Sxy / (Sx * Sy) over the co-raters.
@@ -54,7 +57,7 @@ def item_similarity(
     """
     if metric not in ITEM_METRICS:
         raise ValueError(f"metric must be one of {ITEM_METRICS}")
-    m = item_pair_moments(train, hot_rows, max_buckets, anchors)
+    m = item_pair_moments(train, hot_rows, max_buckets, anchors, no_hot)
     if metric == "pearson":
         sim = pearson_from_moments("n_corated", "sx", "sy", "sxy", "sxx", "syy")
     else:

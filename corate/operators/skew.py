@@ -63,6 +63,7 @@ def member_pairs(
     hot_rows: int | None = DEFAULT_HOT_ROWS,
     max_buckets: int = DEFAULT_MAX_BUCKETS,
     anchors: DataFrame | None = None,
+    no_hot: bool = False,
 ) -> DataFrame:
     """Rows (group, m1, m2, <v>_1..., <v>_2...) for members m1 < m2 of a group.
 
@@ -70,7 +71,8 @@ def member_pairs(
     salting (plain self-join on ``group``). ``anchors`` (a frame with a
     ``member`` column) restricts the output to pairs with at least one member
     among the anchors; the left side of the join then holds anchor rows only,
-    so the work shrinks with the anchor set.
+    so the work shrinks with the anchor set. ``no_hot``: the caller already
+    knows that no group exceeds ``hot_rows`` (skips counting them again).
     """
     d = df.select(group, member, *values)
     if anchors is not None:
@@ -81,7 +83,7 @@ def member_pairs(
         # no column for it: both join sides then prune to the same projection
         # and can share one exchange
         anc = F.lit(True)
-    salted = None if hot_rows is None else attach_buckets(d, group, hot_rows, max_buckets)
+    salted = None if hot_rows is None or no_hot else attach_buckets(d, group, hot_rows, max_buckets)
     if salted is None:
         # no hot group: a plain self-join on the group key
         lsrc = d.filter(F.col("_anc")) if anchors is not None else d

@@ -52,6 +52,7 @@ class Prepared(NamedTuple):
     genres: DataFrame | None
     by_user: bool = False   # train/truth are the cached user layout
     n_train: int = 0
+    max_user_rows: int = -1  # largest per-user training count (-1: unknown)
 
 
 def co_partition(df: DataFrame, key: str = "user", n: int | None = None) -> DataFrame:
@@ -155,12 +156,19 @@ def prepare(
                 df.unpersist()
     ustats = user_stats(train)
     laid_out = bool(by_user) and how not in (None, "none")
-    return Prepared(train, truth, keys, ustats, gmean, genres, laid_out, summ.rows)
+    return Prepared(
+        train, truth, keys, ustats, gmean, genres, laid_out, summ.rows, summ.max_user_rows
+    )
 
 
 ANCHOR_SHARE = 0.25
 
 
+def _no_hot_user(prep: Prepared, hot_rows: int | None) -> bool:
+    """Whether the split's summary already shows no user above ``hot_rows``."""
+    return hot_rows is not None and 0 <= prep.max_user_rows <= hot_rows
+
+
 _ITEM_LAYOUTS: dict[int, tuple[DataFrame, DataFrame]] = {}
 
 
@@ -235,7 +243,8 @@ def item_based(
     truth = prep.truth if pairs is None else pairs
     if sims is None:
         anchors = selective_anchors(truth, prep.train, "item", restrict)
-        sims = item_similarity(prep.train, metric, hot_rows, anchors=anchors)
+        sims = item_similarity(prep.train, metric, hot_rows, anchors=anchors,
+                               no_hot=_no_hot_user(prep, hot_rows))
     cand = item_candidates(truth, prep.train)
     scored = attach_similarity(cand, sims, "item", "item1", "item2")
     top = top_k(scored, k)
@@ -327,4 +336,4 @@ def model_based(
 
 def item_pairs(prep: Prepared, metric: str = "pearson", hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
     """Every co-rated item pair of the training set with its similarity."""
-    return item_similarity(prep.train, metric, hot_rows)
+    return item_similarity(prep.train, metric, hot_rows, no_hot=_no_hot_user(prep, hot_rows))
