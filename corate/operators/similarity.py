@@ -80,15 +80,17 @@ def user_similarity(
     max_buckets: int = DEFAULT_MAX_BUCKETS,
     anchors: DataFrame | None = None,
     centred: DataFrame | None = None,
+    no_hot: bool = False,
 ) -> DataFrame:
     """(user1, user2, n_common, sim): Pearson over the items both rated, with
     each user's deviation taken from that user's overall training mean.
     ``anchors`` (column ``user``) limits it to pairs touching those users;
-    ``centred`` reuses a ``centred_ratings`` frame (e.g. laid out by item)."""
+    ``centred`` reuses a ``centred_ratings`` frame (e.g. laid out by item);
+    ``no_hot``: no item is known to exceed ``hot_rows`` raters."""
     if centred is None:
         centred = centred_ratings(train, ustats)
     c = centred.select("item", "user", "dev")
-    p = member_pairs(c, "item", "user", ["dev"], hot_rows, max_buckets, anchors)
+    p = member_pairs(c, "item", "user", ["dev"], hot_rows, max_buckets, anchors, no_hot)
     a, b = F.col("dev_1"), F.col("dev_2")
     m = p.groupBy(F.col("m1").alias("user1"), F.col("m2").alias("user2")).agg(
         F.count("*").alias("n_common"),

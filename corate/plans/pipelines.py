@@ -169,21 +169,25 @@ def _no_hot_user(prep: Prepared, hot_rows: int | None) -> bool:
     return hot_rows is not None and 0 <= prep.max_user_rows <= hot_rows
 
 
-_ITEM_LAYOUTS: dict[int, tuple[DataFrame, DataFrame]] = {}
+_ITEM_LAYOUTS: dict[int, tuple[DataFrame, DataFrame, int]] = {}
 
 
-def _centred_layout(prep: Prepared, hot_rows: int | None) -> DataFrame:
-    """Centred ratings; laid out by item and cached (once per training frame)
-    when the user layout is in use and no item is hot, so that the user
-    self-join on item and the candidate join on item need no exchange."""
+def _centred_layout(prep: Prepared, hot_rows: int | None) -> tuple[DataFrame, bool]:
+    """(centred ratings, no item above ``hot_rows``). The centred ratings are
+    laid out by item and cached (once per training frame) when the user
+    layout is in use and no item is hot, so that the user self-join on item
+    and the candidate join on item need no exchange."""
     hit = _ITEM_LAYOUTS.get(id(prep.train))
     if hit is not None and hit[0] is prep.train:
-        return hit[1]
+        return hit[1], hot_rows is not None and hit[2] <= hot_rows
     ct = centred_ratings(prep.train, prep.ustats)
-    if prep.by_user and hot_rows is not None and _max_group_rows(prep.train, "item") <= hot_rows:
+    if not prep.by_user or hot_rows is None:
+        return ct, False
+    top = _max_group_rows(prep.train, "item")
+    if top <= hot_rows:
         ct = co_partition(ct, "item", layout_partitions(ct.sparkSession, prep.n_train))
-        _ITEM_LAYOUTS[id(prep.train)] = (prep.train, ct)
-    return ct
+        _ITEM_LAYOUTS[id(prep.train)] = (prep.train, ct, top)
+    return ct, top <= hot_rows
 
 
 def _max_group_rows(df: DataFrame, key: str) -> int:
@@ -283,10 +287,11 @@ def user_based(
     ``restrict`` limits the similarity table to pairs touching the scored
     users (None: decide from their share)."""
     truth = prep.truth if pairs is None else pairs
-    ct = _centred_layout(prep, hot_rows)
+    ct, no_hot_item = _centred_layout(prep, hot_rows)
     if sims is None:
         anchors = selective_anchors(truth, prep.train, "user", restrict)
-        sims = user_similarity(prep.train, prep.ustats, hot_rows, anchors=anchors, centred=ct)
+        sims = user_similarity(prep.train, prep.ustats, hot_rows, anchors=anchors, centred=ct,
+                               no_hot=no_hot_item)
     cand = user_candidates(truth, ct)
     scored = attach_similarity(cand, sims, "user", "user1", "user2")
     top = top_k(scored, k)
