@@ -208,6 +208,8 @@ _MODEL_CACHE: dict[tuple, P.ModelResult] = {}
 
 
 def _model(spark, sf_dir) -> P.ModelResult:
+    """The model-based job for ``sf_dir``, fitted once per session and shared
+    by the ALS-backed queries (coverage, predictions, imputed rows, metrics)."""
     key = (_session_key(spark), sf_dir.rstrip("/"))
     if key not in _MODEL_CACHE:
         _MODEL_CACHE[key] = P.model_based(prepared(spark, sf_dir))
