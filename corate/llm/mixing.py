@@ -18,9 +18,6 @@ from pyspark.sql import functions as F
 
 from .common import SPACE_CLASS, internal, saved
 
-#: Documents per slice of the seeded order; the running sum inside a slice is one task's work.
-SLICE_ROWS = 20_000
-
 
 def word_count(text: Column) -> Column:
     """Number of words of a text; null has none."""
@@ -66,7 +63,7 @@ def unit(seed: int, *columns: Column) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
-def source_rates(docs: DataFrame, cap: float, weights: tuple[int, ...], seed: int, slice_rows: int) -> DataFrame:
+def source_rates(docs: DataFrame, cap: float, weights: tuple[int, ...], seed: int) -> DataFrame:
     """One row per source: (source, source_size, target, whole, last).
 
     Every document of the source is taken ``whole`` times; those whose
@@ -82,7 +79,7 @@ def source_rates(docs: DataFrame, cap: float, weights: tuple[int, ...], seed: in
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     goal = saved(
         goal.alias("g").join(per.alias("p"), F.col("g.source").eqNullSafe(F.col("p.source")))
-        .select("g.source", "g.source_size", "g.target", F.ceil(F.col("p.rows") / F.lit(slice_rows)).alias("slices"))
+        .select("g.source", "g.source_size", "g.target", F.ceil(F.sqrt("p.rows")).alias("slices"))
         .withColumn("whole", F.floor(rate)).withColumn("rest", (rate - F.floor(rate)) * F.col("source_size")),
         "mix-goals",
     )
@@ -105,8 +102,7 @@ def _small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def mix(docs: DataFrame, cap: float = 3.0, weights: tuple[int, ...] = (1, 2, 3), seed: int = 10,
-        slice_rows: int = SLICE_ROWS) -> DataFrame:
+def mix(docs: DataFrame, cap: float = 3.0, weights: tuple[int, ...] = (1, 2, 3), seed: int = 10) -> DataFrame:
     """``docs`` with (size, source_size, target, copies): how often each row is taken.
 
     Needs columns doc_id, source, text; all others are carried along, and the
@@ -117,11 +113,12 @@ def mix(docs: DataFrame, cap: float = 3.0, weights: tuple[int, ...] = (1, 2, 3),
     target by at most half the words of one document (with its repeated rows).
 
     The documents themselves are not shuffled: (source, seeded number, doc_id,
-    size) rows are, cut into slices of about ``slice_rows`` of the seeded
-    order, so that no source meets in one task. The per-source result is
-    broadcast if it has few rows and joined otherwise.
+    size) rows are. The seeded order of a source of n rows is cut into sqrt(n)
+    slices, running sums are taken inside each slice and over the slices'
+    totals, so no source meets in one task. The per-source result is broadcast
+    if it has few rows and joined otherwise.
     """
-    rates = saved(source_rates(docs, cap, weights, seed, slice_rows), "mix-rates")
+    rates = saved(source_rates(docs, cap, weights, seed), "mix-rates")
     names = {n: internal(docs, n) for n in ("size", "source_size", "target", "copies")}
     size, u = word_count(F.col("text")), unit(seed, F.col("doc_id"), F.col("text"))
     right = rates.select(*[F.col(c).alias(f"__mix_{c}") for c in rates.columns])

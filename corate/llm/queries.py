@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality_rules, simhash, token_store
+from . import decontaminate, grade_model, lm_score, mixing, quality_rules, simhash, token_counts, token_store
 from .common import documents, pick
 
 TOKENIZERS = "/opt/tokenizers"
@@ -20,6 +20,20 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs, shingle=4, max_bits=4)
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, greedy word pieces and unknown words of every document."""
+    docs = pick(documents(spark, sf_dir), doc_id="bigint", text="string")
+    automaton = token_counts.Automaton(*token_counts.sentencepiece_vocabulary(f"{TOKENIZERS}/piece_bpe_32k.model"))
+    return token_counts.count_tokens(docs, automaton).select("doc_id", "n_words", "n_tokens", "n_unknown")
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade, tail probability and selection of every document, learnt from ``labels``."""
+    docs = pick(documents(spark, sf_dir), doc_id="bigint", text="string")
+    model = grade_model.fit(docs, grade_model.graded(spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return grade_model.score(docs, model).select("doc_id", "expected_grade", "p_top", "kept")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures, base rules and adaptive verdict of every document."""
     docs = pick(documents(spark, sf_dir), doc_id="bigint", text="string", lang="string", source="string")
@@ -27,6 +41,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-log-likelihood of every document under a network trained on all of them."""
+    docs = pick(documents(spark, sf_dir), doc_id="bigint", text="string")
+    vocabulary, network = lm_score.fit(docs)
+    return lm_score.score(docs, vocabulary, network).select("doc_id", "n_tokens", "log_prob", "mean_log_prob")
+
+
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded into binary shards and read back through their hash indexes."""
     docs = pick(documents(spark, sf_dir), doc_id="bigint", text="string")
@@ -51,5 +72,5 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op1_simhash_dedup, op4_quality_rules, op6_token_store, op9_decontaminate, op10_source_mix,
+        op1_simhash_dedup, op2_token_counts, op3_quality_classifier, op4_quality_rules, op5_lm_score, op6_token_store, op9_decontaminate, op10_source_mix,
     )}
