@@ -79,7 +79,7 @@ class OrdinalModel:
         self.weights = np.zeros(buckets, dtype=np.float32)
         self.thresholds = np.linspace(-1, 1, grades - 1) if grades > 2 else np.zeros(grades - 1)
 
-    def fit(self, rows: list[np.ndarray], grades: list[int], epochs: int = 8, alpha: float = 0.2, l1: float = 1.0, l2: float = 1.0, seed: int = 3) -> OrdinalModel:
+    def fit(self, rows: list[np.ndarray], grades: list[int], epochs: int = 8, alpha: float = 0.5, l1: float = 8.0, l2: float = 1.0, seed: int = 3) -> OrdinalModel:
         z, n = np.zeros(len(self.weights)), np.zeros(len(self.weights))
         order = np.random.default_rng(seed)
         theta, gsum = self.thresholds, np.full(len(self.thresholds), 1.0)
