@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, grade_model, lm_score, mixing, quality_rules, simhash, token_counts, token_store
+from . import decontaminate, grade_model, line_dedup, lm_score, mixing, pii, quality_rules, simhash, token_counts, token_store
 from .common import documents, pick
 
 TOKENIZERS = "/opt/tokenizers"
@@ -54,6 +54,19 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store_digest(docs, f"{TOKENIZERS}/word_bpe_49k.json")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts and digest of the base spans, all spans."""
+    found = pii.detect(pick(documents(spark, sf_dir), doc_id="bigint", text="string"))
+    count = {k: F.size(pii.of_kind(F.col("base"), k)).cast("bigint").alias(f"n_{k}") for k in pii.BASE}
+    return found.select("doc_id", *count.values(), F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, those that repeat or nearly repeat (1 edit) an earlier line, and their matches."""
+    docs = pick(documents(spark, sf_dir), doc_id="bigint", text="string")
+    return line_dedup.deduplicate_lines(docs, edits=1, text=False)
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words and items found in every document (13-word windows)."""
     docs = pick(documents(spark, sf_dir), doc_id="bigint", text="string")
@@ -72,5 +85,5 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op1_simhash_dedup, op2_token_counts, op3_quality_classifier, op4_quality_rules, op5_lm_score, op6_token_store, op9_decontaminate, op10_source_mix,
+        op1_simhash_dedup, op2_token_counts, op3_quality_classifier, op4_quality_rules, op5_lm_score, op6_token_store, op7_pii, op8_line_dedup, op9_decontaminate, op10_source_mix,
     )}
