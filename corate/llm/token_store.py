@@ -23,6 +23,8 @@ can be in any folder that Spark reaches, and a repeated task leaves one copy.
 
 from __future__ import annotations
 
+import json
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -34,43 +36,145 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import saved, shared_path, text_bytes
+from .common import saved, shared_path, worker_cache
 
 END_ID = 1
 #: Text bytes per shard; a task holds one shard in memory.
-SHARD_BYTES = 16 << 20
-#: Distinct words a task keeps encoded before it starts afresh.
-CACHE_WORDS = 400_000
+SHARD_BYTES = 8 << 20
+#: Distinct words that a worker keeps encoded, and text bytes it splits at a time.
+CACHE_WORDS, CHUNK = 200_000, 1 << 20
 GAMMA = 2.0
 _MAGIC, _HEADER = b"IDSHARD1", "<8sIIIIIIQ"
 _HEADER_BYTES = 64
 
 
 class WordEncoder:
-    """Texts to id bytes, each distinct white-space separated word encoded once.
-
-    Splitting at ASCII white space first changes nothing for tokenizers whose
-    pieces never span white space (checked against the tokenizer in the tests).
+    """Texts to id bytes, each distinct word encoded once.
+
+    Two properties of the tokenizer are used if it has them, found by probes:
+    white space separates and is dropped (words can be encoded alone), and
+    ASCII punctuation after an ASCII letter or digit is a piece of its own,
+    letters' case aside (``The,`` is ``the`` and ``,``). Otherwise whole texts
+    or whole words are encoded. Encoded words are kept by the worker process
+    for its later tasks, up to about ``words`` of them.
     """
 
+    ENDS = b".,;:!?$%&*#|"
+    #: Stands between pieces that are encoded in one call.
+    MARK = "\x01"
+
     def __init__(self, tokenizer_json: str, words: int = CACHE_WORDS):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.width = 2 if max(self.tokenizer.get_vocab(with_added_tokens=True).values()) < 1 << 16 else 4
-        self.limit, self.cache = words, {}
-
-    def __call__(self, text: bytes) -> bytes:
-        words, cache = text.split(), self.cache
-        new = [w for w in set(words) if w not in cache]
-        if len(cache) + len(new) > self.limit:
-            cache.clear()
-            new = list(set(words))
-        for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            cache.update(zip(part, (np.array(e.ids, dtype=f"<u{self.width}").tobytes() for e in found)))
-        return b"".join(map(cache.__getitem__, words))
+        caches = worker_cache(f"token ids {zlib.crc32(tokenizer_json.encode())}")
+        self.limit, self.words = words, caches.setdefault("words", {})
+        ids = lambda *parts: [i for p in parts for i in self._encode([p])[0]]
+        ends = self.ENDS.decode()
+        self.by_word = ids("ab cd\n\tef,") == ids("ab", "cd", "ef,") and ids(" ") == []
+        self.by_piece = self.by_word and ids("ABc") == ids("abc") and all(
+            ids(f"{w}{e}{f}") == ids(w, e + f) for w in ("abc", "ab7", "\u00e9l") for e in ends for f in ("", *ends))
+        mark = ids(self.MARK)
+        self.mark = mark[0] if len(mark) == 1 and self.by_word and ids(f"a {self.MARK} b") == ids("a", self.MARK, "b") else None
+        specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # texts that may hold a special token, whose case matters, or the mark: their words are encoded alone
+        self.alone = sorted({x[:2].encode() for x in specials if x} | {self.MARK.encode()})
+        # tokens that end a word, if the vocabulary marks them
+        suffix = json.loads(tokenizer_json)["model"].get("end_of_word_suffix")
+        self.ends = None
+        if suffix and self.by_piece:
+            self.ends = np.zeros(1 << 16 if self.width == 2 else 1 + max(self.tokenizer.get_vocab().values()), dtype=bool)
+            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _bytes(self, ids) -> bytes:
+        return np.asarray(ids, dtype=f"<u{self.width}").tobytes()
+
+    def _joined(self, pieces: list[bytes], into: dict[bytes, bytes], between: str, last_of_word: bool) -> list[bytes]:
+        """Pieces encoded in one call and cut apart again; those left over if the cuts don't fit."""
+        left: list[bytes] = []
+        w = self.width
+        groups = [pieces[at:at + 1000] for at in range(0, len(pieces), 1000)]
+        for group in groups:  # a call each: encodings are large objects
+            ids = np.array(self._encode([between.join([p.decode() for p in group])])[0], dtype=f"<u{w}")
+            at = np.nonzero(self.ends[ids] if last_of_word else ids == self.mark)[0]
+            starts, stops = ([0, *(at[:-1] + 1)], at + 1) if last_of_word else ([0, *(at + 1)], [*at, len(ids)])
+            if len(stops) != len(group) or last_of_word and (not len(at) or at[-1] + 1 != len(ids)):
+                left += group
+                continue
+            data = ids.tobytes()
+            into.update(zip(group, [data[a * w:b * w] for a, b in zip(map(int, starts), map(int, stops))]))
+        return left
+
+    def _learn(self, new: list[bytes], into: dict[bytes, bytes]) -> None:
+        """Encode ``new`` pieces, many in one call where the tokenizer allows."""
+        if self.ends is not None:
+            # letters only are one word of the vocabulary, so its word-end tokens separate them
+            letters = [p for p in new if p.decode().isalpha()]
+            rest = set(new).difference(letters)
+            new = [*rest, *self._joined(letters, into, " ", True)]
+        if self.mark is not None:
+            new = self._joined(new, into, f" {self.MARK} ", False)
+        for at in range(0, len(new), 1000):
+            part = new[at:at + 1000]
+            into.update(zip(part, map(self._bytes, self._encode([p.decode() for p in part]))))
+
+    def _one_by_one(self, words: list[bytes]) -> bytes:
+        distinct = list(set(words))
+        found = dict(zip(distinct, map(self._bytes, self._encode([w.decode() for w in distinct]))))
+        return b"".join(map(found.__getitem__, words))
+
+    def _meet(self, new: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that are not in the cache; they are put there while it has room."""
+        cache, found = self.words, {}
+        wanted, pairs = new, []
+        if self.by_piece:
+            wanted = set()
+            for w in new:
+                core = w.rstrip(self.ENDS)
+                if len(core) == len(w) or not core[-1:].isalnum():
+                    wanted.add(w)
+                else:
+                    pairs.append((w, core, w[len(core):]))
+            wanted.update(p for _, *parts in pairs for p in parts if p not in cache)
+        self._learn(list(wanted), found)
+        for w, core, end in pairs:
+            found[w] = (found[core] if core in found else cache[core]) + (found[end] if end in found else cache[end])
+        if len(cache) < self.limit:  # a full cache is left as it is: what was met first holds the common words
+            cache.update(found)
+        return found
+
+    def __call__(self, column: pa.Array) -> list[bytes]:
+        """The id bytes of each text; null reads as empty."""
+        texts = [t or b"" for t in column.cast(pa.binary()).to_pylist()]
+        if not self.by_word:
+            return [self._bytes(self._encode([t.decode()])[0]) for t in texts]
+        out, at = [], 0
+        while at < len(texts):
+            to, size = at, 0
+            while to < len(texts) and size < CHUNK:
+                size += len(texts[to])
+                to += 1
+            # one look-up a word; what is missing in the chunk is encoded together
+            get, part, new = self.words.get, [], set()
+            for text in texts[at:to]:
+                if any(x in text for x in self.alone):
+                    part.append(([], [self._one_by_one(text.split())]))
+                    continue
+                words = (text.lower() if self.by_piece else text).split()
+                ids = list(map(get, words))
+                if None in ids:
+                    new.update([w for w, i in zip(words, ids) if i is None])
+                part.append((words, ids))
+            found = self._meet(new)
+            for words, ids in part:
+                out.append(b"".join([found[w] if i is None else i for w, i in zip(words, ids)] if None in ids else ids))
+            at = to
+        return out
 
 
 def _mix(keys: np.ndarray, seed: int) -> np.ndarray:
@@ -203,7 +307,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_json: str, end_id: int = E
             encode = encode or WordEncoder(shared.value)
             end = np.array([end_id], dtype=f"<u{encode.width}").tobytes()
             keys += batch.column(0).to_pylist()
-            ids += [encode(t) + end for t in text_bytes(batch.column(1))]
+            ids += [x + end for x in encode(batch.column(1))]
         if keys:
             data = pack_shard(TaskContext.get().partitionId(), keys, ids, encode.width)
             yield pa.RecordBatch.from_arrays([pa.array([data], type=pa.binary())], ["data"])
