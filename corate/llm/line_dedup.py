@@ -12,14 +12,16 @@ bit-parallel edit distance. (Li et al., "Pass-Join", 2011; Hyyrö, 2003.)
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import internal, saved
+from .common import internal, saved, text_bytes
 from .graph import components
 
 EDITS = 1
@@ -104,60 +106,87 @@ def within(a: str, b: str, most: int) -> int | None:
     return score if score <= most else None
 
 
-def _parity(line: str) -> int:
-    """Bit per letter class: whether it occurs an odd number of times. An edit flips two at most."""
-    out = 0
-    for c in line:
-        out ^= 1 << (ord(c) * 2654435761 >> 12 & 63)
-    return out - (1 << 64) if out >> 63 else out
+def _parities(lines: list[str]) -> np.ndarray:
+    """Bit per letter class: whether a line has it an odd number of times. An edit flips two at most."""
+    points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+    which = np.repeat(np.arange(len(lines)) * 64, [len(x) for x in lines])
+    odd = np.bincount(which + ((points * 2654435761 >> 12) & 63), minlength=64 * len(lines)) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
-def _keys(lines: DataFrame, edits: int, looked_up: bool) -> DataFrame:
-    """(key, id, size, parity) of the segments of each line, or of the substrings it looks up."""
-    kind = {k: pa.int64() for k in ("key", "size", "parity")}
+def _keys(docs: DataFrame, edits: int, min_chars: int, looked_up: bool) -> DataFrame:
+    """(key, id, parity) of the segments of each line, or of the substrings it looks up.
 
+    A line that several documents of a batch have comes out once. Lines
+    shorter than ``min_chars`` are left out.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plans: dict[int, list[tuple[int, int, int, int]]] = {}
-        digest = xxhash.xxh64_intdigest
+        digest, md5 = xxhash.xxh64_intdigest, hashlib.md5
+
+        def out(lines: list[bytes]) -> pa.RecordBatch:
+            texts = [x.decode() for x in lines]
+            long = [k for k, x in enumerate(texts) if len(x) >= min_chars]
+            texts = [texts[k] for k in long]
+            ids = [md5(lines[k]).digest() for k in long]
+            parity = _parities(texts)
+            keys, rows = [], []
+            for k, line in enumerate(texts):
+                n = len(line)
+                plan = plans.get(n)
+                if plan is None:
+                    plan = list(probes(n, edits)) if looked_up else [(n, i, a, z) for i, (a, z) in enumerate(segments(n, edits))]
+                    if len(plans) < 20_000:
+                        plans[n] = plan
+                keys += [digest(line[a:a + z].encode(), size * 64 + i) for size, i, a, z in plan]
+                rows += [k] * len(plan)
+            taken = pa.array(rows, pa.int32())
+            return pa.RecordBatch.from_arrays([
+                pa.array(np.array(keys, dtype=np.uint64).view(np.int64)), pa.array(ids, pa.binary()).take(taken), pa.array(parity, pa.int64()).take(taken),
+            ], ["key", "id", "parity"])
+
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                keys, ids, sizes, parities = [], [], [], []
-                for ident, line in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    n = len(line)
-                    plan = plans.get(n)
-                    if plan is None:
-                        plan = list(probes(n, edits)) if looked_up else [(n, i, a, k) for i, (a, k) in enumerate(segments(n, edits))]
-                        if len(plans) < 100_000:
-                            plans[n] = plan
-                    parity = _parity(line)
-                    for size, i, start, k in plan:
-                        h = digest(line[start:start + k].encode(), size * 64 + i)
-                        keys.append(h - (1 << 64) if h >> 63 else h)
-                        ids.append(ident)
-                        sizes.append(n)
-                        parities.append(parity)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, kind["key"]), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(parities, pa.int64())],
-                    ["key", "id", "size", "parity"])
-
-    return lines.select("id", "line").mapInArrow(run, "key bigint, id binary, size bigint, parity bigint")
-
-
-def match_lines(lines: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(a, b): ids of all pairs of distinct ``lines`` (id, line) that are at most ``edits`` apart."""
-    long = lines.where(F.length("line") >= max(min_chars, edits + 1))
-    index = _keys(long, edits, False).toDF("key", "a", "na", "pa")
-    look = _keys(long, edits, True).toDF("pkey", "b", "nb", "pb")
-    pairs = look.join(index, (F.col("key") == F.col("pkey")) & (F.col("a") != F.col("b"))
-                      & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))))
-                      & (F.col("nb") - F.col("na") <= edits)
-                      & (F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 2 * edits))
-    pairs = saved(pairs.select("a", "b").distinct(), "line-pairs")
+            seen: set[bytes] = set()
+            lines: list[bytes] = []
+            size = 0
+            for text in text_bytes(batch.column(0)):
+                for line in text.split(b"\n"):
+                    if len(line) >= min_chars and line not in seen and line.strip():
+                        seen.add(line)
+                        lines.append(line)
+                        size += len(line)
+                if size > 1 << 21:
+                    yield out(lines)
+                    lines, size = [], 0
+            if lines:
+                yield out(lines)
+
+    return docs.select("text").mapInArrow(run, "key bigint, id binary, parity bigint")
+
+
+def match_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+    """(a, b): ids (MD5) of all pairs of different lines of ``docs`` that are at most ``edits`` apart, a < b.
+
+    A line that many tasks have is one row per task in the exchange by key, and
+    one per key after it. The adaptive planner splits a hot key of the join.
+    """
+    least = max(min_chars, edits + 1)
+
+    def once(keys: DataFrame, key: str, ident: str, parity: str) -> DataFrame:
+        keys = keys.toDF(key, ident, parity)
+        return keys.groupBy(key, ident, parity).agg(F.lit(1).alias("one")).drop("one")
+
+    index = once(_keys(docs, edits, least, False), "key", "x", "px")
+    look = once(_keys(docs, edits, least, True), "pkey", "y", "py")
+    pairs = look.join(index, (F.col("key") == F.col("pkey")) & (F.col("x") != F.col("y"))
+                      & (F.bit_count(F.col("px").bitwiseXOR(F.col("py"))) <= 2 * edits))
+    pairs = saved(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "line-pairs")
     wanted = saved(pairs.select(F.explode(F.array("a", "b")).alias("want")).distinct(), "line-wanted")
     # only the texts of candidates move; their ids are broadcast if few by count
     some = wanted.count() <= FEW
-    texts = saved(lines.join(F.broadcast(wanted) if some else wanted, F.col("id") == F.col("want"), "left_semi"), "line-texts")
+    lines = _lines(docs).select(F.unhex(F.md5("line")).alias("id"), "line")
+    texts = lines.join(F.broadcast(wanted) if some else wanted, F.col("id") == F.col("want"), "left_semi")
+    texts = saved(texts.distinct(), "line-texts")
     both = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +200,7 @@ def match_lines(lines: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
 def _lines(docs: DataFrame, *columns: str) -> DataFrame:
     """One row per line that has more than white space."""
     out = docs.select(*columns, F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("no", "line"))
-    return out.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    return out.where(F.translate("line", " \t\x0b\x0c\r", "") != "")
 
 
 def duplicate_lines(docs: DataFrame, uid: str, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -182,8 +211,7 @@ def duplicate_lines(docs: DataFrame, uid: str, edits: int = EDITS, min_chars: in
     ``links``: other distinct lines that match the line.
     """
     ident = F.unhex(F.md5("line"))
-    lines = saved(_lines(docs).select("line").distinct().select(ident.alias("id"), "line"), "lines")
-    links = saved(match_lines(lines, edits, min_chars), "line-links")
+    links = saved(match_lines(docs, edits, min_chars), "line-links")
     roots = saved(components(links), "line-roots")
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
     known = saved(roots.join(degree, "node"), "line-known")
