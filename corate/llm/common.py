@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark import Broadcast, cloudpickle
@@ -77,3 +79,9 @@ def schema_of(df: DataFrame, **more: str) -> T.StructType:
 def shipped(spark: SparkSession, value: object) -> Broadcast:
     """A broadcast of ``value`` with the code it needs; ``pickle.loads(b.value)`` opens it in a task."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def worker_cache(name: str) -> dict:
+    """A dict that lives as long as the Python worker process, shared by its tasks."""
+    home = sys.modules.setdefault("corate_worker_caches", ModuleType("corate_worker_caches"))
+    return home.__dict__.setdefault(name, {})

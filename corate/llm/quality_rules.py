@@ -26,10 +26,10 @@ MAX_REPEAT_PERCENT, MIN_WORDS = 20, 10
 
 #: measure -> (per-mille of what, least value of any group's threshold)
 MEASURES = {
-    "symbols": ("1000 * n_symbols div n_words", 50),
-    "dup_lines": ("1000 * n_dup_lines div n_lines", 400),
-    "repeats": ("1000 * n_repeat_words div n_words", 200),
-    "word_length": ("1000 * word_chars div n_words", 9000),
+    "symbols": ("1000 * n_symbols div nullif(n_words, 0)", 50),
+    "dup_lines": ("1000 * n_dup_lines div nullif(n_lines, 0)", 400),
+    "repeats": ("1000 * n_repeat_words div nullif(n_words, 0)", 200),
+    "word_length": ("1000 * word_chars div nullif(n_words, 0)", 9000),
 }
 #: Fence: upper quartile plus FENCE times the distance from the median to it (at least one bucket).
 QUANTILES, FENCE = (0.5, 0.75), 6
