@@ -39,7 +39,19 @@ def _report(metrics_row, seconds: float) -> None:
         label = f">={lo:g} and <{hi:g}" if hi is not None else f">={lo:g}"
         print(f"{label}: {metrics_row[name]}")
     print(f"RMSE = {metrics_row['rmse']}")
-    print(f"The total execution time taken is {seconds} secs")
+    print(f"seconds: {seconds}")
+
+
+def _rejected(rejects: dict, out: str) -> int:
+    """Write each file's rejected rows to ``out/rejects/<file>`` and print their counts."""
+    total = 0
+    for name, rows in rejects.items():
+        path = f"{out}/rejects/{name}"
+        rows.write.mode("overwrite").json(path)
+        n = rows.sparkSession.read.schema(rows.schema).json(path).count()
+        print(f"rejected rows of {name}: {n}")
+        total += n
+    return total
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -65,7 +77,8 @@ def main(argv: list[str] | None = None) -> int:
     ip.add_argument("ratings"); ip.add_argument("test"); ip.add_argument("out")
     for p in (mb, ib, ub, ip):
         p.add_argument("--master", default=None)
-        p.add_argument("--single-file", action="store_true", help="one sorted CSV file (checked size)")
+        p.add_argument("--single-file", action="store_true", help="one sorted CSV file, written by one task")
+        p.add_argument("--on-bad-row", choices=("report", "fail"), default="report", help="rejected input rows: go on without them, or stop")
     a = ap.parse_args(argv)
 
     b = SparkSession.builder.appName(f"corate-{a.job}")
@@ -75,18 +88,23 @@ def main(argv: list[str] | None = None) -> int:
     if spark.sparkContext.master.startswith("local"):
         ensure_checkpoint_dir(spark)
     t0 = time.time()
-    ratings = read_ratings_csv(spark, a.ratings).rows
-    test = read_test_csv(spark, a.test).rows
     genres_path = getattr(a, "genres", None)
-    genres = read_genres_csv(spark, genres_path).rows if genres_path else None
+    read = {"ratings": read_ratings_csv(spark, a.ratings), "test": read_test_csv(spark, a.test)}
+    if genres_path:
+        read["genres"] = read_genres_csv(spark, genres_path)
+    if _rejected({k: v.rejects for k, v in read.items()}, a.out) and a.on_bad_row == "fail":
+        print("stopped because of rejected rows (--on-bad-row report goes on without them)")
+        return 2
+    ratings, test = read["ratings"].rows, read["test"].rows
+    genres = read["genres"].rows if genres_path else None
     prep = P.prepare(ratings, test, genres)
 
     if a.job == "item-pairs":
         pairs = P.item_pairs(prep)
-        pairs.write.mode("overwrite").parquet(a.out)
-        n = spark.read.parquet(a.out).count()
+        pairs.write.mode("overwrite").parquet(f"{a.out}/pairs")
+        n = spark.read.parquet(f"{a.out}/pairs").count()
         print(f"co-rated item pairs: {n}")
-        print(f"The total execution time taken is {time.time() - t0} secs")
+        print(f"seconds: {time.time() - t0}")
         return 0
     if a.job == "model-based":
         r = P.model_based(prep, a.rank, a.iterations, a.reg, a.seed, a.impute)

@@ -27,6 +27,10 @@ def guarded_ratio(num: str | Column, den: str | Column, default=0.0) -> Column:
     return F.when(ok, n / F.when(ok, d)).otherwise(dflt)
 
 
+#: Relative size below which a difference of sums counts as zero.
+REL_ZERO = 1e-14
+
+
 def pearson_from_moments(
     n: str | Column,
     sx: str | Column,
@@ -47,7 +51,11 @@ def pearson_from_moments(
     num = nd * sxy - sx * sy
     vx = nd * sxx - sx * sx
     vy = nd * syy - sy * sy
-    # clamp tiny negative variances from floating noise on non-grid input
+    # off the grid the differences of large sums leave noise: what is within a
+    # few rounding errors of the sums is zero (constant series, no covariance)
+    zero = lambda v, scale: F.when(F.abs(v) <= F.lit(REL_ZERO) * scale, F.lit(0.0)).otherwise(v)
+    vx, vy = zero(vx, nd * sxx), zero(vy, nd * syy)
+    num = zero(num, F.sqrt(nd * sxx) * F.sqrt(nd * syy))
     den = F.sqrt(F.greatest(vx, F.lit(0.0))) * F.sqrt(F.greatest(vy, F.lit(0.0)))
     return F.coalesce(guarded_ratio(num, den), F.lit(0.0))
 

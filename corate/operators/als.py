@@ -7,6 +7,7 @@ buckets + per-bucket row numbers + bucket offsets), never on the driver.
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -56,6 +57,12 @@ def _fits_int(train: DataFrame) -> tuple[bool, bool]:
     return ok(r["umin"], r["umax"]), ok(r["imin"], r["imax"])
 
 
+def als_blocks(n_rows: int) -> int:
+    """User and item blocks for a training set: 10 up to ten million rows, then
+    growing with the square root, as the number of block pairs is its square."""
+    return max(10, math.isqrt(n_rows // 100_000))
+
+
 def fit_als(
     train: DataFrame,
     rank: int = ALS_RANK,
@@ -64,14 +71,16 @@ def fit_als(
     seed: int = 42,
     num_blocks: int | None = None,
     checkpoint_interval: int = 10,
+    n_rows: int | None = None,
 ) -> FactorModel:
     """Explicit-feedback ALS. Defaults follow the reference call: rank 5,
     4 iterations, lambda 0.01 (the default of the RDD-based ``ALS.train``;
     Spark ML's own default is 0.1, so it is set explicitly), fixed seed.
 
-    ``num_blocks`` (user and item blocks) defaults to the cluster's default
-    parallelism: Spark ML's fixed default of 10 would run every half-iteration
-    of a cluster-sized fit in 10 tasks."""
+    ``num_blocks`` (user and item blocks) defaults to ``als_blocks`` of the
+    number of training rows (``n_rows``, counted if not given), never of the
+    cluster's cores: the factors depend on the block count, so the same data
+    and seed must give the same count everywhere."""
     u_ok, i_ok = _fits_int(train)
     uix = None if u_ok else dense_index(train, "user")
     iix = None if i_ok else dense_index(train, "item")
@@ -90,7 +99,7 @@ def fit_als(
         seed=seed,
         checkpointInterval=checkpoint_interval,
     )
-    blocks = num_blocks or max(10, train.sparkSession.sparkContext.defaultParallelism)
+    blocks = num_blocks or als_blocks(train.count() if n_rows is None else n_rows)
     als = als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
     model = als.fit(t.select("_u", "_i", "rating"))
     return FactorModel(model, uix, iix)

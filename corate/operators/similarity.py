@@ -20,7 +20,7 @@ ITEM_METRICS = ("pearson", "sum_normalized")
 def item_pair_moments(
     train: DataFrame,
     hot_rows: int | None = DEFAULT_HOT_ROWS,
-    max_buckets: int = DEFAULT_MAX_BUCKETS,
+    max_buckets: int | None = DEFAULT_MAX_BUCKETS,
     anchors: DataFrame | None = None,
     no_hot: bool = False,
 ) -> DataFrame:
@@ -44,7 +44,7 @@ def item_similarity(
     train: DataFrame,
     metric: str = "pearson",
     hot_rows: int | None = DEFAULT_HOT_ROWS,
-    max_buckets: int = DEFAULT_MAX_BUCKETS,
+    max_buckets: int | None = DEFAULT_MAX_BUCKETS,
     anchors: DataFrame | None = None,
     no_hot: bool = False,
 ) -> DataFrame:
@@ -77,7 +77,7 @@ def user_similarity(
     train: DataFrame,
     ustats: DataFrame,
     hot_rows: int | None = DEFAULT_HOT_ROWS,
-    max_buckets: int = DEFAULT_MAX_BUCKETS,
+    max_buckets: int | None = DEFAULT_MAX_BUCKETS,
     anchors: DataFrame | None = None,
     centred: DataFrame | None = None,
     no_hot: bool = False,

@@ -13,4 +13,4 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``F.broadcast(df)`` when it has at most ``max_rows`` rows (counted
     first, a cheap job for a dimension table), else ``df`` unchanged."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df

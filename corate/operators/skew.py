@@ -7,7 +7,8 @@ groups above ``hot_rows`` members are salted: each member gets a bucket
 ``b = xxhash64(member) mod nb``; a left row of bucket b1 is sent to every key
 (group, b1, *) and a right row of bucket b2 to every key (group, *, b2). Each
 (left, right) pair then meets under exactly one key (group, b1, b2), and the
-group's work is spread over nb*nb join tasks. Ordinary groups keep nb = 1 and
+group's work is spread over nb*nb keys, dealt to ``spark.sql.shuffle.partitions``
+tasks by an explicit repartition that the adaptive planner leaves alone. Ordinary groups keep nb = 1 and
 are not replicated.
 """
 
@@ -17,14 +18,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_HOT_ROWS = 100_000
-DEFAULT_MAX_BUCKETS = 64
+DEFAULT_MAX_BUCKETS = None  # as many as the group needs
 MAX_BROADCAST_GROUPS = 100_000
 
 
-def hot_groups(df: DataFrame, group: str, hot_rows: int, max_buckets: int) -> DataFrame:
+def hot_groups(df: DataFrame, group: str, hot_rows: int, max_buckets: int | None) -> DataFrame:
     """(group, _nb) for groups with more than ``hot_rows`` rows, with
-    ``_nb = min(ceil(rows / hot_rows), max_buckets)`` buckets each."""
-    nb = F.least(F.ceil(F.col("_n") / F.lit(hot_rows)), F.lit(max_buckets)).cast("int")
+    ``_nb = ceil(rows / hot_rows)`` buckets each (at most ``max_buckets``, if given)."""
+    nb = F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int")
+    nb = nb if max_buckets is None else F.least(nb, F.lit(max_buckets))
     return (
         df.groupBy(group)
         .agg(F.count("*").alias("_n"))
@@ -34,7 +36,7 @@ def hot_groups(df: DataFrame, group: str, hot_rows: int, max_buckets: int) -> Da
 
 
 def attach_buckets(
-    df: DataFrame, group: str, hot_rows: int, max_buckets: int,
+    df: DataFrame, group: str, hot_rows: int, max_buckets: int | None,
     max_broadcast: int | None = None,
 ) -> DataFrame | None:
     """df + ``_nb`` (bucket count of the row's group, 1 if not hot), or None
@@ -61,7 +63,7 @@ def member_pairs(
     member: str,
     values: list[str],
     hot_rows: int | None = DEFAULT_HOT_ROWS,
-    max_buckets: int = DEFAULT_MAX_BUCKETS,
+    max_buckets: int | None = DEFAULT_MAX_BUCKETS,
     anchors: DataFrame | None = None,
     no_hot: bool = False,
 ) -> DataFrame:
@@ -111,7 +113,11 @@ def member_pairs(
             anc.alias("_r_anc"),
             *[F.col(v).alias(f"_r_{v}") for v in values],
         )
-        j = left.join(right, [group, "_b1", "_b2"])
+        # dealt explicitly: the adaptive planner merges partitions by their bytes,
+        # which would put all buckets of a group back into one task
+        keys = [group, "_b1", "_b2"]
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        j = left.repartition(n, *keys).join(right.repartition(n, *keys), keys)
     if anchors is None:
         j = j.filter(F.col("_l") < F.col("_r"))
         return j.select(

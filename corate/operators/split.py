@@ -39,7 +39,7 @@ def flag_holdout(ratings: DataFrame, test: DataFrame) -> DataFrame:
 def holdout_split(ratings: DataFrame, test: DataFrame) -> Split:
     """train = ratings without any test pair; truth = ratings of test pairs.
 
-    ``test`` must be distinct on (user, item) (the readers guarantee it).
+    ``test`` must be distinct on (user, item) (``prepare`` makes it so).
     Both joins shuffle on (user, item); when ``ratings`` comes straight from
     ``dedup_last`` it is already partitioned that way and only ``test`` moves.
     """

@@ -124,6 +124,10 @@ def prepare(
         ratings = dedup_last(ratings, order_col)
     else:
         ratings = ratings.select("user", "item", "rating")
+    # a repeated test pair must not repeat its truth row; one genre per item
+    test = test.select("user", "item").distinct()
+    if genres is not None:
+        genres = genres.groupBy("item").agg(F.max("genre").alias("genre"))
     how = materialize_how
     if how == "auto":
         how = "table" if checkpoint_dir(ratings.sparkSession) else "persist"
@@ -321,7 +325,7 @@ def model_based(
     user's same-genre mean, then the user mean; ``item_mean``: the item mean,
     then the user mean). ``impute_unanswered`` also fills unscorable test
     pairs that have no held-out rating."""
-    fm = als_ops.fit_als(prep.train, rank, max_iter, reg_param, seed, num_blocks)
+    fm = als_ops.fit_als(prep.train, rank, max_iter, reg_param, seed, num_blocks, n_rows=prep.n_train or None)
     fp = materialize(als_ops.als_predict(fm, prep.test), "auto", "als")
     if impute_unanswered:
         cases = prep.test.join(fp, ["user", "item"], "left_anti")

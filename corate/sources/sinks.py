@@ -24,25 +24,19 @@ def write_predictions(
     pred: DataFrame,
     path: str,
     single_file: bool = False,
-    max_single_file_rows: int = 50_000_000,
     mode: str = "overwrite",
 ) -> None:
     """Write the sorted prediction file(s) with the header row.
 
-    ``single_file=True`` reproduces the one-file output. It funnels every row
-    through one writer task, so it is refused above ``max_single_file_rows``
-    (the count is checked first); the default writes globally ordered parts.
+    ``single_file=True`` reproduces the one-file output, whatever the row
+    count: one writer task sorts (spilling) and writes all rows. The default
+    writes globally ordered parts.
     """
     rows = prediction_rows(pred)
     if single_file:
-        n = pred.count()
-        if n > max_single_file_rows:
-            raise ValueError(
-                f"{n} predictions exceed the single-file bound {max_single_file_rows}; "
-                "write ordered parts instead"
-            )
-        u, i, _ = PREDICTION_HEADER
-        rows = rows.coalesce(1).sortWithinPartitions(u, i)
+        u, i, p = PREDICTION_HEADER
+        one = pred.select(F.col("user").alias(u), F.col("item").alias(i), F.col("prediction").alias(p))
+        rows = one.repartition(1).sortWithinPartitions(u, i)
     rows.write.mode(mode).option("header", True).csv(path)
 
 

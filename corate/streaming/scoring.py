@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from corate.operators.similarity import item_similarity, user_similarity
 from corate.plans import pipelines as P
-from corate.session import materialize, table_path
+from corate.session import materialize
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -50,17 +50,17 @@ def score_stream(
     pairs_stream: DataFrame,
     scorer: Scorer,
     output_path: str,
-    checkpoint_location: str | None = None,
+    checkpoint_location: str,
     available_now: bool = False,
     processing_time: str | None = None,
 ) -> StreamingQuery:
     """Start a query that scores each micro-batch of pairs.
 
-    Output: parquet under ``output_path/epoch=<id>``. The stream's own
-    checkpoint defaults to a fresh folder under the session's shared
-    checkpoint dir.
+    Output: parquet under ``output_path/epoch=<id>``. ``checkpoint_location``
+    is the stream's own shared folder; a restart must name the same one, or its
+    epochs start at 0 again and replace earlier output.
     """
-    ckpt = checkpoint_location or table_path(pairs_stream.sparkSession, "stream")
+    ckpt = checkpoint_location
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         cols = ["user", "item"] + (["rating"] if "rating" in batch.columns else [])

@@ -43,3 +43,17 @@ def test_model_based_cli(spark, scratch, capsys):
     out = os.path.join(scratch, "out")
     assert main(["model-based", r, g, t, out]) == 0
     assert "RMSE = " in capsys.readouterr().out
+
+
+def test_rejected_rows_are_written_and_counted(spark, scratch, capsys):
+    from corate.cli import main
+
+    r, t, _ = _files(scratch)
+    with open(r, "a") as f:
+        f.write("x,1,2.0,0\n5,y,1.0,0\n")
+    out = os.path.join(scratch, "out")
+    assert main(["item-based", r, t, out]) == 0
+    text = capsys.readouterr().out
+    assert "rejected rows of ratings: 2" in text and "rejected rows of test: 0" in text
+    assert spark.read.json(f"{out}/rejects/ratings").count() == 2
+    assert main(["item-based", r, t, os.path.join(scratch, "out2"), "--on-bad-row", "fail"]) == 2

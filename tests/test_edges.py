@@ -129,3 +129,35 @@ def test_both_cold_and_reasons(spark):
            for r in impute(cases, p.train, p.genres, p.gmean).collect()}
     assert imp[(8, 8)][0] == "global_mean" and imp[(8, 8)][1] == pytest.approx(3.0)
     assert imp[(1, 9)] == ("genre_mean", 2.0)   # user 1's only 'B' item is item 2
+
+
+def test_repeated_test_pairs_and_genres_change_nothing(spark):
+    from corate.plans import pipelines as P
+    from tests import micro
+
+    r, g, t = micro.frames(spark)
+    once = P.item_based(P.prepare(r, t, g, order_col=None)).metrics.first()
+    twice = P.item_based(P.prepare(r, t.union(t), g.union(g), order_col=None)).metrics.first()
+    assert once == twice
+
+
+def test_pearson_off_the_half_star_grid(spark):
+    """Constant series and non-grid ratings against the centred formula."""
+    from corate.operators.similarity import item_similarity
+
+    series = {1: [3.3, 3.3, 3.3], 2: [2.1, 3.7, 4.9], 3: [0.1, 0.2, 0.4], 4: [2.2, 2.2, 2.2]}
+    rows = [(u, i, v) for i, vs in series.items() for u, v in enumerate(vs)]
+    got = {(x["item1"], x["item2"]): x["sim"] for x in item_similarity(spark.createDataFrame(rows, "user BIGINT, item BIGINT, rating DOUBLE")).collect()}
+    for (a, b), sim in got.items():
+        if {a, b} & {1, 4}:
+            assert sim == 0
+        else:
+            x, y = ([v - sum(s) / 3 for v in s] for s in (series[a], series[b]))
+            want = sum(p * q for p, q in zip(x, y)) / (sum(p * p for p in x) * sum(q * q for q in y)) ** 0.5
+            assert abs(sim - want) < 1e-9
+
+
+def test_als_blocks_follow_the_rows_only(spark):
+    from corate.operators.als import als_blocks
+
+    assert [als_blocks(n) for n in (0, 10**6, 10**7, 10**9, 10**12)] == [10, 10, 10, 100, 3162]

@@ -50,14 +50,6 @@ def test_prediction_sink_single_file_sorted_with_header(spark, scratch):
     assert lines[1:] == ["2,4,2.0", "2,30,1.0", "10,1,4.25", "10,2,3.5"]
 
 
-def test_prediction_sink_refuses_oversized_single_file(spark, scratch):
-    import pytest
-
-    df = spark.createDataFrame([(1, 1, 1.0), (1, 2, 2.0)], "user BIGINT, item BIGINT, prediction DOUBLE")
-    with pytest.raises(ValueError):
-        write_predictions(df, os.path.join(scratch, "p2"), single_file=True, max_single_file_rows=1)
-
-
 def test_ratings_csv_last_line_wins_across_files(spark, scratch):
     from corate.operators.split import dedup_last
 

@@ -36,11 +36,21 @@ def test_similarities_unchanged_by_salting(spark):
     assert c == d
 
 
-def test_hot_group_is_spread_over_buckets(spark):
-    t = _train(spark)
-    salted = member_pairs(t, "user", "item", ["rating"], hot_rows=50, max_buckets=5)
-    plan = salted._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+def test_hot_group_is_spread_over_tasks(spark):
+    """The pairs of one large group, counted per task with broadcasts off and AQE as it is."""
+    n = 3000
+    t = spark.range(n).selectExpr("id div 1000000 AS user", "id AS item", "1.0D AS rating")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        pairs = member_pairs(t, "user", "item", ["rating"], hot_rows=200)
+        per_task = [r["count"] for r in pairs.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(per_task) == n * (n - 1) // 2
+    assert max(per_task) <= 0.1 * sum(per_task)
 
 
 def test_anchored_pairs_equal_filtered_full_pairs(spark):
