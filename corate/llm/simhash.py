@@ -322,4 +322,4 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     best = light.groupBy("__f").agg(first.alias("first")).join(classes, F.col("__f") == F.col("fp"))
     stay = best.groupBy("root").agg(F.min("first").alias("first"))
     stay = saved(stay.select(F.col("first.u").alias("__stay")), "simhash-stay")
-    return rows.join(stay, F.col(uid) == F.col("__stay"), "left_semi").drop(fp, uid)
+    return rows.join(stay.hint("merge"), F.col(uid) == F.col("__stay"), "left_semi").drop(fp, uid)
