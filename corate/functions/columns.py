@@ -27,8 +27,15 @@ def guarded_ratio(num: str | Column, den: str | Column, default=0.0) -> Column:
     return F.when(ok, n / F.when(ok, d)).otherwise(dflt)
 
 
-#: Relative size below which a difference of sums counts as zero.
-REL_ZERO = 1e-14
+#: Relative size below which a sum of products of centred values counts as zero.
+CENTRED_ZERO = 1e-11
+
+
+def zero_noise(value: Column, scale: Column, n: Column) -> Column:
+    """``value``, or 0 where it is within the rounding errors of a difference of
+    sums over ``n`` terms that are as large as ``scale``."""
+    bound = F.lit(2 * 2.0**-52) * (n + F.lit(4.0)) * scale
+    return F.when(F.abs(value) <= bound, F.lit(0.0)).otherwise(value)
 
 
 def pearson_from_moments(
@@ -44,27 +51,29 @@ def pearson_from_moments(
     num = n*Sxy - Sx*Sy, den = sqrt(n*Sxx - Sx^2) * sqrt(n*Syy - Sy^2).
     Multiplying the centred form by n^2 keeps every term a sum of products of
     the inputs, so ratings on a fixed grid (half stars) give exact numerators
-    and denominators that do not depend on row order.
+    and denominators that do not depend on row order. Off the grid, a variance
+    or covariance within the rounding errors of its sums is zero (constant
+    series, no covariance). The inputs should be shifted to about zero first:
+    the correlation does not change, and the sums cancel less.
     """
     n, sx, sy, sxy, sxx, syy = map(col, (n, sx, sy, sxy, sxx, syy))
     nd = n.cast("double")
     num = nd * sxy - sx * sy
     vx = nd * sxx - sx * sx
     vy = nd * syy - sy * sy
-    # off the grid the differences of large sums leave noise: what is within a
-    # few rounding errors of the sums is zero (constant series, no covariance)
-    zero = lambda v, scale: F.when(F.abs(v) <= F.lit(REL_ZERO) * scale, F.lit(0.0)).otherwise(v)
-    vx, vy = zero(vx, nd * sxx), zero(vy, nd * syy)
-    num = zero(num, F.sqrt(nd * sxx) * F.sqrt(nd * syy))
+    vx, vy = zero_noise(vx, nd * sxx, nd), zero_noise(vy, nd * syy, nd)
+    num = zero_noise(num, F.sqrt(nd * sxx) * F.sqrt(nd * syy), nd)
     den = F.sqrt(F.greatest(vx, F.lit(0.0))) * F.sqrt(F.greatest(vy, F.lit(0.0)))
     return F.coalesce(guarded_ratio(num, den), F.lit(0.0))
 
 
 def centred_pearson(sab: str | Column, saa: str | Column, sbb: str | Column) -> Column:
-    """Pearson-style ratio of pre-centred sums: Sab / (sqrt(Saa) * sqrt(Sbb))."""
+    """Pearson-style ratio of pre-centred sums: Sab / (sqrt(Saa) * sqrt(Sbb)),
+    0 below ``CENTRED_ZERO``."""
     sab, saa, sbb = map(col, (sab, saa, sbb))
     den = F.sqrt(saa) * F.sqrt(sbb)
-    return F.coalesce(guarded_ratio(sab, den), F.lit(0.0))
+    num = F.when(F.abs(sab) > F.lit(CENTRED_ZERO) * den, sab).otherwise(F.lit(0.0))
+    return F.coalesce(guarded_ratio(num, den), F.lit(0.0))
 
 
 def sum_normalized(sxy: str | Column, sx: str | Column, sy: str | Column) -> Column:

@@ -105,6 +105,56 @@ def fit_als(
     return FactorModel(model, uix, iix)
 
 
+def factor_tables(fm: FactorModel) -> tuple[DataFrame, DataFrame]:
+    """(user, user_factors) and (item, item_factors), by the original ids."""
+    def table(factors: DataFrame, name: str, index: DataFrame | None) -> DataFrame:
+        f = factors.select(F.col("id").alias(f"{name}_ix"), F.col("features").alias(f"{name}_factors"))
+        if index is None:
+            return f.select(F.col(f"{name}_ix").cast("bigint").alias(name), f"{name}_factors")
+        return f.join(index, f"{name}_ix").select(name, f"{name}_factors")
+
+    return (table(fm.model.userFactors, "user", fm.user_index),
+            table(fm.model.itemFactors, "item", fm.item_index))
+
+
+def factor_dot(a: str = "user_factors", b: str = "item_factors"):
+    """Dot product of two factor columns, in double."""
+    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
+    return F.aggregate(products, F.lit(0.0), lambda s, x: s + x)
+
+
+def dot_differences(fm: FactorModel, predictions: DataFrame) -> DataFrame:
+    """(user, item, difference): how far each prediction is from the dot
+    product of its user's and item's factors."""
+    users, items = factor_tables(fm)
+    j = predictions.join(users, "user").join(items, "item")
+    return j.select("user", "item", F.abs(F.col("prediction") - factor_dot()).alias("difference"))
+
+
+def user_residuals(fm: FactorModel, train: DataFrame, reg_param: float = ALS_LAMBDA) -> DataFrame:
+    """(user, residual): how far each user's factors are from solving that
+    user's ridge equations given the item factors, relative to the right-hand
+    side. The last half-step solves the users, so all are about zero.
+
+    Per user: sum_i (x . y_i - r_i) y_i + lambda n x = 0, with right-hand side
+    sum_i r_i y_i; sums per factor, combined map-side."""
+    users, items = factor_tables(fm)
+    rank = fm.model.rank
+    j = train.join(items, "item").join(users, "user")
+    j = j.withColumn("_e", factor_dot() - F.col("rating"))
+    y = [F.get("item_factors", F.lit(k)).cast("double") for k in range(rank)]
+    s = j.groupBy("user").agg(
+        F.count("*").alias("n"),
+        F.first("user_factors").alias("x"),
+        F.array(*[F.sum(F.col("_e") * v) for v in y]).alias("g"),
+        F.array(*[F.sum(F.col("rating") * v) for v in y]).alias("b"),
+    )
+    left = F.zip_with("g", "x", lambda g, x: g + F.lit(reg_param) * F.col("n") * x.cast("double"))
+    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda t, x: t + x * x))
+    rhs = norm(F.col("b"))
+    return s.select("user", (norm(left) / F.when(rhs > 0, rhs).otherwise(F.lit(1.0))).alias("residual"))
+
+
 def als_predict(fm: FactorModel, pairs: DataFrame) -> DataFrame:
     """(user, item, prediction) for the pairs whose user and item both have
     factors; other pairs are dropped (cold start)."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corate.operators.sizing import broadcast_if_small
 from corate.operators.stats import item_stats, user_genre_stats, user_stats
+from corate.session import materialize
 
 IMPUTE_MODES = ("genre", "item_mean")
 
@@ -33,6 +34,7 @@ def impute(
     genres: DataFrame | None,
     global_mean: Column,
     how: str = "genre",
+    ustats: DataFrame | None = None,
 ) -> DataFrame:
     """Fill (user, item[, rating]) cases.
 
@@ -45,15 +47,19 @@ def impute(
     the training ratings are first cut to those users / items with a
     semi-join; every mean is still over all of that user's (item's) ratings,
     and the genre join runs on the cut set instead of the whole training set.
+    The cases are read up to four times, so they are materialized first.
+    ``ustats`` reuses the training set's ``user_stats``.
     """
     if how not in IMPUTE_MODES:
         raise ValueError(f"how must be one of {IMPUTE_MODES}")
-    user_train = train.join(cases.select("user").distinct(), "user", "left_semi")
-    us = user_stats(user_train).select("user", F.col("mean_rating").alias("_umean"))
-    j = cases.join(us, "user", "left")
+    if how == "genre" and genres is None:
+        raise ValueError("genre imputation needs a genre table")
+    cases = materialize(cases, "auto", "cases")
+    users = cases.select("user").distinct()
+    us = user_stats(train.join(users, "user", "left_semi")) if ustats is None else ustats
+    j = cases.join(us.select("user", F.col("mean_rating").alias("_umean")), "user", "left")
     if how == "genre":
-        if genres is None:
-            raise ValueError("genre imputation needs a genre table")
+        user_train = train.join(users, "user", "left_semi")
         ug = user_genre_stats(user_train, genres).select(
             "user", "genre", F.col("mean_rating").alias("_first")
         )

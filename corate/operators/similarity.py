@@ -8,10 +8,10 @@ in the tables; lookups treat them as similarity 0.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corate.functions.columns import centred_pearson, pearson_from_moments, sum_normalized
+from corate.functions.columns import centred_pearson, pearson_from_moments, sum_normalized, zero_noise
 from corate.operators.skew import DEFAULT_HOT_ROWS, DEFAULT_MAX_BUCKETS, member_pairs
 
 ITEM_METRICS = ("pearson", "sum_normalized")
@@ -23,13 +23,18 @@ def item_pair_moments(
     max_buckets: int | None = DEFAULT_MAX_BUCKETS,
     anchors: DataFrame | None = None,
     no_hot: bool = False,
+    shift: Column | None = None,
 ) -> DataFrame:
     """(item1, item2, n_corated, sx, sy, sxy, sxx, syy) over users who rated
-    both items; item1 < item2; x is the rating of item1, y of item2.
+    both items; item1 < item2; x is the rating of item1, y of item2, both less
+    ``shift`` (rounded to a whole number, which keeps grid ratings on a grid).
     ``anchors`` (column ``item``) limits it to pairs touching those items;
     ``no_hot``: no user is known to exceed ``hot_rows``."""
     p = member_pairs(train, "user", "item", ["rating"], hot_rows, max_buckets, anchors, no_hot)
     x, y = F.col("rating_1"), F.col("rating_2")
+    if shift is not None:
+        by = F.coalesce(F.round(shift), F.lit(0.0))
+        x, y = x - by, y - by
     return p.groupBy(F.col("m1").alias("item1"), F.col("m2").alias("item2")).agg(
         F.count("*").alias("n_corated"),
         F.sum(x).alias("sx"),
@@ -47,17 +52,21 @@ def item_similarity(
     max_buckets: int | None = DEFAULT_MAX_BUCKETS,
     anchors: DataFrame | None = None,
     no_hot: bool = False,
+    shift: Column | None = None,
 ) -> DataFrame:
     """(item1, item2, n_corated, sim) for every co-rated item pair (touching
     ``anchors``, when given; ``no_hot`` as in ``item_pair_moments``).
 
-    ``pearson``: correlation with means taken over the co-raters only.
+    ``pearson``: correlation with means taken over the co-raters only; give
+    the mean training rating as ``shift`` if ratings may be far from zero.
     ``sum_normalized``: Sxy / (Sx * Sy) over the co-raters.
     Either is 0 when its numerator or denominator is 0.
     """
     if metric not in ITEM_METRICS:
         raise ValueError(f"metric must be one of {ITEM_METRICS}")
-    m = item_pair_moments(train, hot_rows, max_buckets, anchors, no_hot)
+    if metric != "pearson":
+        shift = None
+    m = item_pair_moments(train, hot_rows, max_buckets, anchors, no_hot, shift)
     if metric == "pearson":
         sim = pearson_from_moments("n_corated", "sx", "sy", "sxy", "sxx", "syy")
     else:
@@ -67,9 +76,12 @@ def item_similarity(
 
 def centred_ratings(train: DataFrame, ustats: DataFrame) -> DataFrame:
     """train + ``dev = n_u * rating - sum_u`` (n_u times the deviation from
-    the user's overall training mean, which keeps grid ratings exact)."""
+    the user's overall training mean, which keeps grid ratings exact; 0 when
+    within the rounding errors of the sum)."""
+    n = F.col("n_ratings").cast("double")
+    dev = n * F.col("rating") - F.col("sum_rating")
     return train.join(ustats.select("user", "n_ratings", "sum_rating"), "user").withColumn(
-        "dev", F.col("n_ratings").cast("double") * F.col("rating") - F.col("sum_rating")
+        "dev", zero_noise(dev, n * F.abs("rating"), n)
     )
 
 

@@ -96,6 +96,25 @@ _BASE = {
   WHERE u."user" IS NULL OR i.item IS NULL""",
 }
 
+# Ratings off any grid, and Pearson by its definition: centred first, then
+# multiplied; constant series and vanishing covariances read as 0.
+_OFFGRID_EVENTS = """
+  SELECT o.o_custkey AS "user", l.l_partkey AS item, l.l_extendedprice / 19997.0 AS rating,
+         l.l_orderkey, l.l_linenumber, l.l_extendedprice
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
+_TWO_PASS = """
+  SELECT item1, item2, n_corated,
+         CASE WHEN flat OR abs(num) <= 1e-12 * den THEN 0.0 ELSE num / den END AS sim
+  FROM (SELECT item1, item2, count(*) AS n_corated,
+               min(x) = max(x) OR min(y) = max(y) AS flat,
+               sum((x - mx) * (y - my)) AS num,
+               sqrt(sum((x - mx) * (x - mx))) * sqrt(sum((y - my) * (y - my))) AS den
+        FROM (SELECT a.item AS item1, b.item AS item2, a.rating AS x, b.rating AS y,
+                     avg(a.rating) OVER w AS mx, avg(b.rating) OVER w AS my
+              FROM train a JOIN train b ON a."user" = b."user" AND a.item < b.item
+              WINDOW w AS (PARTITION BY a.item, b.item))
+        GROUP BY item1, item2)"""
+
 # Order the CTEs may appear in (each only uses earlier ones).
 _ORDER = [
     "ev", "ratings", "test", "train", "truth", "genres", "ustats", "istats", "gmean",
@@ -337,4 +356,32 @@ FROM needed n LEFT JOIN ipearson s ON s.item1 = n.item1 AND s.item2 = n.item2"""
     q["als_coverage"] = with_ctes(["test", "train"], [], """
 SELECT t."user", t.item FROM test t
 WHERE t."user" IN (SELECT "user" FROM train) AND t.item IN (SELECT item FROM train)""")
+    q["model_based_keys"] = (
+        "WITH scored AS (" + q["als_coverage"] + "),\nfilled AS (" + _impute_sql("genre") + ")\n"
+        + """SELECT "user", item, 'als' AS source, CAST(NULL AS DOUBLE) AS imputed FROM scored
+UNION ALL SELECT "user", item, source, prediction FROM filled""")
+    q["als_dot_check"] = "SELECT *, true AS is_dot_product FROM (" + q["als_coverage"] + ")"
+    q["als_normal_equations"] = with_ctes(["train"], [], 'SELECT DISTINCT "user", true AS solved FROM train')
+    q["score_join_eval"] = with_ctes(["truth", "test", "ustats", "gmean"], [("pred", """
+  SELECT h."user", h.item, h.rating, coalesce(s.mean_rating, (SELECT g FROM gmean)) AS prediction
+  FROM truth h JOIN test t ON t."user" = h."user" AND t.item = h.item
+  LEFT JOIN ustats s ON s."user" = h."user\"""")], _EVAL_SELECT)
+
+    off = lambda sql: sql.replace(_BASE["ev"], _OFFGRID_EVENTS).replace(_BASE["ipearson"], _TWO_PASS)
+    off_order = lambda sql: sql.replace("l_quantity DESC", "l_extendedprice DESC")
+    q["item_pearson_offgrid"] = off_order(off(with_ctes(
+        ["ipearson"], [], "SELECT item1, item2, n_corated, round(sim, 6) AS sim FROM ipearson")))
+    u, e = _item_predictions("ipearson", 1_000_000, False, True)
+    q["item_based_offgrid_predict"] = off_order(off(with_ctes(
+        u, e, 'SELECT "user", item, round(rating, 6) AS rating, prediction, source, n_neighbors FROM pred')))
+
+    q["csv_ratings"] = q["ratings_dedup"]
+    q["csv_test_pairs"] = q["test_pairs"]
+    q["csv_genres"] = with_ctes(["genres"], [], "SELECT item, genre FROM genres")
+    q["csv_rejects"] = """
+SELECT 'ratings' AS file, 'x' || user_id AS first_field FROM events
+UNION ALL SELECT 'test', CAST(s_suppkey AS VARCHAR) FROM supplier
+UNION ALL SELECT 'genres', n_name FROM nation"""
+    q["prediction_file"] = (
+        'SELECT row_number() OVER (ORDER BY "UserId", "MovieId") AS position, * FROM (' + q["prediction_output"] + ")")
     return q

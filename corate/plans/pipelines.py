@@ -53,6 +53,14 @@ class Prepared(NamedTuple):
     by_user: bool = False   # train/truth are the cached user layout
     n_train: int = 0
     max_user_rows: int = -1  # largest per-user training count (-1: unknown)
+    layouts: dict | None = None  # further cached layouts of the training set
+
+    def close(self) -> None:
+        """Release everything cached for these inputs."""
+        for df in (self.train, self.truth, *[x[0] for x in (self.layouts or {}).values()]):
+            df.unpersist()
+        if self.layouts:
+            self.layouts.clear()
 
 
 def co_partition(df: DataFrame, key: str = "user", n: int | None = None) -> DataFrame:
@@ -93,12 +101,9 @@ def layout_partitions(
     spark, rows: int, rows_per_partition: int = LAYOUT_ROWS_PER_PARTITION
 ) -> int:
     """Partition count for the cached user layout: about ``rows_per_partition``
-    training rows each, at least the default parallelism, at most
-    ``spark.sql.shuffle.partitions`` (AQE cannot coalesce a cached layout, so
-    it is sized up front)."""
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    least = spark.sparkContext.defaultParallelism
-    return max(1, min(most, max(least, -(-rows // rows_per_partition))))
+    training rows each, at least the default parallelism (AQE can neither
+    coalesce nor split a cached layout, so it is sized up front)."""
+    return max(1, spark.sparkContext.defaultParallelism, -(-rows // rows_per_partition))
 
 
 def prepare(
@@ -152,16 +157,17 @@ def prepare(
         plain = (train, truth)
         train = co_partition(train, "user", n)
         truth = co_partition(truth, "user", n)
+        # built here, so that no later step pays for the layout
+        train.count()
+        truth.count()
         if how == "persist":
-            # build the partitioned caches, then drop the plain ones under them
-            train.count()
-            truth.count()
+            # drop the plain caches under them
             for df in plain:
                 df.unpersist()
     ustats = user_stats(train)
     laid_out = bool(by_user) and how not in (None, "none")
     return Prepared(
-        train, truth, keys, ustats, gmean, genres, laid_out, summ.rows, summ.max_user_rows
+        train, truth, keys, ustats, gmean, genres, laid_out, summ.rows, summ.max_user_rows, {}
     )
 
 
@@ -173,24 +179,22 @@ def _no_hot_user(prep: Prepared, hot_rows: int | None) -> bool:
     return hot_rows is not None and 0 <= prep.max_user_rows <= hot_rows
 
 
-_ITEM_LAYOUTS: dict[int, tuple[DataFrame, DataFrame, int]] = {}
-
-
 def _centred_layout(prep: Prepared, hot_rows: int | None) -> tuple[DataFrame, bool]:
     """(centred ratings, no item above ``hot_rows``). The centred ratings are
-    laid out by item and cached (once per training frame) when the user
-    layout is in use and no item is hot, so that the user self-join on item
-    and the candidate join on item need no exchange."""
-    hit = _ITEM_LAYOUTS.get(id(prep.train))
-    if hit is not None and hit[0] is prep.train:
-        return hit[1], hot_rows is not None and hit[2] <= hot_rows
+    laid out by item and cached (once per ``Prepared``, released by its
+    ``close``) when the user layout is in use and no item is hot, so that the
+    user self-join on item and the candidate join on item need no exchange."""
+    layouts = {} if prep.layouts is None else prep.layouts
+    if "item" in layouts:
+        ct, top = layouts["item"]
+        return ct, hot_rows is not None and top <= hot_rows
     ct = centred_ratings(prep.train, prep.ustats)
     if not prep.by_user or hot_rows is None:
         return ct, False
     top = _max_group_rows(prep.train, "item")
     if top <= hot_rows:
         ct = co_partition(ct, "item", layout_partitions(ct.sparkSession, prep.n_train))
-        _ITEM_LAYOUTS[id(prep.train)] = (prep.train, ct, top)
+        layouts["item"] = (ct, top)
     return ct, top <= hot_rows
 
 
@@ -251,8 +255,7 @@ def item_based(
     truth = prep.truth if pairs is None else pairs
     if sims is None:
         anchors = selective_anchors(truth, prep.train, "item", restrict)
-        sims = item_similarity(prep.train, metric, hot_rows, anchors=anchors,
-                               no_hot=_no_hot_user(prep, hot_rows))
+        sims = item_pairs(prep, metric, hot_rows, anchors)
     cand = item_candidates(truth, prep.train)
     scored = attach_similarity(cand, sims, "item", "item1", "item2")
     top = top_k(scored, k)
@@ -291,11 +294,11 @@ def user_based(
     ``restrict`` limits the similarity table to pairs touching the scored
     users (None: decide from their share)."""
     truth = prep.truth if pairs is None else pairs
-    ct, no_hot_item = _centred_layout(prep, hot_rows)
     if sims is None:
         anchors = selective_anchors(truth, prep.train, "user", restrict)
-        sims = user_similarity(prep.train, prep.ustats, hot_rows, anchors=anchors, centred=ct,
-                               no_hot=no_hot_item)
+        sims, ct = user_pairs(prep, hot_rows, anchors)
+    else:
+        ct, _ = _centred_layout(prep, hot_rows)
     cand = user_candidates(truth, ct)
     scored = attach_similarity(cand, sims, "user", "user1", "user2")
     top = top_k(scored, k)
@@ -304,6 +307,7 @@ def user_based(
 
 
 class ModelResult(NamedTuple):
+    model: als_ops.FactorModel
     factor_predictions: DataFrame   # user, item, prediction: every scorable test pair
     imputed: DataFrame              # user, item, rating, prediction, source
     predictions: DataFrame          # user, item, prediction, source: the output file
@@ -332,7 +336,7 @@ def model_based(
         cases = cases.join(prep.truth, ["user", "item"], "left")
     else:
         cases = prep.truth.join(fp, ["user", "item"], "left_anti")
-    imp = impute(cases, prep.train, prep.genres, prep.gmean, impute_how)
+    imp = impute(cases, prep.train, prep.genres, prep.gmean, impute_how, prep.ustats)
     out = fp.withColumn("source", F.lit("als")).unionByName(
         imp.select("user", "item", "prediction", "source")
     )
@@ -340,9 +344,26 @@ def model_based(
     # union out of the metrics plan, where Spark 4.1's constraint inference
     # fails on union -> join -> aggregate.
     out = materialize(out, "auto", "model-pred")
-    return ModelResult(fp, imp, out, evaluate(score(prep.truth, out)))
+    return ModelResult(fm, fp, imp, out, evaluate(score(prep.truth, out)))
 
 
-def item_pairs(prep: Prepared, metric: str = "pearson", hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Every co-rated item pair of the training set with its similarity."""
-    return item_similarity(prep.train, metric, hot_rows, no_hot=_no_hot_user(prep, hot_rows))
+def item_pairs(
+    prep: Prepared,
+    metric: str = "pearson",
+    hot_rows: int | None = DEFAULT_HOT_ROWS,
+    anchors: DataFrame | None = None,
+) -> DataFrame:
+    """Every co-rated item pair of the training set (touching ``anchors``,
+    when given) with its similarity."""
+    return item_similarity(prep.train, metric, hot_rows, anchors=anchors,
+                           no_hot=_no_hot_user(prep, hot_rows), shift=prep.gmean)
+
+
+def user_pairs(
+    prep: Prepared, hot_rows: int | None = DEFAULT_HOT_ROWS, anchors: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(similarity of every co-rating user pair, the centred ratings it is built from)."""
+    ct, no_hot_item = _centred_layout(prep, hot_rows)
+    sims = user_similarity(prep.train, prep.ustats, hot_rows, anchors=anchors, centred=ct,
+                           no_hot=no_hot_item)
+    return sims, ct

@@ -14,6 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corate.operators.als import dot_differences, user_residuals
+from corate.operators.evaluate import evaluate, score
 from corate.operators.impute import impute, unscorable_by_factors
 from corate.operators.neighbors import (
     attach_similarity,
@@ -22,12 +24,18 @@ from corate.operators.neighbors import (
     top_k,
     user_candidates,
 )
-from corate.operators.similarity import centred_ratings, item_similarity, user_similarity
 from corate.operators.split import dedup_last
 from corate.operators.stats import adjacency_lists, item_stats, user_genre_stats
 from corate.plans import pipelines as P
-from corate.sources.sinks import prediction_rows
-from corate.sources.tables import benchmark_inputs
+from corate.session import ensure_checkpoint_dir, materialize, table_path
+from corate.sources.readers import (
+    read_genres_csv,
+    read_predictions_csv,
+    read_ratings_csv,
+    read_test_csv,
+)
+from corate.sources.sinks import prediction_rows, write_predictions
+from corate.sources.tables import CsvInputs, benchmark_inputs, write_csv_inputs
 
 _PREP_CACHE: dict[tuple, P.Prepared] = {}
 
@@ -36,12 +44,12 @@ def _session_key(spark: SparkSession) -> tuple:
     return (id(spark), spark.sparkContext.applicationId)
 
 
-def prepared(spark: SparkSession, sf_dir: str) -> P.Prepared:
+def prepared(spark: SparkSession, sf_dir: str, offgrid: bool = False) -> P.Prepared:
     """Deduped, split and materialized inputs for ``sf_dir`` (built once per
     session and directory)."""
-    key = (_session_key(spark), sf_dir.rstrip("/"))
+    key = (_session_key(spark), sf_dir.rstrip("/"), offgrid)
     if key not in _PREP_CACHE:
-        inp = benchmark_inputs(spark, sf_dir)
+        inp = benchmark_inputs(spark, sf_dir, offgrid)
         _PREP_CACHE[key] = P.prepare(inp.events, inp.test, inp.genres)
     return _PREP_CACHE[key]
 
@@ -111,18 +119,20 @@ def q_item_pearson(spark, sf_dir):
     the item-based job looks up; 0 for pairs without a co-rater."""
     p = prepared(spark, sf_dir)
     cand = item_candidates(p.truth, p.train)
-    return candidate_pair_similarity(
-        cand, item_similarity(p.train, "pearson"), "item", "item1", "item2", "n_corated"
-    )
+    return candidate_pair_similarity(cand, P.item_pairs(p), "item", "item1", "item2", "n_corated")
+
+
+def q_item_pearson_offgrid(spark, sf_dir):
+    """Pearson similarity of every co-rated item pair, for ratings off any grid."""
+    return _r6(P.item_pairs(prepared(spark, sf_dir, offgrid=True)), "sim")
 
 
 def q_item_sum_normalized(spark, sf_dir):
-    return item_similarity(prepared(spark, sf_dir).train, "sum_normalized")
+    return P.item_pairs(prepared(spark, sf_dir), "sum_normalized")
 
 
 def q_user_pearson(spark, sf_dir):
-    p = prepared(spark, sf_dir)
-    return user_similarity(p.train, p.ustats)
+    return P.user_pairs(prepared(spark, sf_dir))[0]
 
 
 # --- neighbours ------------------------------------------------------------
@@ -130,17 +140,15 @@ def q_user_pearson(spark, sf_dir):
 def q_topk_items(spark, sf_dir):
     """Top 10 most similar rated items per answered test pair."""
     p = prepared(spark, sf_dir)
-    sims = item_similarity(p.train, "pearson")
-    scored = attach_similarity(item_candidates(p.truth, p.train), sims, "item", "item1", "item2")
+    scored = attach_similarity(item_candidates(p.truth, p.train), P.item_pairs(p), "item", "item1", "item2")
     return top_k(scored, 10).select("user", "item", "nbr", "nbr_rating", "sim", "nbr_rank")
 
 
 def q_topk_users(spark, sf_dir):
     """Most similar rater of the test item per answered test pair (k = 1)."""
     p = prepared(spark, sf_dir)
-    sims = user_similarity(p.train, p.ustats)
-    cand = user_candidates(p.truth, centred_ratings(p.train, p.ustats))
-    scored = attach_similarity(cand, sims, "user", "user1", "user2")
+    sims, centred = P.user_pairs(p)
+    scored = attach_similarity(user_candidates(p.truth, centred), sims, "user", "user1", "user2")
     return top_k(scored, 1).select("user", "item", "nbr", "nbr_rating", "sim", "nbr_rank")
 
 
@@ -164,6 +172,35 @@ def q_item_based_genre_fallback(spark, sf_dir):
     return _r6(r.predictions.select(*_PRED_COLS), "prediction")
 
 
+#: More neighbours than any user has ratings: every co-rated item counts, so
+#: the result does not hang on the order of similarities that differ by rounding.
+ALL_NEIGHBOURS = 1_000_000
+
+
+def q_item_based_offgrid_predict(spark, sf_dir):
+    """Item-based predictions from all neighbours, for ratings off any grid."""
+    r = P.item_based(prepared(spark, sf_dir, offgrid=True), k=ALL_NEIGHBOURS)
+    return _r6(r.predictions.select(*_PRED_COLS), "rating", "prediction")
+
+
+def q_score_join_eval(spark, sf_dir):
+    """Evaluation of the user-mean prediction (else the global mean) of every
+    test pair against the held-out ratings."""
+    p = prepared(spark, sf_dir)
+    guess = p.test.join(p.ustats, "user", "left").select(
+        "user", "item", F.coalesce("mean_rating", p.gmean).alias("prediction"))
+    return _r6(evaluate(score(p.truth, guess)), "rmse")
+
+
+def q_prediction_file(spark, sf_dir):
+    """The item-based prediction file as written, read back with each row's position."""
+    ensure_checkpoint_dir(spark)
+    path = table_path(spark, "prediction-file")
+    pred = materialize(_r6(P.item_based(prepared(spark, sf_dir)).predictions, "prediction"), "auto", "pred")
+    write_predictions(pred, path)
+    return read_predictions_csv(spark, path)
+
+
 def q_prediction_output(spark, sf_dir):
     """The sorted prediction file rows (UserId, MovieId, Pred_rating)."""
     pred = _r6(P.item_based(prepared(spark, sf_dir)).predictions, "prediction")
@@ -195,13 +232,13 @@ def q_cold_start_cases(spark, sf_dir):
 def q_impute_genre(spark, sf_dir):
     p = prepared(spark, sf_dir)
     cases = unscorable_by_factors(p.truth, p.train).drop("reason")
-    return impute(cases, p.train, p.genres, p.gmean, "genre")
+    return impute(cases, p.train, p.genres, p.gmean, "genre", p.ustats)
 
 
 def q_impute_item_mean(spark, sf_dir):
     p = prepared(spark, sf_dir)
     cases = unscorable_by_factors(p.truth, p.train).drop("reason")
-    return impute(cases, p.train, p.genres, p.gmean, "item_mean")
+    return impute(cases, p.train, p.genres, p.gmean, "item_mean", p.ustats)
 
 
 _MODEL_CACHE: dict[tuple, P.ModelResult] = {}
@@ -238,6 +275,63 @@ def q_model_based_eval(spark, sf_dir):
     return _r6(_model(spark, sf_dir).metrics, "rmse")
 
 
+def q_model_based_keys(spark, sf_dir):
+    """The model-based job's output rows and their source, with the
+    predictions of the imputed ones (those of the factors have no SQL)."""
+    filled = F.when(F.col("source") != "als", F.col("prediction"))
+    return _model(spark, sf_dir).predictions.select("user", "item", "source", filled.alias("imputed"))
+
+
+def q_als_dot_check(spark, sf_dir):
+    """Per scored test pair: is the prediction its factors' dot product?"""
+    m = _model(spark, sf_dir)
+    d = dot_differences(m.model, m.factor_predictions)
+    return d.select("user", "item", (F.col("difference") <= 1e-4).alias("is_dot_product"))
+
+
+def q_als_normal_equations(spark, sf_dir):
+    """Per training user: do the factors solve the user's ridge equations?"""
+    r = user_residuals(_model(spark, sf_dir).model, prepared(spark, sf_dir).train)
+    return r.select("user", (F.col("residual") <= 1e-5).alias("solved"))
+
+
+# --- files -------------------------------------------------------------------
+
+_CSV_CACHE: dict[tuple, CsvInputs] = {}
+
+
+def _csv(spark, sf_dir) -> CsvInputs:
+    """The inputs written as CSV files, once per session and directory."""
+    key = (_session_key(spark), sf_dir.rstrip("/"))
+    if key not in _CSV_CACHE:
+        ensure_checkpoint_dir(spark)
+        _CSV_CACHE[key] = write_csv_inputs(spark, sf_dir, table_path(spark, "csv"))
+    return _CSV_CACHE[key]
+
+
+def q_csv_ratings(spark, sf_dir):
+    """The ratings file read and deduplicated, the last line of a key wins."""
+    return dedup_last(read_ratings_csv(spark, _csv(spark, sf_dir).ratings).rows)
+
+
+def q_csv_test_pairs(spark, sf_dir):
+    return read_test_csv(spark, _csv(spark, sf_dir).test).rows
+
+
+def q_csv_genres(spark, sf_dir):
+    return read_genres_csv(spark, _csv(spark, sf_dir).genres).rows
+
+
+def q_csv_rejects(spark, sf_dir):
+    """Every line of the three files that does not parse: (file, first_field)."""
+    c = _csv(spark, sf_dir)
+    parts = [("ratings", read_ratings_csv(spark, c.ratings), "user_raw"),
+             ("test", read_test_csv(spark, c.test), "user_raw"),
+             ("genres", read_genres_csv(spark, c.genres), "item_raw")]
+    frames = [p.rejects.select(F.lit(n).alias("file"), F.col(f).alias("first_field")) for n, p, f in parts]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "ratings_dedup": q_ratings_dedup,
@@ -252,6 +346,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "corated_pairs": q_corated_pairs,
         "corated_pair_count": q_corated_pair_count,
         "item_pearson": q_item_pearson,
+        "item_pearson_offgrid": q_item_pearson_offgrid,
         "item_sum_normalized": q_item_sum_normalized,
         "user_pearson": q_user_pearson,
         "topk_items": q_topk_items,
@@ -260,7 +355,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "item_based_eval": q_item_based_eval,
         "item_based_sum_normalized_predict": q_item_based_sum_normalized_predict,
         "item_based_genre_fallback": q_item_based_genre_fallback,
+        "item_based_offgrid_predict": q_item_based_offgrid_predict,
+        "score_join_eval": q_score_join_eval,
         "prediction_output": q_prediction_output,
+        "prediction_file": q_prediction_file,
         "user_based_predict": q_user_based_predict,
         "user_based_predict_corrected": q_user_based_predict_corrected,
         "user_based_eval": q_user_based_eval,
@@ -272,4 +370,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "model_based_imputed": q_model_based_imputed,
         "model_based_predict": q_model_based_predict,
         "model_based_eval": q_model_based_eval,
+        "model_based_keys": q_model_based_keys,
+        "als_dot_check": q_als_dot_check,
+        "als_normal_equations": q_als_normal_equations,
+        "csv_ratings": q_csv_ratings,
+        "csv_test_pairs": q_csv_test_pairs,
+        "csv_genres": q_csv_genres,
+        "csv_rejects": q_csv_rejects,
     }

@@ -13,9 +13,11 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corate.constants import PREDICTION_HEADER
+
 
 class Parsed(NamedTuple):
     rows: DataFrame
@@ -111,6 +113,27 @@ def dedup_genres(genres: DataFrame) -> DataFrame:
     return genres.groupBy("item").agg(F.max("genre").alias("genre"))
 
 
+def read_predictions_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A prediction file read back: (position, UserId, MovieId, Pred_rating).
+
+    ``position`` counts the rows from 1 in file order (files by name, lines
+    within a file), from the rows before each file (a table of one row per
+    file) and the row number within it."""
+    u, i, p = PREDICTION_HEADER
+    rows = spark.read.option("header", True).schema(f"{u} BIGINT, {i} BIGINT, {p} DOUBLE").csv(path)
+    rows = rows.select(
+        u, i, p,
+        F.col("_metadata.file_name").alias("_file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("_line"),
+    )
+    before = F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))
+    files = rows.groupBy("_file").agg(F.count("*").alias("_n")).select("_file", before.alias("_before"))
+    nth = F.row_number().over(Window.partitionBy("_file").orderBy("_line"))
+    return rows.withColumn("_nth", nth).join(files, "_file").select(
+        (F.coalesce("_before", F.lit(0)) + F.col("_nth")).alias("position"), u, i, p
+    )
+
+
 def read_parquet_ratings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(
         F.col("user").cast("bigint"), F.col("item").cast("bigint"), F.col("rating").cast("double")

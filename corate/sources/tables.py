@@ -11,6 +11,8 @@ Fixed values of the mapping (see FIXTURES.md):
   user = ``o_custkey``, item = ``l_partkey``,
   rating = ``ceil(l_quantity / 5) / 2`` (0.5 .. 5.0 for quantities 1 .. 50);
   event order = ``(l_orderkey, l_linenumber, l_quantity)``, the last wins.
+* off-grid rating event: the same, with rating = ``l_extendedprice / 19997``
+  and event order ``(l_orderkey, l_linenumber, l_extendedprice)``.
 * genre: ``part``: item = ``p_partkey``, genre = ``p_brand``.
 * test pairs (stand-in for the hold-out file): rating keys with
   ``(user*7 + item*13) % 10 = 0 OR item % 97 = 0 OR user % 211 = 0``,
@@ -36,16 +38,16 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def rating_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _t(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity"
-    )
+def rating_events(spark: SparkSession, sf_dir: str, offgrid: bool = False) -> DataFrame:
+    value = "l_extendedprice" if offgrid else "l_quantity"
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", value)
+    half_stars = F.ceil(F.col(value) / F.lit(5.0)).cast("double") / F.lit(2.0)
     od = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return li.join(od, li.l_orderkey == od.o_orderkey).select(
         F.col("o_custkey").cast("bigint").alias("user"),
         F.col("l_partkey").cast("bigint").alias("item"),
-        (F.ceil(F.col("l_quantity") / F.lit(5.0)).cast("double") / F.lit(2.0)).alias("rating"),
-        F.struct("l_orderkey", "l_linenumber", "l_quantity").alias("seq"),
+        (F.col(value) / F.lit(19997.0) if offgrid else half_stars).alias("rating"),
+        F.struct("l_orderkey", "l_linenumber", value).alias("seq"),
     )
 
 
@@ -69,6 +71,47 @@ def test_pairs(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame
     return held.unionByName(unanswered).distinct()
 
 
-def benchmark_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    events = rating_events(spark, sf_dir)
+def benchmark_inputs(spark: SparkSession, sf_dir: str, offgrid: bool = False) -> Inputs:
+    events = rating_events(spark, sf_dir, offgrid)
     return Inputs(events, item_genres(spark, sf_dir), test_pairs(spark, sf_dir, events))
+
+
+class CsvInputs(NamedTuple):
+    ratings: str
+    test: str
+    genres: str
+
+
+def write_csv_inputs(spark: SparkSession, sf_dir: str, folder: str) -> CsvInputs:
+    """The three inputs as CSV files in the recommender's own formats, under
+    ``folder``, with malformed rows between the good ones: one in the ratings
+    for each ``events`` row's user (``x<user>``, no item), one in the test
+    file for each supplier (``<key>,none``), one in the genres for each nation
+    (its name for the item). Rating lines are in event order; the genre file
+    has quoted titles with commas."""
+    paths = CsvInputs(*(f"{folder}/{n}" for n in CsvInputs._fields))
+    inp = benchmark_inputs(spark, sf_dir)
+    text = lambda c: F.col(c).cast("string")
+    good = inp.events.select(
+        text("user").alias("userId"), text("item").alias("movieId"), text("rating").alias("rating"),
+        F.col("seq.l_orderkey").alias("timestamp"), "seq",
+    )
+    clicks = _t(spark, sf_dir, "events").select("user_id")
+    bad = clicks.select(
+        F.concat(F.lit("x"), text("user_id")).alias("userId"), F.lit("none").alias("movieId"),
+        F.lit("3.5").alias("rating"), F.col("user_id").cast("bigint").alias("timestamp"),
+        F.lit(None).cast(good.schema["seq"].dataType).alias("seq"),
+    )
+    lines = good.unionByName(bad).orderBy("timestamp", "seq").drop("seq")
+    lines.write.option("header", True).csv(paths.ratings)
+
+    supp = _t(spark, sf_dir, "supplier").select(text("s_suppkey").alias("userId"), F.lit("none").alias("movieId"))
+    pairs = inp.test.select(text("user").alias("userId"), text("item").alias("movieId")).unionByName(supp)
+    pairs.write.option("header", True).csv(paths.test)
+
+    title = F.concat(F.lit("Part, The ("), text("item"), F.lit(")"))
+    named = inp.genres.select(text("item").alias("item"), title.alias("title"), "genre")
+    nations = _t(spark, sf_dir, "nation").select(
+        F.col("n_name").alias("item"), F.lit("Nation, A").alias("title"), F.lit("none").alias("genre"))
+    named.unionByName(nations).write.option("header", False).option("escape", '"').csv(paths.genres)
+    return paths

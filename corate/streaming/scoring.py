@@ -17,7 +17,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from corate.operators.similarity import item_similarity, user_similarity
 from corate.plans import pipelines as P
 from corate.session import materialize
 
@@ -28,7 +27,7 @@ def item_based_scorer(
     prep: P.Prepared, k: int = 10, metric: str = "pearson", fallback: str = "user_mean"
 ) -> Scorer:
     """pairs (user, item[, rating]) -> item-based predictions."""
-    sims = materialize(item_similarity(prep.train, metric), "auto", "item-sims")
+    sims = materialize(P.item_pairs(prep, metric), "auto", "item-sims")
 
     def score(pairs: DataFrame) -> DataFrame:
         return P.item_based(prep, k, metric, fallback, sims=sims, pairs=pairs).predictions
@@ -38,7 +37,7 @@ def item_based_scorer(
 
 def user_based_scorer(prep: P.Prepared, k: int = 1, loo: str = "literal") -> Scorer:
     """pairs (user, item[, rating]) -> user-based predictions."""
-    sims = materialize(user_similarity(prep.train, prep.ustats), "auto", "user-sims")
+    sims = materialize(P.user_pairs(prep)[0], "auto", "user-sims")
 
     def score(pairs: DataFrame) -> DataFrame:
         return P.user_based(prep, k, loo, sims=sims, pairs=pairs).predictions
