@@ -9,7 +9,8 @@ first Spark job, ~5 s here); its time is reported as "startup" and is not in
 the total.
 
 Timed steps (wall clock, each ends in an action):
-  prepare      read + last-wins dedup + hold-out split, materialized
+  prepare      read + last-wins dedup + hold-out split + layout by user, all
+               materialized
   item_based   Pearson item-item CF, k=10: predictions written as CSV + metrics
   model_based  ALS rank 5 / 4 iterations + genre imputation: file + metrics
   user_based   Pearson user-user CF, k=1: predictions written + metrics

@@ -123,8 +123,11 @@ def q_item_pearson(spark, sf_dir):
 
 
 def q_item_pearson_offgrid(spark, sf_dir):
-    """Pearson similarity of every co-rated item pair, for ratings off any grid."""
-    return _r6(P.item_pairs(prepared(spark, sf_dir, offgrid=True)), "sim")
+    """Pearson similarity of every co-rated item pair, for ratings off any
+    grid; to 5 places, as moments lose digits of nearly constant series (about
+    2e-16 times the squared mean over the variance)."""
+    pairs = P.item_pairs(prepared(spark, sf_dir, offgrid=True))
+    return pairs.withColumn("sim", F.round("sim", 5))
 
 
 def q_item_sum_normalized(spark, sf_dir):
