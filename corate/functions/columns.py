@@ -31,11 +31,10 @@ def guarded_ratio(num: str | Column, den: str | Column, default=0.0) -> Column:
 CENTRED_ZERO = 1e-11
 
 
-def zero_noise(value: Column, scale: Column, n: Column) -> Column:
-    """``value``, or 0 where it is within the rounding errors of a difference of
-    sums over ``n`` terms that are as large as ``scale``."""
-    bound = F.lit(2 * 2.0**-52) * (n + F.lit(4.0)) * scale
-    return F.when(F.abs(value) <= bound, F.lit(0.0)).otherwise(value)
+def noise(n: Column) -> Column:
+    """Bound of the rounding errors of a difference of sums over ``n`` terms,
+    relative to the sums."""
+    return F.lit(2 * 2.0**-52) * (n + F.lit(4.0))
 
 
 def pearson_from_moments(
@@ -61,10 +60,15 @@ def pearson_from_moments(
     num = nd * sxy - sx * sy
     vx = nd * sxx - sx * sx
     vy = nd * syy - sy * sy
-    vx, vy = zero_noise(vx, nd * sxx, nd), zero_noise(vy, nd * syy, nd)
-    num = zero_noise(num, F.sqrt(nd * sxx) * F.sqrt(nd * syy), nd)
-    den = F.sqrt(F.greatest(vx, F.lit(0.0))) * F.sqrt(F.greatest(vy, F.lit(0.0)))
-    return F.coalesce(guarded_ratio(num, den), F.lit(0.0))
+    # each difference is written as few times as possible: a long expression
+    # gives a generated method that the JVM leaves to its interpreter
+    real = (
+        (vx > noise(nd) * nd * sxx)
+        & (vy > noise(nd) * nd * syy)
+        & (F.abs(num) > noise(nd) * nd * F.sqrt(sxx * syy))
+    )
+    sim = F.try_divide(num, F.sqrt(vx) * F.sqrt(vy))
+    return F.coalesce(F.when(real, sim), F.lit(0.0))
 
 
 def centred_pearson(sab: str | Column, saa: str | Column, sbb: str | Column) -> Column:
@@ -72,8 +76,8 @@ def centred_pearson(sab: str | Column, saa: str | Column, sbb: str | Column) ->
     0 below ``CENTRED_ZERO``."""
     sab, saa, sbb = map(col, (sab, saa, sbb))
     den = F.sqrt(saa) * F.sqrt(sbb)
-    num = F.when(F.abs(sab) > F.lit(CENTRED_ZERO) * den, sab).otherwise(F.lit(0.0))
-    return F.coalesce(guarded_ratio(num, den), F.lit(0.0))
+    sim = F.when(F.abs(sab) > F.lit(CENTRED_ZERO) * den, F.try_divide(sab, den))
+    return F.coalesce(sim, F.lit(0.0))
 
 
 def sum_normalized(sxy: str | Column, sx: str | Column, sy: str | Column) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corate.functions.columns import centred_pearson, pearson_from_moments, sum_normalized, zero_noise
+from corate.functions.columns import centred_pearson, noise, pearson_from_moments, sum_normalized
 from corate.operators.skew import DEFAULT_HOT_ROWS, DEFAULT_MAX_BUCKETS, member_pairs
 
 ITEM_METRICS = ("pearson", "sum_normalized")
@@ -81,7 +81,7 @@ def centred_ratings(train: DataFrame, ustats: DataFrame) -> DataFrame:
     n = F.col("n_ratings").cast("double")
     dev = n * F.col("rating") - F.col("sum_rating")
     return train.join(ustats.select("user", "n_ratings", "sum_rating"), "user").withColumn(
-        "dev", zero_noise(dev, n * F.abs("rating"), n)
+        "dev", F.when(F.abs(dev) > noise(n) * n * F.abs("rating"), dev).otherwise(F.lit(0.0))
     )
 
 
