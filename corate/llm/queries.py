@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, grade_model, line_dedup, lm_score, mixing, pii, quality_rules, simhash, token_counts, token_store
-from .common import documents, pick
+from .common import documents, pick, saved
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -44,8 +44,9 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pseudo-log-likelihood of every document under a network trained on all of them."""
     docs = pick(documents(spark, sf_dir), doc_id="bigint", text="string")
-    vocabulary, network = lm_score.fit(docs)
-    return lm_score.score(docs, vocabulary, network).select("doc_id", "n_tokens", "log_prob", "mean_log_prob")
+    counts = saved(lm_score.count_words(docs), "lm-words")
+    vocabulary, network = lm_score.fit(docs, counts=counts)
+    return lm_score.score(docs, vocabulary, network, counts, text=False).select("doc_id", "n_tokens", "log_prob", "mean_log_prob")
 
 
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -219,6 +219,29 @@ def test_lm_scores_match_a_plain_softmax():
         assert abs(got[k] - log(net.p["top"] @ h, c) - log(net.p["low"][c] @ h, p)) < 1e-4
 
 
+def test_lm_vocabulary_grows_and_each_word_has_its_own_probability(make, docs, rows):
+    # 1,600 words of 40 occurrences each: more than 32 x 32 classes hold
+    many = lm_score.count_words(make([(i, " ".join(f"w{(400 * i + j) % 1600}" for j in range(400))) for i in range(160)]))
+    vocabulary, classes = lm_score.choose(many)
+    assert classes > 32 and {b"w%d" % i for i in range(1600)} <= set(vocabulary)
+    counts = lm_score.count_words(docs).cache()
+    vocabulary, network = lm_score.fit(docs.select("doc_id", "text"), counts=counts)
+    n = Counter({bytes(r.word): r.n for r in counts.collect()})
+    assert n == Counter(w for _, t in rows for w in (t or "").encode().lower().split())
+    known, totals = set(vocabulary), Counter()
+    bucket = lambda w: xxhash.xxh64_intdigest(w, 42) - (1 << 64) * (xxhash.xxh64_intdigest(w, 42) >> 63)
+    for w in n.keys() - known:
+        totals[bucket(w) % network.buckets] += n[w]
+    more = docs.select("doc_id", "text").union(make([(-1, "zzqx-unseen the zzqx-unseen")]).select("doc_id", "text"))
+    base = {r.doc_id: r for r in lm_score.score(more, vocabulary, network).collect()}
+    for looked_up in (lm_score.LOOKED_UP, 500, 0):
+        got = {r.doc_id: r for r in lm_score.score(more, vocabulary, network, counts, text=looked_up > 0, looked_up=looked_up).collect()}
+        assert len(got) == len(rows) + 1
+        for d, t in [*rows, (-1, "zzqx-unseen the zzqx-unseen")]:
+            share = sum(np.log((n[w] or 0.5) / totals[bucket(w) % network.buckets]) for w in (t or "").encode().lower().split() if w not in known)
+            assert abs(got[d].log_prob - base[d].log_prob - share) < 0.01
+
+
 def test_store_round_trip(docs, rows, spark, tmp_path):
     from tokenizers import Tokenizer
 
