@@ -242,6 +242,22 @@ def test_lm_vocabulary_grows_and_each_word_has_its_own_probability(make, docs, r
             assert abs(got[d].log_prob - base[d].log_prob - share) < 0.01
 
 
+def test_lm_trains_on_every_token_and_beats_unigrams_on_held_out_texts(docs):
+    sizes = [0, 1, 2, 3, 7, 30]
+    chunk = [np.zeros(n, np.int32) for n in sizes]
+    turns = [lm_score.turn(chunk, nth, lm_score.TRAIN_EVERY) for nth in range(lm_score.ROUNDS)]
+    assert (sum(t.astype(int) for t in turns) >= 1).all() and len(turns[0]) == sum(sizes)
+    half = [docs.where(f"doc_id % 2 = {k}").select("doc_id", "text") for k in (0, 1)]
+    counts = lm_score.count_words(half[0]).cache()
+    vocabulary, network = lm_score.fit(half[0], counts=counts)
+    n = np.maximum(lm_score.token_counts(counts, vocabulary, network), 0.5)
+    unigram, words = np.log(n / n.sum()), lm_score.Words(vocabulary, network.buckets)
+    held = [words((r.text or "").encode())[0] for r in half[1].collect()]
+    base = sum(unigram[x].sum() for x in held) / sum(map(len, held))
+    got = lm_score.score(half[1], vocabulary, network).agg(F.sum("log_prob") / F.sum("n_tokens")).first()[0]
+    assert got > base + 0.005
+
+
 def test_store_round_trip(docs, rows, spark, tmp_path):
     from tokenizers import Tokenizer
 
