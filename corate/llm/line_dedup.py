@@ -25,8 +25,8 @@ from .common import internal, saved, text_bytes
 from .graph import components
 
 EDITS = 1
-#: Lines of fewer code points match only equal lines: an edit is too large a part of them.
-MIN_CHARS = 24
+#: Lines of fewer code points match only equal lines; 1: none do.
+MIN_CHARS = 1
 FEW = 100_000
 
 
@@ -44,9 +44,8 @@ def segments(length: int, edits: int) -> list[tuple[int, int]]:
 
 def probes(length: int, edits: int) -> Iterator[tuple[int, int, int, int]]:
     """(indexed length, segment, start, size) of the substrings that a line looks up."""
-    for shorter in range(edits + 1):
-        if length - shorter <= edits:
-            continue
+    for shorter in range(min(edits, length - 1) + 1):
+        # a line of at most ``edits`` characters has empty segments, which every line near its length holds
         for i, (at, n) in enumerate(segments(length - shorter, edits)):
             # i edits at most before the segment, edits - i at most after it
             low = max(at - i, at + shorter - (edits - i), 0)
@@ -170,7 +169,7 @@ def match_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
     A line that many tasks have is one row per task in the exchange by key, and
     one per key after it. The adaptive planner splits a hot key of the join.
     """
-    least = max(min_chars, edits + 1)
+    least = max(min_chars, 1)
 
     def once(keys: DataFrame, key: str, ident: str, parity: str) -> DataFrame:
         keys = keys.toDF(key, ident, parity)

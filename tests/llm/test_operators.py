@@ -429,6 +429,14 @@ def test_line_classes_match_brute_force(make, edits):
         assert (r.n_removed, r.n_links) == (len(gone[d]), sum(degree[x] for x in t.split("\n")))
 
 
+def test_short_lines_are_linked(make):
+    rng = np.random.default_rng(11)
+    lines = sorted({"".join(rng.choice(list("abé1"), n)) for n in (1, 1, 1, 2, 2, 2, 3, 4, 5, 8, 12, 20, 23) for _ in range(4)} | {"abcdefgh 1", "abcdefgh 2"})
+    for edits in (1, 2):
+        got = {r.doc_id: r.n_links for r in line_dedup.deduplicate_lines(make(list(enumerate(lines))), edits=edits).collect()}
+        assert got == {i: sum(x != y and edit_distance(x, y) <= edits for y in lines) for i, x in enumerate(lines)}
+
+
 def test_line_dedup_edges(make, odd_rows):
     df = make(odd_rows)
     got = line_dedup.deduplicate_lines(df)
