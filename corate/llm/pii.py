@@ -39,7 +39,7 @@ _FAST = {
 #: Proposals of the method, as runs that a match cannot start inside of.
 PROPOSED = {
     "phone": r"(?<![0-9A-Za-z+.)-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z-])",
-    "secret": r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{16,}+(?![A-Za-z0-9_.@-])",
+    "secret": r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{16,}+(?![A-Za-z0-9_@-]|\.[A-Za-z0-9_])",
 }
 #: Gazetteers: words that stand right before personal data of a kind.
 CUES = {

@@ -333,6 +333,13 @@ def test_pii_base_spans(make, odd_rows):
     assert pii.detect(df.limit(0)).count() == 0
 
 
+def test_pii_secret_at_the_end_of_a_sentence_is_proposed(make):
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    df = make([(1, f"the token is {key}."), (2, f"the token is {key}. Then"), (3, f"see {key}.example"), (4, f"to {key}@x.org")], clash=False)
+    got = df.select("doc_id", pii._found(F.col("text"), pii.PROPOSED["secret"]).alias("f")).collect()
+    assert {r.doc_id: [tuple(x)[2] for x in r.f] for r in got} == {1: [key], 2: [key], 3: [], 4: []}
+
+
 def test_pii_method_finds_secrets_and_spares_prose(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = pii.detect(docs.select("doc_id", "text")).collect()
