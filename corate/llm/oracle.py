@@ -75,5 +75,46 @@ FROM x JOIN c ON x.source IS NOT DISTINCT FROM c.source AND x.u = c.u AND x.doc_
 """
 
 
+OP11 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+w AS (SELECT r, lang, source, unnest(ts) AS term FROM d),
+t AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL),
+v AS (SELECT lang, term, count(*) AS n FROM w GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+l AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS n FROM v GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+s AS (SELECT lang, source, sum(t.n)::HUGEINT AS n FROM t SEMI JOIN v USING (lang, term) GROUP BY ALL),
+x AS (SELECT g.lang, g.source, v.term, coalesce(t.n, 0) AS n, v.n AS all_n,
+        1 + 1000000000::HUGEINT * (coalesce(t.n, 0) + 1) // (coalesce(s.n, 0) + l.v) AS p,
+        1 + 1000000000::HUGEINT * (v.n + 1) // (l.n + l.v) AS q
+      FROM g JOIN v USING (lang) JOIN l USING (lang) LEFT JOIN s ON s.lang = g.lang AND s.source = g.source
+      LEFT JOIN t ON t.lang = g.lang AND t.source = g.source AND t.term = v.term),
+pv AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+       FROM x a JOIN x b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pr AS (SELECT a.lang, a.source, b.source AS item, coalesce(pv.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+       LEFT JOIN pv ON pv.lang = a.lang AND pv.source = a.source AND pv.item = b.source),
+tv AS (SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value FROM x WHERE n > 0 AND p > q),
+u AS (SELECT lang, source, 'pair' AS part, item, value FROM pr UNION ALL SELECT lang, source, 'term', item, value FROM tv)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u)
+WHERE part = 'pair' OR rank <= 200
+"""
+
+
+OP13 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+t AS (SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS u, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+        ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, len(u)::BIGINT AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+             WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM t),
+p AS (SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS p, coalesce(array_to_string(u[a + 1:b], ''), '') AS m, coalesce(array_to_string(u[b + 1:], ''), '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": _op4(), "op10_source_mix": OP10}
+    return {"op4_quality_rules": _op4(), "op10_source_mix": OP10, "op11_source_audit": OP11, "op13_fill_in_middle": OP13}

@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, grade_model, line_dedup, lm_score, mixing, pii, quality_rules, simhash, token_counts, token_store
+from . import (decontaminate, fill_in_middle, grade_model, line_dedup, lm_score, mixing, pii, quality_rules, simhash, source_audit,
+               token_counts, token_store)
 from .common import documents, pick, saved
 
 TOKENIZERS = "/opt/tokenizers"
@@ -84,7 +85,21 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every pair of sources of a language, and each source's 200 terms that stand out (in 3 documents at least)."""
+    return source_audit.audit(documents(spark, sf_dir))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-the-middle form of every document: lengths, digest of the output and of the text rebuilt from it."""
+    out = fill_in_middle.transform(pick(documents(spark, sf_dir), doc_id="bigint", text="string"))
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_simhash_dedup, op2_token_counts, op3_quality_classifier, op4_quality_rules, op5_lm_score, op6_token_store, op7_pii, op8_line_dedup, op9_decontaminate, op10_source_mix,
+        op11_source_audit, op13_fill_in_middle,
     )}
