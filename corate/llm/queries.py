@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, fill_in_middle, grade_model, line_dedup, lm_score, mixing, pii, quality_rules, simhash, source_audit,
+from . import (decontaminate, fill_in_middle, grade_model, jaccard_join, line_dedup, lm_score, mixing, pii, quality_rules, simhash, source_audit,
                token_counts, token_store)
 from .common import documents, pick, saved
 
@@ -90,6 +90,11 @@ def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit(documents(spark, sf_dir))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles and component of every document (4-word shingles, Jaccard similarity of 0.85 or more)."""
+    return jaccard_join.similar_documents(documents(spark, sf_dir), shingle=4, percent=85)
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fill-in-the-middle form of every document: lengths, digest of the output and of the text rebuilt from it."""
     out = fill_in_middle.transform(pick(documents(spark, sf_dir), doc_id="bigint", text="string"))
@@ -101,5 +106,5 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_simhash_dedup, op2_token_counts, op3_quality_classifier, op4_quality_rules, op5_lm_score, op6_token_store, op7_pii, op8_line_dedup, op9_decontaminate, op10_source_mix,
-        op11_source_audit, op13_fill_in_middle,
+        op11_source_audit, op12_jaccard_join, op13_fill_in_middle,
     )}
