@@ -378,10 +378,16 @@ UNION ALL SELECT "user", item, source, prediction FROM filled""")
     q["csv_ratings"] = q["ratings_dedup"]
     q["csv_test_pairs"] = q["test_pairs"]
     q["csv_genres"] = with_ctes(["genres"], [], "SELECT item, genre FROM genres")
+    q["csv_header_parts"] = with_ctes(["ratings"], [], """
+SELECT e."user", e.item, count(*) AS n_lines, max(r.rating) AS rating
+FROM ev e JOIN ratings r ON r."user" = e."user" AND r.item = e.item GROUP BY e."user", e.item""")
     q["csv_rejects"] = """
-SELECT 'ratings' AS file, 'x' || user_id AS first_field FROM events
-UNION ALL SELECT 'test', CAST(s_suppkey AS VARCHAR) FROM supplier
-UNION ALL SELECT 'genres', n_name FROM nation"""
+SELECT 'ratings' AS file, 'x' || user_id || ',none,3.5,' || user_id AS line, 'type' AS reason FROM events
+UNION ALL SELECT 'ratings', r_regionkey || ',1,3.5,9,extra', 'fields' FROM region
+UNION ALL SELECT 'ratings', r_regionkey || ',1,2.5', 'fields' FROM region
+UNION ALL SELECT 'ratings', '"' || r_regionkey || ',1,3.0,4', 'quote' FROM region
+UNION ALL SELECT 'test', s_suppkey || ',none', 'type' FROM supplier
+UNION ALL SELECT 'genres', n_name || ',"Nation, A",none', 'type' FROM nation"""
     q["prediction_file"] = (
         'SELECT row_number() OVER (ORDER BY "UserId", "MovieId") AS position, * FROM (' + q["prediction_output"] + ")")
     return q

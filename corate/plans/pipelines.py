@@ -41,6 +41,7 @@ from corate.operators.skew import DEFAULT_HOT_ROWS
 from corate.operators.split import dedup_last, flag_holdout, holdout_split
 from corate.operators.stats import user_genre_stats, user_stats
 from corate.session import checkpoint_dir, materialize, write_table
+from corate.sources.readers import dedup_genres
 
 
 class Prepared(NamedTuple):
@@ -132,7 +133,7 @@ def prepare(
     # a repeated test pair must not repeat its truth row; one genre per item
     test = test.select("user", "item").distinct()
     if genres is not None:
-        genres = genres.groupBy("item").agg(F.max("genre").alias("genre"))
+        genres = dedup_genres(genres)
     how = materialize_how
     if how == "auto":
         how = "table" if checkpoint_dir(ratings.sparkSession) else "persist"

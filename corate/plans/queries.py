@@ -325,13 +325,19 @@ def q_csv_genres(spark, sf_dir):
     return read_genres_csv(spark, _csv(spark, sf_dir).genres).rows
 
 
+def q_csv_header_parts(spark, sf_dir):
+    """Rating lines of a folder whose parts mostly have no header, while it
+    comes back within them: lines of each key and the last rating."""
+    rows = read_ratings_csv(spark, _csv(spark, sf_dir).parts).rows
+    return rows.groupBy("user", "item").agg(F.count("*").alias("n_lines"), F.max_by("rating", "seq").alias("rating"))
+
+
 def q_csv_rejects(spark, sf_dir):
-    """Every line of the three files that does not parse: (file, first_field)."""
+    """Every line of the three files that does not parse: (file, line, reason)."""
     c = _csv(spark, sf_dir)
-    parts = [("ratings", read_ratings_csv(spark, c.ratings), "user_raw"),
-             ("test", read_test_csv(spark, c.test), "user_raw"),
-             ("genres", read_genres_csv(spark, c.genres), "item_raw")]
-    frames = [p.rejects.select(F.lit(n).alias("file"), F.col(f).alias("first_field")) for n, p, f in parts]
+    parts = [("ratings", read_ratings_csv(spark, c.ratings)), ("test", read_test_csv(spark, c.test)),
+             ("genres", read_genres_csv(spark, c.genres))]
+    frames = [p.rejects.select(F.lit(n).alias("file"), "line", "reason") for n, p in parts]
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
@@ -379,5 +385,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_ratings": q_csv_ratings,
         "csv_test_pairs": q_csv_test_pairs,
         "csv_genres": q_csv_genres,
+        "csv_header_parts": q_csv_header_parts,
         "csv_rejects": q_csv_rejects,
     }

@@ -80,38 +80,59 @@ class CsvInputs(NamedTuple):
     ratings: str
     test: str
     genres: str
+    parts: str
+
+
+#: Every line of these order keys is followed by the header once more in ``parts``.
+HEADER_EVERY = 500
 
 
 def write_csv_inputs(spark: SparkSession, sf_dir: str, folder: str) -> CsvInputs:
-    """The three inputs as CSV files in the recommender's own formats, under
-    ``folder``, with malformed rows between the good ones: one in the ratings
-    for each ``events`` row's user (``x<user>``, no item), one in the test
-    file for each supplier (``<key>,none``), one in the genres for each nation
-    (its name for the item). Rating lines are in event order; the genre file
-    has quoted titles with commas."""
+    """The three inputs as files in the recommender's own formats, under
+    ``folder``, with malformed lines between the good ones: one in the ratings
+    for each ``events`` row's user (``x<user>``, no item), and, for each
+    region, lines with a field too many, one too few and a quote left open;
+    one in the test file for each supplier (``<key>,none``); one in the genres
+    for each nation (its name for the item). Rating lines are in event order;
+    the genre file has quoted titles with commas, and an earlier line for each
+    item with another genre. ``parts`` holds the good rating lines in parts of
+    which only the first starts with the header, which comes back within."""
     paths = CsvInputs(*(f"{folder}/{n}" for n in CsvInputs._fields))
     inp = benchmark_inputs(spark, sf_dir)
     text = lambda c: F.col(c).cast("string")
+    line = lambda *c: F.concat_ws(",", *c).alias("value")
+    header = "userId,movieId,rating,timestamp"
+    no_seq = F.lit(None).cast(inp.events.schema["seq"].dataType).alias("seq")
+
     good = inp.events.select(
-        text("user").alias("userId"), text("item").alias("movieId"), text("rating").alias("rating"),
-        F.col("seq.l_orderkey").alias("timestamp"), "seq",
-    )
+        line(text("user"), text("item"), text("rating"), F.col("seq.l_orderkey").cast("string")),
+        F.col("seq.l_orderkey").cast("bigint").alias("at"), "seq", F.lit(0).alias("nth"))
     clicks = _t(spark, sf_dir, "events").select("user_id")
-    bad = clicks.select(
-        F.concat(F.lit("x"), text("user_id")).alias("userId"), F.lit("none").alias("movieId"),
-        F.lit("3.5").alias("rating"), F.col("user_id").cast("bigint").alias("timestamp"),
-        F.lit(None).cast(good.schema["seq"].dataType).alias("seq"),
-    )
-    lines = good.unionByName(bad).orderBy("timestamp", "seq").drop("seq")
-    lines.write.option("header", True).csv(paths.ratings)
+    bad = clicks.select(line(F.concat(F.lit("x"), text("user_id")), F.lit("none"), F.lit("3.5"), text("user_id")),
+                        F.col("user_id").cast("bigint").alias("at"), no_seq, F.lit(1).alias("nth"))
+    key = _t(spark, sf_dir, "region").select(F.col("r_regionkey").cast("bigint").alias("at"), text("r_regionkey").alias("k"))
+    ragged = [line(F.col("k"), F.lit("1,3.5,9,extra")), line(F.col("k"), F.lit("1,2.5")), line(F.concat(F.lit('"'), "k"), F.lit("1,3.0,4"))]
+    ragged = [key.select(v, "at", no_seq, F.lit(2 + i).alias("nth")) for i, v in enumerate(ragged)]
+    top = spark.range(1).select(F.lit(header).alias("value"), F.lit(-1).cast("bigint").alias("at"), no_seq, F.lit(0).alias("nth"))
+    lines = good.unionByName(bad).unionByName(top)
+    for rows in ragged:
+        lines = lines.unionByName(rows)
+    lines.orderBy("at", "seq", "nth").select("value").write.text(paths.ratings)
+
+    again = inp.events.select(F.col("seq.l_orderkey").cast("bigint").alias("at")).where(f"at % {HEADER_EVERY} = 0").distinct()
+    again = again.select(F.lit(header).alias("value"), "at", no_seq, F.lit(0).alias("nth"))
+    good.unionByName(again).unionByName(top).orderBy("at", "seq", "nth").select("value").write.text(paths.parts)
 
     supp = _t(spark, sf_dir, "supplier").select(text("s_suppkey").alias("userId"), F.lit("none").alias("movieId"))
     pairs = inp.test.select(text("user").alias("userId"), text("item").alias("movieId")).unionByName(supp)
     pairs.write.option("header", True).csv(paths.test)
 
     title = F.concat(F.lit("Part, The ("), text("item"), F.lit(")"))
-    named = inp.genres.select(text("item").alias("item"), title.alias("title"), "genre")
+    named = inp.genres.select("item", text("item").alias("first"), title.alias("title"), "genre", F.lit(1).alias("nth"))
+    earlier = named.withColumn("nth", F.lit(0)).withColumn("genre", F.concat(F.lit("Z"), "genre"))
     nations = _t(spark, sf_dir, "nation").select(
-        F.col("n_name").alias("item"), F.lit("Nation, A").alias("title"), F.lit("none").alias("genre"))
-    named.unionByName(nations).write.option("header", False).option("escape", '"').csv(paths.genres)
+        F.lit(None).cast("bigint").alias("item"), F.col("n_name").alias("first"), F.lit("Nation, A").alias("title"),
+        F.lit("none").alias("genre"), F.lit(0).alias("nth"))
+    rows = named.unionByName(earlier).unionByName(nations).orderBy("nth", "item")
+    rows.select("first", "title", "genre").write.option("header", False).option("escape", '"').csv(paths.genres)
     return paths

@@ -59,3 +59,72 @@ def test_ratings_csv_last_line_wins_across_files(spark, scratch):
     _write(os.path.join(d, "b.csv"), "u,i,r,t\n1,1,4.5,0\n2,2,3.0,0\n")
     got = {(r["user"], r["item"]): r["rating"] for r in dedup_last(read_ratings_csv(spark, d).rows).collect()}
     assert got == {(1, 1): 4.5, (2, 2): 3.0}
+
+
+def test_header_is_matched_by_content_not_by_position(spark, scratch):
+    """Parts without a header keep their first line; a header within a part goes."""
+    d = os.path.join(scratch, "parts dir")
+    os.makedirs(d)
+    _write(os.path.join(d, "0.csv"), "\n")
+    _write(os.path.join(d, "a.csv"), "userId,movieId,rating,timestamp\n1,10,4.0,1\n")
+    _write(os.path.join(d, "b.csv"), "5,6,2.0,1\nuserId,movieId,rating,time\n5,7,1.0,1\n")
+    parsed = read_ratings_csv(spark, d)
+    assert sorted((r.user, r.item, r.rating) for r in parsed.rows.collect()) == [(1, 10, 4.0), (5, 6, 2.0), (5, 7, 1.0)]
+    assert parsed.rejects.count() == 0
+
+
+def test_folder_without_any_header(spark, scratch):
+    d = os.path.join(scratch, "bare")
+    os.makedirs(d)
+    _write(os.path.join(d, "a.csv"), "1,10,4.0,1\n1,10,4.0,2\n")
+    _write(os.path.join(d, "b.csv"), "2,10,3.0,1\n")
+    assert read_ratings_csv(spark, d).rows.count() == 3
+    assert read_ratings_csv(spark, d, header="1,10,4.0,1").rows.count() == 1  # the first line named as header
+    assert read_test_csv(spark, d).rows.count() == 2
+
+
+def test_malformed_lines_are_rejects_with_their_place(spark, scratch):
+    p = _write(os.path.join(scratch, "ragged.csv"),
+               'u,i,r,t\n1,2,3.0,9,extra,more\n7,8,2.5\n\n"9,1,2.0,3\nx,1,2.0,3\n5,8,,1\n"5","9",1.5,"a,b"\n')
+    parsed = read_ratings_csv(spark, p)
+    assert [(r.user, r.item, r.rating) for r in parsed.rows.collect()] == [(5, 9, 1.5)]
+    got = {(r.line_no, r.reason, r.line) for r in parsed.rejects.collect()}
+    assert got == {(2, "fields", "1,2,3.0,9,extra,more"), (3, "fields", "7,8,2.5"), (5, "quote", '"9,1,2.0,3'),
+                   (6, "type", "x,1,2.0,3"), (7, "type", "5,8,,1")}
+    assert all(r.file.endswith("ragged.csv") for r in parsed.rejects.collect())
+
+
+def test_line_numbers_over_file_splits(spark, scratch):
+    p = _write(os.path.join(scratch, "split.csv"), "u,i,r,t\n" + "".join(f"{n},1,{'x' if n % 50 == 7 else '2.5'},0\n" for n in range(1000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        parsed = read_ratings_csv(spark, p)
+        assert parsed.rows.rdd.getNumPartitions() > 5
+        assert {r.line_no for r in parsed.rejects.collect()} == {n + 2 for n in range(1000) if n % 50 == 7}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_test_file_rejects(spark, scratch):
+    p = _write(os.path.join(scratch, "t.csv"), "u,i,x\n1,2,a\n1,2\n1,y,b\n")
+    parsed = read_test_csv(spark, p)
+    assert [tuple(r) for r in parsed.rows.collect()] == [(1, 2)]
+    assert {(r.line, r.reason) for r in parsed.rejects.collect()} == {("1,2", "fields"), ("1,y,b", "type")}
+
+
+def test_last_genre_of_an_item_wins(spark, scratch):
+    from corate.plans.pipelines import dedup_genres
+
+    p = _write(os.path.join(scratch, "genres.csv"), '1,Drama\n2,"A, b",Western\n1,"T, the",Comedy\n2,Action\n3,"Open, Drama\n4\n5,a,b,c\n6,t,\n7,a,,b\n')
+    parsed = read_genres_csv(spark, p)
+    assert {r.item: r.genre for r in parsed.rows.collect()} == {1: "Comedy", 2: "Action"}
+    assert {(r.line_no, r.reason) for r in parsed.rejects.collect()} == {(5, "quote"), (6, "fields"), (7, "fields"), (8, "type"), (9, "fields")}
+    events = spark.createDataFrame([(1, "Western", 2), (1, "Action", 3)], "item BIGINT, genre STRING, seq INT")
+    assert dedup_genres(events).first().genre == "Action"
+    assert dedup_genres(events.drop("seq")).first().genre == "Western"
+
+
+def test_empty_files(spark, scratch):
+    p = _write(os.path.join(scratch, "empty.csv"), "")
+    for read in (read_ratings_csv, read_test_csv, read_genres_csv):
+        assert read(spark, p).rows.count() == 0 and read(spark, p).rejects.count() == 0
