@@ -11,9 +11,9 @@ Similarity Join", 2017):
 * Index lists are dealt into blocks by the size of the set and the position of
   the element in it. A probe from position i of a set of n elements joins with
   the blocks only in which some size and position can still reach o.
-* Answers of similar sets are nearly the same. Each list first compares its
-  sets with one pivot; for a set near its pivot only the differences to it are
-  kept. Two sets with one pivot c are compared by these differences alone,
+* Answers of similar sets are nearly the same. The sets of a list are first
+  compared with pivots of the list; of a set only its differences to a pivot
+  are kept. Two sets with one pivot c are compared by these differences alone,
 
       |x & y| = |c| - |(c - x) | (c - y)| + |(x - c) & (y - c)|,
 
@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from .common import pick, saved, shipped, text_bytes
 from .graph import components
 
-SHINGLE, PERCENT, MAP_BITS, ROUNDS = 4, 85, 512, 2
+SHINGLE, PERCENT, MAP_BITS, ROUNDS = 4, 85, 512, 3
 #: Entries of the table of common shingles that every task gets (9 bytes each), and hashes counted at once.
 COMMON, _CHUNK = 1 << 20, 1 << 22
 #: Bits of the filter for the second reading of the texts (16 MB at any input size).
@@ -145,12 +145,16 @@ def _least(n: str, m: str, percent: int) -> str:
     return f"(({percent} * ({n} + {m}) + {99 + percent}) div {100 + percent})"
 
 
+def _differ(x: str, y: str) -> str:
+    """Places in which two parity maps differ."""
+    return " + ".join(f"bit_count({x}_bits[{i}] ^ {y}_bits[{i}])" for i in range(MAP_BITS // 64))
+
+
 def _possible(x: str, y: str, percent: int) -> Column:
     """Whether sets met at positions x_i, y_i can be similar: sizes, positions, parity maps."""
     least = _least(f"{x}_n", f"{y}_n", percent)
-    differ = " + ".join(f"bit_count({x}_bits[{i}] ^ {y}_bits[{i}])" for i in range(MAP_BITS // 64))
     return F.expr(f"100 * least({x}_n, {y}_n) >= {percent} * greatest({x}_n, {y}_n) and {x}_i <= {x}_n - {least} "
-                  f"and {y}_i <= {y}_n - {least} and {differ} <= {x}_n + {y}_n - 2 * {least}")
+                  f"and {y}_i <= {y}_n - {least} and {_differ(x, y)} <= {x}_n + {y}_n - 2 * {least}")
 
 
 def _fetch(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -255,22 +259,32 @@ class Join:
         self.classes = saved(classes.withColumn("id", F.monotonically_increasing_id()), "jaccard-classes")
         postings = self.classes.select("id", "n", F.posexplode("prefix").alias("i", "key"))
         shared = postings.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-        entries = saved(postings.join(shared, "key"), "jaccard-entries")
-        found = entries.select("id").distinct()
-        found = self.classes.join(found, "id").select("id", "t", "d1", "d2", "bits")
-        self.entries = saved(entries.join(found.select("id", "bits"), "id"), "jaccard-index")
-        self.sets = saved(_fetch(docs, found, shingle), "jaccard-sets")
+        entries = postings.join(shared, "key")
+        self.entries = saved(entries.join(self.classes.select("id", "bits"), "id"), "jaccard-index")
+        self.docs, self.shingle = docs, shingle
+
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """(id, elements) of the classes ``ids``."""
+        return saved(_fetch(self.docs, self.classes.select("id", "t", "d1", "d2").join(ids, "id", "left_semi"), self.shingle), "jaccard-sets")
 
     def similar(self, compared: DataFrame) -> DataFrame:
         return compared.where(f"100 * shared >= {self.percent} * (a_n + b_n - shared)")
 
-    def _pivot_pairs(self, entries: DataFrame, turn: int) -> DataFrame:
-        """(a, b): a is the pivot of a list of b, not in its component, and may be similar. One pivot a list and turn."""
-        chosen = F.max_by(F.struct("id", "n", "i", "bits", "root"), F.xxhash64("id", "key", F.lit(turn))).alias("p")
-        pivot = entries.groupBy("key").agg(chosen).select("key", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("id", "n", "i", "bits", "root")])
-        mine = entries.select("key", *[F.col(c).alias(f"e_{c}") for c in ("id", "n", "i", "bits", "root")])
-        met = mine.join(pivot, "key").where("e_id <> p_id and e_root <> p_root").where(_possible("e", "p", self.percent))
-        return met.select(F.col("p_id").alias("a"), F.col("e_id").alias("b")).distinct()
+    def _pivot_pairs(self, rounds: int) -> DataFrame:
+        """(a, b, apart): a is a pivot of a list of b, and they may be similar.
+
+        A list has as many pivots as there are rounds: the same sets in all
+        lists as far as possible in the first, any of the list in the others.
+        ``apart`` estimates the share of elements in which the two differ.
+        """
+        own = ("id", "n", "i", "bits")
+        chosen = [F.max_by(F.struct(*own), F.xxhash64("id", *([F.lit(r), "key"] if r else []))) for r in range(rounds)]
+        pivot = self.entries.groupBy("key").agg(F.array_distinct(F.array(*chosen)).alias("p")).select("key", F.explode("p").alias("p"))
+        pivot = pivot.select("key", *[F.col(f"p.{c}").alias(f"p_{c}") for c in own])
+        mine = self.entries.select("key", *[F.col(c).alias(f"e_{c}") for c in own])
+        met = mine.join(pivot, "key").where("e_id <> p_id").where(_possible("e", "p", self.percent))
+        differ = F.expr(f"({_differ('e', 'p')}) / cast(e_n + p_n as double)")
+        return met.groupBy(F.col("p_id").alias("a"), F.col("e_id").alias("b")).agg(F.any_value(differ).alias("apart"))
 
     def _block_pairs(self, entries: DataFrame, every: bool) -> DataFrame:
         """(a, b) of all pairs that some index list and its bounds allow; pairs in one component only if ``every``.
@@ -303,43 +317,50 @@ class Join:
 
         By default enough of them to connect all that are similar; with
         ``every`` all pairs, however many there are.
+
+        In each round every set is compared with one pivot that it may be
+        similar to and that is in another component yet: with the pivot of
+        most sets, or (odd rounds) the nearest. What the rounds leave apart
+        is for the index blocks, so they lose nothing.
         """
-        at = self.entries.withColumn("root", F.col("id"))
-        found, homes = [], []
+        ids = lambda pairs: pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+        columns = ("a", "b", "shared", "a_n", "b_n")
+        open_ = saved(self._pivot_pairs(rounds), "jaccard-pivots") if rounds else None
+        sets = self.sets(ids(open_)) if rounds else None
+        compared, found, roots = None, None, None
         for turn in range(rounds):
-            compared = saved(_compare(self._pivot_pairs(at, turn), self.sets, True), "jaccard-pivots")
-            homes.append(compared)
-            found.append(self.similar(compared).select("a", "b", "shared", "a_n", "b_n"))
-            at = self._rooted(found)
-        home = homes[0] if homes else None
-        for more in homes[1:]:
-            home = home.union(more)
-        pairs = self._block_pairs(at, every)
-        if home is None:
-            return self.similar(_compare(pairs, self.sets)).select("a", "b", "shared", "a_n", "b_n")
-        best = home.groupBy("b").agg(F.max_by(F.struct("a", "a_n", "missing", "added"), F.struct("shared", "a")).alias("h"))
-        home = saved(best.select("b", F.col("h.a").alias("pivot"), F.col("h.a_n").alias("pivot_n"), F.col("h.missing").alias("missing"), F.col("h.added").alias("added")), "jaccard-homes")
-        homed = home.select("b", "pivot", "pivot_n", "missing", "added")
-        pairs = saved(pairs, "jaccard-pairs")
+            if roots is not None:
+                named = [roots.toDF(c, f"{c}_root") for c in ("a", "b")]
+                open_ = open_.join(named[0], "a", "left").join(named[1], "b", "left")
+                open_ = open_.where("coalesce(a_root, a) <> coalesce(b_root, b)").select("a", "b", "apart")
+                open_ = saved(open_.join(compared.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-open")
+            rank = F.struct(-F.col("apart"), "a")
+            if turn % 2 == 0:
+                rank = F.struct("size", "a")
+                open_ = open_.join(open_.groupBy("a").agg(F.count("*").alias("size")), "a")
+            new = open_.groupBy("b").agg(F.max_by("a", rank).alias("a")).select("a", "b")
+            new = saved(_compare(new, sets, True), "jaccard-compared")
+            compared = new if compared is None else compared.union(new)
+            found = self.similar(compared).select(*columns)
+            roots = saved(components(found), "jaccard-roots")
+        at = self.entries.withColumn("root", F.col("id"))
+        if rounds:
+            at = self.entries.join(roots, F.col("id") == F.col("node"), "left").select(*self.entries.columns, F.coalesce("root", "id").alias("root"))
+        pairs = saved(self._block_pairs(saved(at, "jaccard-rooted"), every), "jaccard-pairs")
+        if not rounds:
+            return self.similar(_compare(pairs, self.sets(ids(pairs)))).select(*columns)
+        # the differences to the pivot a set shares most with
+        best = compared.groupBy("b").agg(F.max_by(F.struct("a", "a_n", "missing", "added"), F.struct("shared", "a")).alias("h"))
+        home = saved(best.select("b", F.col("h.a").alias("pivot"), F.col("h.a_n").alias("pivot_n"), "h.missing", "h.added"), "jaccard-homes")
         light = home.select("b", "pivot")
-        paired = pairs.join(light.toDF("a", "a_pivot"), "a", "left").join(light.toDF("b", "b_pivot"), "b", "left").select("a", "b", F.expr("a_pivot <=> b_pivot and a_pivot is not null").alias("derived"))
-        paired = saved(paired, "jaccard-paired")
-        derived = paired.where("derived").join(homed.toDF("a", "pivot", "pivot_n", "a_missing", "a_added"), "a").join(
-            homed.select("b", F.col("missing").alias("b_missing"), F.col("added").alias("b_added")), "b")
-        rest = self.similar(_derive(derived)).union(self.similar(_compare(paired.where("not derived").select("a", "b"), self.sets)).select("a", "b", "shared", "a_n", "b_n"))
-        if every:
-            return rest
-        for part in found:
-            rest = rest.union(part)
-        return rest
-
-    def _rooted(self, found: list[DataFrame]) -> DataFrame:
-        edges = found[0]
-        for more in found[1:]:
-            edges = edges.union(more)
-        roots = components(edges)
-        at = self.entries.join(roots, F.col("id") == F.col("node"), "left")
-        return saved(at.select(*self.entries.columns, F.coalesce("root", "id").alias("root")), "jaccard-index")
+        paired = pairs.join(light.toDF("a", "a_pivot"), "a", "left").join(light.toDF("b", "b_pivot"), "b", "left")
+        paired = saved(paired.select("a", "b", F.expr("coalesce(a_pivot = b_pivot, false) as derived")), "jaccard-paired")
+        derived = paired.where("derived").join(home.toDF("a", "pivot", "pivot_n", "a_missing", "a_added"), "a").join(
+            home.select("b", F.col("missing").alias("b_missing"), F.col("added").alias("b_added")), "b")
+        whole = paired.where("not derived").select("a", "b")
+        missing = ids(whole).join(sets, "id", "left_anti")
+        rest = _derive(derived).union(_compare(whole, sets.union(self.sets(missing))).select(*columns))
+        return self.similar(rest) if every else self.similar(rest).union(found)
 
     def grouped(self) -> DataFrame:
         """(doc_id, n_shingles, component_id) of every row."""
