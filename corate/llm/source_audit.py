@@ -35,7 +35,7 @@ MIN_DOCS, TOP, PACKED = 3, 200, 8
 #: Fixed value: a level is 1 + floor(SCALE * (count + 1) / (all counts + terms)).
 SCALE = 1_000_000_000
 #: Terms counted in a Python task before they are handed on, bytes of text split at once.
-_FLUSH, _PIECE = 200_000, 1 << 20
+_FLUSH, _PIECE = 300_000, 1 << 20
 #: Groups up to this number are broadcast (some 100 bytes each); beyond, they are joined by shuffle.
 MAX_BROADCAST = 100_000
 #: Letters, lower case; what is no letter separates. Bytes above 0x7F belong to letters.
@@ -77,21 +77,19 @@ def count_terms(docs: DataFrame) -> DataFrame:
                                                pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64())],
                                               ["lang", "source", "term", "n", "docs"])
 
+        held = 0  # terms in the counters
         for batch in batches:
-            held = 0
             for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(2))):
                 counts, seen = n.setdefault((lang, source), Counter()), in_docs.setdefault((lang, source), Counter())
-                own: set[bytes] = set()
+                before, own = len(counts), set()
                 for terms in _pieces(text):
                     counts.update(terms)
                     own.update(terms)
                 seen.update(own)
-                held += len(own)
+                held += len(counts) - before
                 if held > _FLUSH:
                     yield flush()
                     held = 0
-            if sum(map(len, n.values())) > _FLUSH:
-                yield flush()
         if n:
             yield flush()
 
