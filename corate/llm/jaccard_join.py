@@ -150,11 +150,10 @@ def _differ(x: str, y: str) -> str:
     return " + ".join(f"bit_count({x}_bits[{i}] ^ {y}_bits[{i}])" for i in range(MAP_BITS // 64))
 
 
-def _possible(x: str, y: str, percent: int) -> Column:
-    """Whether sets met at positions x_i, y_i can be similar: sizes, positions, parity maps."""
+def _reach(x: str, y: str, percent: int) -> Column:
+    """Whether sets met at positions x_i, y_i can be similar, by sizes and positions."""
     least = _least(f"{x}_n", f"{y}_n", percent)
-    return F.expr(f"100 * least({x}_n, {y}_n) >= {percent} * greatest({x}_n, {y}_n) and {x}_i <= {x}_n - {least} "
-                  f"and {y}_i <= {y}_n - {least} and {_differ(x, y)} <= {x}_n + {y}_n - 2 * {least}")
+    return F.expr(f"100 * least({x}_n, {y}_n) >= {percent} * greatest({x}_n, {y}_n) and {x}_i <= {x}_n - {least} and {y}_i <= {y}_n - {least}")
 
 
 def _fetch(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -258,9 +257,9 @@ class Join:
             F.min("doc_id").alias("first"), F.min("t").alias("t"), F.any_value("n").alias("n"), F.any_value("bits").alias("bits"), F.any_value("prefix").alias("prefix"))
         self.classes = saved(classes.withColumn("id", F.monotonically_increasing_id()), "jaccard-classes")
         postings = self.classes.select("id", "n", F.posexplode("prefix").alias("i", "key"))
-        shared = postings.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-        entries = postings.join(shared, "key")
-        self.entries = saved(entries.join(self.classes.select("id", "bits"), "id"), "jaccard-index")
+        shared = postings.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+        #: (key, id, n, i, c): the index lists of elements in the prefixes of c > 1 sets.
+        self.entries = saved(postings.join(shared, "key"), "jaccard-index")
         self.docs, self.shingle = docs, shingle
 
     def sets(self, ids: DataFrame) -> DataFrame:
@@ -270,32 +269,35 @@ class Join:
     def similar(self, compared: DataFrame) -> DataFrame:
         return compared.where(f"100 * shared >= {self.percent} * (a_n + b_n - shared)")
 
-    def _pivot_pairs(self, rounds: int) -> DataFrame:
+    def _with_maps(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` (a, a_n, b, b_n) whose parity maps allow similarity, with the share of places ``apart``."""
+        for c in ("b", "a"):
+            pairs = pairs.join(self.classes.select(F.col("id").alias(c), F.col("bits").alias(f"{c}_bits")), c)
+        differ = F.expr(_differ("a", "b"))
+        pairs = pairs.where(differ <= F.expr(f"a_n + b_n - 2 * {_least('a_n', 'b_n', self.percent)}"))
+        return pairs.select("a", "b", (differ / (F.col("a_n") + F.col("b_n"))).alias("apart"))
+
+    def _pivot_pairs(self) -> DataFrame:
         """(a, b, apart): a is a pivot of a list of b, and they may be similar.
 
-        A list has as many pivots as there are rounds: the same sets in all
-        lists as far as possible in the first, any of the list in the others.
-        ``apart`` estimates the share of elements in which the two differ.
+        The pivots of a list are its sets of least and greatest id, which are
+        the same in many lists. Lists of up to three sets have no other pairs.
         """
-        own = ("id", "n", "i", "bits")
-        chosen = [F.max_by(F.struct(*own), F.xxhash64("id", *([F.lit(r), "key"] if r else []))) for r in range(rounds)]
-        pivot = self.entries.groupBy("key").agg(F.array_distinct(F.array(*chosen)).alias("p")).select("key", F.explode("p").alias("p"))
-        pivot = pivot.select("key", *[F.col(f"p.{c}").alias(f"p_{c}") for c in own])
-        mine = self.entries.select("key", *[F.col(c).alias(f"e_{c}") for c in own])
-        met = mine.join(pivot, "key").where("e_id <> p_id").where(_possible("e", "p", self.percent))
-        differ = F.expr(f"({_differ('e', 'p')}) / cast(e_n + p_n as double)")
-        return met.groupBy(F.col("p_id").alias("a"), F.col("e_id").alias("b")).agg(F.any_value(differ).alias("apart"))
+        own = F.struct("id", "n", "i")
+        pivot = self.entries.groupBy("key").agg(F.min(own).alias("lo"), F.max(own).alias("hi"))
+        pivot = pivot.select("key", F.explode(F.array("lo", "hi")).alias("p")).select("key", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("id", "n", "i")])
+        mine = self.entries.select("key", *[F.col(c).alias(f"e_{c}") for c in ("id", "n", "i")])
+        met = mine.join(pivot, "key").where("e_id <> p_id").where(_reach("e", "p", self.percent))
+        return self._with_maps(met.select(F.col("p_id").alias("a"), F.col("p_n").alias("a_n"), F.col("e_id").alias("b"), F.col("e_n").alias("b_n")).distinct())
 
     def _block_pairs(self, entries: DataFrame, every: bool) -> DataFrame:
-        """(a, b) of all pairs that some index list and its bounds allow; pairs in one component only if ``every``.
+        """(a, b) of all pairs that a list of ``entries`` and its bounds allow; pairs in one component only if ``every``.
 
         The larger set probes (ties: the larger id). Blocks are named by
         element, size class and position class, both on a log scale.
         """
         p, q = self.percent, 100 + self.percent
-        if not every:
-            mixed = entries.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-            entries = entries.join(mixed, "key")
+        entries = entries.join(self.classes.select("id", "bits"), "id")
         size = f"cast(floor(ln({{0}}) / ln({100 / p})) as int)"
         place = "cast(floor(log2({0} + 1)) as int)"
         index = entries.where(f"i <= n - {_least('n', 'n', p)}").select(
@@ -310,7 +312,8 @@ class Join:
         met = probe.join(index, ["key", "size", "place"]).where("x_n > y_n or x_n = y_n and x_id > y_id")
         if not every:
             met = met.where("x_root <> y_root")
-        return met.where(_possible("x", "y", p)).select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
+        met = met.where(_reach("x", "y", p)).where(f"{_differ('x', 'y')} <= x_n + y_n - 2 * {_least('x_n', 'y_n', p)}")
+        return met.select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
 
     def links(self, every: bool = False, rounds: int = ROUNDS) -> DataFrame:
         """(a, b, shared, a_n, b_n): similar pairs of classes.
@@ -320,20 +323,23 @@ class Join:
 
         In each round every set is compared with one pivot that it may be
         similar to and that is in another component yet: with the pivot of
-        most sets, or (odd rounds) the nearest. What the rounds leave apart
-        is for the index blocks, so they lose nothing.
+        most sets, or (odd rounds) the nearest. Pairs with pivots that the
+        rounds leave, and all pairs of lists that have others than those with
+        pivots, follow, so nothing is lost.
         """
         ids = lambda pairs: pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
         columns = ("a", "b", "shared", "a_n", "b_n")
-        open_ = saved(self._pivot_pairs(rounds), "jaccard-pivots") if rounds else None
+        open_ = saved(self._pivot_pairs(), "jaccard-pivots") if rounds else None
         sets = self.sets(ids(open_)) if rounds else None
         compared, found, roots = None, None, None
-        for turn in range(rounds):
-            if roots is not None:
+        for turn in range(rounds + 1 if rounds else 0):
+            if turn:
                 named = [roots.toDF(c, f"{c}_root") for c in ("a", "b")]
                 open_ = open_.join(named[0], "a", "left").join(named[1], "b", "left")
                 open_ = open_.where("coalesce(a_root, a) <> coalesce(b_root, b)").select("a", "b", "apart")
                 open_ = saved(open_.join(compared.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-open")
+            if turn == rounds:
+                break
             rank = F.struct(-F.col("apart"), "a")
             if turn % 2 == 0:
                 rank = F.struct("size", "a")
@@ -344,9 +350,15 @@ class Join:
             found = self.similar(compared).select(*columns)
             roots = saved(components(found), "jaccard-roots")
         at = self.entries.withColumn("root", F.col("id"))
-        if rounds:
-            at = self.entries.join(roots, F.col("id") == F.col("node"), "left").select(*self.entries.columns, F.coalesce("root", "id").alias("root"))
-        pairs = saved(self._block_pairs(saved(at, "jaccard-rooted"), every), "jaccard-pairs")
+        if rounds and not every:
+            at = self.entries.where("c > 3").join(roots, F.col("id") == F.col("node"), "left")
+            at = saved(at.select(*self.entries.columns, F.coalesce("root", "id").alias("root")), "jaccard-rooted")
+            mixed = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+            at = at.join(mixed, "key")
+        pairs = self._block_pairs(at, every)
+        if rounds and not every:
+            pairs = pairs.union(open_.select("a", "b")).distinct()
+        pairs = saved(pairs, "jaccard-pairs")
         if not rounds:
             return self.similar(_compare(pairs, self.sets(ids(pairs)))).select(*columns)
         # the differences to the pivot a set shares most with
