@@ -42,9 +42,11 @@ from pyspark.sql import functions as F
 from .common import pick, saved, shipped, text_bytes
 from .graph import components
 
-SHINGLE, PERCENT, MAP_BITS, ROUNDS = 4, 85, 512, 3
+SHINGLE, PERCENT, MAP_BITS, ROUNDS, PIVOTS = 4, 85, 512, 3, 8
 #: Entries of the table of common shingles that every task gets (9 bytes each), and hashes counted at once.
 COMMON, _CHUNK = 1 << 20, 1 << 22
+#: Pairs and names of sets up to this number are broadcast (some 24 bytes each); beyond, the sets are shuffled.
+MAX_BROADCAST = 1 << 20
 #: Bits of the filter for the second reading of the texts (16 MB at any input size).
 FILTER_BITS = 1 << 27
 
@@ -194,7 +196,9 @@ def _fetch(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
 
     schema = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("elements", pa.binary())])
     sets = docs.select(F.pmod(F.xxhash64("text"), F.lit(FILTER_BITS)).alias("p"), "text").mapInArrow(run, "d1 bigint, d2 bigint, elements binary")
-    return sets.join(wanted.select("id", "d1", "d2"), ["d1", "d2"]).dropDuplicates(["id"]).select("id", "elements")
+    named = wanted.select("id", "d1", "d2")
+    named = F.broadcast(named) if named.count() <= MAX_BROADCAST else named
+    return sets.join(named, ["d1", "d2"]).dropDuplicates(["id"]).select("id", "elements")
 
 
 _DIFFERENCES = "a bigint, b bigint, shared bigint, a_n bigint, b_n bigint, missing binary, added binary"
@@ -218,9 +222,11 @@ def _compare(pairs: DataFrame, sets: DataFrame, differences: bool = False) -> Da
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, k) for c, k in zip(out, kinds)]],
                                              ["a", "b", "shared", "a_n", "b_n", "missing", "added"])
 
-    # a is the side that may be in many pairs (pivots): it joins last
-    rows = pairs.join(sets.select(F.col("id").alias("b"), F.col("elements").alias("b_set")), "b")
-    rows = rows.join(sets.select(F.col("id").alias("a"), F.col("elements").alias("a_set")), "a").select("a", "b", "a_set", "b_set")
+    # narrow pairs go to the sets; a is the side that may be in many pairs (pivots): it joins last
+    small = F.broadcast if pairs.count() <= MAX_BROADCAST else (lambda df: df)
+    rows = sets.select(F.col("id").alias("b"), F.col("elements").alias("b_set")).join(small(pairs), "b")
+    pivots = sets.join(small(pairs.select(F.col("a").alias("id")).distinct()), "id", "left_semi")
+    rows = rows.join(pivots.select(F.col("id").alias("a"), F.col("elements").alias("a_set")), "a").select("a", "b", "a_set", "b_set")
     return rows.mapInArrow(run, _DIFFERENCES)
 
 
@@ -280,15 +286,15 @@ class Join:
     def _pivot_pairs(self) -> DataFrame:
         """(a, b, apart): a is a pivot of a list of b, and they may be similar.
 
-        The pivots of a list are its sets of least and greatest id, which are
-        the same in many lists. Lists of up to three sets have no other pairs.
+        All sets of a list of up to ``PIVOTS`` are its pivots, and about that
+        many, drawn by a hash, of a longer one. A pair comes out once.
         """
-        own = F.struct("id", "n", "i")
-        pivot = self.entries.groupBy("key").agg(F.min(own).alias("lo"), F.max(own).alias("hi"))
-        pivot = pivot.select("key", F.explode(F.array("lo", "hi")).alias("p")).select("key", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("id", "n", "i")])
-        mine = self.entries.select("key", *[F.col(c).alias(f"e_{c}") for c in ("id", "n", "i")])
-        met = mine.join(pivot, "key").where("e_id <> p_id").where(_reach("e", "p", self.percent))
-        return self._with_maps(met.select(F.col("p_id").alias("a"), F.col("p_n").alias("a_n"), F.col("e_id").alias("b"), F.col("e_n").alias("b_n")).distinct())
+        is_pivot = F.pmod(F.xxhash64("id", "key"), F.col("c")) < PIVOTS
+        mine = self.entries.select("key", *[F.col(c).alias(f"e_{c}") for c in ("id", "n", "i")], is_pivot.alias("e_pivot"))
+        pivot = self.entries.where(is_pivot).select("key", *[F.col(c).alias(f"p_{c}") for c in ("id", "n", "i")])
+        met = mine.join(pivot, "key").where("e_id <> p_id and (not e_pivot or p_id < e_id)").where(_reach("e", "p", self.percent))
+        met = met.select(F.col("p_id").alias("a"), F.col("p_n").alias("a_n"), F.col("e_id").alias("b"), F.col("e_n").alias("b_n"))
+        return self._with_maps(met.distinct())
 
     def _block_pairs(self, entries: DataFrame, every: bool) -> DataFrame:
         """(a, b) of all pairs that a list of ``entries`` and its bounds allow; pairs in one component only if ``every``.
@@ -299,7 +305,7 @@ class Join:
         p, q = self.percent, 100 + self.percent
         entries = entries.join(self.classes.select("id", "bits"), "id")
         size = f"cast(floor(ln({{0}}) / ln({100 / p})) as int)"
-        place = "cast(floor(log2({0} + 1)) as int)"
+        place = "cast(floor(log2({0} + 1) / 3) as int)"
         index = entries.where(f"i <= n - {_least('n', 'n', p)}").select(
             "key", F.expr(size.format("n")).alias("size"), F.expr(place.format("i")).alias("place"),
             *[F.col(c).alias(f"y_{c}") for c in ("id", "n", "i", "bits", "root")])
@@ -321,11 +327,11 @@ class Join:
         By default enough of them to connect all that are similar; with
         ``every`` all pairs, however many there are.
 
-        In each round every set is compared with one pivot that it may be
-        similar to and that is in another component yet: with the pivot of
-        most sets, or (odd rounds) the nearest. Pairs with pivots that the
-        rounds leave, and all pairs of lists that have others than those with
-        pivots, follow, so nothing is lost.
+        In the first round every set is compared with one pivot, that of most
+        sets; in the others with the nearest pivot of each other component
+        that it may be similar to. Pairs with pivots that the rounds leave,
+        and all pairs of lists that have others than those with pivots,
+        follow, so nothing is lost.
         """
         ids = lambda pairs: pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
         columns = ("a", "b", "shared", "a_n", "b_n")
@@ -335,23 +341,23 @@ class Join:
         for turn in range(rounds + 1 if rounds else 0):
             if turn:
                 named = [roots.toDF(c, f"{c}_root") for c in ("a", "b")]
-                open_ = open_.join(named[0], "a", "left").join(named[1], "b", "left")
-                open_ = open_.where("coalesce(a_root, a) <> coalesce(b_root, b)").select("a", "b", "apart")
+                open_ = open_.select("a", "b", "apart").join(named[0], "a", "left").join(named[1], "b", "left")
+                open_ = open_.where("coalesce(a_root, a) <> coalesce(b_root, b)").select("a", "b", "apart", F.coalesce("a_root", "a").alias("a_root"))
                 open_ = saved(open_.join(compared.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-open")
             if turn == rounds:
                 break
-            rank = F.struct(-F.col("apart"), "a")
-            if turn % 2 == 0:
-                rank = F.struct("size", "a")
-                open_ = open_.join(open_.groupBy("a").agg(F.count("*").alias("size")), "a")
-            new = open_.groupBy("b").agg(F.max_by("a", rank).alias("a")).select("a", "b")
+            if turn:
+                new = open_.groupBy("b", "a_root").agg(F.min_by("a", F.struct("apart", "a")).alias("a"))
+            else:
+                new = open_.join(open_.groupBy("a").agg(F.count("*").alias("size")), "a").groupBy("b").agg(F.max_by("a", F.struct("size", "a")).alias("a"))
+            new = new.select("a", "b")
             new = saved(_compare(new, sets, True), "jaccard-compared")
             compared = new if compared is None else compared.union(new)
             found = self.similar(compared).select(*columns)
             roots = saved(components(found), "jaccard-roots")
         at = self.entries.withColumn("root", F.col("id"))
         if rounds and not every:
-            at = self.entries.where("c > 3").join(roots, F.col("id") == F.col("node"), "left")
+            at = self.entries.where(f"c > {PIVOTS}").join(roots, F.col("id") == F.col("node"), "left")
             at = saved(at.select(*self.entries.columns, F.coalesce("root", "id").alias("root")), "jaccard-rooted")
             mixed = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
             at = at.join(mixed, "key")
