@@ -5,24 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corate.operators.skew import HOT_PAIRS, product_join
 
-def item_candidates(truth: DataFrame, train: DataFrame) -> DataFrame:
+
+def item_candidates(truth: DataFrame, train: DataFrame, budget: int = HOT_PAIRS) -> DataFrame:
     """For test pair (user, item): every item ``nbr`` the user rated in training.
 
     Returns (user, item, nbr, nbr_rating). The held-out answer is not carried
     through the shuffles; it is joined back at the end. A cold user has no
-    rows here.
+    rows here. Users with more than ``budget`` candidates are split over tasks.
     """
     t = truth.select("user", "item")
     r = train.select("user", F.col("item").alias("nbr"), F.col("rating").alias("nbr_rating"))
-    return t.join(r, "user")
+    return product_join(t, r, "user", "item", "nbr", budget).select("user", "item", "nbr", "nbr_rating")
 
 
-def user_candidates(truth: DataFrame, centred_train: DataFrame) -> DataFrame:
+def user_candidates(truth: DataFrame, centred_train: DataFrame, budget: int = HOT_PAIRS) -> DataFrame:
     """For test pair (user, item): every user ``nbr`` who rated the item in
     training, with that user's rating count and sum (for the leave-one-out mean).
 
-    Returns (user, item, nbr, nbr_rating, nbr_n, nbr_sum).
+    Returns (user, item, nbr, nbr_rating, nbr_n, nbr_sum). Items with more than
+    ``budget`` candidates (test pairs x raters) are split over tasks.
     """
     t = truth.select("user", "item")
     r = centred_train.select(
@@ -32,7 +35,7 @@ def user_candidates(truth: DataFrame, centred_train: DataFrame) -> DataFrame:
         F.col("n_ratings").alias("nbr_n"),
         F.col("sum_rating").alias("nbr_sum"),
     )
-    return t.join(r, "item")
+    return product_join(t, r, "item", "user", "nbr", budget).select("user", "item", "nbr", "nbr_rating", "nbr_n", "nbr_sum")
 
 
 def attach_similarity(
@@ -76,13 +79,16 @@ def candidate_pair_similarity(
     )
 
 
-def top_k(scored: DataFrame, k: int, by=("user", "item")) -> DataFrame:
-    """Keep the k neighbours with the highest signed similarity per test pair.
+def top_k(scored: DataFrame, k: int | None, by=("user", "item")) -> DataFrame:
+    """Keep the k neighbours with the highest signed similarity per test pair
+    (None: all, without a rank).
 
     Ties are broken by neighbour id ascending. ``row_number() <= k`` is planned
     as a partial group limit before the shuffle and a final one after it, so no
     test pair ships more than k rows per map task.
     """
+    if k is None:
+        return scored
     w = Window.partitionBy(*by).orderBy(F.col("sim").desc(), F.col("nbr").asc())
     return (
         scored.withColumn("nbr_rank", F.row_number().over(w))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corate.functions.exact import ExactSum
+
 LOO_MODES = ("literal", "corrected")
 
 
@@ -57,6 +59,21 @@ def _rank_ordered_sums(top: DataFrame, weighted: Column) -> DataFrame:
     )
 
 
+def _all_sums(scored: DataFrame, weighted: Column) -> DataFrame:
+    """As ``_rank_ordered_sums``, over all neighbours of a pair, however many:
+    plain aggregates of exact sums, which need no order and no list."""
+    num, den = ExactSum(weighted, "num"), ExactSum(F.abs("sim"), "den")
+    sums = scored.groupBy("user", "item").agg(
+        *num.aggregates(), *den.aggregates(), F.count("*").cast("bigint").alias("n_neighbors"))
+    return den.finish(num.finish(sums)).select("user", "item", "num", "den", "n_neighbors")
+
+
+def neighbour_sums(neighbours: DataFrame, weighted: Column) -> DataFrame:
+    """num, den and n_neighbors of each test pair, over ranked neighbours (of
+    ``top_k``) or, without a rank, over all of them."""
+    return (_rank_ordered_sums if "nbr_rank" in neighbours.columns else _all_sums)(neighbours, weighted)
+
+
 def _fallback_chain(first_ok: Column, first: Column, fallbacks, global_mean: Column):
     """(prediction, source) from the first rule that applies."""
     pred = F.when(first_ok, first)
@@ -83,7 +100,7 @@ def item_based_prediction(
     Returns (user, item, rating, prediction, source, n_neighbors).
     """
     fallbacks = list(fallbacks or [])
-    agg = _rank_ordered_sums(top, F.col("nbr_rating") * F.col("sim"))
+    agg = neighbour_sums(top, F.col("nbr_rating") * F.col("sim"))
     extra = [c for c, _ in fallbacks]
     j = (
         with_rating(truth).select("user", "item", "rating", *extra)
@@ -138,7 +155,7 @@ def user_based_prediction(
 
     Returns (user, item, rating, prediction, source, n_neighbors).
     """
-    agg = _rank_ordered_sums(top, leave_one_out_deviation(loo) * F.col("sim"))
+    agg = neighbour_sums(top, leave_one_out_deviation(loo) * F.col("sim"))
     j = (
         with_rating(truth).select("user", "item", "rating")
         .join(agg, ["user", "item"], "left")

@@ -8,9 +8,12 @@ in the tables; lookups treat them as similarity 0.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corate.functions.exact import ExactMoments
 from corate.functions.columns import centred_pearson, noise, pearson_from_moments, sum_normalized
 from corate.operators.skew import DEFAULT_HOT_ROWS, DEFAULT_MAX_BUCKETS, member_pairs
 
@@ -24,13 +27,15 @@ def item_pair_moments(
     anchors: DataFrame | None = None,
     no_hot: bool = False,
     shift: Column | None = None,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(item1, item2, n_corated, sx, sy, sxy, sxx, syy) over users who rated
     both items; item1 < item2; x is the rating of item1, y of item2, both less
     ``shift`` (rounded to a whole number, which keeps grid ratings on a grid).
     ``anchors`` (column ``item``) limits it to pairs touching those items;
-    ``no_hot``: no user is known to exceed ``hot_rows``."""
-    p = member_pairs(train, "user", "item", ["rating"], hot_rows, max_buckets, anchors, no_hot)
+    ``no_hot``: no user is known to exceed ``hot_rows``; ``keep`` drops rows
+    of pairs (m1, m2) that are not needed."""
+    p = member_pairs(train, "user", "item", ["rating"], hot_rows, max_buckets, anchors, no_hot, keep)
     x, y = F.col("rating_1"), F.col("rating_2")
     if shift is not None:
         by = F.coalesce(F.round(shift), F.lit(0.0))
@@ -53,20 +58,31 @@ def item_similarity(
     anchors: DataFrame | None = None,
     no_hot: bool = False,
     shift: Column | None = None,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
+    exact_top: int | None = None,
 ) -> DataFrame:
     """(item1, item2, n_corated, sim) for every co-rated item pair (touching
-    ``anchors``, when given; ``no_hot`` as in ``item_pair_moments``).
+    ``anchors``, when given; ``no_hot`` and ``keep`` as in ``item_pair_moments``).
 
-    ``pearson``: correlation with means taken over the co-raters only; give
-    the mean training rating as ``shift`` if ratings may be far from zero.
+    ``pearson``: correlation with means taken over the co-raters only.
+    Ratings on a grid have exact sums as doubles; for others give
+    ``exact_top`` (|rating| < 2^exact_top) for exact integer sums, which are
+    the same whatever the order of rows and right to the last places however
+    nearly constant a series is. Without it ``shift``, the mean training
+    rating, keeps double sums from cancelling more than they must.
     ``sum_normalized``: Sxy / (Sx * Sy) over the co-raters.
     Either is 0 when its numerator or denominator is 0.
     """
     if metric not in ITEM_METRICS:
         raise ValueError(f"metric must be one of {ITEM_METRICS}")
+    if metric == "pearson" and exact_top is not None:
+        p = member_pairs(train, "user", "item", ["rating"], hot_rows, max_buckets, anchors, no_hot, keep)
+        sums = ExactMoments(F.col("rating_1"), F.col("rating_2"), exact_top)
+        m = p.groupBy(F.col("m1").alias("item1"), F.col("m2").alias("item2")).agg(F.count("*").alias("n_corated"), *sums.aggregates())
+        return sums.finish(m, "n_corated").select("item1", "item2", "n_corated", "sim")
     if metric != "pearson":
         shift = None
-    m = item_pair_moments(train, hot_rows, max_buckets, anchors, no_hot, shift)
+    m = item_pair_moments(train, hot_rows, max_buckets, anchors, no_hot, shift, keep)
     if metric == "pearson":
         sim = pearson_from_moments("n_corated", "sx", "sy", "sxy", "sxx", "syy")
     else:
@@ -93,16 +109,18 @@ def user_similarity(
     anchors: DataFrame | None = None,
     centred: DataFrame | None = None,
     no_hot: bool = False,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(user1, user2, n_common, sim): Pearson over the items both rated, with
     each user's deviation taken from that user's overall training mean.
     ``anchors`` (column ``user``) limits it to pairs touching those users;
     ``centred`` reuses a ``centred_ratings`` frame (e.g. laid out by item);
-    ``no_hot``: no item is known to exceed ``hot_rows`` raters."""
+    ``no_hot``: no item is known to exceed ``hot_rows`` raters; ``keep`` drops
+    rows of pairs (m1, m2) that are not needed."""
     if centred is None:
         centred = centred_ratings(train, ustats)
     c = centred.select("item", "user", "dev")
-    p = member_pairs(c, "item", "user", ["dev"], hot_rows, max_buckets, anchors, no_hot)
+    p = member_pairs(c, "item", "user", ["dev"], hot_rows, max_buckets, anchors, no_hot, keep)
     a, b = F.col("dev_1"), F.col("dev_2")
     m = p.groupBy(F.col("m1").alias("user1"), F.col("m2").alias("user2")).agg(
         F.count("*").alias("n_common"),

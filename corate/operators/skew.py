@@ -8,16 +8,23 @@ groups above ``hot_rows`` members are salted: each member gets a bucket
 (group, b1, *) and a right row of bucket b2 to every key (group, *, b2). Each
 (left, right) pair then meets under exactly one key (group, b1, b2), and the
 group's work is spread over nb*nb keys, dealt to ``spark.sql.shuffle.partitions``
-tasks by an explicit repartition that the adaptive planner leaves alone. Ordinary groups keep nb = 1 and
-are not replicated.
+tasks by an explicit repartition that the adaptive planner leaves alone. Ordinary
+groups are joined as they are, without an exchange if they are laid out by
+group. The bound is on the pairs of a key, not on its rows: ``HOT_PAIRS``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from math import isqrt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_HOT_ROWS = 100_000
+#: Pairs of one join key that a task may have to make (seconds of work); a
+#: group of more members than give so many is split.
+HOT_PAIRS = 5_000_000
+DEFAULT_HOT_ROWS = isqrt(2 * HOT_PAIRS)
 DEFAULT_MAX_BUCKETS = None  # as many as the group needs
 MAX_BROADCAST_GROUPS = 100_000
 
@@ -48,10 +55,9 @@ def attach_buckets(
     other side has one row per group).
     """
     limit = MAX_BROADCAST_GROUPS if max_broadcast is None else max_broadcast
-    hot = hot_groups(df, group, hot_rows, max_buckets).persist()
+    hot = hot_groups(df, group, hot_rows, max_buckets)
     n_hot = hot.count()
     if n_hot == 0:
-        hot.unpersist()
         return None
     side = F.broadcast(hot) if n_hot <= limit else hot
     return df.join(side, group, "left").withColumn("_nb", F.coalesce("_nb", F.lit(1)))
@@ -66,6 +72,7 @@ def member_pairs(
     max_buckets: int | None = DEFAULT_MAX_BUCKETS,
     anchors: DataFrame | None = None,
     no_hot: bool = False,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Rows (group, m1, m2, <v>_1..., <v>_2...) for members m1 < m2 of a group.
 
@@ -75,6 +82,7 @@ def member_pairs(
     among the anchors; the left side of the join then holds anchor rows only,
     so the work shrinks with the anchor set. ``no_hot``: the caller already
     knows that no group exceeds ``hot_rows`` (skips counting them again).
+    ``keep`` is applied to the rows, e.g. to drop pairs nobody asks for.
     """
     d = df.select(group, member, *values)
     if anchors is not None:
@@ -85,55 +93,69 @@ def member_pairs(
         # no column for it: both join sides then prune to the same projection
         # and can share one exchange
         anc = F.lit(True)
+    sides = lambda rows, left, right: (
+        (rows.filter(F.col("_anc")) if anchors is not None else rows).select(
+            group, *left, F.col(member).alias("_l"), *[F.col(v).alias(f"_l_{v}") for v in values]),
+        rows.select(group, *right, F.col(member).alias("_r"), anc.alias("_r_anc"), *[F.col(v).alias(f"_r_{v}") for v in values]),
+    )
     salted = None if hot_rows is None or no_hot else attach_buckets(d, group, hot_rows, max_buckets)
-    if salted is None:
-        # no hot group: a plain self-join on the group key
-        lsrc = d.filter(F.col("_anc")) if anchors is not None else d
-        left = lsrc.select(group, F.col(member).alias("_l"),
-                           *[F.col(v).alias(f"_l_{v}") for v in values])
-        right = d.select(group, F.col(member).alias("_r"), anc.alias("_r_anc"),
-                         *[F.col(v).alias(f"_r_{v}") for v in values])
-        j = left.join(right, group)
-    else:
-        d = salted.withColumn("_b", F.pmod(F.xxhash64(member), F.col("_nb")).cast("int"))
+    ordinary = d if salted is None else salted.filter(F.col("_nb") == 1)
+    left, right = sides(ordinary, [], [])
+    j = left.join(right, group)
+    if salted is not None:
+        hot = salted.filter(F.col("_nb") > 1).withColumn("_b", F.pmod(F.xxhash64(member), F.col("_nb")).cast("int"))
         fan = F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))
-        lsrc = d.filter(F.col("_anc")) if anchors is not None else d
-        left = lsrc.select(
-            group,
-            F.col("_b").alias("_b1"),
-            fan.alias("_b2"),
-            F.col(member).alias("_l"),
-            *[F.col(v).alias(f"_l_{v}") for v in values],
-        )
-        right = d.select(
-            group,
-            fan.alias("_b1"),
-            F.col("_b").alias("_b2"),
-            F.col(member).alias("_r"),
-            anc.alias("_r_anc"),
-            *[F.col(v).alias(f"_r_{v}") for v in values],
-        )
+        left, right = sides(hot, [F.col("_b").alias("_b1"), fan.alias("_b2")], [fan.alias("_b1"), F.col("_b").alias("_b2")])
         # dealt explicitly: the adaptive planner merges partitions by their bytes,
         # which would put all buckets of a group back into one task
         keys = [group, "_b1", "_b2"]
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        j = left.repartition(n, *keys).join(right.repartition(n, *keys), keys)
+        j = j.unionByName(left.repartition(n, *keys).join(right.repartition(n, *keys), keys).drop("_b1", "_b2"))
     if anchors is None:
         j = j.filter(F.col("_l") < F.col("_r"))
-        return j.select(
+        out = j.select(
             group,
             F.col("_l").alias("m1"),
             F.col("_r").alias("m2"),
             *[F.col(f"_l_{v}").alias(f"{v}_1") for v in values],
             *[F.col(f"_r_{v}").alias(f"{v}_2") for v in values],
         )
+        return out if keep is None else keep(out)
     # anchor on the left; a pair of two anchors is kept once (left < right)
     j = j.filter((F.col("_l") != F.col("_r")) & (~F.col("_r_anc") | (F.col("_l") < F.col("_r"))))
     lo_left = F.col("_l") < F.col("_r")
-    return j.select(
+    out = j.select(
         group,
         F.least("_l", "_r").alias("m1"),
         F.greatest("_l", "_r").alias("m2"),
         *[F.when(lo_left, F.col(f"_l_{v}")).otherwise(F.col(f"_r_{v}")).alias(f"{v}_1") for v in values],
         *[F.when(lo_left, F.col(f"_r_{v}")).otherwise(F.col(f"_l_{v}")).alias(f"{v}_2") for v in values],
     )
+    return out if keep is None else keep(out)
+
+
+def product_join(left: DataFrame, right: DataFrame, key: str, left_id: str, right_id: str, budget: int = HOT_PAIRS) -> DataFrame:
+    """``left`` joined with ``right`` on ``key``, where few keys may have many rows on both sides.
+
+    A key with more than ``budget`` (left rows x right rows) is dealt into
+    blocks of about that many pairs: its left rows into some buckets by
+    ``left_id``, its right rows by ``right_id``, every left bucket meeting
+    every right bucket once. Other keys are joined as they are.
+    """
+    side = int(isqrt(budget))
+    n = left.groupBy(key).agg(F.count("*").alias("_t")).join(right.groupBy(key).agg(F.count("*").alias("_r")), key)
+    parts = lambda c: F.ceil(F.col(c) / F.lit(side)).cast("int")
+    hot = n.filter(F.col("_t") * F.col("_r") > budget).select(key, parts("_t").alias("_nl"), parts("_r").alias("_nr"))
+    n_hot = hot.count()
+    if n_hot == 0:
+        return left.join(right, key)
+    hot = F.broadcast(hot) if n_hot <= MAX_BROADCAST_GROUPS else hot
+    names = [*left.columns, *[c for c in right.columns if c != key]]
+    out = left.join(hot, key, "left_anti").join(right, key).select(*names)
+    bucket = lambda i, c: F.pmod(F.xxhash64(i), F.col(c)).cast("int")
+    fan = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    a = left.join(hot, key).select(*left.columns, bucket(left_id, "_nl").alias("_bl"), fan("_nr").alias("_br"))
+    b = right.join(hot, key).select(*right.columns, fan("_nl").alias("_bl"), bucket(right_id, "_nr").alias("_br"))
+    keys = [key, "_bl", "_br"]
+    p = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return out.unionByName(a.repartition(p, *keys).join(b.repartition(p, *keys), keys).select(*names))

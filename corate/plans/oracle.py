@@ -370,7 +370,7 @@ UNION ALL SELECT "user", item, source, prediction FROM filled""")
     off = lambda sql: sql.replace(_BASE["ev"], _OFFGRID_EVENTS).replace(_BASE["ipearson"], _TWO_PASS)
     off_order = lambda sql: sql.replace("l_quantity DESC", "l_extendedprice DESC")
     q["item_pearson_offgrid"] = off_order(off(with_ctes(
-        ["ipearson"], [], "SELECT item1, item2, n_corated, round(sim, 5) AS sim FROM ipearson")))
+        ["ipearson"], [], "SELECT item1, item2, n_corated, round(sim, 12) + 0.0 AS sim FROM ipearson")))
     u, e = _item_predictions("ipearson", 1_000_000, False, True)
     q["item_based_offgrid_predict"] = off_order(off(with_ctes(
         u, e, 'SELECT "user", item, round(rating, 6) AS rating, prediction, source, n_neighbors FROM pred')))

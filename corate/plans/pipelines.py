@@ -13,6 +13,7 @@ returns lazy DataFrames, except that ALS fitting is eager by nature.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +26,9 @@ from corate.constants import (
     ITEM_NEIGHBOURS,
     USER_NEIGHBOURS,
 )
+from corate.functions.exact import top_bit
 from corate.operators import als as als_ops
+from corate.operators import pair_filter
 from corate.operators.evaluate import evaluate, score
 from corate.operators.impute import impute
 from corate.operators.neighbors import (
@@ -40,7 +43,7 @@ from corate.operators.sizing import broadcast_if_small
 from corate.operators.skew import DEFAULT_HOT_ROWS
 from corate.operators.split import dedup_last, flag_holdout, holdout_split
 from corate.operators.stats import user_genre_stats, user_stats
-from corate.session import checkpoint_dir, materialize, write_table
+from corate.session import checkpoint_dir, drop_layout, materialize, open_layout, write_layout, write_table
 from corate.sources.readers import dedup_genres
 
 
@@ -51,30 +54,39 @@ class Prepared(NamedTuple):
     ustats: DataFrame
     gmean: Column
     genres: DataFrame | None
-    by_user: bool = False   # train/truth are the cached user layout
+    by_user: bool = False   # train/truth are laid out by user
     n_train: int = 0
     max_user_rows: int = -1  # largest per-user training count (-1: unknown)
-    layouts: dict | None = None  # further cached layouts of the training set
+    layouts: dict | None = None  # further layouts of the training set
+    tables: list | None = None  # the files under the layouts
+    exact_top: int | None = None  # for ratings off the grid: see ``TrainSummary``
 
     def close(self) -> None:
-        """Release everything cached for these inputs."""
+        """Release everything cached or laid out for these inputs."""
+        spark = self.train.sparkSession
         for df in (self.train, self.truth, *[x[0] for x in (self.layouts or {}).values()]):
             df.unpersist()
-        if self.layouts:
-            self.layouts.clear()
+        for table in self.tables or []:
+            drop_layout(spark, table)
+        for held in (self.layouts, self.tables):
+            if held:
+                held.clear()
 
 
-def co_partition(df: DataFrame, key: str = "user", n: int | None = None) -> DataFrame:
-    """Hash-partition ``df`` on ``key`` into n (default: the session's shuffle
-    partitions) and cache it. Frames laid out this way with the same n are
+def co_partition(df: DataFrame, key: str = "user", n: int | None = None, tables: list | None = None) -> DataFrame:
+    """``df`` laid out by ``key`` in n (default: the session's shuffle
+    partitions) hash partitions. Frames laid out this way with the same n are
     co-partitioned: joins and aggregations on ``key`` between them need no
-    exchange. Lost cache blocks are rebuilt from the frame's source: the
-    split table in the checkpoint folder, or the split's lineage when the
-    session names no such folder."""
+    exchange. With a list ``tables`` they are bucketed tables in the shared
+    checkpoint folder, noted there; else cached, and lost blocks are rebuilt
+    from the frame's lineage."""
     from pyspark import StorageLevel
 
     n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, key).persist(StorageLevel.MEMORY_AND_DISK)
+    if tables is None:
+        return df.repartition(n, key).persist(StorageLevel.MEMORY_AND_DISK)
+    tables.append(write_layout(df, key, n, f"by-{key}"))
+    return open_layout(df.sparkSession, tables[-1])
 
 
 LAYOUT_ROWS_PER_PARTITION = 500_000
@@ -84,26 +96,37 @@ class TrainSummary(NamedTuple):
     rows: int
     rating_sum: float | None
     max_user_rows: int
+    exact_top: int | None   # |rating| < 2^exact_top if ratings are off the grid, else None
+
+
+#: Ratings that are multiples of 1/GRID have products whose sums are exact as
+#: doubles, up to 2^53 / GRID^2 of them at rating 1.
+GRID = 256
 
 
 def train_summary(train: DataFrame) -> TrainSummary:
-    """Row count, rating sum and the largest per-user row count, in one job
-    (a per-user partial aggregate, then one row to the driver)."""
+    """Row count, rating sum, the largest per-user row count and whether the
+    ratings are on a grid, in one job (a per-user partial aggregate, then one
+    row to the driver)."""
+    scaled = F.col("rating") * GRID
     r = (
         train.groupBy("user")
-        .agg(F.count("*").alias("n"), F.sum("rating").alias("s"))
-        .agg(F.sum("n").alias("rows"), F.sum("s").alias("total"), F.max("n").alias("top"))
+        .agg(F.count("*").alias("n"), F.sum("rating").alias("s"), F.max(F.abs("rating")).alias("m"),
+             F.bool_and(scaled == F.floor(scaled)).alias("grid"))
+        .agg(F.sum("n").alias("rows"), F.sum("s").alias("total"), F.max("n").alias("top"),
+             F.max("m").alias("largest"), F.bool_and("grid").alias("grid"))
         .first()
     )
-    return TrainSummary(int(r["rows"] or 0), r["total"], int(r["top"] or 0))
+    top = None if r["grid"] in (True, None) else top_bit(r["largest"])
+    return TrainSummary(int(r["rows"] or 0), r["total"], int(r["top"] or 0), top)
 
 
 def layout_partitions(
     spark, rows: int, rows_per_partition: int = LAYOUT_ROWS_PER_PARTITION
 ) -> int:
-    """Partition count for the cached user layout: about ``rows_per_partition``
-    training rows each, at least the default parallelism (AQE can neither
-    coalesce nor split a cached layout, so it is sized up front)."""
+    """Partition count of a layout: about ``rows_per_partition`` training rows
+    each, at least the default parallelism (AQE can neither coalesce nor split
+    a layout, so it is sized up front)."""
     return max(1, spark.sparkContext.defaultParallelism, -(-rows // rows_per_partition))
 
 
@@ -114,18 +137,18 @@ def prepare(
     order_col: str | None = "seq",
     materialize_how: str | None = "auto",
     by_user: bool | None = None,
-    hot_rows: int | None = DEFAULT_HOT_ROWS,
+    hot_rows: int | None = LAYOUT_ROWS_PER_PARTITION,
 ) -> Prepared:
     """Dedup (last event wins, when ``order_col`` is present), split, and
-    cache/checkpoint the frames that every later stage reads.
-
-    ``by_user``: lay train and truth out hash-partitioned by user (one
-    shuffle each, cached), so the item co-rating self-join, the candidate join
-    (truth with train on user) and the per-user statistics read them without
-    a further exchange. A user's rows then sit in one partition, so with
-    ``None`` (default) the layout is used only when no user has more than
-    ``hot_rows`` training ratings; otherwise every join keeps its shuffle,
-    where AQE's skew splitting and the salted self-join spread hot users."""
+    write (or cache) the frames that every later stage reads.
+
+    ``by_user``: lay train and truth out by user (one shuffle each), so the
+    item co-rating self-join, the candidate join (truth with train on user)
+    and the per-user statistics read them without a further exchange; users
+    with many pairs leave these joins for salted ones. A user's rows then sit
+    in one partition, so with ``None`` (default) the layout is used only when
+    no user has more than ``hot_rows`` training ratings; otherwise every join
+    keeps its shuffle, where AQE's skew splitting spreads hot users."""
     if order_col and order_col in ratings.columns:
         ratings = dedup_last(ratings, order_col)
     else:
@@ -153,22 +176,22 @@ def prepare(
     gmean = F.lit(summ.rating_sum / summ.rows if summ.rows else None).cast("double")
     if by_user is None:
         by_user = hot_rows is not None and summ.max_user_rows <= hot_rows
+    tables: list | None = [] if how == "table" else None
     if by_user and how not in (None, "none"):
         n = layout_partitions(train.sparkSession, summ.rows)
         plain = (train, truth)
-        train = co_partition(train, "user", n)
-        truth = co_partition(truth, "user", n)
-        # built here, so that no later step pays for the layout
-        train.count()
-        truth.count()
+        train = co_partition(train, "user", n, tables)
+        truth = co_partition(truth, "user", n, tables)
         if how == "persist":
-            # drop the plain caches under them
+            # built here, so that no later step pays for the layout; then drop the plain caches under them
+            train.count()
+            truth.count()
             for df in plain:
                 df.unpersist()
     ustats = user_stats(train)
     laid_out = bool(by_user) and how not in (None, "none")
     return Prepared(
-        train, truth, keys, ustats, gmean, genres, laid_out, summ.rows, summ.max_user_rows, {}
+        train, truth, keys, ustats, gmean, genres, laid_out, summ.rows, summ.max_user_rows, {}, tables, summ.exact_top
     )
 
 
@@ -182,9 +205,9 @@ def _no_hot_user(prep: Prepared, hot_rows: int | None) -> bool:
 
 def _centred_layout(prep: Prepared, hot_rows: int | None) -> tuple[DataFrame, bool]:
     """(centred ratings, no item above ``hot_rows``). The centred ratings are
-    laid out by item and cached (once per ``Prepared``, released by its
-    ``close``) when the user layout is in use and no item is hot, so that the
-    user self-join on item and the candidate join on item need no exchange."""
+    laid out by item (once per ``Prepared``, released by its ``close``) when
+    the user layout is in use and an item's raters fit a partition, so that
+    the user self-join on item and the candidate join on item need no exchange."""
     layouts = {} if prep.layouts is None else prep.layouts
     if "item" in layouts:
         ct, top = layouts["item"]
@@ -193,12 +216,17 @@ def _centred_layout(prep: Prepared, hot_rows: int | None) -> tuple[DataFrame, bo
     if not prep.by_user or hot_rows is None:
         return ct, False
     top = _max_group_rows(prep.train, "item")
-    if top <= hot_rows:
-        ct = co_partition(ct, "item", layout_partitions(ct.sparkSession, prep.n_train))
+    if top <= LAYOUT_ROWS_PER_PARTITION:
+        ct = co_partition(ct, "item", layout_partitions(ct.sparkSession, prep.n_train), prep.tables)
         layouts["item"] = (ct, top)
     return ct, top <= hot_rows
 
 
+def centred_layout(prep: Prepared, hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+    """The centred ratings the user similarities are built from."""
+    return _centred_layout(prep, hot_rows)[0]
+
+
 def _max_group_rows(df: DataFrame, key: str) -> int:
     """Largest number of rows sharing one ``key`` value (one partial aggregate)."""
     r = df.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n").alias("m")).first()
@@ -227,6 +255,18 @@ def selective_anchors(
     return pairs.select(col).distinct()
 
 
+def needed_pairs(
+    cand: DataFrame, self_col: str, restrict: bool | None = None
+) -> Callable[[DataFrame], DataFrame] | None:
+    """What drops co-rating rows of pairs that are no candidates (``self_col``,
+    nbr), before they are aggregated; None if ``restrict`` is False or the bit
+    filter would be too large to be of use (see ``operators.pair_filter``)."""
+    if restrict is False:
+        return None
+    found = pair_filter.build(cand, self_col, "nbr")
+    return None if found is None else (lambda rows: pair_filter.probe(rows, found, "m1", "m2"))
+
+
 class Result(NamedTuple):
     predictions: DataFrame   # user, item, rating, prediction, source, ...
     metrics: DataFrame       # one row: bands, n_scored, rmse
@@ -234,7 +274,7 @@ class Result(NamedTuple):
 
 def item_based(
     prep: Prepared,
-    k: int = ITEM_NEIGHBOURS,
+    k: int | None = ITEM_NEIGHBOURS,
     metric: str = "pearson",
     fallback: str = "user_mean",
     hot_rows: int | None = DEFAULT_HOT_ROWS,
@@ -245,19 +285,20 @@ def item_based(
 ) -> Result:
     """Item-item CF: for each answered test pair, rank the items the user
     rated by similarity to the test item (signed, descending, ties by item
-    id), keep k, and predict sum(r*sim)/sum(|sim|).
+    id), keep k (None: all), and predict sum(r*sim)/sum(|sim|).
 
     fallback ``user_mean`` (the reference) or ``genre`` (the user's mean on
     the same genre first, then the user mean). ``sims`` reuses a similarity
     table; ``pairs`` scores other (user, item[, rating]) pairs than the truth;
-    ``restrict`` limits the similarity table to pairs touching the scored
-    items (None: decide from their share, see ``selective_anchors``).
+    ``restrict`` limits the similarity table to the pairs looked up (False:
+    every pair; None: anchors by their share, see ``selective_anchors``, and
+    the bit filter of ``needed_pairs``).
     """
     truth = prep.truth if pairs is None else pairs
+    cand = item_candidates(truth, prep.train)
     if sims is None:
         anchors = selective_anchors(truth, prep.train, "item", restrict)
-        sims = item_pairs(prep, metric, hot_rows, anchors)
-    cand = item_candidates(truth, prep.train)
+        sims = item_pairs(prep, metric, hot_rows, anchors, needed_pairs(cand, "item", restrict))
     scored = attach_similarity(cand, sims, "item", "item1", "item2")
     top = top_k(scored, k)
     fallbacks: list[tuple[str, str]] = []
@@ -279,7 +320,7 @@ def item_based(
 
 def user_based(
     prep: Prepared,
-    k: int = USER_NEIGHBOURS,
+    k: int | None = USER_NEIGHBOURS,
     loo: str = "literal",
     hot_rows: int | None = DEFAULT_HOT_ROWS,
     clamp: tuple[float, float] | None = None,
@@ -292,15 +333,13 @@ def user_based(
     mean(u) + sum(dev*sim)/sum(|sim|), dev = rating minus the neighbour's
     leave-one-out mean. The reference runs it with k = 1. ``sims`` reuses a
     similarity table; ``pairs`` scores other pairs than the truth;
-    ``restrict`` limits the similarity table to pairs touching the scored
-    users (None: decide from their share)."""
+    ``restrict`` limits the similarity table as in ``item_based``."""
     truth = prep.truth if pairs is None else pairs
+    ct, _ = _centred_layout(prep, hot_rows)
+    cand = user_candidates(truth, ct)
     if sims is None:
         anchors = selective_anchors(truth, prep.train, "user", restrict)
-        sims, ct = user_pairs(prep, hot_rows, anchors)
-    else:
-        ct, _ = _centred_layout(prep, hot_rows)
-    cand = user_candidates(truth, ct)
+        sims, _ = user_pairs(prep, hot_rows, anchors, needed_pairs(cand, "user", restrict))
     scored = attach_similarity(cand, sims, "user", "user1", "user2")
     top = top_k(scored, k)
     pred = user_based_prediction(truth, top, prep.ustats, prep.gmean, loo, clamp)
@@ -353,18 +392,20 @@ def item_pairs(
     metric: str = "pearson",
     hot_rows: int | None = DEFAULT_HOT_ROWS,
     anchors: DataFrame | None = None,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Every co-rated item pair of the training set (touching ``anchors``,
-    when given) with its similarity."""
+    """Every co-rated item pair of the training set (touching ``anchors``, and
+    left by ``keep``, when given) with its similarity."""
     return item_similarity(prep.train, metric, hot_rows, anchors=anchors,
-                           no_hot=_no_hot_user(prep, hot_rows), shift=prep.gmean)
+                           no_hot=_no_hot_user(prep, hot_rows), shift=prep.gmean, keep=keep, exact_top=prep.exact_top)
 
 
 def user_pairs(
-    prep: Prepared, hot_rows: int | None = DEFAULT_HOT_ROWS, anchors: DataFrame | None = None
+    prep: Prepared, hot_rows: int | None = DEFAULT_HOT_ROWS, anchors: DataFrame | None = None,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(similarity of every co-rating user pair, the centred ratings it is built from)."""
     ct, no_hot_item = _centred_layout(prep, hot_rows)
     sims = user_similarity(prep.train, prep.ustats, hot_rows, anchors=anchors, centred=ct,
-                           no_hot=no_hot_item)
+                           no_hot=no_hot_item, keep=keep)
     return sims, ct

@@ -119,15 +119,15 @@ def q_item_pearson(spark, sf_dir):
     the item-based job looks up; 0 for pairs without a co-rater."""
     p = prepared(spark, sf_dir)
     cand = item_candidates(p.truth, p.train)
-    return candidate_pair_similarity(cand, P.item_pairs(p), "item", "item1", "item2", "n_corated")
+    sims = P.item_pairs(p, keep=P.needed_pairs(cand, "item"))
+    return candidate_pair_similarity(cand, sims, "item", "item1", "item2", "n_corated")
 
 
 def q_item_pearson_offgrid(spark, sf_dir):
     """Pearson similarity of every co-rated item pair, for ratings off any
-    grid; to 5 places, as moments lose digits of nearly constant series (about
-    2e-16 times the squared mean over the variance)."""
+    grid, from exact sums; to 12 places."""
     pairs = P.item_pairs(prepared(spark, sf_dir, offgrid=True))
-    return pairs.withColumn("sim", F.round("sim", 5))
+    return pairs.withColumn("sim", F.round("sim", 12) + F.lit(0.0))
 
 
 def q_item_sum_normalized(spark, sf_dir):
@@ -143,15 +143,18 @@ def q_user_pearson(spark, sf_dir):
 def q_topk_items(spark, sf_dir):
     """Top 10 most similar rated items per answered test pair."""
     p = prepared(spark, sf_dir)
-    scored = attach_similarity(item_candidates(p.truth, p.train), P.item_pairs(p), "item", "item1", "item2")
+    cand = item_candidates(p.truth, p.train)
+    scored = attach_similarity(cand, P.item_pairs(p, keep=P.needed_pairs(cand, "item")), "item", "item1", "item2")
     return top_k(scored, 10).select("user", "item", "nbr", "nbr_rating", "sim", "nbr_rank")
 
 
 def q_topk_users(spark, sf_dir):
     """Most similar rater of the test item per answered test pair (k = 1)."""
     p = prepared(spark, sf_dir)
-    sims, centred = P.user_pairs(p)
-    scored = attach_similarity(user_candidates(p.truth, centred), sims, "user", "user1", "user2")
+    centred = P.centred_layout(p)
+    cand = user_candidates(p.truth, centred)
+    sims, _ = P.user_pairs(p, keep=P.needed_pairs(cand, "user"))
+    scored = attach_similarity(cand, sims, "user", "user1", "user2")
     return top_k(scored, 1).select("user", "item", "nbr", "nbr_rating", "sim", "nbr_rank")
 
 
@@ -175,14 +178,9 @@ def q_item_based_genre_fallback(spark, sf_dir):
     return _r6(r.predictions.select(*_PRED_COLS), "prediction")
 
 
-#: More neighbours than any user has ratings: every co-rated item counts, so
-#: the result does not hang on the order of similarities that differ by rounding.
-ALL_NEIGHBOURS = 1_000_000
-
-
 def q_item_based_offgrid_predict(spark, sf_dir):
     """Item-based predictions from all neighbours, for ratings off any grid."""
-    r = P.item_based(prepared(spark, sf_dir, offgrid=True), k=ALL_NEIGHBOURS)
+    r = P.item_based(prepared(spark, sf_dir, offgrid=True), k=None)
     return _r6(r.predictions.select(*_PRED_COLS), "rating", "prediction")
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from typing import NamedTuple
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -99,6 +100,49 @@ def write_table(df: DataFrame, hint: str = "t", partition_by: list[str] | None =
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Layout(NamedTuple):
+    """A bucketed table in the shared checkpoint folder: enough to open it again in another session."""
+
+    path: str
+    key: str
+    buckets: int
+    columns: str   # DDL
+
+
+def write_layout(df: DataFrame, key: str, buckets: int, hint: str = "layout") -> Layout:
+    """``df`` written in ``buckets`` hash buckets of ``key``, one file each, sorted by ``key``.
+
+    Frames laid out alike are co-partitioned: joins and aggregations on
+    ``key`` between them need no exchange. The files are read again after lost
+    executors and by other sessions; nothing is cached.
+    """
+    spark = df.sparkSession
+    path, name = table_path(spark, hint), f"corate_{uuid.uuid4().hex[:16]}"
+    dealt = df.repartition(buckets, key).sortWithinPartitions(key)  # a task holds the one bucket it writes
+    dealt.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")  # only the name: the files stay
+    return Layout(path, key, buckets, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields))
+
+
+def _layout_name(layout: Layout) -> str:
+    return "corate_" + layout.path.rstrip("/").rsplit("-", 1)[-1]
+
+
+def open_layout(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The table of ``layout``, known to the planner as bucketed by its key."""
+    name = _layout_name(layout)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({layout.columns}) USING parquet CLUSTERED BY (`{layout.key}`) "
+              f"SORTED BY (`{layout.key}`) INTO {layout.buckets} BUCKETS LOCATION '{layout.path}'")
+    return spark.table(name)
+
+
+def drop_layout(spark: SparkSession, layout: Layout) -> None:
+    """Forget the table of ``layout`` and delete its files."""
+    spark.sql(f"DROP TABLE IF EXISTS {_layout_name(layout)}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(layout.path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, how: str | None = "auto", hint: str = "t") -> DataFrame:
     """Cut or cache the lineage of a frame that is read more than once.
 
