@@ -42,7 +42,9 @@ from pyspark.sql import functions as F
 from .common import pick, saved, shipped, text_bytes
 from .graph import components
 
-SHINGLE, PERCENT, MAP_BITS, ROUNDS, PIVOTS = 4, 85, 512, 3, 8
+SHINGLE, PERCENT, MAP_BITS, ROUNDS, PIVOTS = 4, 85, 512, 2, 8
+#: Sets of more elements are held against longer parity maps before they are fetched.
+LARGE, LARGE_MAP_BITS = 512, 8192
 #: Entries of the table of common shingles that every task gets (9 bytes each), and hashes counted at once.
 COMMON, _CHUNK = 1 << 20, 1 << 22
 #: Pairs and names of sets up to this number are broadcast (some 24 bytes each); beyond, the sets are shuffled.
@@ -158,8 +160,9 @@ def _reach(x: str, y: str, percent: int) -> Column:
     return F.expr(f"100 * least({x}_n, {y}_n) >= {percent} * greatest({x}_n, {y}_n) and {x}_i <= {x}_n - {least} and {y}_i <= {y}_n - {least}")
 
 
-def _fetch(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(id, elements): whole sets of the classes ``wanted`` (id, t, d1, d2), from one more reading of the texts.
+def _fetch(docs: DataFrame, wanted: DataFrame, shingle: int, map_bits: int = 0) -> DataFrame:
+    """(id, elements): whole sets of the classes ``wanted`` (id, t, d1, d2), from one more reading of the texts;
+    with ``map_bits`` parity maps of so many bits in their place.
 
     A bit filter of the text hashes spares most texts the work. It has one
     size whatever the input; when it fills up, more texts are hashed than
@@ -187,7 +190,7 @@ def _fetch(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                     seen.add(own)
                     found = hashes(text, shingle)
                     d = _digest(found)
-                    new.append((d[0], d[1], found.tobytes()))
+                    new.append((d[0], d[1], (parity_map(found, map_bits) if map_bits else found).tobytes()))
                 if len(new) == 256 or new and len(new[-1][2]) > 1 << 20:
                     yield pa.RecordBatch.from_pylist([dict(zip(("d1", "d2", "elements"), r)) for r in new], schema)
                     new.clear()
@@ -222,12 +225,27 @@ def _compare(pairs: DataFrame, sets: DataFrame, differences: bool = False) -> Da
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, k) for c, k in zip(out, kinds)]],
                                              ["a", "b", "shared", "a_n", "b_n", "missing", "added"])
 
-    # narrow pairs go to the sets; a is the side that may be in many pairs (pivots): it joins last
+    return _joined(pairs, sets).mapInArrow(run, _DIFFERENCES)
+
+
+def _joined(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, a_set, b_set). Narrow pairs go to the sets; a is the side that may be in many pairs (pivots): it joins last."""
+    pairs = pairs.select("a", "b")
     small = F.broadcast if pairs.count() <= MAX_BROADCAST else (lambda df: df)
     rows = sets.select(F.col("id").alias("b"), F.col("elements").alias("b_set")).join(small(pairs), "b")
     pivots = sets.join(small(pairs.select(F.col("a").alias("id")).distinct()), "id", "left_semi")
-    rows = rows.join(pivots.select(F.col("id").alias("a"), F.col("elements").alias("a_set")), "a").select("a", "b", "a_set", "b_set")
-    return rows.mapInArrow(run, _DIFFERENCES)
+    return rows.join(pivots.select(F.col("id").alias("a"), F.col("elements").alias("a_set")), "a").select("a", "b", "a_set", "b_set")
+
+
+def _map_distance(pairs: DataFrame, maps: DataFrame) -> DataFrame:
+    """(a, b, differ): places in which the parity maps of a and b differ."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            differ = [int(np.bitwise_count(np.frombuffer(x.as_buffer(), np.uint64) ^ np.frombuffer(y.as_buffer(), np.uint64)).sum())
+                      for x, y in zip(batch.column(2), batch.column(3))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(differ, pa.int64())], ["a", "b", "differ"])
+
+    return _joined(pairs, maps).mapInArrow(run, "a bigint, b bigint, differ bigint")
 
 
 def _derive(pairs: DataFrame) -> DataFrame:
@@ -275,16 +293,26 @@ class Join:
     def similar(self, compared: DataFrame) -> DataFrame:
         return compared.where(f"100 * shared >= {self.percent} * (a_n + b_n - shared)")
 
+    def _narrowed(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` (a, b, a_n, b_n) without those of large sets whose longer parity maps differ too much."""
+        large = pairs.where(f"least(a_n, b_n) > {LARGE}")
+        ids = large.select(F.col("a").alias("id")).union(large.select("b")).distinct()
+        wanted = self.classes.select("id", "t", "d1", "d2").join(ids, "id", "left_semi")
+        maps = saved(_fetch(self.docs, wanted, self.shingle, LARGE_MAP_BITS), "jaccard-maps")
+        far = _map_distance(large, maps).join(large, ["a", "b"])
+        far = far.where(f"differ > a_n + b_n - 2 * {_least('a_n', 'b_n', self.percent)}").select("a", "b")
+        return saved(pairs.join(far, ["a", "b"], "left_anti"), "jaccard-narrowed")
+
     def _with_maps(self, pairs: DataFrame) -> DataFrame:
-        """``pairs`` (a, a_n, b, b_n) whose parity maps allow similarity, with the share of places ``apart``."""
+        """``pairs`` (a, a_n, b, b_n) whose parity maps allow similarity, and the share of places ``apart``."""
         for c in ("b", "a"):
             pairs = pairs.join(self.classes.select(F.col("id").alias(c), F.col("bits").alias(f"{c}_bits")), c)
         differ = F.expr(_differ("a", "b"))
         pairs = pairs.where(differ <= F.expr(f"a_n + b_n - 2 * {_least('a_n', 'b_n', self.percent)}"))
-        return pairs.select("a", "b", (differ / (F.col("a_n") + F.col("b_n"))).alias("apart"))
+        return pairs.select("a", "b", "a_n", "b_n", (differ / (F.col("a_n") + F.col("b_n"))).alias("apart"))
 
     def _pivot_pairs(self) -> DataFrame:
-        """(a, b, apart): a is a pivot of a list of b, and they may be similar.
+        """(a, b, a_n, b_n, apart): a is a pivot of a list of b, and they may be similar.
 
         All sets of a list of up to ``PIVOTS`` are its pivots, and about that
         many, drawn by a hash, of a longer one. A pair comes out once.
@@ -297,7 +325,7 @@ class Join:
         return self._with_maps(met.distinct())
 
     def _block_pairs(self, entries: DataFrame, every: bool) -> DataFrame:
-        """(a, b) of all pairs that a list of ``entries`` and its bounds allow; pairs in one component only if ``every``.
+        """(a, b, a_n, b_n) of all pairs that a list of ``entries`` and its bounds allow; pairs in one component only if ``every``.
 
         The larger set probes (ties: the larger id). Blocks are named by
         element, size class and position class, both on a log scale.
@@ -319,7 +347,7 @@ class Join:
         if not every:
             met = met.where("x_root <> y_root")
         met = met.where(_reach("x", "y", p)).where(f"{_differ('x', 'y')} <= x_n + y_n - 2 * {_least('x_n', 'y_n', p)}")
-        return met.select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
+        return met.select(F.col("x_id").alias("a"), F.col("y_id").alias("b"), F.col("x_n").alias("a_n"), F.col("y_n").alias("b_n")).distinct()
 
     def links(self, every: bool = False, rounds: int = ROUNDS) -> DataFrame:
         """(a, b, shared, a_n, b_n): similar pairs of classes.
@@ -335,7 +363,7 @@ class Join:
         """
         ids = lambda pairs: pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
         columns = ("a", "b", "shared", "a_n", "b_n")
-        open_ = saved(self._pivot_pairs(), "jaccard-pivots") if rounds else None
+        open_ = self._narrowed(saved(self._pivot_pairs(), "jaccard-pivots")).select("a", "b", "apart") if rounds else None
         sets = self.sets(ids(open_)) if rounds else None
         compared, found, roots = None, None, None
         for turn in range(rounds + 1 if rounds else 0):
@@ -361,7 +389,7 @@ class Join:
             at = saved(at.select(*self.entries.columns, F.coalesce("root", "id").alias("root")), "jaccard-rooted")
             mixed = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
             at = at.join(mixed, "key")
-        pairs = self._block_pairs(at, every)
+        pairs = self._narrowed(saved(self._block_pairs(at, every), "jaccard-blocks")).select("a", "b")
         if rounds and not every:
             pairs = pairs.union(open_.select("a", "b")).distinct()
         pairs = saved(pairs, "jaccard-pairs")
