@@ -169,3 +169,10 @@ def als_predict(fm: FactorModel, pairs: DataFrame) -> DataFrame:
         p = p.join(fm.item_index, "item").withColumnRenamed("item_ix", "_i")
     out = fm.model.transform(p)
     return out.select("user", "item", F.col("prediction").cast("double").alias("prediction"))
+
+
+def score_pairs(users: DataFrame, items: DataFrame, pairs: DataFrame) -> DataFrame:
+    """As ``als_predict``, from factor tables (user, user_factors) and (item,
+    item_factors) of any origin: folded in, re-solved, or another program's."""
+    j = pairs.select("user", "item").join(users, "user").join(items, "item")
+    return j.select("user", "item", factor_dot().alias("prediction"))

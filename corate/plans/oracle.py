@@ -362,6 +362,17 @@ WHERE t."user" IN (SELECT "user" FROM train) AND t.item IN (SELECT item FROM tra
 UNION ALL SELECT "user", item, source, prediction FROM filled""")
     q["als_dot_check"] = "SELECT *, true AS is_dot_product FROM (" + q["als_coverage"] + ")"
     q["als_normal_equations"] = with_ctes(["train"], [], 'SELECT DISTINCT "user", true AS solved FROM train')
+    q["als_user_half_step"] = with_ctes(["train"], [], 'SELECT DISTINCT "user", true AS same FROM train')
+    q["als_item_half_step"] = with_ctes(["train"], [], "SELECT DISTINCT item, true AS solved FROM train")
+    q["als_fold_in"] = with_ctes(["truth", "train"], [], """
+SELECT DISTINCT t."user", true AS solved FROM truth t
+WHERE t."user" NOT IN (SELECT "user" FROM train) AND t.item IN (SELECT item FROM train)""")
+    dot = " + ".join(f'("user" * {2 * k + 3}) % 11 / 8.0::DOUBLE * ((item * {2 * k + 5}) % 13 / 8.0::DOUBLE)' for k in range(5))
+    formula = (f'SELECT "user", item, {dot} AS prediction, \'als\' AS source FROM (' + q["als_coverage"] + ")"
+               + ' UNION ALL SELECT "user", item, prediction, source FROM (' + _impute_sql("genre") + ")")
+    q["model_based_formula_predict"] = f"SELECT * FROM ({formula})"
+    q["model_based_formula_eval"] = with_ctes(["truth"], [("model", formula), ("pred", """
+  SELECT t.rating, m.prediction FROM truth t JOIN model m ON m."user" = t."user" AND m.item = t.item""")], _EVAL_SELECT)
     q["score_join_eval"] = with_ctes(["truth", "test", "ustats", "gmean"], [("pred", """
   SELECT h."user", h.item, h.rating, coalesce(s.mean_rating, (SELECT g FROM gmean)) AS prediction
   FROM truth h JOIN test t ON t."user" = h."user" AND t.item = h.item
@@ -390,4 +401,5 @@ UNION ALL SELECT 'test', s_suppkey || ',none', 'type' FROM supplier
 UNION ALL SELECT 'genres', n_name || ',"Nation, A",none', 'type' FROM nation"""
     q["prediction_file"] = (
         'SELECT row_number() OVER (ORDER BY "UserId", "MovieId") AS position, * FROM (' + q["prediction_output"] + ")")
+    q["prediction_single_file"] = q["prediction_file"]
     return q

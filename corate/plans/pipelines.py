@@ -347,7 +347,7 @@ def user_based(
 
 
 class ModelResult(NamedTuple):
-    model: als_ops.FactorModel
+    model: als_ops.FactorModel | None
     factor_predictions: DataFrame   # user, item, prediction: every scorable test pair
     imputed: DataFrame              # user, item, rating, prediction, source
     predictions: DataFrame          # user, item, prediction, source: the output file
@@ -363,14 +363,20 @@ def model_based(
     impute_how: str = "genre",
     impute_unanswered: bool = False,
     num_blocks: int | None = None,
+    factors: tuple[DataFrame, DataFrame] | None = None,
 ) -> ModelResult:
     """ALS on the training ratings, scored on all test pairs; the answered
     test pairs it cannot score are filled by ``impute_how`` (``genre``: the
     user's same-genre mean, then the user mean; ``item_mean``: the item mean,
     then the user mean). ``impute_unanswered`` also fills unscorable test
-    pairs that have no held-out rating."""
-    fm = als_ops.fit_als(prep.train, rank, max_iter, reg_param, seed, num_blocks, n_rows=prep.n_train or None)
-    fp = materialize(als_ops.als_predict(fm, prep.test), "auto", "als")
+    pairs that have no held-out rating. ``factors`` (user and item tables, see
+    ``als.score_pairs``) take the place of a fit."""
+    if factors is None:
+        fm = als_ops.fit_als(prep.train, rank, max_iter, reg_param, seed, num_blocks, n_rows=prep.n_train or None)
+        fp = als_ops.als_predict(fm, prep.test)
+    else:
+        fm, fp = None, als_ops.score_pairs(*factors, prep.test)
+    fp = materialize(fp, "auto", "als")
     if impute_unanswered:
         cases = prep.test.join(fp, ["user", "item"], "left_anti")
         cases = cases.join(prep.truth, ["user", "item"], "left")

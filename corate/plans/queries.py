@@ -14,7 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corate.operators.als import dot_differences, user_residuals
+from corate.constants import ALS_RANK
+from corate.operators.als import dot_differences, factor_tables, user_residuals
 from corate.operators.evaluate import evaluate, score
 from corate.operators.impute import impute, unscorable_by_factors
 from corate.operators.neighbors import (
@@ -24,6 +25,8 @@ from corate.operators.neighbors import (
     top_k,
     user_candidates,
 )
+from corate.operators.pair_count import corated_pair_count
+from corate.operators.ridge import fold_in, residuals
 from corate.operators.split import dedup_last
 from corate.operators.stats import adjacency_lists, item_stats, user_genre_stats
 from corate.plans import pipelines as P
@@ -111,7 +114,8 @@ def q_corated_pairs(spark, sf_dir):
 
 
 def q_corated_pair_count(spark, sf_dir):
-    return P.item_pairs(prepared(spark, sf_dir)).agg(F.count("*").alias("n_pairs"))
+    """Co-rated item pairs, counted from bitmaps."""
+    return corated_pair_count(prepared(spark, sf_dir).train)
 
 
 def q_item_pearson(spark, sf_dir):
@@ -202,6 +206,15 @@ def q_prediction_file(spark, sf_dir):
     return read_predictions_csv(spark, path)
 
 
+def q_prediction_single_file(spark, sf_dir):
+    """The same as one file, joined from ordered parts, read back."""
+    ensure_checkpoint_dir(spark)
+    path = table_path(spark, "prediction-one")
+    pred = materialize(_r6(P.item_based(prepared(spark, sf_dir)).predictions, "prediction"), "auto", "pred")
+    write_predictions(pred, path, single_file=True)
+    return read_predictions_csv(spark, path)
+
+
 def q_prediction_output(spark, sf_dir):
     """The sorted prediction file rows (UserId, MovieId, Pred_rating)."""
     pred = _r6(P.item_based(prepared(spark, sf_dir)).predictions, "prediction")
@@ -296,6 +309,61 @@ def q_als_normal_equations(spark, sf_dir):
     return r.select("user", (F.col("residual") <= 1e-5).alias("solved"))
 
 
+def q_als_item_half_step(spark, sf_dir):
+    """Per training item: do the factors of a further item half-step, given
+    the model's user factors, solve the item's ridge equations?"""
+    train = prepared(spark, sf_dir).train
+    users, _ = factor_tables(_model(spark, sf_dir).model)
+    items = fold_in(train, users, "item", "user", ALS_RANK)
+    r = residuals(train, items, users, "item", "user", ALS_RANK)
+    return r.select("item", (F.col("residual") <= 1e-9).alias("solved"))
+
+
+def q_als_user_half_step(spark, sf_dir):
+    """Per training user: does folding the user in, given the model's item
+    factors, give the factors of the model's own last half-step?"""
+    users, items = factor_tables(_model(spark, sf_dir).model)
+    own = fold_in(prepared(spark, sf_dir).train, items, "user", "item", ALS_RANK).withColumnRenamed("user_factors", "own")
+    norm = lambda v: F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)
+    apart = F.zip_with("own", "user_factors", lambda x, y: x - y.cast("double"))
+    return own.join(users, "user").select("user", (norm(apart) <= 1e-8 * (1 + norm(F.col("own")))).alias("same"))
+
+
+def q_als_fold_in(spark, sf_dir):
+    """Users that come after training (they have held-out ratings only):
+    factors from these ratings, checked by residual."""
+    p = prepared(spark, sf_dir)
+    _, items = factor_tables(_model(spark, sf_dir).model)
+    late = p.truth.join(p.train.select("user").distinct(), "user", "left_anti")
+    users = fold_in(late, items, "user", "item", ALS_RANK)
+    r = residuals(late, users, items, "user", "item", ALS_RANK)
+    return r.select("user", (F.col("residual") <= 1e-9).alias("solved"))
+
+
+def formula_factors(train: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Factor tables of the training users and items from a formula over their
+    ids: five multiples of 1/8, whose products are exact."""
+    def table(name: str, step: int, mod: int) -> DataFrame:
+        f = F.array(*[(F.col(name) * (2 * k + step)) % mod / F.lit(8.0) for k in range(ALS_RANK)])
+        return train.select(name).distinct().select(name, f.alias(f"{name}_factors"))
+
+    return table("user", 3, 11), table("item", 5, 13)
+
+
+def _formula_model(spark, sf_dir) -> P.ModelResult:
+    p = prepared(spark, sf_dir)
+    return P.model_based(p, factors=formula_factors(p.train))
+
+
+def q_model_based_formula_predict(spark, sf_dir):
+    """The model-based job's output for factors from a formula: scored pairs and imputed rows."""
+    return _formula_model(spark, sf_dir).predictions.select("user", "item", "prediction", "source")
+
+
+def q_model_based_formula_eval(spark, sf_dir):
+    return _r6(_formula_model(spark, sf_dir).metrics, "rmse")
+
+
 # --- files -------------------------------------------------------------------
 
 _CSV_CACHE: dict[tuple, CsvInputs] = {}
@@ -366,6 +434,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "score_join_eval": q_score_join_eval,
         "prediction_output": q_prediction_output,
         "prediction_file": q_prediction_file,
+        "prediction_single_file": q_prediction_single_file,
         "user_based_predict": q_user_based_predict,
         "user_based_predict_corrected": q_user_based_predict_corrected,
         "user_based_eval": q_user_based_eval,
@@ -380,6 +449,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "model_based_keys": q_model_based_keys,
         "als_dot_check": q_als_dot_check,
         "als_normal_equations": q_als_normal_equations,
+        "als_item_half_step": q_als_item_half_step,
+        "als_user_half_step": q_als_user_half_step,
+        "als_fold_in": q_als_fold_in,
+        "model_based_formula_predict": q_model_based_formula_predict,
+        "model_based_formula_eval": q_model_based_formula_eval,
         "csv_ratings": q_csv_ratings,
         "csv_test_pairs": q_csv_test_pairs,
         "csv_genres": q_csv_genres,

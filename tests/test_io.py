@@ -128,3 +128,25 @@ def test_empty_files(spark, scratch):
     p = _write(os.path.join(scratch, "empty.csv"), "")
     for read in (read_ratings_csv, read_test_csv, read_genres_csv):
         assert read(spark, p).rows.count() == 0 and read(spark, p).rejects.count() == 0
+
+
+def test_single_file_is_joined_from_ordered_parts(spark, scratch):
+    """The bytes of one sorted file, whatever the number of parts; no other file is left."""
+    rows = [(u, i, round((u * 7 + i) % 45 / 9, 4)) for u in range(200) for i in range(0, 60, 1 + u % 7)]
+    df = spark.createDataFrame(rows, "user BIGINT, item BIGINT, prediction DOUBLE").repartition(5)
+    want = "UserId,MovieId,Pred_rating\n" + "".join(f"{u},{i},{p}\n" for u, i, p in sorted(rows))
+    for adaptive in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        try:
+            out = os.path.join(scratch, f"one-{adaptive}")
+            write_predictions(df, out, single_file=True)
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        assert sorted(f for f in os.listdir(out) if not f.startswith(".")) == ["_SUCCESS", "part-00000.csv"]
+        assert open(os.path.join(out, "part-00000.csv")).read() == want
+
+
+def test_single_file_of_nothing_has_the_header(spark, scratch):
+    out = os.path.join(scratch, "none")
+    write_predictions(spark.createDataFrame([], "user BIGINT, item BIGINT, prediction DOUBLE"), out, single_file=True)
+    assert open(os.path.join(out, "part-00000.csv")).read() == "UserId,MovieId,Pred_rating\n"
