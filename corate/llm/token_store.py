@@ -40,9 +40,9 @@ from .common import saved, shared_path, worker_cache
 
 END_ID = 1
 #: Text bytes per shard; a task holds one shard in memory.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 #: Distinct words that a worker keeps encoded, and text bytes it splits at a time.
-CACHE_WORDS, CHUNK = 200_000, 1 << 20
+CACHE_WORDS, CHUNK = 100_000, 1 << 20
 GAMMA = 2.0
 _MAGIC, _HEADER = b"IDSHARD1", "<8sIIIIIIQ"
 _HEADER_BYTES = 64
@@ -306,8 +306,10 @@ def write_store(docs: DataFrame, path: str, tokenizer_json: str, end_id: int = E
         for batch in batches:
             encode = encode or WordEncoder(shared.value)
             end = np.array([end_id], dtype=f"<u{encode.width}").tobytes()
-            keys += batch.column(0).to_pylist()
-            ids += [x + end for x in encode(batch.column(1))]
+            for at in range(0, batch.num_rows, 256):  # a few rows at a time: copies of a whole batch of texts are large
+                part = batch.slice(at, 256)
+                keys += part.column(0).to_pylist()
+                ids += [x + end for x in encode(part.column(1))]
         if keys:
             data = pack_shard(TaskContext.get().partitionId(), keys, ids, encode.width)
             yield pa.RecordBatch.from_arrays([pa.array([data], type=pa.binary())], ["data"])
