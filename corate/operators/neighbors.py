@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corate.operators.skew import HOT_PAIRS, product_join
 
 
-def item_candidates(truth: DataFrame, train: DataFrame, budget: int = HOT_PAIRS) -> DataFrame:
+def item_candidates(truth: DataFrame, train: DataFrame, budget: int | None = HOT_PAIRS) -> DataFrame:
     """For test pair (user, item): every item ``nbr`` the user rated in training.
 
     Returns (user, item, nbr, nbr_rating). The held-out answer is not carried
@@ -20,7 +20,7 @@ def item_candidates(truth: DataFrame, train: DataFrame, budget: int = HOT_PAIRS)
     return product_join(t, r, "user", "item", "nbr", budget).select("user", "item", "nbr", "nbr_rating")
 
 
-def user_candidates(truth: DataFrame, centred_train: DataFrame, budget: int = HOT_PAIRS) -> DataFrame:
+def user_candidates(truth: DataFrame, centred_train: DataFrame, budget: int | None = HOT_PAIRS) -> DataFrame:
     """For test pair (user, item): every user ``nbr`` who rated the item in
     training, with that user's rating count and sum (for the leave-one-out mean).
 

@@ -134,14 +134,17 @@ def member_pairs(
     return out if keep is None else keep(out)
 
 
-def product_join(left: DataFrame, right: DataFrame, key: str, left_id: str, right_id: str, budget: int = HOT_PAIRS) -> DataFrame:
+def product_join(left: DataFrame, right: DataFrame, key: str, left_id: str, right_id: str, budget: int | None = HOT_PAIRS) -> DataFrame:
     """``left`` joined with ``right`` on ``key``, where few keys may have many rows on both sides.
 
     A key with more than ``budget`` (left rows x right rows) is dealt into
     blocks of about that many pairs: its left rows into some buckets by
     ``left_id``, its right rows by ``right_id``, every left bucket meeting
-    every right bucket once. Other keys are joined as they are.
+    every right bucket once. Other keys are joined as they are. ``budget``
+    None: the caller knows of no such key (skips counting).
     """
+    if budget is None:
+        return left.join(right, key)
     side = int(isqrt(budget))
     n = left.groupBy(key).agg(F.count("*").alias("_t")).join(right.groupBy(key).agg(F.count("*").alias("_r")), key)
     parts = lambda c: F.ceil(F.col(c) / F.lit(side)).cast("int")

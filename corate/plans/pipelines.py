@@ -40,7 +40,7 @@ from corate.operators.neighbors import (
 from corate.operators.predict import item_based_prediction, user_based_prediction
 from corate.operators.similarity import centred_ratings, item_similarity, user_similarity
 from corate.operators.sizing import broadcast_if_small
-from corate.operators.skew import DEFAULT_HOT_ROWS
+from corate.operators.skew import DEFAULT_HOT_ROWS, HOT_PAIRS
 from corate.operators.split import dedup_last, flag_holdout, holdout_split
 from corate.operators.stats import user_genre_stats, user_stats
 from corate.session import checkpoint_dir, drop_layout, materialize, open_layout, write_layout, write_table
@@ -60,12 +60,15 @@ class Prepared(NamedTuple):
     layouts: dict | None = None  # further layouts of the training set
     tables: list | None = None  # the files under the layouts
     exact_top: int | None = None  # for ratings off the grid: see ``TrainSummary``
+    pair_rows: int = -1  # rows of the item co-rating self-join (-1: unknown)
+    max_user_product: int = -1  # bound of truth rows x training rows of a user (-1: unknown)
 
     def close(self) -> None:
         """Release everything cached or laid out for these inputs."""
         spark = self.train.sparkSession
-        for df in (self.train, self.truth, *[x[0] for x in (self.layouts or {}).values()]):
-            df.unpersist()
+        for df in (self.train, self.truth, (self.layouts or {}).get("item")):
+            if df is not None:
+                df.unpersist()
         for table in self.tables or []:
             drop_layout(spark, table)
         for held in (self.layouts, self.tables):
@@ -97,6 +100,7 @@ class TrainSummary(NamedTuple):
     rating_sum: float | None
     max_user_rows: int
     exact_top: int | None   # |rating| < 2^exact_top if ratings are off the grid, else None
+    pair_rows: int          # rows of the item co-rating self-join
 
 
 #: Ratings that are multiples of 1/GRID have products whose sums are exact as
@@ -114,11 +118,12 @@ def train_summary(train: DataFrame) -> TrainSummary:
         .agg(F.count("*").alias("n"), F.sum("rating").alias("s"), F.max(F.abs("rating")).alias("m"),
              F.bool_and(scaled == F.floor(scaled)).alias("grid"))
         .agg(F.sum("n").alias("rows"), F.sum("s").alias("total"), F.max("n").alias("top"),
-             F.max("m").alias("largest"), F.bool_and("grid").alias("grid"))
+             F.max("m").alias("largest"), F.bool_and("grid").alias("grid"),
+             F.sum(F.col("n").cast("double") * (F.col("n") - 1) / 2).alias("pairs"))
         .first()
     )
     top = None if r["grid"] in (True, None) else top_bit(r["largest"])
-    return TrainSummary(int(r["rows"] or 0), r["total"], int(r["top"] or 0), top)
+    return TrainSummary(int(r["rows"] or 0), r["total"], int(r["top"] or 0), top, int(r["pairs"] or 0))
 
 
 def layout_partitions(
@@ -191,7 +196,8 @@ def prepare(
     ustats = user_stats(train)
     laid_out = bool(by_user) and how not in (None, "none")
     return Prepared(
-        train, truth, keys, ustats, gmean, genres, laid_out, summ.rows, summ.max_user_rows, {}, tables, summ.exact_top
+        train, truth, keys, ustats, gmean, genres, laid_out, summ.rows, summ.max_user_rows, {}, tables, summ.exact_top,
+        summ.pair_rows, summ.max_user_rows * _max_group_rows(truth, "user"),
     )
 
 
@@ -209,17 +215,28 @@ def _centred_layout(prep: Prepared, hot_rows: int | None) -> tuple[DataFrame, bo
     the user layout is in use and an item's raters fit a partition, so that
     the user self-join on item and the candidate join on item need no exchange."""
     layouts = {} if prep.layouts is None else prep.layouts
-    if "item" in layouts:
-        ct, top = layouts["item"]
-        return ct, hot_rows is not None and top <= hot_rows
-    ct = centred_ratings(prep.train, prep.ustats)
-    if not prep.by_user or hot_rows is None:
-        return ct, False
-    top = _max_group_rows(prep.train, "item")
-    if top <= LAYOUT_ROWS_PER_PARTITION:
-        ct = co_partition(ct, "item", layout_partitions(ct.sparkSession, prep.n_train), prep.tables)
-        layouts["item"] = (ct, top)
-    return ct, top <= hot_rows
+    ct = layouts.get("item")
+    if ct is None:
+        ct = centred_ratings(prep.train, prep.ustats)
+        if not prep.by_user or hot_rows is None:
+            return ct, False
+        facts = layouts["item facts"] = _item_facts(prep)
+        if facts.max_rows <= LAYOUT_ROWS_PER_PARTITION:
+            ct = layouts["item"] = co_partition(ct, "item", layout_partitions(ct.sparkSession, prep.n_train), prep.tables)
+    return ct, hot_rows is not None and layouts["item facts"].max_rows <= hot_rows
+
+
+class ItemFacts(NamedTuple):
+    max_rows: int      # training rows of an item
+    pair_rows: int     # rows of the user co-rating self-join
+    max_product: int   # bound of truth rows x training rows of an item
+
+
+def _item_facts(prep: Prepared) -> ItemFacts:
+    n = prep.train.groupBy("item").agg(F.count("*").alias("n"))
+    r = n.agg(F.max("n").alias("top"), F.sum(F.col("n").cast("double") * (F.col("n") - 1) / 2).alias("pairs")).first()
+    top = int(r["top"] or 0)
+    return ItemFacts(top, int(r["pairs"] or 0), top * _max_group_rows(prep.truth, "item"))
 
 
 def centred_layout(prep: Prepared, hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
@@ -255,13 +272,18 @@ def selective_anchors(
     return pairs.select(col).distinct()
 
 
+#: Co-rating rows from which dropping those of other pairs pays for making the candidates twice.
+FILTER_ROWS = 100_000_000
+
+
 def needed_pairs(
-    cand: DataFrame, self_col: str, restrict: bool | None = None
+    cand: DataFrame, self_col: str, restrict: bool | None = True, pair_rows: int = -1
 ) -> Callable[[DataFrame], DataFrame] | None:
     """What drops co-rating rows of pairs that are no candidates (``self_col``,
-    nbr), before they are aggregated; None if ``restrict`` is False or the bit
-    filter would be too large to be of use (see ``operators.pair_filter``)."""
-    if restrict is False:
+    nbr), before they are aggregated; None if ``restrict`` is False, or None
+    and there are few such rows, or if the bit filter would be too large to be
+    of use (see ``operators.pair_filter``). Results do not depend on it."""
+    if restrict is False or restrict is None and 0 <= pair_rows < FILTER_ROWS:
         return None
     found = pair_filter.build(cand, self_col, "nbr")
     return None if found is None else (lambda rows: pair_filter.probe(rows, found, "m1", "m2"))
@@ -295,10 +317,11 @@ def item_based(
     the bit filter of ``needed_pairs``).
     """
     truth = prep.truth if pairs is None else pairs
-    cand = item_candidates(truth, prep.train)
+    small = pairs is None and 0 <= prep.max_user_product <= HOT_PAIRS
+    cand = item_candidates(truth, prep.train, None if small else HOT_PAIRS)
     if sims is None:
         anchors = selective_anchors(truth, prep.train, "item", restrict)
-        sims = item_pairs(prep, metric, hot_rows, anchors, needed_pairs(cand, "item", restrict))
+        sims = item_pairs(prep, metric, hot_rows, anchors, needed_pairs(cand, "item", restrict, prep.pair_rows))
     scored = attach_similarity(cand, sims, "item", "item1", "item2")
     top = top_k(scored, k)
     fallbacks: list[tuple[str, str]] = []
@@ -336,10 +359,12 @@ def user_based(
     ``restrict`` limits the similarity table as in ``item_based``."""
     truth = prep.truth if pairs is None else pairs
     ct, _ = _centred_layout(prep, hot_rows)
-    cand = user_candidates(truth, ct)
+    facts = (prep.layouts or {}).get("item facts")
+    small = pairs is None and facts is not None and facts.max_product <= HOT_PAIRS
+    cand = user_candidates(truth, ct, None if small else HOT_PAIRS)
     if sims is None:
         anchors = selective_anchors(truth, prep.train, "user", restrict)
-        sims, _ = user_pairs(prep, hot_rows, anchors, needed_pairs(cand, "user", restrict))
+        sims, _ = user_pairs(prep, hot_rows, anchors, needed_pairs(cand, "user", restrict, -1 if facts is None else facts.pair_rows))
     scored = attach_similarity(cand, sims, "user", "user1", "user2")
     top = top_k(scored, k)
     pred = user_based_prediction(truth, top, prep.ustats, prep.gmean, loo, clamp)
