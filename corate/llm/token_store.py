@@ -42,7 +42,7 @@ END_ID = 1
 #: Text bytes per shard; a task holds one shard in memory.
 SHARD_BYTES = 4 << 20
 #: Distinct words that a worker keeps encoded, and text bytes it splits at a time.
-CACHE_WORDS, CHUNK = 100_000, 1 << 20
+CACHE_WORDS, CHUNK = 200_000, 1 << 20
 GAMMA = 2.0
 _MAGIC, _HEADER = b"IDSHARD1", "<8sIIIIIIQ"
 _HEADER_BYTES = 64
@@ -55,8 +55,8 @@ class WordEncoder:
     white space separates and is dropped (words can be encoded alone), and
     ASCII punctuation after an ASCII letter or digit is a piece of its own,
     letters' case aside (``The,`` is ``the`` and ``,``). Otherwise whole texts
-    or whole words are encoded. Encoded words are kept by the worker process
-    for its later tasks, up to about ``words`` of them.
+    or whole words are encoded. Encoded words are kept, up to about ``words``
+    of them.
     """
 
     ENDS = b".,;:!?$%&*#|"
@@ -69,8 +69,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.width = 2 if max(self.tokenizer.get_vocab(with_added_tokens=True).values()) < 1 << 16 else 4
-        caches = worker_cache(f"token ids {zlib.crc32(tokenizer_json.encode())}")
-        self.limit, self.words = words, caches.setdefault("words", {})
+        self.limit, self.words = words, {}
         ids = lambda *parts: [i for p in parts for i in self._encode([p])[0]]
         ends = self.ENDS.decode()
         self.by_word = ids("ab cd\n\tef,") == ids("ab", "cd", "ef,") and ids(" ") == []
@@ -177,6 +176,16 @@ class WordEncoder:
         return out
 
 
+def worker_encoder(tokenizer_json: str) -> WordEncoder:
+    """The encoder of this worker process, one at a time: a tokenizer takes half a
+    second and some 50 MB to make, which the process does not get back."""
+    held, key = worker_cache("token encoder"), zlib.crc32(tokenizer_json.encode())
+    if key not in held:
+        held.clear()
+        held[key] = WordEncoder(tokenizer_json)
+    return held[key]
+
+
 def _mix(keys: np.ndarray, seed: int) -> np.ndarray:
     """Splitmix64 of unsigned keys; one-to-one for each seed."""
     with np.errstate(over="ignore"):
@@ -304,7 +313,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_json: str, end_id: int = E
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, keys, ids = None, [], []
         for batch in batches:
-            encode = encode or WordEncoder(shared.value)
+            encode = encode or worker_encoder(shared.value)
             end = np.array([end_id], dtype=f"<u{encode.width}").tobytes()
             for at in range(0, batch.num_rows, 256):  # a few rows at a time: copies of a whole batch of texts are large
                 part = batch.slice(at, 256)
