@@ -46,7 +46,7 @@ SHINGLE, PERCENT, MAP_BITS, ROUNDS, PIVOTS = 4, 85, 512, 2, 8
 #: Sets of more elements are held against longer parity maps before they are fetched.
 LARGE, LARGE_MAP_BITS = 512, 8192
 #: Entries of the table of common shingles that every task gets (9 bytes each), and hashes counted at once.
-COMMON, _CHUNK = 1 << 20, 1 << 22
+COMMON, _CHUNK = 1 << 20, 1 << 21
 #: Pairs and names of sets up to this number are broadcast (some 24 bytes each); beyond, the sets are shuffled.
 MAX_BROADCAST = 1 << 20
 #: Bits of the filter for the second reading of the texts (16 MB at any input size).
