@@ -41,8 +41,8 @@ from .common import saved, shared_path, worker_cache
 END_ID = 1
 #: Text bytes per shard; a task holds one shard in memory.
 SHARD_BYTES = 4 << 20
-#: Distinct words that a worker keeps encoded, and text bytes it splits at a time.
-CACHE_WORDS, CHUNK = 200_000, 1 << 20
+#: Distinct words that a worker keeps encoded (some 140 MB), and text bytes it splits at a time.
+CACHE_WORDS, CHUNK = 1_000_000, 1 << 20
 GAMMA = 2.0
 _MAGIC, _HEADER = b"IDSHARD1", "<8sIIIIIIQ"
 _HEADER_BYTES = 64
