@@ -74,6 +74,18 @@ class ExactSum:
     def aggregates(self) -> list[Column]:
         return [F.sum(c).alias(f"_{self.name}s{i}") for i, c in enumerate(limbs(self.value, self.top, self.n))]
 
+    def cut(self, df: DataFrame) -> tuple[DataFrame, list[Column]]:
+        """(``df`` with the limbs as columns, their aggregates): the limbs are cut
+        one after the other, so that none writes out those before it again."""
+        v, rest = f"_{self.name}v", f"_{self.name}r"
+        df = df.withColumn(v, self.value.cast("double")).withColumn(rest, F.abs(v) * F.lit(2.0 ** (LIMB - self.top)))
+        names = [f"_{self.name}l{i}" for i in range(self.n)]
+        for name in reversed(names):
+            df = df.withColumn(name, F.floor(rest))
+            df = df.withColumn(rest, (F.col(rest) - F.col(name).cast("double")) * F.lit(2.0**LIMB))
+        signed = lambda c: F.when(F.col(v) < 0, -F.col(c)).otherwise(F.col(c))
+        return df, [F.sum(signed(c)).alias(f"_{self.name}s{i}") for i, c in enumerate(names)]
+
     def finish(self, df: DataFrame) -> DataFrame:
         cols = [f"_{self.name}s{i}" for i in range(self.n)]
         return df.withColumn(self.name, as_double(F.array(*cols), self.top - LIMB * self.n)).drop(*cols)
@@ -91,6 +103,18 @@ class ExactMoments:
     def __init__(self, x: Column, y: Column, top: int):
         self.x, self.y, self.top = limbs(x, top, 2), limbs(y, top, 2), top
 
+    @classmethod
+    def of(cls, df: DataFrame, x: str, y: str, top: int) -> tuple[DataFrame, ExactMoments]:
+        """(``df`` with the limbs of x and y in their place, the moments of these limbs).
+
+        The sums then read columns: with the cuts written out in each of the
+        16 sums, the generated methods get too long for the JVM to compile."""
+        m = cls(F.col(x), F.col(y), top)
+        rest = [c for c in df.columns if c not in (x, y)]
+        names = {f"_l{k}{i}": c for k, cs in (("x", m.x), ("y", m.y)) for i, c in enumerate(cs)}
+        m.x, m.y = ([F.col(f"_l{k}{i}") for i in range(2)] for k in "xy")
+        return df.select(*rest, *[c.alias(k) for k, c in names.items()]), m
+
     @staticmethod
     def _product(a: list[Column], b: list[Column]) -> list[Column]:
         low, mid, high = a[0] * b[0], a[0] * b[1] + a[1] * b[0], a[1] * b[1]
@@ -102,7 +126,8 @@ class ExactMoments:
 
     @staticmethod
     def finish(df: DataFrame, n: str, name: str = "sim") -> DataFrame:
-        """``df`` with the correlation ``name``: 0 for a constant series or no covariance, exactly."""
+        """``df`` with the correlation ``name``: 0 for a constant series or no
+        covariance, exactly. A single pair is constant: it is left out first."""
         width = {"x": 2, "y": 2, "xy": 4, "xx": 4, "yy": 4}
         digits = {k: carried(F.array(*[f"_{k}{i}" for i in range(w)])) for k, w in width.items()}
 
@@ -121,6 +146,7 @@ class ExactMoments:
             return F.when((num != 0) & (vx > 0) & (vy > 0), num / (F.sqrt(vx) * F.sqrt(vy))).otherwise(F.lit(0.0))
 
         sim = _let(F.array(centred("xy", "x", "y"), centred("xx", "x", "x"), centred("yy", "y", "y")), correlation)
+        sim = F.when(F.col(n) > 1, sim).otherwise(F.lit(0.0))
         return df.withColumn(name, sim).drop(*[f"_{k}{i}" for k, w in width.items() for i in range(w)])
 
 

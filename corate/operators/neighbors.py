@@ -20,6 +20,24 @@ def item_candidates(truth: DataFrame, train: DataFrame, budget: int | None = HOT
     return product_join(t, r, "user", "item", "nbr", budget).select("user", "item", "nbr", "nbr_rating")
 
 
+def item_needed(truth: DataFrame, train: DataFrame, budget: int | None = HOT_PAIRS) -> DataFrame:
+    """The item pairs of ``item_candidates`` as lists: (m1, m2s), m1 less than
+    all of m2s; pairs repeat over users. A neighbour without an id gives the
+    pair of the item with itself. ``budget`` as there: beyond it the pairs are
+    made one by one."""
+    if budget is not None:
+        cand = item_candidates(truth, train, budget)
+        return cand.select(F.least("item", "nbr").alias("m1"), F.array(F.greatest("item", "nbr")).alias("m2s"))
+
+    def later(each: DataFrame, listed: DataFrame) -> DataFrame:
+        lists = listed.groupBy("user").agg(F.collect_list("item").alias("_ids"), F.count_if(F.col("item").isNull()).alias("_none"))
+        met = each.where("item is not null").select("user", F.col("item").alias("m1")).join(lists, "user")
+        own = F.when(F.col("_none") > 0, F.array("m1")).otherwise(F.array().cast("array<bigint>"))
+        return met.select("m1", F.concat(F.filter("_ids", lambda x: x > F.col("m1")), own).alias("m2s")).where(F.size("m2s") > 0)
+
+    return later(truth, train).unionByName(later(train, truth))
+
+
 def user_candidates(truth: DataFrame, centred_train: DataFrame, budget: int | None = HOT_PAIRS) -> DataFrame:
     """For test pair (user, item): every user ``nbr`` who rated the item in
     training, with that user's rating count and sum (for the leave-one-out mean).

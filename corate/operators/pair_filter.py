@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 #: A block is 32768 bits (4 KB); a pair sets ``HASHES`` bits of one block.
 BLOCK_BITS, HASHES = 1 << 15, 2
 BITS_PER_PAIR = 16
-#: Filters up to this size are broadcast. Beyond it, bits per pair shrink to
-#: ``LEAST_BITS``; beyond that, there is no filter and every pair is aggregated.
-MAX_BYTES = 256 << 20
+#: Filters up to this size are broadcast: the driver holds one several times
+#: over. Beyond it, bits per pair shrink to ``LEAST_BITS``; beyond that, there
+#: is no filter and every pair is aggregated.
+MAX_BYTES = 16 << 20
 LEAST_BITS = 2
 
 
@@ -29,10 +30,10 @@ class PairFilter(NamedTuple):
     n_blocks: int
 
 
-def n_blocks(n_pairs: int, max_bytes: int = MAX_BYTES) -> int | None:
+def n_blocks(n_pairs: int, max_bytes: int = MAX_BYTES, least_bits: int = LEAST_BITS) -> int | None:
     """Blocks for ``n_pairs``, or None where a filter of ``max_bytes`` would pass most pairs."""
     most = max_bytes * 8 // BLOCK_BITS
-    if n_pairs * LEAST_BITS > most * BLOCK_BITS:
+    if n_pairs * least_bits > most * BLOCK_BITS:
         return None
     return max(1, min(most, -(-n_pairs * BITS_PER_PAIR // BLOCK_BITS)))
 
@@ -44,10 +45,10 @@ def _hashes(lo: str, hi: str, blocks: int) -> tuple[Column, list[Column]]:
     return F.pmod(h, F.lit(blocks)), [F.shiftright(again, 15 * i).bitwiseAND(F.lit(BLOCK_BITS - 1)) for i in range(HASHES)]
 
 
-def build(pairs: DataFrame, a: str, b: str, max_bytes: int = MAX_BYTES) -> PairFilter | None:
+def build(pairs: DataFrame, a: str, b: str, max_bytes: int = MAX_BYTES, least_bits: int = LEAST_BITS) -> PairFilter | None:
     """Filter of the unordered pairs (a, b), repeats allowed; None if it would be too large."""
     n = pairs.agg(F.approx_count_distinct(F.xxhash64(F.least(a, b), F.greatest(a, b)))).first()[0]
-    blocks = n_blocks(n, max_bytes)
+    blocks = n_blocks(n, max_bytes, least_bits)
     if blocks is None:
         return None
     block, bits = _hashes(a, b, blocks)

@@ -63,8 +63,10 @@ def _all_sums(scored: DataFrame, weighted: Column) -> DataFrame:
     """As ``_rank_ordered_sums``, over all neighbours of a pair, however many:
     plain aggregates of exact sums, which need no order and no list."""
     num, den = ExactSum(weighted, "num"), ExactSum(F.abs("sim"), "den")
-    sums = scored.groupBy("user", "item").agg(
-        *num.aggregates(), *den.aggregates(), F.count("*").cast("bigint").alias("n_neighbors"))
+    rows, nums = num.cut(scored)
+    rows, dens = den.cut(rows)
+    sums = rows.groupBy("user", "item").agg(
+        *nums, *dens, F.count("*").cast("bigint").alias("n_neighbors"))
     return den.finish(num.finish(sums)).select("user", "item", "num", "den", "n_neighbors")
 
 

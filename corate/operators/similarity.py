@@ -1,25 +1,48 @@
 """Item-item and user-user similarity tables.
 
-Both are built from the co-rating self-join (``skew.member_pairs``) followed by
-one ``groupBy`` on the pair whose aggregates are plain sums, so Spark combines
-them map-side before the shuffle. Pairs that share no rater / no item are not
-in the tables; lookups treat them as similarity 0.
+Both are built from the co-rating self-join followed by one ``groupBy`` on the
+pair. On sparse data most pairs have one co-rater, so combining them map-side
+saves nothing: the rows are dealt by first member as lists (``skew.dealt_pairs``)
+and summed behind that one exchange. Pairs that share no rater / no item are
+not in the tables; lookups treat them as similarity 0.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corate.functions.exact import ExactMoments
 from corate.functions.columns import centred_pearson, noise, pearson_from_moments, sum_normalized
-from corate.operators.skew import DEFAULT_HOT_ROWS, DEFAULT_MAX_BUCKETS, member_pairs
+from corate.operators.skew import DEFAULT_HOT_ROWS, DEFAULT_MAX_BUCKETS, dealt_pairs, later_members, member_pairs
 
 ITEM_METRICS = ("pearson", "sum_normalized")
 
 
+class Pairs(NamedTuple):
+    """What is known of the co-rating self-join, so that it need not be counted."""
+
+    rows: int = -1            # its rows, -1 if unknown
+    most: int | None = None   # bound of the rows of one first member
+
+
+def _pair_rows(
+    df: DataFrame, group: str, member: str, value: str, hot_rows: int | None, max_buckets: int | None, anchors: DataFrame | None,
+    no_hot: bool, keep: Callable[[DataFrame], DataFrame] | None, known: Pairs, needed: DataFrame | None = None,
+) -> tuple[DataFrame, list[str]]:
+    """(rows (m1, m2, v_1, v_2) of members m1 < m2 of a group, key of a pair).
+
+    All pairs are dealt as lists by first member. Where ``anchors`` or ``keep``
+    leave few of them, these rows are made at once and combined map-side."""
+    if anchors is None and keep is None:
+        return dealt_pairs(later_members(df, group, member, value, hot_rows, max_buckets, no_hot), *known, needed)
+    rows = member_pairs(df, group, member, [value], hot_rows, max_buckets, anchors, no_hot, keep)
+    return rows.withColumnRenamed(f"{value}_1", "v_1").withColumnRenamed(f"{value}_2", "v_2"), ["m1", "m2"]
+
+
 def item_pair_moments(
     train: DataFrame,
     hot_rows: int | None = DEFAULT_HOT_ROWS,
@@ -28,26 +51,33 @@ def item_pair_moments(
     no_hot: bool = False,
     shift: Column | None = None,
     keep: Callable[[DataFrame], DataFrame] | None = None,
+    known: Pairs = Pairs(),
+    needed: DataFrame | None = None,
 ) -> DataFrame:
     """(item1, item2, n_corated, sx, sy, sxy, sxx, syy) over users who rated
     both items; item1 < item2; x is the rating of item1, y of item2, both less
     ``shift`` (rounded to a whole number, which keeps grid ratings on a grid).
     ``anchors`` (column ``item``) limits it to pairs touching those items;
     ``no_hot``: no user is known to exceed ``hot_rows``; ``keep`` drops rows
-    of pairs (m1, m2) that are not needed."""
-    p = member_pairs(train, "user", "item", ["rating"], hot_rows, max_buckets, anchors, no_hot, keep)
-    x, y = F.col("rating_1"), F.col("rating_2")
+    of pairs (m1, m2) that are not needed; ``needed`` (m1, m2s): only these
+    pairs, also those without a co-rater."""
+    p, key = _pair_rows(train, "user", "item", "rating", hot_rows, max_buckets, anchors, no_hot, keep, known, needed)
+    x, y = F.col("v_1"), F.col("v_2")
     if shift is not None:
         by = F.coalesce(F.round(shift), F.lit(0.0))
         x, y = x - by, y - by
-    return p.groupBy(F.col("m1").alias("item1"), F.col("m2").alias("item2")).agg(
-        F.count("*").alias("n_corated"),
-        F.sum(x).alias("sx"),
-        F.sum(y).alias("sy"),
-        F.sum(x * y).alias("sxy"),
-        F.sum(x * x).alias("sxx"),
-        F.sum(y * y).alias("syy"),
-    )
+    sums = {"sx": x, "sy": y, "sxy": x * y, "sxx": x * x, "syy": y * y}
+    return _pair_sums(p, key, [F.sum(v).alias(k) for k, v in sums.items()])
+
+
+def _pair_sums(rows: DataFrame, key: list[str], sums: list[Column]) -> DataFrame:
+    """(item1, item2, n_corated, sums) of the rows of each pair; of those in need only, if rows say which are."""
+    if "need" not in rows.columns:
+        found = rows.groupBy(*key).agg(F.count("*").alias("n_corated"), *sums)
+    else:
+        found = rows.groupBy(*key).agg(F.count_if(~F.col("need")).alias("n_corated"), F.bool_or("need").alias("_asked"), *sums)
+        found = found.where("_asked").drop("_asked")
+    return found.withColumnRenamed("m1", "item1").withColumnRenamed("m2", "item2").drop("_b")
 
 
 def item_similarity(
@@ -60,9 +90,12 @@ def item_similarity(
     shift: Column | None = None,
     keep: Callable[[DataFrame], DataFrame] | None = None,
     exact_top: int | None = None,
+    known: Pairs = Pairs(),
+    needed: DataFrame | None = None,
 ) -> DataFrame:
     """(item1, item2, n_corated, sim) for every co-rated item pair (touching
-    ``anchors``, when given; ``no_hot`` and ``keep`` as in ``item_pair_moments``).
+    ``anchors``, when given; ``no_hot``, ``keep`` and ``needed`` as in
+    ``item_pair_moments``).
 
     ``pearson``: correlation with means taken over the co-raters only.
     Ratings on a grid have exact sums as doubles; for others give
@@ -76,13 +109,13 @@ def item_similarity(
     if metric not in ITEM_METRICS:
         raise ValueError(f"metric must be one of {ITEM_METRICS}")
     if metric == "pearson" and exact_top is not None:
-        p = member_pairs(train, "user", "item", ["rating"], hot_rows, max_buckets, anchors, no_hot, keep)
-        sums = ExactMoments(F.col("rating_1"), F.col("rating_2"), exact_top)
-        m = p.groupBy(F.col("m1").alias("item1"), F.col("m2").alias("item2")).agg(F.count("*").alias("n_corated"), *sums.aggregates())
+        p, key = _pair_rows(train, "user", "item", "rating", hot_rows, max_buckets, anchors, no_hot, keep, known, needed)
+        cut, sums = ExactMoments.of(p, "v_1", "v_2", exact_top)
+        m = _pair_sums(cut, key, sums.aggregates())
         return sums.finish(m, "n_corated").select("item1", "item2", "n_corated", "sim")
     if metric != "pearson":
         shift = None
-    m = item_pair_moments(train, hot_rows, max_buckets, anchors, no_hot, shift, keep)
+    m = item_pair_moments(train, hot_rows, max_buckets, anchors, no_hot, shift, keep, known, needed)
     if metric == "pearson":
         sim = pearson_from_moments("n_corated", "sx", "sy", "sxy", "sxx", "syy")
     else:
@@ -110,6 +143,7 @@ def user_similarity(
     centred: DataFrame | None = None,
     no_hot: bool = False,
     keep: Callable[[DataFrame], DataFrame] | None = None,
+    known: Pairs = Pairs(),
 ) -> DataFrame:
     """(user1, user2, n_common, sim): Pearson over the items both rated, with
     each user's deviation taken from that user's overall training mean.
@@ -120,12 +154,12 @@ def user_similarity(
     if centred is None:
         centred = centred_ratings(train, ustats)
     c = centred.select("item", "user", "dev")
-    p = member_pairs(c, "item", "user", ["dev"], hot_rows, max_buckets, anchors, no_hot, keep)
-    a, b = F.col("dev_1"), F.col("dev_2")
-    m = p.groupBy(F.col("m1").alias("user1"), F.col("m2").alias("user2")).agg(
+    p, key = _pair_rows(c, "item", "user", "dev", hot_rows, max_buckets, anchors, no_hot, keep, known)
+    a, b = F.col("v_1"), F.col("v_2")
+    m = p.groupBy(*key).agg(
         F.count("*").alias("n_common"),
         F.sum(a * b).alias("sab"),
         F.sum(a * a).alias("saa"),
         F.sum(b * b).alias("sbb"),
     )
-    return m.select("user1", "user2", "n_common", centred_pearson("sab", "saa", "sbb").alias("sim"))
+    return m.select(F.col("m1").alias("user1"), F.col("m2").alias("user2"), "n_common", centred_pearson("sab", "saa", "sbb").alias("sim"))

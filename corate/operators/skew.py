@@ -26,6 +26,10 @@ from pyspark.sql import functions as F
 HOT_PAIRS = 5_000_000
 DEFAULT_HOT_ROWS = isqrt(2 * HOT_PAIRS)
 DEFAULT_MAX_BUCKETS = None  # as many as the group needs
+#: Co-rating rows of a partition of ``dealt_pairs``, and of one first member
+#: beyond which its rows are dealt to several partitions.
+DEALT_PAIRS = 2_000_000
+HOT_MEMBER_PAIRS = 20_000_000
 MAX_BROADCAST_GROUPS = 100_000
 
 
@@ -134,6 +138,79 @@ def member_pairs(
     return out if keep is None else keep(out)
 
 
+def _lists(rows: DataFrame, keys: list[str], member: str, value: str) -> DataFrame:
+    """(keys, _ids, _vs): the members of each key in ascending order, and their values."""
+    held = F.sort_array(F.collect_list(F.struct(member, value))).alias("_held")
+    found = rows.groupBy(*keys).agg(held)
+    return found.select(*keys, F.col("_held").getField(member).alias("_ids"), F.col("_held").getField(value).alias("_vs"))
+
+
+def later_members(
+    df: DataFrame, group: str, member: str, value: str, hot_rows: int | None = DEFAULT_HOT_ROWS,
+    max_buckets: int | None = DEFAULT_MAX_BUCKETS, no_hot: bool = False,
+) -> DataFrame:
+    """(m1, v1, m2s, v2s): each member of a group with the greater members of
+    the group and their values, as lists. Groups above ``hot_rows`` are dealt
+    in buckets as in ``member_pairs``, so no list is longer than a bucket."""
+    d = df.select(group, member, value).where(F.col(group).isNotNull() & F.col(member).isNotNull())
+    salted = None if hot_rows is None or no_hot else attach_buckets(d, group, hot_rows, max_buckets)
+    ordinary = _lists(d if salted is None else salted.where("_nb = 1"), [group], member, value)
+    after = lambda c, at: F.slice(c, at + 1, F.size(c)).alias("m2s" if c == "_ids" else "v2s")
+    each = ordinary.where(F.size("_ids") > 1).select("_ids", "_vs", F.posexplode("_ids").alias("_at", "m1"))
+    at = F.col("_at") + 1
+    out = each.where(at < F.size("_ids")).select("m1", F.get("_vs", F.col("_at")).alias("v1"), after("_ids", at), after("_vs", at))
+    if salted is None:
+        return out
+    hot = salted.where("_nb > 1").withColumn("_b", F.pmod(F.xxhash64(member), F.col("_nb")).cast("int"))
+    fan = F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))
+    left = hot.select(group, F.col("_b").alias("_b1"), fan.alias("_b2"), F.col(member).alias("m1"), F.col(value).alias("v1"))
+    right = _lists(hot, [group, "_nb", "_b"], member, value).select(group, fan.alias("_b1"), F.col("_b").alias("_b2"), "_ids", "_vs")
+    keys = [group, "_b1", "_b2"]
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = left.repartition(n, *keys).join(right.repartition(n, *keys), keys)
+    met = met.withColumn("_at", F.size(F.filter("_ids", lambda x: x <= F.col("m1")))).where(F.col("_at") < F.size("_ids"))
+    return out.unionByName(met.select("m1", "v1", after("_ids", F.col("_at")), after("_vs", F.col("_at"))))
+
+
+def dealt_pairs(
+    lists: DataFrame, pair_rows: int = -1, most: int | None = None, needed: DataFrame | None = None
+) -> tuple[DataFrame, list[str]]:
+    """(rows (m1, m2, v_1, v_2), key): the pairs of ``later_members``, dealt by
+    first member, so that grouping them by ``key`` (m1 and m2) needs no exchange.
+
+    What is shuffled is a member with a list, about a quarter of a row per pair.
+    ``pair_rows``: pairs in all, -1 if unknown (sizes the partitions).
+    ``most``: bound of the pairs of one first member (None: they are counted);
+    a member with more than ``HOT_MEMBER_PAIRS`` is dealt by its pairs.
+    ``needed`` (m1, m2s): pairs somebody asks for; they are put between the
+    others with ``need`` true and null values."""
+    none = F.lit(None).cast("double")
+    spark = lists.sparkSession
+    if needed is not None:
+        asked = needed.select("m1", none.alias("v1"), "m2s", F.transform("m2s", lambda x: none).alias("v2s"), F.lit(True).alias("need"))
+        lists = lists.withColumn("need", F.lit(False)).unionByName(asked)
+    key = ["m1"]
+    if most is None or needed is not None or most > HOT_MEMBER_PAIRS:
+        load = lists.groupBy("m1").agg(F.sum(F.size("m2s")).alias("_n")).where(F.col("_n") > HOT_MEMBER_PAIRS)
+        load = load.select("m1", F.ceil(F.col("_n") / F.lit(HOT_MEMBER_PAIRS // 4)).cast("int").alias("_parts"))
+        n_hot = load.count()
+        if n_hot:
+            key = ["m1", "_b"]
+            side = F.broadcast(load) if n_hot <= MAX_BROADCAST_GROUPS else load
+            known = lists.join(side, "m1", "left")
+            single = known.where("_parts is not null").select(*[c for c in known.columns if c not in ("m2s", "v2s")], "v2s", F.posexplode("m2s").alias("_at", "_m2"))
+            single = single.withColumn("m2s", F.array("_m2")).withColumn("v2s", F.array(F.get("v2s", F.col("_at"))))
+            single = single.withColumn("_b", F.pmod(F.xxhash64("_m2"), F.col("_parts")).cast("int"))
+            lists = known.where("_parts is null").withColumn("_b", F.lit(0)).drop("_parts").unionByName(single.drop("_parts", "_at", "_m2"))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-pair_rows // DEALT_PAIRS))
+    dealt = lists.repartition(n, *key)
+    kept = [c for c in dealt.columns if c not in ("m2s", "v2s")]
+    rows = dealt.select(*kept, "v2s", F.posexplode("m2s").alias("_at", "m2"))
+    rows = rows.select(*[c for c in kept if c != "v1"], "m2", F.col("v1").alias("v_1"), F.get("v2s", F.col("_at")).alias("v_2"))
+    ordered = F.col("m1") < F.col("m2")
+    return rows.where(ordered if needed is None else ordered | F.col("need")), [*key, "m2"]
+
+
 def product_join(left: DataFrame, right: DataFrame, key: str, left_id: str, right_id: str, budget: int | None = HOT_PAIRS) -> DataFrame:
     """``left`` joined with ``right`` on ``key``, where few keys may have many rows on both sides.
 

@@ -34,11 +34,12 @@ from corate.operators.impute import impute
 from corate.operators.neighbors import (
     attach_similarity,
     item_candidates,
+    item_needed,
     top_k,
     user_candidates,
 )
 from corate.operators.predict import item_based_prediction, user_based_prediction
-from corate.operators.similarity import centred_ratings, item_similarity, user_similarity
+from corate.operators.similarity import Pairs, centred_ratings, item_similarity, user_similarity
 from corate.operators.sizing import broadcast_if_small
 from corate.operators.skew import DEFAULT_HOT_ROWS, HOT_PAIRS
 from corate.operators.split import dedup_last, flag_holdout, holdout_split
@@ -220,7 +221,9 @@ def _centred_layout(prep: Prepared, hot_rows: int | None) -> tuple[DataFrame, bo
         ct = centred_ratings(prep.train, prep.ustats)
         if not prep.by_user or hot_rows is None:
             return ct, False
-        facts = layouts["item facts"] = _item_facts(prep)
+        facts = layouts.get("item facts")
+        if facts is None:
+            facts = layouts["item facts"] = _item_facts(prep)
         if facts.max_rows <= LAYOUT_ROWS_PER_PARTITION:
             ct = layouts["item"] = co_partition(ct, "item", layout_partitions(ct.sparkSession, prep.n_train), prep.tables)
     return ct, hot_rows is not None and layouts["item facts"].max_rows <= hot_rows
@@ -239,6 +242,16 @@ def _item_facts(prep: Prepared) -> ItemFacts:
     return ItemFacts(top, int(r["pairs"] or 0), top * _max_group_rows(prep.truth, "item"))
 
 
+def _most_pairs(prep: Prepared) -> int | None:
+    """Bound of the co-rating rows of one item, or of one user."""
+    if prep.max_user_rows < 0 or prep.layouts is None:
+        return None
+    facts = prep.layouts.get("item facts")
+    if facts is None:
+        facts = prep.layouts["item facts"] = _item_facts(prep)
+    return prep.max_user_rows * facts.max_rows
+
+
 def centred_layout(prep: Prepared, hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
     """The centred ratings the user similarities are built from."""
     return _centred_layout(prep, hot_rows)[0]
@@ -274,6 +287,8 @@ def selective_anchors(
 
 #: Co-rating rows from which dropping those of other pairs pays for making the candidates twice.
 FILTER_ROWS = 100_000_000
+#: Bits a pair below which the filter passes too many other pairs to be worth its broadcast.
+USEFUL_BITS = 6
 
 
 def needed_pairs(
@@ -285,10 +300,22 @@ def needed_pairs(
     of use (see ``operators.pair_filter``). Results do not depend on it."""
     if restrict is False or restrict is None and 0 <= pair_rows < FILTER_ROWS:
         return None
-    found = pair_filter.build(cand, self_col, "nbr")
+    found = pair_filter.build(cand, self_col, "nbr", least_bits=USEFUL_BITS)
     return None if found is None else (lambda rows: pair_filter.probe(rows, found, "m1", "m2"))
 
 
+def user_pair_rows(prep: Prepared) -> int:
+    """Rows of the user co-rating self-join, -1 if they were not counted."""
+    facts = (prep.layouts or {}).get("item facts")
+    return -1 if facts is None else facts.pair_rows
+
+
+def needed_item_pairs(prep: Prepared) -> DataFrame:
+    """The item pairs the item-based job looks up for the truth, as lists."""
+    small = 0 <= prep.max_user_product <= HOT_PAIRS
+    return item_needed(prep.truth, prep.train, None if small else HOT_PAIRS)
+
+
 class Result(NamedTuple):
     predictions: DataFrame   # user, item, rating, prediction, source, ...
     metrics: DataFrame       # one row: bands, n_scored, rmse
@@ -364,7 +391,7 @@ def user_based(
     cand = user_candidates(truth, ct, None if small else HOT_PAIRS)
     if sims is None:
         anchors = selective_anchors(truth, prep.train, "user", restrict)
-        sims, _ = user_pairs(prep, hot_rows, anchors, needed_pairs(cand, "user", restrict, -1 if facts is None else facts.pair_rows))
+        sims, _ = user_pairs(prep, hot_rows, anchors, needed_pairs(cand, "user", restrict, user_pair_rows(prep)))
     scored = attach_similarity(cand, sims, "user", "user1", "user2")
     top = top_k(scored, k)
     pred = user_based_prediction(truth, top, prep.ustats, prep.gmean, loo, clamp)
@@ -424,11 +451,14 @@ def item_pairs(
     hot_rows: int | None = DEFAULT_HOT_ROWS,
     anchors: DataFrame | None = None,
     keep: Callable[[DataFrame], DataFrame] | None = None,
+    needed: DataFrame | None = None,
 ) -> DataFrame:
     """Every co-rated item pair of the training set (touching ``anchors``, and
-    left by ``keep``, when given) with its similarity."""
-    return item_similarity(prep.train, metric, hot_rows, anchors=anchors,
-                           no_hot=_no_hot_user(prep, hot_rows), shift=prep.gmean, keep=keep, exact_top=prep.exact_top)
+    left by ``keep``, when given) with its similarity; or the pairs ``needed``
+    (m1, m2s), whether co-rated or not."""
+    known = Pairs(prep.pair_rows, _most_pairs(prep)) if anchors is None and keep is None else Pairs()
+    return item_similarity(prep.train, metric, hot_rows, anchors=anchors, no_hot=_no_hot_user(prep, hot_rows),
+                           shift=prep.gmean, keep=keep, exact_top=prep.exact_top, known=known, needed=needed)
 
 
 def user_pairs(
@@ -437,6 +467,8 @@ def user_pairs(
 ) -> tuple[DataFrame, DataFrame]:
     """(similarity of every co-rating user pair, the centred ratings it is built from)."""
     ct, no_hot_item = _centred_layout(prep, hot_rows)
+    facts = (prep.layouts or {}).get("item facts")
+    known = Pairs() if facts is None else Pairs(facts.pair_rows, _most_pairs(prep))
     sims = user_similarity(prep.train, prep.ustats, hot_rows, anchors=anchors, centred=ct,
-                           no_hot=no_hot_item, keep=keep)
+                           no_hot=no_hot_item, keep=keep, known=known)
     return sims, ct

@@ -20,7 +20,6 @@ from corate.operators.evaluate import evaluate, score
 from corate.operators.impute import impute, unscorable_by_factors
 from corate.operators.neighbors import (
     attach_similarity,
-    candidate_pair_similarity,
     item_candidates,
     top_k,
     user_candidates,
@@ -122,9 +121,7 @@ def q_item_pearson(spark, sf_dir):
     """Pearson similarity of every (test item, item the test user rated) pair
     the item-based job looks up; 0 for pairs without a co-rater."""
     p = prepared(spark, sf_dir)
-    cand = item_candidates(p.truth, p.train)
-    sims = P.item_pairs(p, keep=P.needed_pairs(cand, "item"))
-    return candidate_pair_similarity(cand, sims, "item", "item1", "item2", "n_corated")
+    return P.item_pairs(p, needed=P.needed_item_pairs(p))
 
 
 def q_item_pearson_offgrid(spark, sf_dir):
@@ -148,7 +145,8 @@ def q_topk_items(spark, sf_dir):
     """Top 10 most similar rated items per answered test pair."""
     p = prepared(spark, sf_dir)
     cand = item_candidates(p.truth, p.train)
-    scored = attach_similarity(cand, P.item_pairs(p, keep=P.needed_pairs(cand, "item")), "item", "item1", "item2")
+    keep = P.needed_pairs(cand, "item", None, p.pair_rows)
+    scored = attach_similarity(cand, P.item_pairs(p, keep=keep), "item", "item1", "item2")
     return top_k(scored, 10).select("user", "item", "nbr", "nbr_rating", "sim", "nbr_rank")
 
 
@@ -157,7 +155,7 @@ def q_topk_users(spark, sf_dir):
     p = prepared(spark, sf_dir)
     centred = P.centred_layout(p)
     cand = user_candidates(p.truth, centred)
-    sims, _ = P.user_pairs(p, keep=P.needed_pairs(cand, "user"))
+    sims, _ = P.user_pairs(p, keep=P.needed_pairs(cand, "user", None, P.user_pair_rows(p)))
     scored = attach_similarity(cand, sims, "user", "user1", "user2")
     return top_k(scored, 1).select("user", "item", "nbr", "nbr_rating", "sim", "nbr_rank")
 
