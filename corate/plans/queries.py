@@ -37,7 +37,7 @@ from corate.sources.readers import (
     read_test_csv,
 )
 from corate.sources.sinks import prediction_rows, write_predictions
-from corate.sources.tables import CsvInputs, benchmark_inputs, write_csv_inputs
+from corate.sources.tables import benchmark_inputs, write_csv_inputs
 
 _PREP_CACHE: dict[tuple, P.Prepared] = {}
 
@@ -364,44 +364,43 @@ def q_model_based_formula_eval(spark, sf_dir):
 
 # --- files -------------------------------------------------------------------
 
-_CSV_CACHE: dict[tuple, CsvInputs] = {}
+_CSV_CACHE: dict[tuple, str] = {}
 
 
-def _csv(spark, sf_dir) -> CsvInputs:
-    """The inputs written as CSV files, once per session and directory."""
-    key = (_session_key(spark), sf_dir.rstrip("/"))
+def _csv(spark, sf_dir, name: str) -> str:
+    """The path of one input written as CSV, once per session and directory."""
+    key = (_session_key(spark), sf_dir.rstrip("/"), name)
     if key not in _CSV_CACHE:
         ensure_checkpoint_dir(spark)
-        _CSV_CACHE[key] = write_csv_inputs(spark, sf_dir, table_path(spark, "csv"))
+        _CSV_CACHE[key] = getattr(write_csv_inputs(spark, sf_dir, table_path(spark, "csv"), (name,)), name)
     return _CSV_CACHE[key]
 
 
 def q_csv_ratings(spark, sf_dir):
     """The ratings file read and deduplicated, the last line of a key wins."""
-    return dedup_last(read_ratings_csv(spark, _csv(spark, sf_dir).ratings).rows)
+    return dedup_last(read_ratings_csv(spark, _csv(spark, sf_dir, "ratings")).rows)
 
 
 def q_csv_test_pairs(spark, sf_dir):
-    return read_test_csv(spark, _csv(spark, sf_dir).test).rows
+    return read_test_csv(spark, _csv(spark, sf_dir, "test")).rows
 
 
 def q_csv_genres(spark, sf_dir):
-    return read_genres_csv(spark, _csv(spark, sf_dir).genres).rows
+    return read_genres_csv(spark, _csv(spark, sf_dir, "genres")).rows
 
 
 def q_csv_header_parts(spark, sf_dir):
     """Rating lines of a folder whose parts mostly have no header, while it
     comes back within them: lines of each key and the last rating."""
-    rows = read_ratings_csv(spark, _csv(spark, sf_dir).parts).rows
+    rows = read_ratings_csv(spark, _csv(spark, sf_dir, "parts")).rows
     return rows.groupBy("user", "item").agg(F.count("*").alias("n_lines"), F.max_by("rating", "seq").alias("rating"))
 
 
 def q_csv_rejects(spark, sf_dir):
     """Every line of the three files that does not parse: (file, line, reason)."""
-    c = _csv(spark, sf_dir)
-    parts = [("ratings", read_ratings_csv(spark, c.ratings)), ("test", read_test_csv(spark, c.test)),
-             ("genres", read_genres_csv(spark, c.genres))]
-    frames = [p.rejects.select(F.lit(n).alias("file"), "line", "reason") for n, p in parts]
+    readers = {"ratings": read_ratings_csv, "test": read_test_csv, "genres": read_genres_csv}
+    parts = {n: read(spark, _csv(spark, sf_dir, n)) for n, read in readers.items()}
+    frames = [p.rejects.select(F.lit(n).alias("file"), "line", "reason") for n, p in parts.items()]
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 

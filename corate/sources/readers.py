@@ -86,11 +86,24 @@ def numbered(rejects: DataFrame, lines: DataFrame) -> DataFrame:
     blocks = lines.groupBy(*split).agg(F.count("*").alias("n"), F.min(at("id")).alias("least"))
     before = F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     blocks = blocks.withColumn("before", F.coalesce(before, F.lit(0))).drop("n")
-    named = rejects.select("*", *split, at("id").alias("id")).join(blocks, ["file", "block"])
+    named = rejects.select("*", *split, at("id").alias("id")).join(F.broadcast(blocks), ["file", "block"])
     return named.select(*[c for c in rejects.columns if c != "seq"], "file",
                         (F.col("before") + F.col("id") - F.col("least") + 1).alias("line_no"))
 
 
+def in_order(rows: DataFrame, lines: DataFrame) -> DataFrame:
+    """``rows`` with ``seq`` as one number, in the same order: the number of
+    the file split, then the line within it. Sums and maxima by it need no
+    sort, as they do by a path; the splits' table has one row each."""
+    split = [F.col("seq.file_path").alias("_file"), F.col("seq.file_block_start").alias("_block")]
+    nth = F.row_number().over(Window.orderBy("_file", "_block")).cast("bigint").alias("_nth")
+    splits = lines.select(*split).distinct().select("_file", "_block", nth)
+    row = F.col("seq.id").bitwiseAND(F.lit((1 << 33) - 1))  # the id's upper bits are the task's
+    number = F.shiftleft("_nth", 33) + row
+    named = rows.select("*", *split).join(F.broadcast(splits), ["_file", "_block"])
+    return named.withColumn("seq", number).select(*rows.columns)
+
+
 def _fields(lines: DataFrame, n: int) -> DataFrame:
     """(value, seq, f): the fields c0.. of each line, ``f._line`` set if they are not ``n``."""
     schema = ", ".join(f"c{i} STRING" for i in range(n)) + ", _line STRING"
@@ -143,11 +156,12 @@ def read_ratings_csv(spark: SparkSession, path: str, header: str | None = AUTO)
     lines, body, header = _body(spark, path, header, True)
     n = max(3, len(_split(header))) if header else 4
     f = _fields(body, n)
-    return _parse(
+    parsed = _parse(
         lines, f, F.col("f._line").isNotNull(),
         {"user": _cast("f.c0", "BIGINT"), "item": _cast("f.c1", "BIGINT"), "rating": _cast("f.c2", "DOUBLE")},
         {"user_raw": F.col("f.c0"), "item_raw": F.col("f.c1"), "rating_raw": F.col("f.c2")},
     )
+    return Parsed(in_order(parsed.rows, lines), parsed.rejects)
 
 
 def read_test_csv(spark: SparkSession, path: str, header: str | None = AUTO) -> Parsed:

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -38,15 +38,18 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def half_stars(quantity: str) -> Column:
+    return F.ceil(F.col(quantity) / F.lit(5.0)).cast("double") / F.lit(2.0)
+
+
 def rating_events(spark: SparkSession, sf_dir: str, offgrid: bool = False) -> DataFrame:
     value = "l_extendedprice" if offgrid else "l_quantity"
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", value)
-    half_stars = F.ceil(F.col(value) / F.lit(5.0)).cast("double") / F.lit(2.0)
     od = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return li.join(od, li.l_orderkey == od.o_orderkey).select(
         F.col("o_custkey").cast("bigint").alias("user"),
         F.col("l_partkey").cast("bigint").alias("item"),
-        (F.col(value) / F.lit(19997.0) if offgrid else half_stars).alias("rating"),
+        (F.col(value) / F.lit(19997.0) if offgrid else half_stars(value)).alias("rating"),
         F.struct("l_orderkey", "l_linenumber", value).alias("seq"),
     )
 
@@ -87,10 +90,10 @@ class CsvInputs(NamedTuple):
 HEADER_EVERY = 500
 
 
-def write_csv_inputs(spark: SparkSession, sf_dir: str, folder: str) -> CsvInputs:
-    """The three inputs as files in the recommender's own formats, under
-    ``folder``, with malformed lines between the good ones: one in the ratings
-    for each ``events`` row's user (``x<user>``, no item), and, for each
+def write_csv_inputs(spark: SparkSession, sf_dir: str, folder: str, names: tuple[str, ...] = CsvInputs._fields) -> CsvInputs:
+    """The inputs as files in the recommender's own formats, those of ``names``
+    under ``folder``, with malformed lines between the good ones: one in the
+    ratings for each ``events`` row's user (``x<user>``, no item), and, for each
     region, lines with a field too many, one too few and a quote left open;
     one in the test file for each supplier (``<key>,none``); one in the genres
     for each nation (its name for the item). Rating lines are in event order;
@@ -98,41 +101,63 @@ def write_csv_inputs(spark: SparkSession, sf_dir: str, folder: str) -> CsvInputs
     item with another genre. ``parts`` holds the good rating lines in parts of
     which only the first starts with the header, which comes back within."""
     paths = CsvInputs(*(f"{folder}/{n}" for n in CsvInputs._fields))
-    inp = benchmark_inputs(spark, sf_dir)
-    text = lambda c: F.col(c).cast("string")
-    line = lambda *c: F.concat_ws(",", *c).alias("value")
-    header = "userId,movieId,rating,timestamp"
-    no_seq = F.lit(None).cast(inp.events.schema["seq"].dataType).alias("seq")
-
-    good = inp.events.select(
-        line(text("user"), text("item"), text("rating"), F.col("seq.l_orderkey").cast("string")),
-        F.col("seq.l_orderkey").cast("bigint").alias("at"), "seq", F.lit(0).alias("nth"))
-    clicks = _t(spark, sf_dir, "events").select("user_id")
-    bad = clicks.select(line(F.concat(F.lit("x"), text("user_id")), F.lit("none"), F.lit("3.5"), text("user_id")),
-                        F.col("user_id").cast("bigint").alias("at"), no_seq, F.lit(1).alias("nth"))
-    key = _t(spark, sf_dir, "region").select(F.col("r_regionkey").cast("bigint").alias("at"), text("r_regionkey").alias("k"))
-    ragged = [line(F.col("k"), F.lit("1,3.5,9,extra")), line(F.col("k"), F.lit("1,2.5")), line(F.concat(F.lit('"'), "k"), F.lit("1,3.0,4"))]
-    ragged = [key.select(v, "at", no_seq, F.lit(2 + i).alias("nth")) for i, v in enumerate(ragged)]
-    top = spark.range(1).select(F.lit(header).alias("value"), F.lit(-1).cast("bigint").alias("at"), no_seq, F.lit(0).alias("nth"))
-    lines = good.unionByName(bad).unionByName(top)
-    for rows in ragged:
-        lines = lines.unionByName(rows)
-    lines.orderBy("at", "seq", "nth").select("value").write.text(paths.ratings)
-
-    again = inp.events.select(F.col("seq.l_orderkey").cast("bigint").alias("at")).where(f"at % {HEADER_EVERY} = 0").distinct()
-    again = again.select(F.lit(header).alias("value"), "at", no_seq, F.lit(0).alias("nth"))
-    good.unionByName(again).unionByName(top).orderBy("at", "seq", "nth").select("value").write.text(paths.parts)
-
-    supp = _t(spark, sf_dir, "supplier").select(text("s_suppkey").alias("userId"), F.lit("none").alias("movieId"))
-    pairs = inp.test.select(text("user").alias("userId"), text("item").alias("movieId")).unionByName(supp)
-    pairs.write.option("header", True).csv(paths.test)
-
-    title = F.concat(F.lit("Part, The ("), text("item"), F.lit(")"))
-    named = inp.genres.select("item", text("item").alias("first"), title.alias("title"), "genre", F.lit(1).alias("nth"))
-    earlier = named.withColumn("nth", F.lit(0)).withColumn("genre", F.concat(F.lit("Z"), "genre"))
-    nations = _t(spark, sf_dir, "nation").select(
-        F.lit(None).cast("bigint").alias("item"), F.col("n_name").alias("first"), F.lit("Nation, A").alias("title"),
-        F.lit("none").alias("genre"), F.lit(0).alias("nth"))
-    rows = named.unionByName(earlier).unionByName(nations).orderBy("nth", "item")
-    rows.select("first", "title", "genre").write.option("header", False).option("escape", '"').csv(paths.genres)
+    if "ratings" in names or "parts" in names:
+        _write_ratings(spark, sf_dir, paths, names)
+    if "test" in names:
+        supp = _t(spark, sf_dir, "supplier").select(_text("s_suppkey").alias("userId"), F.lit("none").alias("movieId"))
+        test = test_pairs(spark, sf_dir, rating_events(spark, sf_dir))
+        pairs = test.select(_text("user").alias("userId"), _text("item").alias("movieId")).unionByName(supp)
+        pairs.write.option("header", True).csv(paths.test)
+    if "genres" in names:
+        title = F.concat(F.lit("Part, The ("), _text("item"), F.lit(")"))
+        named = item_genres(spark, sf_dir).select("item", _text("item").alias("first"), title.alias("title"), "genre", F.lit(1).alias("nth"))
+        earlier = named.withColumn("nth", F.lit(0)).withColumn("genre", F.concat(F.lit("Z"), "genre"))
+        nations = _t(spark, sf_dir, "nation").select(
+            F.lit(None).cast("bigint").alias("item"), F.col("n_name").alias("first"), F.lit("Nation, A").alias("title"),
+            F.lit("none").alias("genre"), F.lit(0).alias("nth"))
+        rows = named.unionByName(earlier).unionByName(nations).orderBy("nth", "item")
+        rows.select("first", "title", "genre").write.option("header", False).option("escape", '"').csv(paths.genres)
     return paths
+
+
+def _text(c: str | Column) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("string")
+
+
+def _line(*c: Column) -> Column:
+    return F.concat_ws(",", *c)
+
+
+def _write_ratings(spark: SparkSession, sf_dir: str, paths: CsvInputs, names: tuple[str, ...]) -> None:
+    """The rating lines, sorted by order key, then event (lines of no event
+    first). Events are sorted as numbers and become text behind the sort."""
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    od = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    good = li.join(od, li.l_orderkey == od.o_orderkey).select(
+        F.col("l_orderkey").cast("bigint").alias("at"), F.lit(1).alias("event"), F.col("l_linenumber").cast("bigint").alias("line_nr"), F.col("l_quantity").cast("double").alias("quantity"),
+        F.lit(0).alias("nth"), F.col("o_custkey").cast("bigint").alias("user"), F.col("l_partkey").cast("bigint").alias("item"), F.lit(None).cast("string").alias("line"))
+    no = lambda kind: F.lit(None).cast(kind)
+
+    def others(df: DataFrame, line: Column, nth: int) -> DataFrame:
+        return df.select(F.col("at").cast("bigint").alias("at"), F.lit(0).alias("event"), no("bigint").alias("line_nr"), no("double").alias("quantity"),
+                         F.lit(nth).alias("nth"), no("bigint").alias("user"), no("bigint").alias("item"), line.alias("line"))
+
+    def write(lines: DataFrame, path: str) -> None:
+        ordered = lines.orderBy("at", "event", "line_nr", "quantity", "nth")
+        made = _line(_text("user"), _text("item"), _text(half_stars("quantity")), _text("at"))
+        ordered.select(F.when(F.col("event") == 1, made).otherwise(F.col("line")).alias("value")).write.text(path)
+
+    header = F.lit("userId,movieId,rating,timestamp")
+    top = others(spark.range(1).select(F.lit(-1).alias("at")), header, 0)
+    if "ratings" in names:
+        clicks = _t(spark, sf_dir, "events").select(F.col("user_id").alias("at"), _text("user_id").alias("k"))
+        bad = others(clicks, _line(F.concat(F.lit("x"), "k"), F.lit("none"), F.lit("3.5"), F.col("k")), 1)
+        key = _t(spark, sf_dir, "region").select(F.col("r_regionkey").alias("at"), _text("r_regionkey").alias("k"))
+        lines = good.unionByName(bad).unionByName(top)
+        ragged = [_line(F.col("k"), F.lit("1,3.5,9,extra")), _line(F.col("k"), F.lit("1,2.5")), _line(F.concat(F.lit('"'), "k"), F.lit("1,3.0,4"))]
+        for i, line in enumerate(ragged):
+            lines = lines.unionByName(others(key, line, 2 + i))
+        write(lines, paths.ratings)
+    if "parts" in names:
+        again = others(good.select("at").where(f"at % {HEADER_EVERY} = 0").distinct(), header, 0)
+        write(good.unionByName(again).unionByName(top), paths.parts)
