@@ -14,6 +14,8 @@ returns lazy DataFrames, except that ALS fitting is eager by nature.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import cached_property
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -398,12 +400,27 @@ def user_based(
     return Result(pred, evaluate(pred))
 
 
-class ModelResult(NamedTuple):
+@dataclass
+class ModelResult:
     model: als_ops.FactorModel | None
     factor_predictions: DataFrame   # user, item, prediction: every scorable test pair
     imputed: DataFrame              # user, item, rating, prediction, source
-    predictions: DataFrame          # user, item, prediction, source: the output file
-    metrics: DataFrame
+    truth: DataFrame
+
+    @cached_property
+    def predictions(self) -> DataFrame:
+        """user, item, prediction, source: the output file, made when first asked for."""
+        out = self.factor_predictions.withColumn("source", F.lit("als")).unionByName(
+            self.imputed.select("user", "item", "prediction", "source")
+        )
+        # Read twice (output file and metrics). Materializing it also keeps the
+        # union out of the metrics plan, where Spark 4.1's constraint inference
+        # fails on union -> join -> aggregate.
+        return materialize(out, "auto", "model-pred")
+
+    @property
+    def metrics(self) -> DataFrame:
+        return evaluate(score(self.truth, self.predictions))
 
 
 def model_based(
@@ -435,14 +452,7 @@ def model_based(
     else:
         cases = prep.truth.join(fp, ["user", "item"], "left_anti")
     imp = impute(cases, prep.train, prep.genres, prep.gmean, impute_how, prep.ustats)
-    out = fp.withColumn("source", F.lit("als")).unionByName(
-        imp.select("user", "item", "prediction", "source")
-    )
-    # Read twice (output file and metrics). Materializing it also keeps the
-    # union out of the metrics plan, where Spark 4.1's constraint inference
-    # fails on union -> join -> aggregate.
-    out = materialize(out, "auto", "model-pred")
-    return ModelResult(fm, fp, imp, out, evaluate(score(prep.truth, out)))
+    return ModelResult(fm, fp, imp, prep.truth)
 
 
 def item_pairs(
