@@ -2,7 +2,7 @@
 
 Given factors on one side, the other side's factors solve a rank x rank system
 each: (sum y y' + lambda n I) x = sum r y over the id's ratings. The matrices
-are sums, so Spark adds them up map-side, one row per id; the systems are then
+are sums, which Spark adds up into one row per id; the systems are then
 factorised (Cholesky) in batches. Used to fold users in that come after
 training, and to redo or check either side of a model.
 """
@@ -19,13 +19,23 @@ from pyspark.sql import functions as F
 from corate.constants import ALS_LAMBDA
 
 
+#: Ratings of one id that a task may have to sum up.
+DEALT_RATINGS = 5_000_000
+
+
 def normal_equations(ratings: DataFrame, factors: DataFrame, key: str, other: str, column: str, rank: int) -> DataFrame:
     """(key, n, a, b): the upper triangle of sum y y' row by row, and sum r y.
 
     ``ratings`` has (key, other, rating), ``factors`` (other, column). Ratings
-    whose other side has no factors, and null ratings, count nothing.
+    whose other side has no factors, and null ratings, count nothing. An id
+    with few ratings makes a larger row of sums than of factors, so the rows
+    are dealt by id and then summed; with very many of one id, they are summed
+    map-side.
     """
     j = ratings.select(key, other, "rating").where("rating is not null").join(factors.select(other, column), other)
+    most = ratings.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    if (most or 0) <= DEALT_RATINGS:
+        j = j.select(key, "rating", column).repartition(key)
     y = [F.get(column, F.lit(k)).cast("double") for k in range(rank)]
     triangle = [y[i] * y[k] for i in range(rank) for k in range(i, rank)]
     return j.groupBy(key).agg(
