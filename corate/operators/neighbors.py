@@ -65,7 +65,9 @@ def attach_similarity(
     so zero-similarity neighbours stay candidates (they rank above negatives).
     Pairs whose similarity is exactly 0 are dropped from the lookup side
     first: the default supplies the same value, and on sparse data most
-    co-rated pairs have one co-rater and similarity 0.
+    co-rated pairs have one co-rater and similarity 0. The lookup side is never
+    broadcast: the planner takes its size from the ratings' files and knows
+    nothing of the pairs made of them, which may be hundreds of times as many.
     """
     lo = F.least(F.col(self_col), F.col("nbr"))
     hi = F.greatest(F.col(self_col), F.col("nbr"))
@@ -74,7 +76,7 @@ def attach_similarity(
         F.col(key1).alias("_k1"), F.col(key2).alias("_k2"), F.col("sim")
     )
     return (
-        c.join(s, ["_k1", "_k2"], "left")
+        c.join(s.hint("merge"), ["_k1", "_k2"], "left")
         .withColumn("sim", F.coalesce(F.col("sim"), F.lit(0.0)))
         .drop("_k1", "_k2")
     )
@@ -89,7 +91,7 @@ def candidate_pair_similarity(
         F.least(F.col(self_col), F.col("nbr")).alias(key1),
         F.greatest(F.col(self_col), F.col("nbr")).alias(key2),
     ).distinct()
-    return pairs.join(sims, [key1, key2], "left").select(
+    return pairs.join(sims.hint("merge"), [key1, key2], "left").select(
         key1,
         key2,
         F.coalesce(F.col(count_col), F.lit(0).cast("bigint")).alias(count_col),

@@ -4,10 +4,11 @@ from pyspark.sql import functions as F
 
 from corate.functions.exact import ExactMoments, ExactSum
 from corate.operators import pair_filter, skew
-from corate.operators.neighbors import item_needed
+from corate.operators.neighbors import attach_similarity, candidate_pair_similarity, item_needed
 from corate.operators.similarity import item_similarity, user_similarity
 from corate.operators.skew import dealt_pairs, later_members
 from corate.operators.stats import user_stats
+from corate.plans import pipelines as P
 
 DDL = "user BIGINT, item BIGINT, rating DOUBLE"
 
@@ -83,3 +84,16 @@ def test_limbs_as_columns_give_the_same_sums(spark):
     count = F.count("*").alias("n")
     plain = sorted(map(str, m.finish(df.groupBy("g").agg(count, *m.aggregates()), "n").collect()))
     assert sorted(map(str, n.finish(cut.groupBy("g").agg(count, *n.aggregates()), "n").collect())) == plain
+
+
+@pytest.mark.parametrize("job", [P.item_based, P.user_based])
+def test_similarities_are_not_broadcast(spark, job):
+    """The planner took their size from the files of the ratings: pairs of 0.1 GB went to the driver."""
+    t = _train(spark).where("user is not null and item is not null and rating is not null")
+    prep = P.prepare(t, t.where("(user + item) % 5 = 0").select("user", "item"))
+    cand, sims = t.select("user", "item", F.col("item").alias("nbr")), P.item_pairs(prep)
+    for joined in (attach_similarity(cand, sims, "item", "item1", "item2"), candidate_pair_similarity(cand, sims, "item", "item1", "item2", "n_corated")):
+        assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    plan = job(prep).predictions._jdf.queryExecution().executedPlan().toString()
+    assert [x for x in plan.split("\n") if "Join" in x and "_k2" in x and "SortMergeJoin" not in x] == []
+    assert "SortMergeJoin [_k1" in plan
