@@ -28,10 +28,24 @@ def item_needed(truth: DataFrame, train: DataFrame, budget: int | None = HOT_PAI
     if budget is not None:
         cand = item_candidates(truth, train, budget)
         return cand.select(F.least("item", "nbr").alias("m1"), F.array(F.greatest("item", "nbr")).alias("m2s"))
+    return _needed_lists(truth, train, "user", "item")
 
+
+def user_needed(truth: DataFrame, train: DataFrame, budget: int | None = HOT_PAIRS) -> DataFrame:
+    """The user pairs of ``user_candidates``, as in ``item_needed``."""
+    if budget is not None:
+        cand = product_join(truth.select("user", "item"), train.select("item", F.col("user").alias("nbr")), "item", "user", "nbr", budget)
+        return cand.select(F.least("user", "nbr").alias("m1"), F.array(F.greatest("user", "nbr")).alias("m2s"))
+    return _needed_lists(truth, train, "item", "user")
+
+
+def _needed_lists(truth: DataFrame, train: DataFrame, group: str, member: str) -> DataFrame:
+    """(m1, m2s): each member of ``truth`` with the members of ``train`` in its
+    group, from the lesser one. Lists are never broadcast: the planner takes
+    each for one element."""
     def later(each: DataFrame, listed: DataFrame) -> DataFrame:
-        lists = listed.groupBy("user").agg(F.collect_list("item").alias("_ids"), F.count_if(F.col("item").isNull()).alias("_none"))
-        met = each.where("item is not null").select("user", F.col("item").alias("m1")).join(lists, "user")
+        lists = listed.groupBy(group).agg(F.collect_list(member).alias("_ids"), F.count_if(F.col(member).isNull()).alias("_none"))
+        met = each.where(F.col(member).isNotNull()).select(group, F.col(member).alias("m1")).join(lists.hint("merge"), group)
         own = F.when(F.col("_none") > 0, F.array("m1")).otherwise(F.array().cast("array<bigint>"))
         return met.select("m1", F.concat(F.filter("_ids", lambda x: x > F.col("m1")), own).alias("m2s")).where(F.size("m2s") > 0)
 

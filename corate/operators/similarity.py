@@ -70,14 +70,14 @@ def item_pair_moments(
     return _pair_sums(p, key, [F.sum(v).alias(k) for k, v in sums.items()])
 
 
-def _pair_sums(rows: DataFrame, key: list[str], sums: list[Column]) -> DataFrame:
+def _pair_sums(rows: DataFrame, key: list[str], sums: list[Column], member: str = "item", count: str = "n_corated") -> DataFrame:
     """(item1, item2, n_corated, sums) of the rows of each pair; of those in need only, if rows say which are."""
     if "need" not in rows.columns:
-        found = rows.groupBy(*key).agg(F.count("*").alias("n_corated"), *sums)
+        found = rows.groupBy(*key).agg(F.count("*").alias(count), *sums)
     else:
-        found = rows.groupBy(*key).agg(F.count_if(~F.col("need")).alias("n_corated"), F.bool_or("need").alias("_asked"), *sums)
+        found = rows.groupBy(*key).agg(F.count_if(~F.col("need")).alias(count), F.bool_or("need").alias("_asked"), *sums)
         found = found.where("_asked").drop("_asked")
-    return found.withColumnRenamed("m1", "item1").withColumnRenamed("m2", "item2").drop("_b")
+    return found.withColumnRenamed("m1", f"{member}1").withColumnRenamed("m2", f"{member}2").drop("_b")
 
 
 def item_similarity(
@@ -144,22 +144,20 @@ def user_similarity(
     no_hot: bool = False,
     keep: Callable[[DataFrame], DataFrame] | None = None,
     known: Pairs = Pairs(),
+    needed: DataFrame | None = None,
 ) -> DataFrame:
     """(user1, user2, n_common, sim): Pearson over the items both rated, with
     each user's deviation taken from that user's overall training mean.
     ``anchors`` (column ``user``) limits it to pairs touching those users;
     ``centred`` reuses a ``centred_ratings`` frame (e.g. laid out by item);
     ``no_hot``: no item is known to exceed ``hot_rows`` raters; ``keep`` drops
-    rows of pairs (m1, m2) that are not needed."""
+    rows of pairs (m1, m2) that are not needed; ``needed`` (m1, m2s): only these
+    pairs, also those without a common item."""
     if centred is None:
         centred = centred_ratings(train, ustats)
     c = centred.select("item", "user", "dev")
-    p, key = _pair_rows(c, "item", "user", "dev", hot_rows, max_buckets, anchors, no_hot, keep, known)
+    p, key = _pair_rows(c, "item", "user", "dev", hot_rows, max_buckets, anchors, no_hot, keep, known, needed)
     a, b = F.col("v_1"), F.col("v_2")
-    m = p.groupBy(*key).agg(
-        F.count("*").alias("n_common"),
-        F.sum(a * b).alias("sab"),
-        F.sum(a * a).alias("saa"),
-        F.sum(b * b).alias("sbb"),
-    )
-    return m.select(F.col("m1").alias("user1"), F.col("m2").alias("user2"), "n_common", centred_pearson("sab", "saa", "sbb").alias("sim"))
+    sums = {"sab": a * b, "saa": a * a, "sbb": b * b}
+    m = _pair_sums(p, key, [F.sum(v).alias(k) for k, v in sums.items()], "user", "n_common")
+    return m.select("user1", "user2", "n_common", centred_pearson("sab", "saa", "sbb").alias("sim"))

@@ -180,7 +180,8 @@ def dealt_pairs(
 
     What is shuffled is a member with a list, about a quarter of a row per pair.
     ``pair_rows``: pairs in all, -1 if unknown (sizes the partitions).
-    ``most``: bound of the pairs of one first member (None: they are counted);
+    ``most``: bound of the pairs of one first member, those of ``needed`` among
+    them (None: they are counted);
     a member with more than ``HOT_MEMBER_PAIRS`` is dealt by its pairs.
     ``needed`` (m1, m2s): pairs somebody asks for; they are put between the
     others with ``need`` true and null values."""
@@ -190,7 +191,7 @@ def dealt_pairs(
         asked = needed.select("m1", none.alias("v1"), "m2s", F.transform("m2s", lambda x: none).alias("v2s"), F.lit(True).alias("need"))
         lists = lists.withColumn("need", F.lit(False)).unionByName(asked)
     key = ["m1"]
-    if most is None or needed is not None or most > HOT_MEMBER_PAIRS:
+    if most is None or most > HOT_MEMBER_PAIRS:
         load = lists.groupBy("m1").agg(F.sum(F.size("m2s")).alias("_n")).where(F.col("_n") > HOT_MEMBER_PAIRS)
         load = load.select("m1", F.ceil(F.col("_n") / F.lit(HOT_MEMBER_PAIRS // 4)).cast("int").alias("_parts"))
         n_hot = load.count()

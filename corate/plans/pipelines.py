@@ -39,6 +39,7 @@ from corate.operators.neighbors import (
     item_needed,
     top_k,
     user_candidates,
+    user_needed,
 )
 from corate.operators.predict import item_based_prediction, user_based_prediction
 from corate.operators.similarity import Pairs, centred_ratings, item_similarity, user_similarity
@@ -235,23 +236,29 @@ class ItemFacts(NamedTuple):
     max_rows: int      # training rows of an item
     pair_rows: int     # rows of the user co-rating self-join
     max_product: int   # bound of truth rows x training rows of an item
+    max_truth: int     # truth rows of an item
 
 
 def _item_facts(prep: Prepared) -> ItemFacts:
     n = prep.train.groupBy("item").agg(F.count("*").alias("n"))
     r = n.agg(F.max("n").alias("top"), F.sum(F.col("n").cast("double") * (F.col("n") - 1) / 2).alias("pairs")).first()
     top = int(r["top"] or 0)
-    return ItemFacts(top, int(r["pairs"] or 0), top * _max_group_rows(prep.truth, "item"))
+    most = _max_group_rows(prep.truth, "item")
+    return ItemFacts(top, int(r["pairs"] or 0), top * most, most)
 
 
-def _most_pairs(prep: Prepared) -> int | None:
-    """Bound of the co-rating rows of one item, or of one user."""
-    if prep.max_user_rows < 0 or prep.layouts is None:
+def _most_pairs(prep: Prepared, needed: bool = False) -> int | None:
+    """Bound of the co-rating rows of one item, or of one user, and of the
+    candidate pairs of the truth that it is in, if ``needed``."""
+    if prep.max_user_rows < 0 or prep.layouts is None or needed and prep.max_user_product < 0:
         return None
     facts = prep.layouts.get("item facts")
     if facts is None:
         facts = prep.layouts["item facts"] = _item_facts(prep)
-    return prep.max_user_rows * facts.max_rows
+    asked = 0
+    if needed and prep.max_user_rows:
+        asked = prep.max_user_product // prep.max_user_rows * facts.max_rows + prep.max_user_rows * facts.max_truth
+    return prep.max_user_rows * facts.max_rows + asked
 
 
 def centred_layout(prep: Prepared, hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
@@ -312,6 +319,13 @@ def user_pair_rows(prep: Prepared) -> int:
     return -1 if facts is None else facts.pair_rows
 
 
+def needed_user_pairs(prep: Prepared) -> DataFrame:
+    """The user pairs the user-based job looks up for the truth, as lists."""
+    facts = (prep.layouts or {}).get("item facts")
+    small = facts is not None and facts.max_product <= HOT_PAIRS
+    return user_needed(prep.truth, centred_layout(prep), None if small else HOT_PAIRS)
+
+
 def needed_item_pairs(prep: Prepared) -> DataFrame:
     """The item pairs the item-based job looks up for the truth, as lists."""
     small = 0 <= prep.max_user_product <= HOT_PAIRS
@@ -393,7 +407,10 @@ def user_based(
     cand = user_candidates(truth, ct, None if small else HOT_PAIRS)
     if sims is None:
         anchors = selective_anchors(truth, prep.train, "user", restrict)
-        sims, _ = user_pairs(prep, hot_rows, anchors, needed_pairs(cand, "user", restrict, user_pair_rows(prep)))
+        keep = needed_pairs(cand, "user", restrict, user_pair_rows(prep))
+        # two users who share an item nearly always have a similarity, which the lookup would be sent
+        asked = user_needed(truth, ct, None if small else HOT_PAIRS) if anchors is None and keep is None and restrict is not False else None
+        sims, _ = user_pairs(prep, hot_rows, anchors, keep, asked, asked is not None and pairs is None)
     scored = attach_similarity(cand, sims, "user", "user1", "user2")
     top = top_k(scored, k)
     pred = user_based_prediction(truth, top, prep.ustats, prep.gmean, loo, clamp)
@@ -462,11 +479,15 @@ def item_pairs(
     anchors: DataFrame | None = None,
     keep: Callable[[DataFrame], DataFrame] | None = None,
     needed: DataFrame | None = None,
+    of_truth: bool = False,
 ) -> DataFrame:
     """Every co-rated item pair of the training set (touching ``anchors``, and
     left by ``keep``, when given) with its similarity; or the pairs ``needed``
-    (m1, m2s), whether co-rated or not."""
-    known = Pairs(prep.pair_rows, _most_pairs(prep)) if anchors is None and keep is None else Pairs()
+    (m1, m2s), whether co-rated or not (``of_truth``: they are those of the
+    truth, whose number per item is bounded, so that they need no count)."""
+    known = Pairs()
+    if anchors is None and keep is None:
+        known = Pairs(prep.pair_rows, _most_pairs(prep, of_truth) if needed is None or of_truth else None)
     return item_similarity(prep.train, metric, hot_rows, anchors=anchors, no_hot=_no_hot_user(prep, hot_rows),
                            shift=prep.gmean, keep=keep, exact_top=prep.exact_top, known=known, needed=needed)
 
@@ -474,11 +495,16 @@ def item_pairs(
 def user_pairs(
     prep: Prepared, hot_rows: int | None = DEFAULT_HOT_ROWS, anchors: DataFrame | None = None,
     keep: Callable[[DataFrame], DataFrame] | None = None,
+    needed: DataFrame | None = None,
+    of_truth: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """(similarity of every co-rating user pair, the centred ratings it is built from)."""
+    """(similarity of every co-rating user pair, the centred ratings it is built
+    from); ``needed`` and ``of_truth`` as in ``item_pairs``."""
     ct, no_hot_item = _centred_layout(prep, hot_rows)
     facts = (prep.layouts or {}).get("item facts")
-    known = Pairs() if facts is None else Pairs(facts.pair_rows, _most_pairs(prep))
+    known = Pairs()
+    if facts is not None:
+        known = Pairs(facts.pair_rows, _most_pairs(prep, of_truth) if needed is None or of_truth else None)
     sims = user_similarity(prep.train, prep.ustats, hot_rows, anchors=anchors, centred=ct,
-                           no_hot=no_hot_item, keep=keep, known=known)
+                           no_hot=no_hot_item, keep=keep, known=known, needed=needed)
     return sims, ct

@@ -121,7 +121,7 @@ def q_item_pearson(spark, sf_dir):
     """Pearson similarity of every (test item, item the test user rated) pair
     the item-based job looks up; 0 for pairs without a co-rater."""
     p = prepared(spark, sf_dir)
-    return P.item_pairs(p, needed=P.needed_item_pairs(p))
+    return P.item_pairs(p, needed=P.needed_item_pairs(p), of_truth=True)
 
 
 def q_item_pearson_offgrid(spark, sf_dir):
@@ -155,7 +155,8 @@ def q_topk_users(spark, sf_dir):
     p = prepared(spark, sf_dir)
     centred = P.centred_layout(p)
     cand = user_candidates(p.truth, centred)
-    sims, _ = P.user_pairs(p, keep=P.needed_pairs(cand, "user", None, P.user_pair_rows(p)))
+    keep = P.needed_pairs(cand, "user", None, P.user_pair_rows(p))
+    sims, _ = P.user_pairs(p, keep=keep, needed=P.needed_user_pairs(p) if keep is None else None, of_truth=True)
     scored = attach_similarity(cand, sims, "user", "user1", "user2")
     return top_k(scored, 1).select("user", "item", "nbr", "nbr_rating", "sim", "nbr_rank")
 

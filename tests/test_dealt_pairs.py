@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from corate.functions.exact import ExactMoments, ExactSum
 from corate.operators import pair_filter, skew
-from corate.operators.neighbors import attach_similarity, candidate_pair_similarity, item_needed
+from corate.operators.neighbors import attach_similarity, candidate_pair_similarity, item_needed, user_needed
 from corate.operators.similarity import item_similarity, user_similarity
 from corate.operators.skew import dealt_pairs, later_members
 from corate.operators.stats import user_stats
@@ -97,3 +97,33 @@ def test_similarities_are_not_broadcast(spark, job):
     plan = job(prep).predictions._jdf.queryExecution().executedPlan().toString()
     assert [x for x in plan.split("\n") if "Join" in x and "_k2" in x and "SortMergeJoin" not in x] == []
     assert "SortMergeJoin [_k1" in plan
+
+
+def test_only_needed_user_pairs(spark):
+    train = spark.createDataFrame([(1, 1, 1.0), (2, 1, 2.0), (1, 2, 3.0), (2, 2, 5.0), (3, 2, 1.0), (4, 3, 2.0), (5, 4, 1.0), (None, 4, 1.0), (3, 5, 2.5), (1, 5, 4.0)], DDL)
+    truth = spark.createDataFrame([(1, 3), (3, 1), (2, 4), (2, 5)], "user BIGINT, item BIGINT")
+    want = {(1, 4): 0, (1, 3): 2, (2, 3): 1, (2, 5): 0, (2, 2): 0, (1, 2): 2}
+    every = {(r.user1, r.user2): r.sim for r in user_similarity(train, user_stats(train), hot_rows=None).collect()}
+    for budget in (None, 1):
+        asked = user_needed(truth, train, budget)
+        if budget is None:
+            assert "BroadcastHashJoin" not in asked._jdf.queryExecution().executedPlan().toString()
+        found = user_similarity(train, user_stats(train), hot_rows=None, needed=asked).collect()
+        assert {(r.user1, r.user2): r.n_common for r in found} == want
+        assert {(r.user1, r.user2): r.sim for r in found} == {p: every.get(p, 0.0) for p in want}
+
+
+def test_user_job_sends_the_lookup_the_needed_pairs_only(spark, monkeypatch):
+    """All co-rating users have a similarity: five times the candidates' pairs were shuffled and sorted."""
+    t = _train(spark).where("user is not null and item is not null and rating is not null")
+    prep = P.prepare(t, t.where("(user + item) % 5 = 0").select("user", "item"))
+    sent = []
+    attach = P.attach_similarity
+    monkeypatch.setattr(P, "attach_similarity", lambda cand, sims, *a: sent.append((cand, sims)) or attach(cand, sims, *a))
+    some, whole = P.user_based(prep, k=3).predictions, P.user_based(prep, k=3, restrict=False).predictions
+    (cand, sims), (_, every) = sent
+    pairs = cand.select(F.least("user", "nbr"), F.greatest("user", "nbr")).distinct().count()
+    assert sims.count() == pairs != every.count()
+    assert sorted(map(str, some.collect())) == sorted(map(str, whole.collect()))
+    n = sims.groupBy("user1").count().agg(F.max("count")).first()[0]
+    assert P._most_pairs(prep, needed=True) >= n
