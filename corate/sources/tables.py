@@ -43,10 +43,12 @@ def half_stars(quantity: str) -> Column:
 
 
 def rating_events(spark: SparkSession, sf_dir: str, offgrid: bool = False) -> DataFrame:
+    """(user, item, rating, seq). Orders grow with the ratings and are never
+    broadcast, however small their file is."""
     value = "l_extendedprice" if offgrid else "l_quantity"
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", value)
     od = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return li.join(od, li.l_orderkey == od.o_orderkey).select(
+    return li.join(od.hint("merge"), li.l_orderkey == od.o_orderkey).select(
         F.col("o_custkey").cast("bigint").alias("user"),
         F.col("l_partkey").cast("bigint").alias("item"),
         (F.col(value) / F.lit(19997.0) if offgrid else half_stars(value)).alias("rating"),
@@ -67,7 +69,7 @@ def test_pairs(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame
     )
     cust = _t(spark, sf_dir, "customer").select("c_custkey").filter(F.col("c_custkey") % 10 == 3)
     part = _t(spark, sf_dir, "part").select("p_partkey")
-    unanswered = cust.join(part, cust.c_custkey == part.p_partkey).select(
+    unanswered = cust.join(part.hint("merge"), cust.c_custkey == part.p_partkey).select(
         F.col("c_custkey").cast("bigint").alias("user"),
         F.col("p_partkey").cast("bigint").alias("item"),
     )

@@ -4,11 +4,12 @@ from pyspark.sql import functions as F
 
 from corate.functions.exact import ExactMoments, ExactSum
 from corate.operators import pair_filter, skew
-from corate.operators.neighbors import attach_similarity, candidate_pair_similarity, item_needed, user_needed
+from corate.operators.neighbors import attach_similarity, candidate_pair_similarity, item_candidates, item_needed, user_candidates, user_needed
 from corate.operators.similarity import item_similarity, user_similarity
 from corate.operators.skew import dealt_pairs, later_members
 from corate.operators.stats import user_stats
 from corate.plans import pipelines as P
+from corate.sources.tables import benchmark_inputs
 
 DDL = "user BIGINT, item BIGINT, rating DOUBLE"
 
@@ -99,6 +100,17 @@ def test_similarities_are_not_broadcast(spark, job):
     assert "SortMergeJoin [_k1" in plan
 
 
+def test_orders_and_held_out_pairs_are_not_broadcast(spark):
+    """The planner took their size from compressed files: at 0.1 GB the driver held 311 MB for them."""
+    inputs = benchmark_inputs(spark, "/root/testdata/sf0.001")
+    t = _train(spark)
+    truth = t.where("item % 5 = 0")
+    centred = t.withColumn("n_ratings", F.lit(1)).withColumn("sum_rating", F.col("rating"))
+    for df in (inputs.events, inputs.test, item_candidates(truth, t, None), item_candidates(truth, t), user_candidates(truth, centred, None)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_only_needed_user_pairs(spark):
     train = spark.createDataFrame([(1, 1, 1.0), (2, 1, 2.0), (1, 2, 3.0), (2, 2, 5.0), (3, 2, 1.0), (4, 3, 2.0), (5, 4, 1.0), (None, 4, 1.0), (3, 5, 2.5), (1, 5, 4.0)], DDL)
     truth = spark.createDataFrame([(1, 3), (3, 1), (2, 4), (2, 5)], "user BIGINT, item BIGINT")
