@@ -528,3 +528,19 @@ def test_water_filling(spark):
             target[i] = level * weights[i]
         for i in range(9):
             assert abs(got[chr(97 + i) if i < 8 else None] - target[i]) < 1e-6 * max(1, target[i])
+
+
+def test_a_training_step_makes_no_array_of_the_whole_vocabulary():
+    """Each step summed into rows of every token number, 2 MB an offset, however few occur."""
+    import tracemalloc
+
+    network = lm_score.Network(128)
+    tokens = np.arange(100, 200, dtype=np.int32)
+    dense = [e.copy() for e in network.p["embed"]]
+    tracemalloc.start()
+    network.train(tokens, np.arange(2, 66), 1.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1 << 20
+    changed = [np.flatnonzero((a != b).any(axis=1)).tolist() for a, b in zip(dense, network.p["embed"])]
+    assert changed == [tokens[np.arange(2, 66) + k].tolist() for k in lm_score.OFFSETS]
