@@ -14,9 +14,11 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from corate.functions.exact import ExactMoments
 from corate.functions.columns import centred_pearson, noise, pearson_from_moments, sum_normalized
+from corate.operators.exact_pairs import exact_pearson
 from corate.operators.skew import DEFAULT_HOT_ROWS, DEFAULT_MAX_BUCKETS, dealt_pairs, later_members, member_pairs
 
 ITEM_METRICS = ("pearson", "sum_normalized")
@@ -108,6 +110,11 @@ def item_similarity(
     """
     if metric not in ITEM_METRICS:
         raise ValueError(f"metric must be one of {ITEM_METRICS}")
+    if metric == "pearson" and exact_top is not None and anchors is None and keep is None and needed is None and isinstance(train.schema["item"].dataType, IntegralType):
+        # a group by pair would hold 16 sums of every pair
+        lists = later_members(train, "user", "item", "rating", hot_rows, max_buckets, no_hot)
+        m = exact_pearson(dealt_pairs(lists, *known, in_order=True)[0], exact_top)
+        return m.withColumnsRenamed({"m1": "item1", "m2": "item2"})
     if metric == "pearson" and exact_top is not None:
         p, key = _pair_rows(train, "user", "item", "rating", hot_rows, max_buckets, anchors, no_hot, keep, known, needed)
         cut, sums = ExactMoments.of(p, "v_1", "v_2", exact_top)

@@ -173,7 +173,7 @@ def later_members(
 
 
 def dealt_pairs(
-    lists: DataFrame, pair_rows: int = -1, most: int | None = None, needed: DataFrame | None = None
+    lists: DataFrame, pair_rows: int = -1, most: int | None = None, needed: DataFrame | None = None, in_order: bool = False
 ) -> tuple[DataFrame, list[str]]:
     """(rows (m1, m2, v_1, v_2), key): the pairs of ``later_members``, dealt by
     first member, so that grouping them by ``key`` (m1 and m2) needs no exchange.
@@ -184,7 +184,8 @@ def dealt_pairs(
     them (None: they are counted);
     a member with more than ``HOT_MEMBER_PAIRS`` is dealt by its pairs.
     ``needed`` (m1, m2s): pairs somebody asks for; they are put between the
-    others with ``need`` true and null values."""
+    others with ``need`` true and null values. ``in_order``: the rows of a
+    partition are in order of m1 (the lists are sorted, not the pairs)."""
     none = F.lit(None).cast("double")
     spark = lists.sparkSession
     if needed is not None:
@@ -205,6 +206,8 @@ def dealt_pairs(
             lists = known.where("_parts is null").withColumn("_b", F.lit(0)).drop("_parts").unionByName(single.drop("_parts", "_at", "_m2"))
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-pair_rows // DEALT_PAIRS))
     dealt = lists.repartition(n, *key)
+    if in_order:
+        dealt = dealt.sortWithinPartitions("m1")
     kept = [c for c in dealt.columns if c not in ("m2s", "v2s")]
     rows = dealt.select(*kept, "v2s", F.posexplode("m2s").alias("_at", "m2"))
     rows = rows.select(*[c for c in kept if c != "v1"], "m2", F.col("v1").alias("v_1"), F.get("v2s", F.col("_at")).alias("v_2"))

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from corate.functions.exact import ExactMoments, ExactSum, top_bit
+from corate.operators import similarity
+from corate.operators.exact_pairs import exact_pearson
 
 
 def _frame(spark, rows, ddl):
@@ -78,3 +80,27 @@ def test_pearson_equals_rational_arithmetic(spark):
 
 def test_top_bit():
     assert [top_bit(v) for v in (None, 0.0, 0.5, 1.0, 5.25, -8.0)] == [0, 0, 0, 1, 3, 4]
+
+
+def _pair_ratings(spark, n=1200):
+    r = random.Random(5)
+    rows = {(r.randrange(60), int(r.paretovariate(0.6)) % 50): r.choice([None, r.gauss(0, 37), r.gauss(0, 37)]) for _ in range(n)}
+    return _frame(spark, [(u, i, x) for (u, i), x in (rows | {(u, 999): 7.25 for u in range(40)}).items()], "user BIGINT, item BIGINT, rating DOUBLE")
+
+
+def test_pairs_summed_in_chunks_are_those_of_the_group(spark):
+    train = _pair_ratings(spark)
+    p, key = similarity._pair_rows(train, "user", "item", "rating", None, None, None, True, None, similarity.Pairs())
+    cut, sums = ExactMoments.of(p, "v_1", "v_2", 8)
+    want = sorted(map(tuple, sums.finish(similarity._pair_sums(cut, key, sums.aggregates()), "n_corated").select("item1", "item2", "n_corated", "sim").collect()))
+    assert sum(x[3] != 0 for x in want) > 100 and any(x[2] > 1 and x[3] == 0 for x in want)
+    for chunk, hot_rows in ((1 << 18, None), (3, 10), (300, None)):
+        lists = similarity.later_members(train, "user", "item", "rating", hot_rows, None)
+        rows = similarity.dealt_pairs(lists, in_order=True)[0].repartition(1).sortWithinPartitions("m1") if chunk == 3 else similarity.dealt_pairs(lists, in_order=True)[0]
+        assert sorted(map(tuple, exact_pearson(rows, 8, chunk).collect())) == want
+    assert sorted(map(tuple, similarity.item_similarity(train, exact_top=8).collect())) == want
+
+
+def test_no_group_holds_the_sums_of_every_pair(spark):
+    plan = similarity.item_similarity(_pair_ratings(spark, 100), exact_top=8, no_hot=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "sum(" not in plan
