@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -544,3 +545,19 @@ def test_a_training_step_makes_no_array_of_the_whole_vocabulary():
     assert peak < 1 << 20
     changed = [np.flatnonzero((a != b).any(axis=1)).tolist() for a, b in zip(dense, network.p["embed"])]
     assert changed == [tokens[np.arange(2, 66) + k].tolist() for k in lm_score.OFFSETS]
+
+
+def test_lm_words_are_looked_up_once_and_split_as_bytes_are(make, monkeypatch):
+    texts = ["  The b\tC\x0b\x0c\r\nthe ", "", None, "   ", "zz \x1c\x1d a\x1fb\x85c zz", "Ä É zz", "\n\nq q THE"] * 3
+    plain = [(t or "").encode().lower().split() for t in texts]
+    words, hashed = lm_score.Words([b"the"], 7), []
+    digest = lm_score.xxhash.xxh64_intdigest
+    monkeypatch.setattr(lm_score.xxhash, "xxh64_intdigest", lambda w, seed: hashed.append(w) or digest(w, seed))
+    got = list(words.of(pa.array(texts)))
+    assert len(hashed) == len(set(hashed)) and set(hashed) == {w for t in plain for w in t} - {b"the"}
+    for (tokens, hashes), own in zip(got, plain, strict=True):
+        rare = np.array([digest(w, 42) for w in own if w != b"the"], np.uint64).view(np.int64)
+        assert hashes.tolist() == rare.tolist() and tokens.tolist() == [8 if w == b"the" else 1 + int(np.uint64(digest(w, 42)).astype(np.int64) % 7) for w in own]
+    monkeypatch.undo()
+    counted = lm_score.count_words(make(list(enumerate(texts))))
+    assert {bytes(r["word"]): r["n"] for r in counted.collect()} == Counter(w for t in plain for w in t)
