@@ -187,25 +187,10 @@ def dealt_pairs(
     others with ``need`` true and null values. ``in_order``: the rows of a
     partition are in order of m1 (the lists are sorted, not the pairs)."""
     none = F.lit(None).cast("double")
-    spark = lists.sparkSession
     if needed is not None:
         asked = needed.select("m1", none.alias("v1"), "m2s", F.transform("m2s", lambda x: none).alias("v2s"), F.lit(True).alias("need"))
         lists = lists.withColumn("need", F.lit(False)).unionByName(asked)
-    key = ["m1"]
-    if most is None or most > HOT_MEMBER_PAIRS:
-        load = lists.groupBy("m1").agg(F.sum(F.size("m2s")).alias("_n")).where(F.col("_n") > HOT_MEMBER_PAIRS)
-        load = load.select("m1", F.ceil(F.col("_n") / F.lit(HOT_MEMBER_PAIRS // 4)).cast("int").alias("_parts"))
-        n_hot = load.count()
-        if n_hot:
-            key = ["m1", "_b"]
-            side = F.broadcast(load) if n_hot <= MAX_BROADCAST_GROUPS else load
-            known = lists.join(side, "m1", "left")
-            single = known.where("_parts is not null").select(*[c for c in known.columns if c not in ("m2s", "v2s")], "v2s", F.posexplode("m2s").alias("_at", "_m2"))
-            single = single.withColumn("m2s", F.array("_m2")).withColumn("v2s", F.array(F.get("v2s", F.col("_at"))))
-            single = single.withColumn("_b", F.pmod(F.xxhash64("_m2"), F.col("_parts")).cast("int"))
-            lists = known.where("_parts is null").withColumn("_b", F.lit(0)).drop("_parts").unionByName(single.drop("_parts", "_at", "_m2"))
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-pair_rows // DEALT_PAIRS))
-    dealt = lists.repartition(n, *key)
+    dealt, key = deal_lists(lists, pair_rows, most)
     if in_order:
         dealt = dealt.sortWithinPartitions("m1")
     kept = [c for c in dealt.columns if c not in ("m2s", "v2s")]
@@ -215,6 +200,32 @@ def dealt_pairs(
     return rows.where(ordered if needed is None else ordered | F.col("need")), [*key, "m2"]
 
 
+def deal_lists(
+    lists: DataFrame, pair_rows: int = -1, most: int | None = None, listed: tuple[str, ...] = ("m2s", "v2s"), hot_pairs: int | None = None
+) -> tuple[DataFrame, list[str]]:
+    """(``lists`` dealt by first member, key): a first member with more pairs
+    than ``hot_pairs`` (``HOT_MEMBER_PAIRS``) is dealt by its pairs, each with
+    lists of one element. ``listed``: the columns that are lists, ids first."""
+    limit = HOT_MEMBER_PAIRS if hot_pairs is None else hot_pairs
+    key, ids, rest = ["m1"], listed[0], listed[1:]
+    if most is None or most > limit:
+        load = lists.groupBy("m1").agg(F.sum(F.size(ids)).alias("_n")).where(F.col("_n") > limit)
+        load = load.select("m1", F.ceil(F.col("_n") / F.lit(max(1, limit // 4))).cast("int").alias("_parts"))
+        n_hot = load.count()
+        if n_hot:
+            key = ["m1", "_b"]
+            side = F.broadcast(load) if n_hot <= MAX_BROADCAST_GROUPS else load
+            known = lists.join(side, "m1", "left")
+            single = known.where("_parts is not null").select(*[c for c in known.columns if c != ids], F.posexplode(ids).alias("_at", "_m2"))
+            single = single.withColumn(ids, F.array("_m2"))
+            for c in rest:
+                single = single.withColumn(c, F.array(F.get(c, F.col("_at"))))
+            single = single.withColumn("_b", F.pmod(F.xxhash64("_m2"), F.col("_parts")).cast("int"))
+            lists = known.where("_parts is null").withColumn("_b", F.lit(0)).drop("_parts").unionByName(single.drop("_parts", "_at", "_m2"))
+    n = max(int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-pair_rows // DEALT_PAIRS))
+    return lists.repartition(n, *key), key
+
+
 def product_join(left: DataFrame, right: DataFrame, key: str, left_id: str, right_id: str, budget: int | None = HOT_PAIRS) -> DataFrame:
     """``left`` joined with ``right`` on ``key``, where few keys may have many rows on both sides.
 

@@ -20,6 +20,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from corate.constants import (
     ALS_ITERATIONS,
@@ -30,7 +31,7 @@ from corate.constants import (
 )
 from corate.functions.exact import top_bit
 from corate.operators import als as als_ops
-from corate.operators import pair_filter
+from corate.operators import asked_pairs, pair_filter
 from corate.operators.evaluate import evaluate, score
 from corate.operators.impute import impute
 from corate.operators.neighbors import (
@@ -42,12 +43,12 @@ from corate.operators.neighbors import (
     user_needed,
 )
 from corate.operators.predict import item_based_prediction, user_based_prediction
-from corate.operators.similarity import Pairs, centred_ratings, item_similarity, user_similarity
+from corate.operators.similarity import ITEM_METRICS, Pairs, centred_ratings, item_similarity, user_similarity
 from corate.operators.sizing import broadcast_if_small
 from corate.operators.skew import DEFAULT_HOT_ROWS, HOT_PAIRS
 from corate.operators.split import dedup_last, flag_holdout, holdout_split
 from corate.operators.stats import user_genre_stats, user_stats
-from corate.session import checkpoint_dir, drop_layout, materialize, open_layout, write_layout, write_table
+from corate.session import checkpoint_dir, delete_files, drop_layout, materialize, open_layout, write_layout, write_table
 from corate.sources.readers import dedup_genres
 
 
@@ -62,7 +63,7 @@ class Prepared(NamedTuple):
     n_train: int = 0
     max_user_rows: int = -1  # largest per-user training count (-1: unknown)
     layouts: dict | None = None  # further layouts of the training set
-    tables: list | None = None  # the files under the layouts
+    tables: list | None = None  # the files under the layouts, folders of results
     exact_top: int | None = None  # for ratings off the grid: see ``TrainSummary``
     pair_rows: int = -1  # rows of the item co-rating self-join (-1: unknown)
     max_user_product: int = -1  # bound of truth rows x training rows of a user (-1: unknown)
@@ -74,7 +75,7 @@ class Prepared(NamedTuple):
             if df is not None:
                 df.unpersist()
         for table in self.tables or []:
-            drop_layout(spark, table)
+            (delete_files if isinstance(table, str) else drop_layout)(spark, table)
         for held in (self.layouts, self.tables):
             if held:
                 held.clear()
@@ -332,6 +333,41 @@ def needed_item_pairs(prep: Prepared) -> DataFrame:
     return item_needed(prep.truth, prep.train, None if small else HOT_PAIRS)
 
 
+#: Co-rating rows from which similarities are made in passes (``operators.asked_pairs``), each of which
+#: frees its disk: below, one plan with fewer jobs is faster.
+PASSES_FROM = 100_000_000
+
+
+def takes_passes(prep: Prepared, group: str, candidates: bool = True) -> bool:
+    """Whether the pairs of members of a ``group`` are taken in passes: there
+    are many, their ids are whole numbers, there is a folder for the results
+    and, if ``candidates`` are ranked, no group has more than a task can make."""
+    facts = (prep.layouts or {}).get("item facts")
+    if group == "user":
+        rows, product = prep.pair_rows, prep.max_user_product
+    else:
+        rows, product = (-1, -1) if facts is None else (facts.pair_rows, facts.max_product)
+    if rows < PASSES_FROM or candidates and not 0 <= product <= HOT_PAIRS:
+        return False
+    ids = all(isinstance(prep.train.schema[c].dataType, LongType) for c in ("user", "item"))
+    return ids and prep.tables is not None and checkpoint_dir(prep.train.sparkSession) is not None
+
+
+def ranked_items(prep: Prepared, k: int | None, metric: str = "pearson", hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+    """The ``k`` most similar rated items of each test pair of the truth (``top_k``), in passes."""
+    if metric not in ITEM_METRICS:
+        raise ValueError(f"metric must be one of {ITEM_METRICS}")
+    if metric == "sum_normalized":
+        score, least = asked_pairs.sum_normalized_score(), 1
+    elif prep.exact_top is not None:
+        score, least = asked_pairs.exact_score(prep.exact_top), 2
+    else:
+        shift = F.coalesce(F.round(prep.gmean), F.lit(0.0))
+        score, least = asked_pairs.pearson_score(prep.train.sparkSession.range(1).select(shift).first()[0]), 2
+    found = asked_pairs.asked_similarities(prep.train, prep.truth, "user", "item", "rating", score, least, _most_pairs(prep, True), hot_rows, prep.tables)
+    return asked_pairs.ranked(prep.truth, prep.train, found, "user", "item", {"rating": "nbr_rating"}, k)
+
+
 class Result(NamedTuple):
     predictions: DataFrame   # user, item, rating, prediction, source, ...
     metrics: DataFrame       # one row: bands, n_scored, rmse
@@ -356,17 +392,20 @@ def item_based(
     the same genre first, then the user mean). ``sims`` reuses a similarity
     table; ``pairs`` scores other (user, item[, rating]) pairs than the truth;
     ``restrict`` limits the similarity table to the pairs looked up (False:
-    every pair; None: anchors by their share, see ``selective_anchors``, and
-    the bit filter of ``needed_pairs``).
+    every pair; None: anchors by their share, see ``selective_anchors``, else
+    passes over the truth's pairs where there are many, see ``takes_passes``,
+    else the bit filter of ``needed_pairs``).
     """
     truth = prep.truth if pairs is None else pairs
     small = pairs is None and 0 <= prep.max_user_product <= HOT_PAIRS
-    cand = item_candidates(truth, prep.train, None if small else HOT_PAIRS)
-    if sims is None:
-        anchors = selective_anchors(truth, prep.train, "item", restrict)
-        sims = item_pairs(prep, metric, hot_rows, anchors, needed_pairs(cand, "item", restrict, prep.pair_rows))
-    scored = attach_similarity(cand, sims, "item", "item1", "item2")
-    top = top_k(scored, k)
+    anchors = selective_anchors(truth, prep.train, "item", restrict) if sims is None else None
+    if sims is None and anchors is None and pairs is None and restrict is None and takes_passes(prep, "user"):
+        top = ranked_items(prep, k, metric, hot_rows)
+    else:
+        cand = item_candidates(truth, prep.train, None if small else HOT_PAIRS)
+        if sims is None:
+            sims = item_pairs(prep, metric, hot_rows, anchors, needed_pairs(cand, "item", restrict, prep.pair_rows))
+        top = top_k(attach_similarity(cand, sims, "item", "item1", "item2"), k)
     fallbacks: list[tuple[str, str]] = []
     if fallback == "genre":
         if prep.genres is None:

@@ -144,10 +144,13 @@ def q_user_pearson(spark, sf_dir):
 def q_topk_items(spark, sf_dir):
     """Top 10 most similar rated items per answered test pair."""
     p = prepared(spark, sf_dir)
-    cand = item_candidates(p.truth, p.train)
-    keep = P.needed_pairs(cand, "item", None, p.pair_rows)
-    scored = attach_similarity(cand, P.item_pairs(p, keep=keep), "item", "item1", "item2")
-    return top_k(scored, 10).select("user", "item", "nbr", "nbr_rating", "sim", "nbr_rank")
+    if P.takes_passes(p, "user"):
+        top = P.ranked_items(p, 10)
+    else:
+        cand = item_candidates(p.truth, p.train)
+        keep = P.needed_pairs(cand, "item", None, p.pair_rows)
+        top = top_k(attach_similarity(cand, P.item_pairs(p, keep=keep), "item", "item1", "item2"), 10)
+    return top.select("user", "item", "nbr", "nbr_rating", "sim", "nbr_rank")
 
 
 def q_topk_users(spark, sf_dir):
