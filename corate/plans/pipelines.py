@@ -368,6 +368,14 @@ def ranked_items(prep: Prepared, k: int | None, metric: str = "pearson", hot_row
     return asked_pairs.ranked(prep.truth, prep.train, found, "user", "item", {"rating": "nbr_rating"}, k)
 
 
+def ranked_users(prep: Prepared, k: int, hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+    """The ``k`` most similar raters of the item of each test pair of the truth, in passes."""
+    ct = centred_layout(prep, hot_rows)
+    found = asked_pairs.asked_similarities(ct, prep.truth, "item", "user", "dev", asked_pairs.centred_score(), 1, _most_pairs(prep, True), hot_rows, prep.tables)
+    fields = {"rating": "nbr_rating", "n_ratings": "nbr_n", "sum_rating": "nbr_sum"}
+    return asked_pairs.ranked(prep.truth, ct, found, "item", "user", fields, k)
+
+
 class Result(NamedTuple):
     predictions: DataFrame   # user, item, rating, prediction, source, ...
     metrics: DataFrame       # one row: bands, n_scored, rmse
@@ -443,15 +451,17 @@ def user_based(
     ct, _ = _centred_layout(prep, hot_rows)
     facts = (prep.layouts or {}).get("item facts")
     small = pairs is None and facts is not None and facts.max_product <= HOT_PAIRS
-    cand = user_candidates(truth, ct, None if small else HOT_PAIRS)
-    if sims is None:
-        anchors = selective_anchors(truth, prep.train, "user", restrict)
-        keep = needed_pairs(cand, "user", restrict, user_pair_rows(prep))
-        # two users who share an item nearly always have a similarity, which the lookup would be sent
-        asked = user_needed(truth, ct, None if small else HOT_PAIRS) if anchors is None and keep is None and restrict is not False else None
-        sims, _ = user_pairs(prep, hot_rows, anchors, keep, asked, asked is not None and pairs is None)
-    scored = attach_similarity(cand, sims, "user", "user1", "user2")
-    top = top_k(scored, k)
+    anchors = selective_anchors(truth, prep.train, "user", restrict) if sims is None else None
+    if sims is None and anchors is None and pairs is None and restrict is None and k is not None and takes_passes(prep, "item"):
+        top = ranked_users(prep, k, hot_rows)
+    else:
+        cand = user_candidates(truth, ct, None if small else HOT_PAIRS)
+        if sims is None:
+            keep = needed_pairs(cand, "user", restrict, user_pair_rows(prep))
+            # two users who share an item nearly always have a similarity, which the lookup would be sent
+            asked = user_needed(truth, ct, None if small else HOT_PAIRS) if anchors is None and keep is None and restrict is not False else None
+            sims, _ = user_pairs(prep, hot_rows, anchors, keep, asked, asked is not None and pairs is None)
+        top = top_k(attach_similarity(cand, sims, "user", "user1", "user2"), k)
     pred = user_based_prediction(truth, top, prep.ustats, prep.gmean, loo, clamp)
     return Result(pred, evaluate(pred))
 

@@ -51,10 +51,12 @@ JOBS = {
     "pearson": lambda p, hot: P.item_based(p, hot_rows=hot),
     "sum_normalized": lambda p, hot: P.item_based(p, metric="sum_normalized", hot_rows=hot),
     "genre": lambda p, hot: P.item_based(p, k=3, fallback="genre", hot_rows=hot),
+    "users": lambda p, hot: P.user_based(p, k=1, hot_rows=hot),
+    "more users": lambda p, hot: P.user_based(p, k=4, loo="corrected", hot_rows=hot),
 }
 
 
-@pytest.mark.parametrize("job, hot", [*((j, skew.DEFAULT_HOT_ROWS) for j in JOBS), ("pearson", 20)])
+@pytest.mark.parametrize("job, hot", [*((j, skew.DEFAULT_HOT_ROWS) for j in JOBS), ("pearson", 20), ("users", 20)])
 def test_passes_give_the_rows_of_one_plan(spark, passes, job, hot):
     prep = _prep(spark)
     P.centred_layout(prep)
