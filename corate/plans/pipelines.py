@@ -33,6 +33,7 @@ from corate.functions.exact import top_bit
 from corate.operators import als as als_ops
 from corate.operators import asked_pairs, pair_filter
 from corate.operators.evaluate import evaluate, score
+from corate.operators.exact_pairs import exact_pearson
 from corate.operators.impute import impute
 from corate.operators.neighbors import (
     attach_similarity,
@@ -45,7 +46,7 @@ from corate.operators.neighbors import (
 from corate.operators.predict import item_based_prediction, user_based_prediction
 from corate.operators.similarity import ITEM_METRICS, Pairs, centred_ratings, item_similarity, user_similarity
 from corate.operators.sizing import broadcast_if_small
-from corate.operators.skew import DEFAULT_HOT_ROWS, HOT_PAIRS
+from corate.operators.skew import DEFAULT_HOT_ROWS, HOT_PAIRS, dealt_pairs
 from corate.operators.split import dedup_last, flag_holdout, holdout_split
 from corate.operators.stats import user_genre_stats, user_stats
 from corate.session import checkpoint_dir, delete_files, drop_layout, materialize, open_layout, write_layout, write_table
@@ -533,7 +534,10 @@ def item_pairs(
     """Every co-rated item pair of the training set (touching ``anchors``, and
     left by ``keep``, when given) with its similarity; or the pairs ``needed``
     (m1, m2s), whether co-rated or not (``of_truth``: they are those of the
-    truth, whose number per item is bounded, so that they need no count)."""
+    truth, whose number per item is bounded, so that they need no count).
+    Many pairs of ratings off the grid are made in passes, at once."""
+    if metric == "pearson" and prep.exact_top is not None and anchors is None and keep is None and needed is None and takes_passes(prep, "user", False):
+        return _exact_item_pairs(prep, hot_rows)
     known = Pairs()
     if anchors is None and keep is None:
         known = Pairs(prep.pair_rows, _most_pairs(prep, of_truth) if needed is None or of_truth else None)
@@ -541,6 +545,23 @@ def item_pairs(
                            shift=prep.gmean, keep=keep, exact_top=prep.exact_top, known=known, needed=needed)
 
 
+def _exact_item_pairs(prep: Prepared, hot_rows: int | None) -> DataFrame:
+    """Every co-rated item pair with its correlation from exact sums, in passes over the first items."""
+    spark, scratch = prep.train.sparkSession, []
+    lists = asked_pairs.member_lists(prep.train, "user", "item", ["rating"], hot_rows, scratch)
+
+    def work(later: DataFrame, pairs: int) -> DataFrame:
+        rows = later.select("m1", F.col("rating1").alias("v1"), "m2s", F.col("rating2s").alias("v2s"))
+        m = exact_pearson(dealt_pairs(rows, pairs, _most_pairs(prep), in_order=True)[0], prep.exact_top)
+        return m.withColumnsRenamed({"m1": "item1", "m2": "item2"})
+
+    try:
+        return asked_pairs.in_passes(lists, work, "pairs", prep.tables)
+    finally:
+        for path in scratch:
+            delete_files(spark, path)
+
+
 def user_pairs(
     prep: Prepared, hot_rows: int | None = DEFAULT_HOT_ROWS, anchors: DataFrame | None = None,
     keep: Callable[[DataFrame], DataFrame] | None = None,

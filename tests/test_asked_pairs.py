@@ -73,9 +73,11 @@ def test_passes_give_the_rows_of_one_plan(spark, passes, job, hot):
 def test_passes_off_the_grid(spark, passes, k):
     prep = _prep(spark, offgrid=True)
     assert prep.exact_top is not None
-    want = _rows(P.item_based(prep, k=k).predictions.select(COLS))
+    want, pairs = _rows(P.item_based(prep, k=k).predictions.select(COLS)), _rows(P.item_pairs(prep))
     passes()
     assert _rows(P.item_based(prep, k=k).predictions.select(COLS)) == want
+    assert _rows(P.item_pairs(prep, hot_rows=20)) == pairs
+    assert any(isinstance(t, str) and "pairs" in t for t in prep.tables)
 
 
 def test_top_items_in_passes(spark, passes, monkeypatch):
