@@ -104,26 +104,24 @@ def test_lists_of_all_passes_are_the_lists_of_one(spark):
         assert not firsts[0] & firsts[1] and not firsts[1] & firsts[2]
 
 
-def _shuffle_files():
-    found = []
-    for top in glob.glob("/tmp/blockmgr-*") + glob.glob(f"{os.environ.get('TMPDIR', '/tmp')}/blockmgr-*"):
-        found += glob.glob(f"{top}/*/shuffle_*.data")
-    return set(found)
+def _shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for d in dirs for f in glob.glob(f"{d.getPath()}/*/shuffle_*.data")}
 
 
 def test_a_written_table_leaves_no_shuffle_on_disk(spark):
     """Shuffle files stayed until the driver collected the plan: at 6 GB the disk held all those of a job."""
-    before = _shuffle_files()
+    before = _shuffle_files(spark)
     kept = spark.range(10_000).withColumn("k", F.col("id") % 97).repartition(4, "k").groupBy("k").count()
     assert kept.count() == 97
-    assert _shuffle_files() - before
-    before = _shuffle_files()
+    assert _shuffle_files(spark) - before
+    before = _shuffle_files(spark)
     t = write_table(spark.range(10_000).withColumn("k", F.col("id") % 89).repartition(4, "k"), "freed")
     for _ in range(100):
-        if not _shuffle_files() - before:
+        if not _shuffle_files(spark) - before:
             break
         time.sleep(0.1)
-    assert not _shuffle_files() - before
+    assert not _shuffle_files(spark) - before
     assert t.groupBy("k").count().count() == 89
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
 
